@@ -118,3 +118,464 @@ ORDER BY total_amount DESC, customer_id
 LIMIT 100""")
 def q_customer_ranking(spark, sf):
     return _r2(flows.customer_ranking(spark, sf, 100), "total_amount")
+
+
+# ------------------------------------------------- stored pipeline runs --
+# These run the batch-committed warehouse (see keelson.plans.stored).
+
+from keelson.operators import governance, validate  # noqa: E402
+from keelson.operators import scd as _scd  # noqa: E402
+from keelson.plans import stored  # noqa: E402
+from keelson.schemas import TABLES  # noqa: E402
+
+_LATEST_STG = "(SELECT MAX(batch_key) FROM stg_customers)"
+
+
+@register("q_scd2_customers", "SELECT * FROM scd2_customers")
+def q_scd2_customers(spark, sf):
+    """Type 2 customers folded batch by batch and stored (fold == bulk)."""
+    return stored.full_run(spark, sf)["wh"].dim2("customers")
+
+
+@register("q_scd2_products", "SELECT * FROM scd2_products")
+def q_scd2_products(spark, sf):
+    return stored.full_run(spark, sf)["wh"].dim2("products")
+
+
+@register("q_scd2_customers_mixed", "SELECT * FROM scd2_customers")
+def q_scd2_customers_mixed(spark, sf):
+    """First wave applied in bulk, second wave folded on top."""
+    return stored.staged_run(spark, sf)["wh"].dim2("customers")
+
+
+@register("q_scd2_products_mixed", "SELECT * FROM scd2_products")
+def q_scd2_products_mixed(spark, sf):
+    return stored.staged_run(spark, sf)["wh"].dim2("products")
+
+
+@register("q_scd1_customers_stored", "SELECT * FROM scd1_customers")
+def q_scd1_customers_stored(spark, sf):
+    """Type 1 customers after the batch-by-batch upserts (MERGE semantics)."""
+    return stored.full_run(spark, sf)["wh"].dim1()
+
+
+@register("q_stg_customers_latest", f"""
+SELECT customer_id, name, city, event_date FROM stg_customers
+WHERE batch_key = {_LATEST_STG}""")
+def q_stg_customers_latest(spark, sf):
+    return stored.full_run(spark, sf)["wh"].stg("customers")
+
+
+@register("q_stg_products_latest", f"""
+SELECT product_id, product_name, category, price, launch_date FROM stg_products
+WHERE batch_key = {_LATEST_STG}""")
+def q_stg_products_latest(spark, sf):
+    return stored.full_run(spark, sf)["wh"].stg("products")
+
+
+@register("q_fact_orders", "SELECT * FROM fact_orders")
+def q_fact_orders(spark, sf):
+    """The stored fact after two restatements (dynamic partition overwrite)."""
+    return stored.full_run(spark, sf)["wh"].fact()
+
+
+@register("q_ingest_incremental", """
+SELECT customer_id, name, city, event_date, batch_key FROM bronze_customers""")
+def q_ingest_incremental(spark, sf):
+    """Bronze customers after three ingests (two waves, then nothing new):
+    every raw row exactly once."""
+    b = stored.staged_run(spark, sf)["wh"].bronze("customers")
+    return b.select("customer_id", "name", "city", "event_date", "batch_key")
+
+
+@register("q_bronze_orders_stored", """
+SELECT order_id, customer_id, product_id, amount, order_date, batch_key FROM bronze_orders""")
+def q_bronze_orders_stored(spark, sf):
+    b = stored.staged_run(spark, sf)["wh"].bronze("orders")
+    return b.select("order_id", "customer_id", "product_id", "amount", "order_date", "batch_key")
+
+
+@register("q_bronze_products_stored", """
+SELECT product_id, product_name, category, price, launch_date, batch_key FROM bronze_products""")
+def q_bronze_products_stored(spark, sf):
+    b = stored.staged_run(spark, sf)["wh"].bronze("products")
+    return b.select("product_id", "product_name", "category", "price", "launch_date",
+                    "batch_key")
+
+
+@register("q_pending_batches", f"""
+SELECT DISTINCT batch_key FROM bronze_customers
+WHERE batch_key > '{stored.WAVE_SPLIT}'""")
+def q_pending_batches(spark, sf):
+    """Batch keys pending after the second wave landed (before applying)."""
+    run = stored.staged_run(spark, sf)
+    return spark.createDataFrame([(b,) for b in run["pending"]], "batch_key string")
+
+
+@register("q_batches", """
+SELECT DISTINCT batch_key, CAST(batch_key || '-01' AS DATE) AS business_date
+FROM bronze_customers WHERE batch_key <> ''""")
+def q_batches(spark, sf):
+    """All batch keys found in Bronze customers, with their business date."""
+    from keelson.functions import business_date
+    return (stored.full_run(spark, sf)["wh"].discover()
+            .withColumn("business_date", business_date("batch_key")))
+
+
+@register("q_batch_control", """
+SELECT batch_key, CAST(1 AS BIGINT) AS times_processed
+FROM (SELECT DISTINCT batch_key FROM bronze_customers WHERE batch_key <> '') b""")
+def q_batch_control(spark, sf):
+    """Each batch committed once, although the pipeline ran twice."""
+    return validate.batch_control_report(stored.full_run(spark, sf)["wh"].control())
+
+
+@register("q_pipeline_rerun_noop", """
+SELECT 'applied_on_rerun' AS item, CAST(0 AS BIGINT) AS n
+UNION ALL SELECT 'ingested_on_rerun', CAST(0 AS BIGINT)
+UNION ALL SELECT 'dim_customers_versions', COUNT(*) FROM scd2_customers
+UNION ALL SELECT 'dim_products_versions', COUNT(*) FROM scd2_products""")
+def q_pipeline_rerun_noop(spark, sf):
+    run = stored.full_run(spark, sf)
+    wh = run["wh"]
+    again = run["again"]
+    rows = [("applied_on_rerun", len(again["silver"]["applied"])),
+            ("ingested_on_rerun", sum(again["ingested"].values()))]
+    small = spark.createDataFrame(rows, "item string, n bigint")
+    dims = [wh.dim2(e).agg(F.count(F.lit(1)).alias("n"))
+              .select(F.lit(f"dim_{e}_versions").alias("item"), "n")
+            for e in ("customers", "products")]
+    return small.unionByName(dims[0]).unionByName(dims[1])
+
+
+_GOLD_COUNTS = {
+    "gold_agg_sales_by_city": "SELECT COUNT(DISTINCT c.city) FROM fact_orders f "
+                              "JOIN cur_customers c ON f.customer_id = c.customer_id",
+    "gold_agg_sales_by_category": "SELECT COUNT(DISTINCT p.category) FROM fact_orders f "
+                                  "JOIN cur_products p ON f.product_id = p.product_id",
+    "gold_ranking_customers": "SELECT LEAST(100, COUNT(DISTINCT f.customer_id)) FROM "
+                              "fact_orders f JOIN cur_customers c "
+                              "ON f.customer_id = c.customer_id",
+}
+_TABLE_COUNT_SQL = {
+    "bronze_raw_customers": "SELECT COUNT(*) FROM raw_customers",
+    "bronze_raw_orders": "SELECT COUNT(*) FROM raw_orders",
+    "bronze_raw_products": "SELECT COUNT(*) FROM raw_products",
+    "silver_stg_customers": f"SELECT COUNT(*) FROM stg_customers WHERE batch_key = {_LATEST_STG}",
+    "silver_stg_products": f"SELECT COUNT(*) FROM stg_products WHERE batch_key = {_LATEST_STG}",
+    "silver_dim_customers_type1": "SELECT COUNT(*) FROM scd1_customers",
+    "silver_dim_customers_type2": "SELECT COUNT(*) FROM scd2_customers",
+    "silver_dim_products_type2": "SELECT COUNT(*) FROM scd2_products",
+    "silver_fact_orders": "SELECT COUNT(*) FROM fact_orders",
+    **_GOLD_COUNTS,
+}
+
+
+@register("q_row_counts", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST(({q}) AS BIGINT) AS row_count"
+    for t, q in _TABLE_COUNT_SQL.items()))
+def q_row_counts(spark, sf):
+    """Row counts of the 12 warehouse tables (control table left out)."""
+    wh = stored.full_run(spark, sf)["wh"]
+    return validate.row_counts({t: wh.table(t) for t in _TABLE_COUNT_SQL})
+
+
+@register("q_observed_counts", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST(({q}) AS BIGINT) AS rows_written"
+    for t, q in _TABLE_COUNT_SQL.items()
+    if t.startswith(("bronze", "gold")) or t == "silver_fact_orders"))
+def q_observed_counts(spark, sf):
+    """Rows written, as observed during the writes themselves (no recount)."""
+    first = stored.full_run(spark, sf)["first"]
+    rows = [(f"bronze_raw_{e}", n) for e, n in first["ingested"].items()]
+    rows.append(("silver_fact_orders", first["silver"]["fact_rows"]))
+    rows += list(first["gold"].items())
+    return spark.createDataFrame(rows, "table_name string, rows_written bigint")
+
+
+@register("q_table_roundtrip", """
+SELECT customer_id, name, city, ROUND(total_amount, 2) AS total_amount,
+       CAST(ROW_NUMBER() OVER (ORDER BY total_amount DESC, customer_id) AS INTEGER) AS ranking
+FROM (SELECT f.customer_id, c.name, c.city, SUM(f.amount) AS total_amount
+      FROM fact_orders f JOIN cur_customers c ON f.customer_id = c.customer_id
+      GROUP BY f.customer_id, c.name, c.city) t
+ORDER BY total_amount DESC, customer_id
+LIMIT 100""")
+def q_table_roundtrip(spark, sf):
+    """A declared catalog table: created twice (IF NOT EXISTS), overwritten
+    twice by insertInto, read back by name."""
+    import uuid
+    from keelson.session import scratch_path
+    from keelson.sinks.tables import ensure_table, insert_overwrite
+    wh = stored.full_run(spark, sf)["wh"]
+    name = f"keelson_gold.ranking_{uuid.uuid4().hex[:8]}"
+    schema = TABLES["gold_ranking_customers"][0]
+    loc = scratch_path(spark, "catalog")
+    for _ in range(2):
+        ensure_table(spark, name, schema, location=loc)
+    src = wh.table("gold_ranking_customers")
+    for _ in range(2):
+        insert_overwrite(src, name)
+    return _r2(spark.table(name), "total_amount")
+
+
+# ------------------------------------------------------------ validation --
+
+def _broken(dim_sql: str) -> str:
+    # a damaged copy: closed versions wrongly left current (valid_to kept)
+    return f"(SELECT * REPLACE (TRUE AS is_current) FROM {dim_sql})"
+
+
+def _broken_df(df):
+    return df.withColumn("is_current", F.lit(True))
+
+
+@register("q_multi_current_customers", """
+SELECT customer_id, COUNT(*) AS current_versions FROM scd2_customers
+WHERE is_current GROUP BY customer_id HAVING COUNT(*) > 1""")
+def q_multi_current_customers(spark, sf):
+    return validate.multi_current(stored.full_run(spark, sf)["wh"].dim2("customers"),
+                                  "customer_id")
+
+
+@register("q_multi_current_products", """
+SELECT product_id, COUNT(*) AS current_versions FROM scd2_products
+WHERE is_current GROUP BY product_id HAVING COUNT(*) > 1""")
+def q_multi_current_products(spark, sf):
+    return validate.multi_current(stored.full_run(spark, sf)["wh"].dim2("products"),
+                                  "product_id")
+
+
+@register("q_multi_current_customers_damaged", f"""
+SELECT customer_id, COUNT(*) AS current_versions FROM {_broken('scd2_customers')} d
+WHERE is_current GROUP BY customer_id HAVING COUNT(*) > 1""")
+def q_multi_current_customers_damaged(spark, sf):
+    return validate.multi_current(_broken_df(flows.scd2_customers(spark, sf)), "customer_id")
+
+
+@register("q_current_count_strict", """
+SELECT product_id, COUNT(*) FILTER (WHERE is_current) AS current_versions
+FROM (SELECT * FROM scd2_products WHERE NOT is_current) d
+GROUP BY product_id HAVING COUNT(*) FILTER (WHERE is_current) <> 1""")
+def q_current_count_strict(spark, sf):
+    """The strict form of the one-current-version check also reports keys
+    with none (here: the closed history alone)."""
+    closed = flows.scd2_products(spark, sf).where(~F.col("is_current"))
+    return validate.multi_current(closed, "product_id", strict=True)
+
+
+@register("q_current_not_open", """
+SELECT * FROM scd2_customers WHERE is_current AND valid_to IS NOT NULL""")
+def q_current_not_open(spark, sf):
+    return validate.current_not_open(stored.full_run(spark, sf)["wh"].dim2("customers"))
+
+
+@register("q_current_not_open_damaged", f"""
+SELECT * FROM {_broken('scd2_products')} d WHERE is_current AND valid_to IS NOT NULL""")
+def q_current_not_open_damaged(spark, sf):
+    return validate.current_not_open(_broken_df(flows.scd2_products(spark, sf)))
+
+
+_OVERLAP_SQL = """
+SELECT {key}, valid_from, valid_to,
+       CASE WHEN valid_to IS NOT NULL AND valid_to <= valid_from THEN 'reversed'
+            ELSE 'overlap' END AS problem
+FROM (SELECT *, LEAD(valid_from) OVER (PARTITION BY {key}
+                  ORDER BY valid_from, valid_to NULLS LAST) AS nf FROM {src}) x
+WHERE (valid_to IS NOT NULL AND valid_to <= valid_from)
+   OR (nf IS NOT NULL AND (valid_to IS NULL OR valid_to > nf))"""
+
+
+@register("q_scd2_overlap", _OVERLAP_SQL.format(key="customer_id", src="scd2_customers"))
+def q_scd2_overlap(spark, sf):
+    return validate.scd2_overlap(stored.full_run(spark, sf)["wh"].dim2("customers"),
+                                 "customer_id")
+
+
+@register("q_scd2_overlap_damaged", _OVERLAP_SQL.format(
+    key="product_id",
+    src="(SELECT product_id, valid_from, valid_to FROM scd2_products UNION ALL "
+        "SELECT product_id, valid_from - 400, NULL FROM scd2_products WHERE NOT is_current) d"))
+def q_scd2_overlap_damaged(spark, sf):
+    """Overlap check on a damaged copy: every closed version gets an extra,
+    earlier, never-closed twin."""
+    d = flows.scd2_products(spark, sf)
+    twins = (d.where(~F.col("is_current"))
+             .select("product_id", F.date_sub("valid_from", 400).alias("valid_from"),
+                     F.lit(None).cast("date").alias("valid_to")))
+    return validate.scd2_overlap(d.select("product_id", "valid_from", "valid_to")
+                                 .unionByName(twins), "product_id")
+
+
+@register("q_orphan_orders", """
+SELECT f.order_id, f.customer_id, 'customer' AS missing
+FROM fact_orders f LEFT JOIN cur_customers c ON f.customer_id = c.customer_id
+WHERE c.customer_id IS NULL
+UNION ALL
+SELECT f.order_id, f.customer_id, 'product' AS missing
+FROM fact_orders f LEFT JOIN cur_products p ON f.product_id = p.product_id
+WHERE p.product_id IS NULL""")
+def q_orphan_orders(spark, sf):
+    wh = stored.full_run(spark, sf)["wh"]
+    return validate.orphan_orders(wh.fact(), wh.dim2("customers"), wh.dim2("products"))
+
+
+@register("q_dim_as_of", """
+SELECT * FROM scd2_customers
+WHERE valid_from <= DATE '1998-03-15' AND (valid_to > DATE '1998-03-15' OR valid_to IS NULL)""")
+def q_dim_as_of(spark, sf):
+    return validate.dim_as_of(stored.full_run(spark, sf)["wh"].dim2("customers"), "1998-03-15")
+
+
+@register("q_dim_as_of_boundary", """
+SELECT * FROM scd2_products
+WHERE valid_from <= DATE '1998-01-01' AND (valid_to > DATE '1998-01-01' OR valid_to IS NULL)""")
+def q_dim_as_of_boundary(spark, sf):
+    """As of a day on which versions change: the new version, not the closed one."""
+    return validate.dim_as_of(flows.scd2_products(spark, sf), "1998-01-01")
+
+
+@register("q_gold_report_city", f"""
+SELECT c.city, CAST(COUNT(f.order_id) AS INTEGER) AS total_orders,
+       ROUND(SUM(f.amount), 2) AS total_amount, {AS_OF_SQL} AS update_date
+FROM fact_orders f JOIN cur_customers c ON f.customer_id = c.customer_id
+GROUP BY c.city ORDER BY total_amount DESC""")
+def q_gold_report_city(spark, sf):
+    g = stored.full_run(spark, sf)["wh"].table("gold_agg_sales_by_city")
+    return validate.gold_report(_r2(g, "total_amount"))
+
+
+@register("q_gold_report_category", f"""
+SELECT p.category, CAST(COUNT(f.order_id) AS INTEGER) AS total_orders,
+       ROUND(SUM(f.amount), 2) AS total_amount,
+       CAST(COUNT(DISTINCT f.product_id) AS INTEGER) AS unique_products,
+       {AS_OF_SQL} AS update_date
+FROM fact_orders f JOIN cur_products p ON f.product_id = p.product_id
+GROUP BY p.category ORDER BY total_amount DESC""")
+def q_gold_report_category(spark, sf):
+    g = stored.full_run(spark, sf)["wh"].table("gold_agg_sales_by_category")
+    return validate.gold_report(_r2(g, "total_amount"))
+
+
+@register("q_gold_report_ranking", """
+SELECT customer_id, name, city, ROUND(total_amount, 2) AS total_amount,
+       CAST(ROW_NUMBER() OVER (ORDER BY total_amount DESC, customer_id) AS INTEGER) AS ranking
+FROM (SELECT f.customer_id, c.name, c.city, SUM(f.amount) AS total_amount
+      FROM fact_orders f JOIN cur_customers c ON f.customer_id = c.customer_id
+      GROUP BY f.customer_id, c.name, c.city) t
+ORDER BY ranking LIMIT 100""")
+def q_gold_report_ranking(spark, sf):
+    g = stored.full_run(spark, sf)["wh"].table("gold_ranking_customers")
+    return validate.gold_report(_r2(g, "total_amount"), "ranking", descending=False)
+
+
+@register("q_batch_keys_seen", """
+SELECT DISTINCT regexp_extract(_source_file, '(\\d{4}-\\d{2})', 1) AS batch_key
+FROM raw_customers""")
+def q_batch_keys_seen(spark, sf):
+    """Diagnostic: batch keys as read from the stored Bronze file paths."""
+    return validate.batch_keys_seen(stored.full_run(spark, sf)["wh"].bronze("customers"))
+
+
+@register("q_analyst_customers", """
+SELECT customer_id, name, city FROM scd2_customers WHERE is_current""")
+def q_analyst_customers(spark, sf):
+    return governance.analyst_view(stored.full_run(spark, sf)["wh"].dim2("customers"))
+
+
+@register("q_analyst_products", """
+SELECT product_id, product_name, category, price FROM scd2_products WHERE is_current""")
+def q_analyst_products(spark, sf):
+    return governance.analyst_view(stored.full_run(spark, sf)["wh"].dim2("products"))
+
+
+@register("q_current_customers", """
+SELECT customer_id, name AS customer_name, city, valid_from AS since
+FROM scd2_customers WHERE is_current = true ORDER BY customer_id""")
+def q_current_customers(spark, sf):
+    d = flows.scd2_customers(spark, sf)
+    return (d.where(F.col("is_current") == F.lit(True))
+            .select("customer_id", F.col("name").alias("customer_name"), "city",
+                    F.col("valid_from").alias("since"))
+            .orderBy("customer_id"))
+
+
+# ----------------------------------------------------- changes / as-was --
+
+@register("q_scd2_changes", """
+SELECT s.customer_id, s.name, s.city, s.event_date
+FROM stg_customers s
+LEFT JOIN (SELECT customer_id, name, city FROM (
+             SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY batch_key DESC) AS rn
+             FROM scd2_customers_x
+             WHERE batch_key < (SELECT MAX(batch_key) FROM stg_customers)) v
+           WHERE rn = 1) c ON s.customer_id = c.customer_id
+WHERE s.batch_key = (SELECT MAX(batch_key) FROM stg_customers)
+  AND (c.customer_id IS NULL OR s.name <> c.name OR s.city <> c.city)""")
+def q_scd2_changes(spark, sf):
+    """Rows of the newest batch that open a version against the state left
+    by all earlier batches (new key, or name / city differs)."""
+    stg = flows.stg_customers(spark, sf)
+    newest = stg.agg(F.max("batch_key")).first()[0]
+    before = _scd.scd2_bulk(stg.where(F.col("batch_key") < F.lit(newest)), "customer_id",
+                            ["name", "city"], F.col("event_date"))
+    batch = stg.where(F.col("batch_key") == F.lit(newest)).drop("batch_key")
+    return _scd.scd2_changes(before, batch, "customer_id", ["name", "city"])
+
+
+@register("q_batch_slice_customers", """
+SELECT customer_id, name, city, event_date, batch_key,
+       CAST(batch_key || '-01' AS DATE) AS business_date
+FROM bronze_customers WHERE batch_key = (SELECT MAX(batch_key) FROM bronze_customers)""")
+def q_batch_slice_customers(spark, sf):
+    """One batch of Bronze by equality on its key (partition pruning on the
+    stored table), with its business date."""
+    from keelson.functions import business_date
+    b = stored.full_run(spark, sf)["wh"].bronze("customers")
+    newest = b.agg(F.max("batch_key")).first()[0]
+    return (b.where(F.col("batch_key") == F.lit(newest))
+            .select("customer_id", "name", "city", "event_date", "batch_key",
+                    business_date("batch_key").alias("business_date")))
+
+
+@register("q_sales_by_city_as_was", f"""
+SELECT d.city, CAST(COUNT(f.order_id) AS INTEGER) AS total_orders,
+       ROUND(SUM(f.amount), 2) AS total_amount, {AS_OF_SQL} AS update_date
+FROM fact_orders f JOIN scd2_customers d
+  ON f.customer_id = d.customer_id AND d.valid_from <= f.order_date
+ AND (d.valid_to > f.order_date OR d.valid_to IS NULL)
+GROUP BY d.city""")
+def q_sales_by_city_as_was(spark, sf):
+    return _r2(marts.sales_by_city_as_was(flows.fact_orders(spark, sf),
+                                          flows.scd2_customers(spark, sf), flows.AS_OF),
+               "total_amount")
+
+
+@register("q_sales_by_category_as_was", f"""
+SELECT d.category, CAST(COUNT(f.order_id) AS INTEGER) AS total_orders,
+       ROUND(SUM(f.amount), 2) AS total_amount,
+       CAST(COUNT(DISTINCT f.product_id) AS INTEGER) AS unique_products,
+       {AS_OF_SQL} AS update_date
+FROM fact_orders f JOIN scd2_products d
+  ON f.product_id = d.product_id AND d.valid_from <= f.order_date
+ AND (d.valid_to > f.order_date OR d.valid_to IS NULL)
+GROUP BY d.category""")
+def q_sales_by_category_as_was(spark, sf):
+    return _r2(marts.sales_by_category_as_was(flows.fact_orders(spark, sf),
+                                              flows.scd2_products(spark, sf), flows.AS_OF),
+               "total_amount")
+
+
+@register("q_orders_as_was", """
+SELECT f.order_id, f.customer_id, d.city, d.valid_from
+FROM fact_orders f JOIN scd2_customers d
+  ON f.customer_id = d.customer_id AND d.valid_from <= f.order_date
+ AND (d.valid_to > f.order_date OR d.valid_to IS NULL)""")
+def q_orders_as_was(spark, sf):
+    """Point-in-time join at row level: each order with the customer version
+    valid on its date (no fan-out: one version per order)."""
+    f = flows.fact_orders(spark, sf).select("order_id", "customer_id", "order_date")
+    v = flows.scd2_customers(spark, sf).select("customer_id", "city", "valid_from",
+                                               "valid_to")
+    return marts.as_of_join(f, v, "customer_id", "order_date") \
+        .select("order_id", "customer_id", "city", "valid_from")
