@@ -1,0 +1,167 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from keelson.operators import cleanse, governance, marts, scd, validate
+from keelson.operators.dedup import dedup_first
+
+D = dt.date
+
+
+def test_dedup_is_deterministic_and_skew_safe(spark):
+    # one hot key holding most rows, plus ties broken by the remaining columns
+    rows = [("k", D(2026, 1, i % 28 + 1), f"n{i % 5}") for i in range(2000)] + \
+           [("j", None, "a"), ("j", D(2026, 1, 1), "b")]
+    df = spark.createDataFrame(rows, "k string, d date, n string").repartition(8)
+    out = dedup_first(df, ["k"], [("d", True)]).collect()
+    got = {r.k: (r.d, r.n) for r in out}
+    assert got["k"] == (D(2026, 1, 28), "n0")  # latest date, then smallest name
+    assert got["j"] == (D(2026, 1, 1), "b")  # NULL date sorts last when descending
+    plan = dedup_first(df, ["k"], [("d", True)])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan  # an aggregate with a map-side partial, not a window
+
+
+def test_clean_customers_rules(spark):
+    bronze = spark.createDataFrame([
+        ("1", "Ann", "Rome", "2026-01-05", "raw/customers_2026-01.json"),
+        ("1", "Ann", "Oslo", "2026-01-04", "raw/customers_2026-01.json"),  # older dup
+        ("x", "Bob", "Rome", "2026-01-05", "raw/customers_2026-01.json"),  # bad id
+        ("2", None, "Rome", "2026-01-05", "raw/customers_2026-01.json"),  # null name
+        ("3", "Cy", "Rome", "2026-01-05 10:00:00", "raw/customers_2026-01.json"),  # time part
+        ("4", "Di", "Rome", "2026-01-05", "raw/customers_2026-02.json"),
+    ], "customer_id string, name string, city string, event_date string, _source_file string")
+    got = sorted(tuple(r) for r in cleanse.clean_customers(bronze).collect())
+    assert got == [("2026-01", 1, "Ann", "Rome", D(2026, 1, 5)),
+                   ("2026-02", 4, "Di", "Rome", D(2026, 1, 5))]
+
+
+def test_clean_orders_keeps_orphans_and_times(spark):
+    bronze = spark.createDataFrame([
+        ("10", None, "P1", "5.0", "2026-01-05 10:00:00"),
+        ("11", "7", "P1", "0", "2026-01-05"),
+        ("12", "7", None, "5.0", "2026-01-05"),
+        ("13", "7", "P2", None, None),
+        ("14", "7", "P2", "3.5", None),
+    ], "order_id string, customer_id string, product_id string, amount string, order_date string")
+    got = sorted(tuple(r) for r in cleanse.clean_orders(bronze).collect())
+    assert got == [(10, None, "P1", 5.0, D(2026, 1, 5), 2026, 1),
+                   (14, 7, "P2", 3.5, None, None, None)]
+
+
+def _fold(spark, batches, null_safe=False):
+    """Apply batches [(bk, [(key, cat)])] one at a time; return versions."""
+    schema = "product_id string, category string, valid_from date"
+    open_v = spark.createDataFrame([], schema)
+    closed = []
+    for bk, rs in batches:
+        stg = spark.createDataFrame(rs, "product_id string, category string")
+        step = scd.scd2_step(open_v, stg, "product_id", ["category"],
+                             F.lit(f"{bk}-01").cast("date"), null_safe).cache()
+        closed.append(step.where(~F.col("is_current")))
+        open_v = step.where(F.col("is_current")).select("product_id", "category", "valid_from")
+        open_v = spark.createDataFrame(open_v.collect(), schema)
+    allv = [tuple(r) for c in closed for r in c.collect()]
+    allv += [(r.product_id, r.category, r.valid_from, None, True) for r in open_v.collect()]
+    return sorted(allv, key=repr)
+
+
+def _bulk(spark, batches, null_safe=False):
+    rs = [(bk, k, c) for bk, rows in batches for k, c in rows]
+    stg = spark.createDataFrame(rs, "batch_key string, product_id string, category string")
+    out = scd.scd2_bulk(stg, "product_id", ["category"],
+                        F.concat("batch_key", F.lit("-01")).cast("date"), null_safe)
+    return sorted((tuple(r) for r in out.collect()), key=repr)
+
+
+def test_null_unsafe_change_is_ignored(spark):
+    b = [("2026-01", [("p", "X")]), ("2026-02", [("p", None)]), ("2026-03", [("p", "Y")])]
+    got = _fold(spark, b)
+    assert [(r[1], r[2], r[3], r[4]) for r in got] == [
+        ("X", D(2026, 1, 1), D(2026, 3, 1), False), ("Y", D(2026, 3, 1), None, True)]
+    assert len(_fold(spark, b, null_safe=True)) == 3
+    assert _bulk(spark, b, null_safe=True) == _fold(spark, b, null_safe=True)
+
+
+def test_null_first_version_stays(spark):
+    b = [("2026-01", [("p", None)]), ("2026-02", [("p", "X")]), ("2026-03", [("p", "Y")])]
+    got = _fold(spark, b)
+    assert [(r[1], r[4]) for r in got] == [(None, True)]
+
+
+def test_missing_key_and_revert(spark):
+    b = [("2026-01", [("p", "A"), ("q", "A")]), ("2026-02", [("p", "B")]),
+         ("2026-03", [("p", "A"), ("q", "A")])]
+    got = _fold(spark, b)
+    assert [r[1] for r in sorted(got, key=lambda r: r[2]) if r[0] == "p"] == ["A", "B", "A"]  # revert = 3 versions
+    assert [(r[1], r[3], r[4]) for r in got if r[0] == "q"] == [("A", None, True)]
+    assert _bulk(spark, b) == got
+
+
+def test_fold_equals_bulk_on_random_histories(spark):
+    import random
+    rnd = random.Random(7)
+    batches = []
+    for m in range(1, 7):
+        rows = [(f"k{k}", rnd.choice("ABC")) for k in range(40) if rnd.random() < 0.7]
+        batches.append((f"2026-{m:02d}", rows))
+    assert _fold(spark, batches) == _bulk(spark, batches)
+
+
+def test_scd1_merge_and_bulk(spark):
+    dim = spark.createDataFrame([(1, "a", "X", D(2026, 1, 1)), (2, "b", "Y", D(2026, 1, 1))],
+                                "customer_id int, name string, city string, update_date date")
+    stg = spark.createDataFrame([(2, "b", "Z", D(2026, 2, 1)), (3, "c", "Z", D(2026, 2, 2))],
+                                "customer_id int, name string, city string, event_date date")
+    got = sorted(tuple(r) for r in scd.scd1_merge(dim, stg, "customer_id", ["name", "city"],
+                                                   "event_date").collect())
+    assert got == [(1, "a", "X", D(2026, 1, 1)), (2, "b", "Z", D(2026, 2, 1)),
+                   (3, "c", "Z", D(2026, 2, 2))]
+
+
+def _dim(spark, rows):
+    return spark.createDataFrame(rows, "customer_id int, city string, valid_from date, "
+                                       "valid_to date, is_current boolean")
+
+
+def test_validation_checks_find_seeded_defects(spark):
+    d = _dim(spark, [(1, "A", D(2026, 1, 1), D(2026, 2, 1), False),
+                     (1, "B", D(2026, 2, 1), None, True),
+                     (2, "A", D(2026, 1, 1), None, True),
+                     (2, "B", D(2026, 3, 1), D(2026, 4, 1), True),  # current but closed
+                     (3, "A", D(2026, 5, 1), D(2026, 4, 1), False)])  # backdated
+    assert [tuple(r) for r in validate.multi_current(d, "customer_id").collect()] == [(2, 2)]
+    strict = sorted(tuple(r) for r in validate.multi_current(d, "customer_id", True).collect())
+    assert strict == [(2, 2), (3, 0)]  # also catches a key with no current row
+    assert validate.current_not_open(d).count() == 1
+    problems = {(r.customer_id, r.problem) for r in validate.scd2_overlap(d, "customer_id")
+                .collect()}
+    assert problems == {(2, "overlap"), (3, "reversed")}
+
+
+def test_as_of_boundary_takes_next_version(spark):
+    d = _dim(spark, [(1, "A", D(2026, 1, 1), D(2026, 2, 1), False),
+                     (1, "B", D(2026, 2, 1), None, True)])
+    assert [r.city for r in validate.dim_as_of(d, "2026-02-01").collect()] == ["B"]
+    assert [r.city for r in validate.dim_as_of(d, "2026-01-31").collect()] == ["A"]
+    assert validate.dim_as_of(d, "2025-12-31").count() == 0
+
+
+def test_marts_and_ranking_ties(spark):
+    fact = spark.createDataFrame(
+        [(1, 1, "P1", 10.0), (2, 1, "P2", 5.0), (3, 2, "P1", 15.0), (4, 9, "P1", 1.0),
+         (5, None, "P3", 2.0)],
+        "order_id int, customer_id int, product_id string, amount double")
+    dim = spark.createDataFrame([(1, "a", "X", True), (2, "b", "Y", True), (2, "b", "Z", False)],
+                                "customer_id int, name string, city string, is_current boolean")
+    city = {r.city: (r.total_orders, r.total_amount)
+            for r in marts.sales_by_city(fact, dim, "2026-01-01").collect()}
+    assert city == {"X": (2, 15.0), "Y": (1, 15.0)}  # orphans drop out (inner join)
+    rk = [(r.customer_id, r.ranking) for r in marts.customer_ranking(fact, dim, 1).collect()]
+    assert rk == [(1, 1)]  # tie on 15.0 broken by customer_id
+
+
+def test_analyst_view(spark):
+    d = _dim(spark, [(1, "A", D(2026, 1, 1), D(2026, 2, 1), False),
+                     (1, "B", D(2026, 2, 1), None, True)])
+    v = governance.analyst_view(d)
+    assert v.columns == ["customer_id", "city"] and [tuple(r) for r in v.collect()] == [(1, "B")]
