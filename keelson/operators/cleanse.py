@@ -55,6 +55,12 @@ def clean_products(bronze: DataFrame) -> DataFrame:
                         ("launch_date", False)])
 
 
+# Which row of an order is kept: latest order_date, then the smallest amount,
+# product_id, customer_id.  The incremental fact build merges with it too.
+ORDER_RULE = [("order_date", True), ("amount", False), ("product_id", False),
+              ("customer_id", False)]
+
+
 def clean_orders(bronze: DataFrame) -> DataFrame:
     """The order fact: order_id, customer_id, product_id, amount, order_date, year, month.
 
@@ -71,8 +77,6 @@ def clean_orders(bronze: DataFrame) -> DataFrame:
     kept = (typed.fillna({"amount": 0.0})
             .where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull()
                    & (F.col("amount") > 0)))
-    one = dedup_first(kept, ["order_id"],
-                      [("order_date", True), ("amount", False), ("product_id", False),
-                       ("customer_id", False)])
+    one = dedup_first(kept, ["order_id"], ORDER_RULE)
     return one.withColumns({"year": F.year("order_date").cast("int"),
                             "month": F.month("order_date").cast("int")})

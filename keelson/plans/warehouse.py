@@ -27,12 +27,14 @@ when it is exact (no NULL in tracked columns, or ``null_safe``).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from keelson.functions import business_date
 from keelson.operators import cleanse, marts, scd
+from keelson.operators.dedup import dedup_first
 from keelson.schemas import SCD2_SPECS, TABLES
 from keelson.sinks.tables import append_path, overwrite_path
 from keelson.sources.landing import EXT
@@ -249,12 +251,76 @@ class Warehouse:
         facts = self.build_fact()
         return {"applied": pend, "mode": used, "fact_rows": facts}
 
-    def build_fact(self) -> int:
-        """Restate the order fact from all Bronze orders, replacing the
-        (year, month) partitions it produces."""
-        fact = cleanse.clean_orders(self.bronze("orders"))
-        return overwrite_path(fact, self.path("silver_fact_orders"), ["year", "month"],
-                              dynamic=True)
+    def _fact_log(self) -> DataFrame:
+        p = f"{self.root}/silver/_fact_log"
+        schema = "phase string, upto_ts timestamp, at timestamp"
+        if not self._exists(p):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(p)
+
+    def _log_fact(self, phase: str, upto) -> None:
+        row = self.spark.createDataFrame([(phase, upto)], "phase string, upto_ts timestamp")
+        append_path(row.withColumn("at", F.current_timestamp()), f"{self.root}/silver/_fact_log")
+
+    def _fact_watermark(self):
+        """Ingestion time covered by the fact, or None when the fact must be
+        restated in full (never built, or the last rewrite did not finish)."""
+        rows = self._fact_log().orderBy(F.col("at").desc()).limit(1).collect()
+        if not rows or rows[0].phase != "done":
+            return None
+        return rows[0].upto_ts
+
+    def build_fact(self, full: bool = False) -> int:
+        """Bring the order fact up to date with Bronze; returns rows written.
+
+        First build (or ``full``): restate from all Bronze orders.  Later
+        builds read only Bronze rows ingested after the last build
+        (partition pruning on the ingestion date), merge them with the fact
+        rows of the same orders, and rewrite only the (year, month)
+        partitions those orders touch.  Keeping the first row by a total
+        order is associative, so this equals a full restatement.
+        """
+        mark = self._fact_watermark()
+        bronze = self.bronze("orders")
+        obs = Observation()
+        if full or mark is None:
+            src = bronze.observe(obs, F.max("_ingestion_ts").alias("upto"))
+            self._log_fact("started", mark)
+            n = overwrite_path(cleanse.clean_orders(src), self.path("silver_fact_orders"),
+                               ["year", "month"], dynamic=True)
+            self._log_fact("done", obs.get.get("upto"))
+            return n
+        new_raw = bronze.where((F.col("_ingestion_date") >= F.to_date(F.lit(mark)))
+                               & (F.col("_ingestion_ts") > F.lit(mark)))
+        src = new_raw.observe(obs, F.max("_ingestion_ts").alias("upto"),
+                              F.count(F.lit(1)).alias("n"))
+        stage = f"{self.root}/silver/_fact_stage/{uuid.uuid4().hex[:12]}"
+        overwrite_path(cleanse.clean_orders(src).drop("year", "month"), f"{stage}/new")
+        if not obs.get.get("n"):
+            return 0
+        cols = ["order_id", "customer_id", "product_id", "amount", "order_date"]
+        new = self.spark.read.parquet(f"{stage}/new").select(*cols)
+        fact = self.fact()
+        keys = new.select("order_id")
+        old = fact.join(keys, "order_id", "left_semi")
+        merged = dedup_first(old.select(*cols).unionByName(new), ["order_id"], cleanse.ORDER_RULE)
+        merged = merged.withColumns({"year": F.year("order_date").cast("int"),
+                                     "month": F.month("order_date").cast("int")})
+        parts = old.select("year", "month").unionByName(merged.select("year", "month")) \
+                   .distinct().withColumnsRenamed({"year": "__y", "month": "__m"})
+        in_parts = fact.join(parts, fact["year"].eqNullSafe(parts["__y"])
+                             & fact["month"].eqNullSafe(parts["__m"]), "left_semi")
+        content = in_parts.join(keys, "order_id", "left_anti").unionByName(merged)
+        # the new content of the touched partitions is staged first: the
+        # fact is not read and rewritten by the same job
+        overwrite_path(content, f"{stage}/parts", ["year", "month"])
+        staged = self.spark.read.schema(TABLES["silver_fact_orders"][0]) \
+                     .parquet(f"{stage}/parts")
+        self._log_fact("started", mark)
+        n = overwrite_path(staged, self.path("silver_fact_orders"), ["year", "month"],
+                           dynamic=True)
+        self._log_fact("done", obs.get.get("upto"))
+        return n
 
     def fact(self) -> DataFrame:
         return self._read("silver_fact_orders")

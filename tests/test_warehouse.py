@@ -124,3 +124,30 @@ def test_auto_mode_falls_back_to_fold_on_null_categories(spark, tmp_path):
     ns.ingest(land)
     assert ns.run_silver(mode="auto")["mode"] == "bulk"
     assert ns.dim2("products").count() == 3
+
+
+def test_incremental_fact_equals_full_restatement(spark, tmp_path):
+    land = _landing(tmp_path)
+    write_orders(land, "orders_2026-02.parquet", [("20", "1", "P1", "2.0", "2026-02-01"),
+                                                  ("21", "2", "P1", "6.0", "2026-02-02")])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.run(land)
+    # late files: order 20 restated with a later date (moves to March),
+    # order 10 duplicated with an earlier date (ignored), a new order 30,
+    # and an invalid row that must not reach the fact
+    write_orders(land, "orders_2026-03.parquet", [("20", "1", "P1", "2.5", "2026-03-04"),
+                                                  ("10", "1", "P1", "1.0", "2025-12-31"),
+                                                  ("30", "2", "P1", "7.0", None),
+                                                  ("31", "2", "P1", "-1", "2026-03-01")])
+    wh.ingest(land)
+    # only the touched partitions are rewritten: 2026-01 (10, 11), 2026-02 (21),
+    # 2026-03 (20) and the NULL-date partition (30)
+    assert wh.build_fact() == 5
+    inc = rows(wh.fact(), "order_id", "customer_id", "amount", "order_date", "year", "month")
+    full = Warehouse(spark, str(tmp_path / "wh_full"))
+    full.ingest(land)
+    full.build_fact(full=True)
+    assert inc == rows(full.fact(), "order_id", "customer_id", "amount", "order_date", "year",
+                       "month")
+    assert (20, 1, 2.5, D(2026, 3, 4), 2026, 3) in inc and len(inc) == 5
+    assert wh.build_fact() == 0  # nothing new
