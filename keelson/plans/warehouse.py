@@ -50,8 +50,9 @@ class BatchOrderError(ValueError):
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, null_safe: bool = False,
-                 batch_source: str = "customers"):
+                 batch_source: str = "customers", max_files_per_trigger: int = 10000):
         self.spark = spark
+        self.max_files_per_trigger = max_files_per_trigger
         self.root = root.rstrip("/")
         self.null_safe = null_safe
         self.batch_source = batch_source  # "customers" (as the reference) or "both"
@@ -87,7 +88,8 @@ class Warehouse:
         for e in ENTITIES:
             out[e] = ingest_bronze(self.spark, e, f"{landing_root.rstrip('/')}/{e}",
                                    self.path(f"bronze_raw_{e}"),
-                                   f"{self.root}/_streams/{e}", EXT[e], ingest_ts)
+                                   f"{self.root}/_streams/{e}", EXT[e], ingest_ts,
+                                   self.max_files_per_trigger)
         return out
 
     def bronze(self, entity: str) -> DataFrame:
@@ -126,7 +128,7 @@ class Warehouse:
     # ----------------------------------------------------------- silver ---
     def _at(self, table: str, bk: str | None) -> DataFrame:
         df = self._read(table, with_batch=True)
-        return df.where(F.col("batch_key") == F.lit(bk)) if bk else df.limit(0)
+        return df.where(F.col("batch_key") == F.lit(bk)) if bk else df.where(F.lit(False))
 
     def stg(self, entity: str, bk: str | None = None) -> DataFrame:
         bk = bk or self.last_committed()
@@ -139,7 +141,7 @@ class Warehouse:
     def _open_versions(self, entity: str, bk: str | None) -> DataFrame:
         d = self._read(DIM2[entity], with_batch=True)
         if not bk:
-            return d.limit(0)
+            return d.where(F.lit(False))
         return d.where((F.col("batch_key") == F.lit(bk)) & F.col("is_current"))
 
     def dim2(self, entity: str, bk: str | None = None) -> DataFrame:
@@ -147,7 +149,7 @@ class Warehouse:
         bk = bk or self.last_committed()
         d = self._read(DIM2[entity], with_batch=True)
         if not bk:
-            return d.limit(0).drop("batch_key")
+            return d.where(F.lit(False)).drop("batch_key")
         keep = (((F.col("batch_key") == F.lit(bk)) & F.col("is_current"))
                 | ((F.col("batch_key") <= F.lit(bk)) & ~F.col("is_current")))
         return d.where(keep).drop("batch_key")
@@ -226,7 +228,8 @@ class Warehouse:
         self._commit(bks)
 
     def run_silver(self, mode: str = "auto") -> dict:
-        """Apply pending batches in order, then restate the fact table."""
+        """Apply pending batches in order, then bring the fact up to date."""
+        self.ensure_control()
         pend = self.pending()
         last = self.last_committed()
         if last and pend and pend[0] <= last:
@@ -359,6 +362,37 @@ class Warehouse:
         for name in TABLES:
             self.table(name).createOrReplaceTempView(name)
 
+    PLAIN = ("silver_fact_orders", "silver_batch_control", "gold_agg_sales_by_city",
+             "gold_agg_sales_by_category", "gold_ranking_customers")
+
+    def register_catalog(self, db_prefix: str = "keelson") -> list[str]:
+        """Declare the tables in the session catalog: the plain ones (fact,
+        control, gold) as Parquet tables over their folders (``CREATE TABLE
+        IF NOT EXISTS .. LOCATION``, partitions recovered), the batch-versioned
+        ones as temp views of their committed content."""
+        from keelson.sinks.tables import ensure_table
+        names = []
+        for name in self.PLAIN:
+            if not self._exists(self.path(name)):
+                continue
+            schema, parts = TABLES[name]
+            full = f"{db_prefix}_{name.split('_', 1)[0]}.{name}"
+            ensure_table(self.spark, full, schema, parts, self.path(name))
+            if parts:
+                self.spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+            names.append(full)
+        for name in TABLES:
+            if name not in self.PLAIN:
+                self.table(name).createOrReplaceTempView(name)
+                names.append(name)
+        return names
+
+    def ensure_control(self) -> None:
+        """Create the (empty) control table if it does not exist yet."""
+        p = self.path("silver_batch_control")
+        if not self._exists(p):
+            overwrite_path(self.spark.createDataFrame([], TABLES["silver_batch_control"][0]), p)
+
     def run(self, landing_root: str, as_of=None, mode: str = "auto",
             ingest_ts: dt.datetime | None = None) -> dict:
         """Bronze, then Silver, then Gold; a rerun with no new file is a no-op

@@ -50,16 +50,22 @@ def source_schema(spark: SparkSession, entity: str, fmt: str, path: str) -> T.St
 
 
 def ingest_bronze(spark: SparkSession, entity: str, source_path: str, bronze_path: str,
-                  checkpoint: str, fmt: str, ingest_ts: dt.datetime | None = None) -> int:
+                  checkpoint: str, fmt: str, ingest_ts: dt.datetime | None = None,
+                  max_files_per_trigger: int = 10000) -> int:
     """Append new files of ``source_path`` to the Bronze table at
-    ``bronze_path``.  Returns the number of rows appended by this run."""
+    ``bronze_path``.  Returns the number of rows appended by this run.
+
+    A backlog is split into micro-batches of at most ``max_files_per_trigger``
+    files, each committed on its own, so a lost executor or a stopped run
+    repeats one micro-batch, not the whole backlog."""
     if not _has_files(spark, source_path):
         return 0
     schema = source_schema(spark, entity, fmt, source_path)
     missing = [c for c in RAW_COLUMNS[entity] if c not in schema.fieldNames()]
     if missing:
         raise ValueError(f"{entity} files under {source_path} lack columns {missing}")
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    reader = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", max_files_per_trigger))
     if fmt == "csv":
         # header names must equal the schema's: a reordered file fails
         # instead of binding columns by position

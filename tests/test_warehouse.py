@@ -151,3 +151,16 @@ def test_incremental_fact_equals_full_restatement(spark, tmp_path):
                        "month")
     assert (20, 1, 2.5, D(2026, 3, 4), 2026, 3) in inc and len(inc) == 5
     assert wh.build_fact() == 0  # nothing new
+
+
+def test_register_catalog(spark, tmp_path):
+    land = _landing(tmp_path)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.run(land, as_of="2026-03-01")
+    names = wh.register_catalog(db_prefix="t_reg")
+    assert "t_reg_silver.silver_fact_orders" in names
+    assert spark.table("t_reg_silver.silver_fact_orders").count() == 2
+    assert spark.table("t_reg_silver.silver_batch_control").count() == 1
+    assert spark.sql("SELECT COUNT(*) FROM silver_dim_customers_type2 WHERE is_current") \
+        .first()[0] == 2
+    wh.register_catalog(db_prefix="t_reg")  # idempotent
