@@ -89,14 +89,22 @@ def _version(key: Column, attrs: list[Column], frm: Column, to: Column,
 
 
 def scd2_step(open_versions: DataFrame, stg: DataFrame, key: str, tracked: Sequence[str],
-              effective: Column, null_safe: bool = False) -> DataFrame:
+              effective: Column, null_safe: bool = False,
+              small_batch: bool | None = None) -> DataFrame:
     """Apply one batch to the open versions of a Type 2 dimension.
 
     ``open_versions``: key, tracked..., valid_from (the current rows).
     ``stg``: one row per key of the batch; ``effective`` is the change date
     evaluated on it (a column such as event_date, or a literal date).
     Returns the versions left open (``is_current``) and those closed by this
-    batch (``valid_to`` = the change date), in one pass over one join.
+    batch (``valid_to`` = the change date), in one pass.
+
+    A batch whose estimated size fits the broadcast threshold (or
+    ``small_batch=True``) is broadcast: every open version meets its batch
+    row in a broadcast left join, and new keys are the batch rows missing
+    from the (small) set of open versions the batch touches, so the
+    dimension is scanned but never shuffled.  A larger batch takes one full
+    outer join, shuffling both sides by key.
     """
     cur = open_versions.select(key, F.lit(True).alias("__cur"),
                                *[F.col(t).alias(f"__c_{t}") for t in tracked],
@@ -104,7 +112,22 @@ def scd2_step(open_versions: DataFrame, stg: DataFrame, key: str, tracked: Seque
     new = stg.select(key, F.lit(True).alias("__new"),
                      *[F.col(t).alias(f"__n_{t}") for t in tracked],
                      effective.alias("__eff"))
-    j = cur.join(new, key, "full_outer")
+    if small_batch is None:
+        from keelson.operators.sizing import fits_broadcast
+        small_batch = fits_broadcast(stg)
+    if small_batch:
+        b_new = F.broadcast(new)
+        a = cur.join(b_new, key, "left")
+        touched = cur.select(key).join(F.broadcast(new.select(key)), key, "left_semi")
+        fresh = new.join(touched, key, "left_anti")
+        fresh = fresh.select(key, F.lit(None).cast("boolean").alias("__cur"),
+                             *[F.lit(None).cast(dict(cur.dtypes)[f"__c_{t}"]).alias(f"__c_{t}")
+                               for t in tracked],
+                             F.lit(None).cast("date").alias("__c_from"),
+                             "__new", *[f"__n_{t}" for t in tracked], "__eff")
+        j = a.unionByName(fresh)
+    else:
+        j = cur.join(new, key, "full_outer")
     has_cur = F.col("__cur").isNotNull()
     changed = F.coalesce(
         F.col("__new").isNotNull() & (~has_cur | any_differs(

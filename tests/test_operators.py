@@ -48,7 +48,7 @@ def test_clean_orders_keeps_orphans_and_times(spark):
                    (14, 7, "P2", 3.5, None, None, None)]
 
 
-def _fold(spark, batches, null_safe=False):
+def _fold(spark, batches, null_safe=False, small=None):
     """Apply batches [(bk, [(key, cat)])] one at a time; return versions."""
     schema = "product_id string, category string, valid_from date"
     open_v = spark.createDataFrame([], schema)
@@ -56,7 +56,7 @@ def _fold(spark, batches, null_safe=False):
     for bk, rs in batches:
         stg = spark.createDataFrame(rs, "product_id string, category string")
         step = scd.scd2_step(open_v, stg, "product_id", ["category"],
-                             F.lit(f"{bk}-01").cast("date"), null_safe).cache()
+                             F.lit(f"{bk}-01").cast("date"), null_safe, small).cache()
         closed.append(step.where(~F.col("is_current")))
         open_v = step.where(F.col("is_current")).select("product_id", "category", "valid_from")
         open_v = spark.createDataFrame(open_v.collect(), schema)
@@ -104,7 +104,26 @@ def test_fold_equals_bulk_on_random_histories(spark):
     for m in range(1, 7):
         rows = [(f"k{k}", rnd.choice("ABC")) for k in range(40) if rnd.random() < 0.7]
         batches.append((f"2026-{m:02d}", rows))
-    assert _fold(spark, batches) == _bulk(spark, batches)
+    bulk = _bulk(spark, batches)
+    # the broadcast form and the shuffle form of a fold step agree
+    assert _fold(spark, batches, small=True) == bulk
+    assert _fold(spark, batches, small=False) == bulk
+
+
+def test_fold_step_does_not_shuffle_the_dimension_for_a_small_batch(spark, tmp_path):
+    cur = spark.range(1000).select(F.col("id").cast("string").alias("product_id"),
+                                   F.lit("A").alias("category"),
+                                   F.lit("2026-01-01").cast("date").alias("valid_from"))
+    spark.createDataFrame([("5", "B"), ("x", "A")], "product_id string, category string") \
+        .write.parquet(str(tmp_path / "stg"))
+    stg = spark.read.parquet(str(tmp_path / "stg"))  # a written batch has a known size
+    step = scd.scd2_step(cur, stg, "product_id", ["category"], F.lit("2026-02-01").cast("date"))
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    got = sorted((r.product_id, r.category, r.is_current) for r in step.collect()
+                 if r.product_id in ("5", "x"))
+    assert got == [("5", "A", False), ("5", "B", True), ("x", "A", True)]
+    assert step.count() == 1002
 
 
 def test_scd1_merge_and_bulk(spark):
