@@ -44,6 +44,15 @@ ENTITIES = ("customers", "orders", "products")
 DIM2 = {"customers": "silver_dim_customers_type2", "products": "silver_dim_products_type2"}
 
 
+def _concurrently(*jobs):
+    """Run independent Spark actions from threads; Spark schedules their jobs
+    side by side.  Returns their results in order; the first error is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(j) for j in jobs]
+        return [f.result() for f in futures]
+
+
 class BatchOrderError(ValueError):
     """A pending batch is older than the newest committed one."""
 
@@ -84,13 +93,12 @@ class Warehouse:
     # ----------------------------------------------------------- bronze ---
     def ingest(self, landing_root: str, ingest_ts: dt.datetime | None = None) -> dict:
         """Append new landing files of each feed to Bronze (exactly once)."""
-        out = {}
-        for e in ENTITIES:
-            out[e] = ingest_bronze(self.spark, e, f"{landing_root.rstrip('/')}/{e}",
-                                   self.path(f"bronze_raw_{e}"),
-                                   f"{self.root}/_streams/{e}", EXT[e], ingest_ts,
-                                   self.max_files_per_trigger)
-        return out
+        def one(e):
+            return lambda: ingest_bronze(self.spark, e, f"{landing_root.rstrip('/')}/{e}",
+                                         self.path(f"bronze_raw_{e}"),
+                                         f"{self.root}/_streams/{e}", EXT[e], ingest_ts,
+                                         self.max_files_per_trigger)
+        return dict(zip(ENTITIES, _concurrently(*[one(e) for e in ENTITIES])))
 
     def bronze(self, entity: str) -> DataFrame:
         return self._read(f"bronze_raw_{entity}")
@@ -171,22 +179,32 @@ class Warehouse:
                     self.path("silver_batch_control"))
 
     def apply_batch(self, bk: str) -> None:
-        """Fold one batch into the dimensions and commit it."""
+        """Fold one batch into the dimensions and commit it.  The customer
+        chain (stage, Type 1, Type 2) and the product chain run side by side."""
         last = self.last_committed()
-        sc = self._write_stg("customers", [bk]).drop("batch_key")
-        sp = self._write_stg("products", [bk]).drop("batch_key")
-        d1 = scd.scd1_merge(self.dim1(last) if last else self._at("silver_dim_customers_type1",
-                                                                  None).drop("batch_key"),
-                            sc, "customer_id", ["name", "city"], "event_date")
-        overwrite_path(d1, f"{self.path('silver_dim_customers_type1')}/batch_key={bk}")
-        for entity, stg, eff in (("customers", sc, F.col("event_date")),
-                                 ("products", sp, F.lit(f"{bk}-01").cast("date"))):
-            spec = SCD2_SPECS[entity]
-            step = scd.scd2_step(self._open_versions(entity, last), stg, spec["key"],
-                                 spec["tracked"], eff, self.null_safe)
-            overwrite_path(step, f"{self.path(DIM2[entity])}/batch_key={bk}", ["is_current"])
+
+        def customers():
+            sc = self._write_stg("customers", [bk]).drop("batch_key")
+            prior = self.dim1(last) if last else \
+                self._at("silver_dim_customers_type1", None).drop("batch_key")
+            d1 = scd.scd1_merge(prior, sc, "customer_id", ["name", "city"], "event_date")
+            overwrite_path(d1, f"{self.path('silver_dim_customers_type1')}/batch_key={bk}")
+            self._fold_dim2("customers", last, bk, sc, F.col("event_date"))
+
+        def products():
+            sp = self._write_stg("products", [bk]).drop("batch_key")
+            self._fold_dim2("products", last, bk, sp, F.lit(f"{bk}-01").cast("date"))
+
+        _concurrently(customers, products)
         self._commit([bk])
 
+    def _fold_dim2(self, entity: str, last: str | None, bk: str, stg: DataFrame,
+                   eff) -> None:
+        spec = SCD2_SPECS[entity]
+        step = scd.scd2_step(self._open_versions(entity, last), stg, spec["key"],
+                             spec["tracked"], eff, self.null_safe)
+        overwrite_path(step, f"{self.path(DIM2[entity])}/batch_key={bk}", ["is_current"])
+
     def _bulk_input(self, entity: str, last: str | None, stg: DataFrame) -> DataFrame:
         spec = SCD2_SPECS[entity]
         cols = [spec["key"], *spec["tracked"]]
@@ -205,28 +223,35 @@ class Warehouse:
     def apply_bulk(self, bks: list[str]) -> None:
         """Apply many pending batches in one pass and commit them together."""
         last, newest = self.last_committed(), bks[-1]
-        sc = self._write_stg("customers", bks)
-        sp = self._write_stg("products", bks)
-        # Type 1: the latest row per key over the previous snapshot and the batches
-        prior1 = (self.dim1(last) if last else self._at("silver_dim_customers_type1", None)
-                  .drop("batch_key"))
-        inp1 = prior1.select("customer_id", "name", "city",
-                             F.col("update_date").alias("event_date"),
-                             F.lit(last or "").alias("batch_key")) \
-            .unionByName(sc.select("customer_id", "name", "city", "event_date", "batch_key"))
-        overwrite_path(scd.scd1_bulk(inp1, "customer_id", ["name", "city"], "event_date"),
-                       f"{self.path('silver_dim_customers_type1')}/batch_key={newest}")
-        for entity, stg in (("customers", sc), ("products", sp)):
-            spec = SCD2_SPECS[entity]
-            inp = self._bulk_input(entity, last, stg)
-            v = scd.scd2_bulk(inp, spec["key"], spec["tracked"], F.col("__eff"),
-                              self.null_safe, keep_order_col=True)
-            out = v.withColumn("batch_key", F.coalesce("closed_by", F.lit(newest))) \
-                   .drop("closed_by")
-            overwrite_path(out, self.path(DIM2[entity]), ["batch_key", "is_current"],
-                           dynamic=True)
+
+        def customers():
+            sc = self._write_stg("customers", bks)
+            # Type 1: the latest row per key over the previous snapshot and the batches
+            prior1 = (self.dim1(last) if last else self._at("silver_dim_customers_type1", None)
+                      .drop("batch_key"))
+            inp1 = prior1.select("customer_id", "name", "city",
+                                 F.col("update_date").alias("event_date"),
+                                 F.lit(last or "").alias("batch_key")) \
+                .unionByName(sc.select("customer_id", "name", "city", "event_date", "batch_key"))
+            overwrite_path(scd.scd1_bulk(inp1, "customer_id", ["name", "city"], "event_date"),
+                           f"{self.path('silver_dim_customers_type1')}/batch_key={newest}")
+            self._bulk_dim2("customers", last, newest, sc)
+
+        def products():
+            self._bulk_dim2("products", last, newest, self._write_stg("products", bks))
+
+        _concurrently(customers, products)
         self._commit(bks)
 
+    def _bulk_dim2(self, entity: str, last: str | None, newest: str, stg: DataFrame) -> None:
+        spec = SCD2_SPECS[entity]
+        inp = self._bulk_input(entity, last, stg)
+        v = scd.scd2_bulk(inp, spec["key"], spec["tracked"], F.col("__eff"),
+                          self.null_safe, keep_order_col=True)
+        out = v.withColumn("batch_key", F.coalesce("closed_by", F.lit(newest))) \
+               .drop("closed_by")
+        overwrite_path(out, self.path(DIM2[entity]), ["batch_key", "is_current"], dynamic=True)
+
     def run_silver(self, mode: str = "auto") -> dict:
         """Apply pending batches in order, then bring the fact up to date."""
         self.ensure_control()
@@ -336,8 +361,11 @@ class Warehouse:
             "gold_agg_sales_by_category": marts.sales_by_category(fact, dp, as_of),
             "gold_ranking_customers": marts.customer_ranking(fact, dc, k),
         }
-        return {name: overwrite_path(df.select(*TABLES[name][0].fieldNames()), self.path(name))
-                for name, df in outs.items()}
+        names = list(outs)
+        counts = _concurrently(*[
+            (lambda n: lambda: overwrite_path(outs[n].select(*TABLES[n][0].fieldNames()),
+                                              self.path(n)))(n) for n in names])
+        return dict(zip(names, counts))
 
     # ---------------------------------------------------------- readers ---
     def table(self, name: str) -> DataFrame:
