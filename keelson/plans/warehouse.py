@@ -29,12 +29,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from keelson.functions import business_date
 from keelson.operators import cleanse, marts, scd
 from keelson.operators.dedup import dedup_first
+from keelson.operators.sizing import fits_broadcast
 from keelson.schemas import SCD2_SPECS, TABLES
 from keelson.sinks.tables import append_path, overwrite_path
 from keelson.sources.landing import EXT
@@ -53,6 +55,11 @@ def _concurrently(*jobs):
         return [f.result() for f in futures]
 
 
+def _part(v) -> str:
+    """Folder value of a partition column (NULL has Spark's default name)."""
+    return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
+
+
 class BatchOrderError(ValueError):
     """A pending batch is older than the newest committed one."""
 
@@ -327,18 +334,29 @@ class Warehouse:
         if not obs.get.get("n"):
             return 0
         cols = ["order_id", "customer_id", "product_id", "amount", "order_date"]
+        fact_schema = TABLES["silver_fact_orders"][0]
         new = self.spark.read.parquet(f"{stage}/new").select(*cols)
-        fact = self.fact()
         keys = new.select("order_id")
-        old = fact.join(keys, "order_id", "left_semi")
-        merged = dedup_first(old.select(*cols).unionByName(new), ["order_id"], cleanse.ORDER_RULE)
+        # broadcast the new order keys only when their written size fits the
+        # threshold; otherwise the semi / anti joins shuffle by order_id
+        if fits_broadcast(keys):
+            keys = F.broadcast(keys)
+        fact = self.fact()
+        # where the touched orders live now: one scan of the fact, kept
+        overwrite_path(fact.join(keys, "order_id", "left_semi"), f"{stage}/old")
+        old = self.spark.read.schema(fact_schema).parquet(f"{stage}/old")
+        merged = dedup_first(old.select(*cols).unionByName(new), ["order_id"],
+                             cleanse.ORDER_RULE)
         merged = merged.withColumns({"year": F.year("order_date").cast("int"),
                                      "month": F.month("order_date").cast("int")})
-        parts = old.select("year", "month").unionByName(merged.select("year", "month")) \
-                   .distinct().withColumnsRenamed({"year": "__y", "month": "__m"})
-        in_parts = fact.join(parts, fact["year"].eqNullSafe(parts["__y"])
-                             & fact["month"].eqNullSafe(parts["__m"]), "left_semi")
-        content = in_parts.join(keys, "order_id", "left_anti").unionByName(merged)
+        # the touched (year, month) partitions: a short list, one entry per
+        # partition, used as partition filters so only they are read
+        parts = [(r[0], r[1]) for r in old.select("year", "month")
+                 .unionByName(merged.select("year", "month")).distinct().collect()]
+        touched = reduce(or_, [F.col("year").eqNullSafe(F.lit(y).cast("int"))
+                               & F.col("month").eqNullSafe(F.lit(m).cast("int"))
+                               for y, m in parts])
+        content = fact.where(touched).join(keys, "order_id", "left_anti").unionByName(merged)
         # the new content of the touched partitions is staged first: the
         # fact is not read and rewritten by the same job
         overwrite_path(content, f"{stage}/parts", ["year", "month"])
@@ -347,9 +365,21 @@ class Warehouse:
         self._log_fact("started", mark)
         n = overwrite_path(staged, self.path("silver_fact_orders"), ["year", "month"],
                            dynamic=True)
+        # a touched partition left without rows is not replaced by a dynamic
+        # overwrite: remove it, or its moved orders would stay twice
+        written = {(r[0], r[1]) for r in staged.select("year", "month").distinct().collect()}
+        for y, m in set(parts) - written:
+            self._drop_folder(f"{self.path('silver_fact_orders')}/year={_part(y)}/month={_part(m)}")
         self._log_fact("done", obs.get.get("upto"))
         return n
 
+    def _drop_folder(self, path: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            fs.delete(p, True)
+
     def fact(self) -> DataFrame:
         return self._read("silver_fact_orders")
 

@@ -8,8 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job of the warehouse relies on.  They are plain Spark
-# options; a cluster may override any of them in its own defaults.
+# Settings the warehouse's jobs rely on.  On a cluster, a value the
+# submission already set explicitly is kept; these fill in only what is unset.
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,6 +18,9 @@ BASE_CONF = {
     # batch keys such as 1995-01 must stay strings when a folder is read
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+# Only for a session this process starts itself (tests, bench).
+LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -28,25 +31,28 @@ def build_session(master: str | None = None, app: str = "keelson",
                   extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the warehouse's settings.
 
-    ``master`` and ``shuffle_partitions`` are only set when given, so a
-    cluster submission keeps its own values.
+    With ``master`` (a local run) every setting is applied.  Without it (a
+    cluster submission) a setting is applied only where the submission left
+    it unset; ``shuffle_partitions`` and ``extra`` are always applied.
     """
     b = SparkSession.builder.appName(app)
+    forced = dict(extra or {})
+    if shuffle_partitions:
+        forced["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master:
         b = b.master(master)
-    conf = dict(BASE_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
+        for k, v in {**LOCAL_CONF, **BASE_CONF, **forced}.items():
+            b = b.config(k, v)
     spark = b.getOrCreate()
-    for k, v in conf.items():
-        if not k.startswith("spark.ui"):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf of a running session
-                pass
+    sql_conf = spark._jsparkSession.sessionState().conf()
+    for k, v in BASE_CONF.items():
+        if master or not sql_conf.contains(k):
+            spark.conf.set(k, v)
+    for k, v in forced.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # a static setting of a running session
+            pass
     return spark
 
 

@@ -164,3 +164,21 @@ def test_register_catalog(spark, tmp_path):
     assert spark.sql("SELECT COUNT(*) FROM silver_dim_customers_type2 WHERE is_current") \
         .first()[0] == 2
     wh.register_catalog(db_prefix="t_reg")  # idempotent
+
+
+def test_incremental_fact_drops_emptied_partition(spark, tmp_path):
+    land = _landing(tmp_path)
+    write_orders(land, "orders_2026-04.parquet", [("40", "1", "P1", "2.0", "2026-04-01")])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.run(land)
+    # order 40 was alone in April and moves to May
+    write_orders(land, "orders_2026-05.parquet", [("40", "1", "P1", "2.0", "2026-05-09")])
+    wh.ingest(land)
+    wh.build_fact()
+    assert rows(wh.fact().where("order_id = 40"), "order_id", "year", "month") == \
+        [(40, 2026, 5)]
+    full = Warehouse(spark, str(tmp_path / "full"))
+    full.ingest(land)
+    full.build_fact(full=True)
+    cols = ("order_id", "customer_id", "amount", "order_date", "year", "month")
+    assert rows(wh.fact(), *cols) == rows(full.fact(), *cols)
