@@ -184,3 +184,39 @@ def test_analyst_view(spark):
                      (1, "B", D(2026, 2, 1), None, True)])
     v = governance.analyst_view(d)
     assert v.columns == ["customer_id", "city"] and [tuple(r) for r in v.collect()] == [(1, "B")]
+
+
+def test_fold_equals_bulk_with_nulls_when_null_safe(spark):
+    import random
+    rnd = random.Random(11)
+    batches = []
+    for m in range(1, 7):
+        rows = [(f"k{k}", rnd.choice(["A", "B", None])) for k in range(150)
+                if rnd.random() < 0.6]
+        batches.append((f"2026-{m:02d}", rows))
+    assert _fold(spark, batches, null_safe=True) == _bulk(spark, batches, null_safe=True)
+
+
+def test_marts_with_a_hot_customer(spark):
+    # customer 1 holds a third of all orders
+    orders = [(i, 1 if i % 3 == 0 else i % 50 + 2, f"P{i % 7}", float(i % 11 + 1))
+              for i in range(3000)]
+    fact = spark.createDataFrame(orders, "order_id int, customer_id int, product_id string, "
+                                         "amount double").repartition(8)
+    dim = spark.createDataFrame([(c, f"n{c}", f"city{c % 4}", True) for c in range(1, 52)],
+                                "customer_id int, name string, city string, is_current boolean")
+    got = {r.city: (r.total_orders, r.total_amount)
+           for r in marts.sales_by_city(fact, dim, "2026-01-01").collect()}
+    want = {}
+    for _, c, _, a in orders:
+        n, s = want.get(f"city{c % 4}", (0, 0.0))
+        want[f"city{c % 4}"] = (n + 1, s + a)
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-6
+    plan = marts.sales_by_city(fact, dim)._jdf.queryExecution().executedPlan().toString()
+    # the fact is reduced to one row per customer (map-side partial first)
+    # before it meets the dimension
+    assert "partial_count" in plan and "partial_sum" in plan
+    top = marts.customer_ranking(fact, dim, 3).collect()
+    assert [r.customer_id for r in top][0] == 1 and [r.ranking for r in top] == [1, 2, 3]
