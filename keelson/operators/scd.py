@@ -46,10 +46,15 @@ def scd1_merge(dim: DataFrame, stg: DataFrame, key: str, attrs: Sequence[str],
     """Upsert: keys in the batch take the batch's values, others stay.
 
     Exact replacement of a MERGE whose matched branch sets every column.
-    Output: key, attrs..., update_date.
+    Output: key, attrs..., update_date.  The batch's keys are broadcast when
+    their estimated size fits the threshold, so the dimension is not shuffled.
     """
+    from keelson.operators.sizing import fits_broadcast
     upd = stg.select(key, *attrs, F.col(date_col).alias("update_date"))
-    kept = dim.select(key, *attrs, "update_date").join(upd.select(key), key, "left_anti")
+    keys = upd.select(key)
+    if fits_broadcast(stg):
+        keys = F.broadcast(keys)
+    kept = dim.select(key, *attrs, "update_date").join(keys, key, "left_anti")
     return kept.unionByName(upd)
 
 
