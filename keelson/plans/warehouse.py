@@ -141,9 +141,26 @@ class Warehouse:
         return keys
 
     # ----------------------------------------------------------- silver ---
+    def _folder(self, table: str, **parts) -> DataFrame:
+        """One partition folder of a table, read directly: only its files are
+        listed, and its size (the broadcast check) is that of the folder.
+        The partition values come back as literal columns."""
+        from pyspark.sql import types as T
+        schema = self._schema(table, with_batch="batch_key" in parts)
+        data = T.StructType([f for f in schema.fields if f.name not in parts])
+        sub = "/".join(f"{k}={str(v).lower() if isinstance(v, bool) else v}"
+                       for k, v in parts.items())
+        p = f"{self.path(table)}/{sub}"
+        df = (self.spark.read.schema(data).parquet(p) if self._exists(p)
+              else self.spark.createDataFrame([], data))
+        typed = {f.name: f.dataType for f in schema.fields}
+        return df.withColumns({k: F.lit(v).cast(typed[k]) for k, v in parts.items()}) \
+                 .select(*schema.fieldNames())
+
     def _at(self, table: str, bk: str | None) -> DataFrame:
-        df = self._read(table, with_batch=True)
-        return df.where(F.col("batch_key") == F.lit(bk)) if bk else df.where(F.lit(False))
+        if not bk:
+            return self._read(table, with_batch=True).where(F.lit(False))
+        return self._folder(table, batch_key=bk)
 
     def stg(self, entity: str, bk: str | None = None) -> DataFrame:
         bk = bk or self.last_committed()
@@ -154,10 +171,9 @@ class Warehouse:
         return self._at("silver_dim_customers_type1", bk).drop("batch_key")
 
     def _open_versions(self, entity: str, bk: str | None) -> DataFrame:
-        d = self._read(DIM2[entity], with_batch=True)
         if not bk:
-            return d.where(F.lit(False))
-        return d.where((F.col("batch_key") == F.lit(bk)) & F.col("is_current"))
+            return self._read(DIM2[entity], with_batch=True).where(F.lit(False))
+        return self._folder(DIM2[entity], batch_key=bk, is_current=True)
 
     def dim2(self, entity: str, bk: str | None = None) -> DataFrame:
         """Committed versions of a Type 2 dimension as of batch ``bk``."""
@@ -175,8 +191,8 @@ class Warehouse:
         p = self.path(f"silver_stg_{entity}")
         if len(bks) == 1:
             overwrite_path(clean(raw).drop("batch_key"), f"{p}/batch_key={bks[0]}")
-        else:
-            overwrite_path(clean(raw), p, ["batch_key"], dynamic=True)
+            return self._folder(f"silver_stg_{entity}", batch_key=bks[0])
+        overwrite_path(clean(raw), p, ["batch_key"], dynamic=True)
         return self._read(f"silver_stg_{entity}", with_batch=True) \
                    .where(F.col("batch_key").isin(bks))
 
