@@ -182,3 +182,65 @@ def test_incremental_fact_drops_emptied_partition(spark, tmp_path):
     full.build_fact(full=True)
     cols = ("order_id", "customer_id", "amount", "order_date", "year", "month")
     assert rows(wh.fact(), *cols) == rows(full.fact(), *cols)
+
+
+def test_crash_between_chains_then_rerun(spark, tmp_path):
+    land = _landing(tmp_path)
+    write_customers(land, "customers_2026-02.json", [("1", "Ann", "Paris", "2026-02-03")])
+    write_products(land, "products_2026-02.csv", [("P1", "Pen", "Y", "1.5", "2025-06-01")])
+    clean = Warehouse(spark, str(tmp_path / "clean"))
+    clean.ingest(land)
+    clean.run_silver(mode="fold")
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.ingest(land)
+    wh.apply_batch("2026-01")
+    orig = wh._fold_dim2
+
+    def failing(entity, *a, **k):
+        if entity == "products":
+            raise RuntimeError("executor lost")
+        return orig(entity, *a, **k)
+    wh._fold_dim2 = failing
+    with pytest.raises(RuntimeError):
+        wh.apply_batch("2026-02")  # customer chain written, product chain failed
+    assert wh.committed() == ["2026-01"]
+    assert rows(wh.dim2("customers"), "customer_id", "city") == [(1, "Rome"), (2, "Oslo")]
+    wh._fold_dim2 = orig
+    wh.run_silver(mode="fold")
+    assert _dims(wh) == _dims(clean)
+
+
+def test_typed_parquet_orders_become_strings(spark, tmp_path):
+    import datetime as _dt
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    land = _landing(tmp_path)
+    t = pa.table({"order_id": pa.array([50], pa.int64()),
+                  "customer_id": pa.array([1], pa.int32()),
+                  "product_id": pa.array(["P1"]),
+                  "amount": pa.array([9.5], pa.float64()),
+                  "order_date": pa.array([_dt.date(2026, 1, 9)], pa.date32())})
+    os.makedirs(os.path.join(land, "orders_typed"), exist_ok=True)
+    pq.write_table(t, os.path.join(land, "orders_typed", "orders_2026-01.parquet"))
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    from keelson.streaming.ingest import ingest_bronze
+    n = ingest_bronze(spark, "orders", os.path.join(land, "orders_typed"),
+                      wh.path("bronze_raw_orders"), str(tmp_path / "ck"), "parquet")
+    assert n == 1
+    b = wh.bronze("orders").first()
+    assert (b.order_id, b.customer_id, b.amount, b.order_date, b.batch_key) == \
+        ("50", "1", "9.5", "2026-01-09", "2026-01")
+
+
+def test_late_file_of_committed_batch_reaches_only_the_fact(spark, tmp_path):
+    land = _landing(tmp_path)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.run(land)
+    before = _dims(wh)
+    write_customers(land, "late/customers_2026-01.json", [("1", "Ann", "Bern", "2026-01-20")])
+    write_orders(land, "late_orders_2026-01.parquet", [("12", "2", "P1", "8.0", "2026-01-21")])
+    rep = wh.run(land)
+    assert rep["silver"]["applied"] == [] and _dims(wh) == before
+    assert 12 in [r.order_id for r in wh.fact().collect()]
