@@ -55,6 +55,9 @@ def _concurrently(*jobs):
         return [f.result() for f in futures]
 
 
+_UNKNOWN = object()
+
+
 def _part(v) -> str:
     """Folder value of a partition column (NULL has Spark's default name)."""
     return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
@@ -201,10 +204,12 @@ class Warehouse:
         append_path(rows.withColumn("processed_at", F.current_timestamp()),
                     self.path("silver_batch_control"))
 
-    def apply_batch(self, bk: str) -> None:
+    def apply_batch(self, bk: str, last=_UNKNOWN) -> None:
         """Fold one batch into the dimensions and commit it.  The customer
-        chain (stage, Type 1, Type 2) and the product chain run side by side."""
-        last = self.last_committed()
+        chain (stage, Type 1, Type 2) and the product chain run side by side.
+        ``last``: the newest committed batch, when the caller knows it."""
+        if last is _UNKNOWN:
+            last = self.last_committed()
 
         def customers():
             sc = self._write_stg("customers", [bk]).drop("batch_key")
@@ -297,7 +302,8 @@ class Warehouse:
                 used = "bulk"
             else:
                 for bk in pend:
-                    self.apply_batch(bk)
+                    self.apply_batch(bk, last)
+                    last = bk
                 used = "fold"
         facts = self.build_fact()
         return {"applied": pend, "mode": used, "fact_rows": facts}

@@ -74,7 +74,10 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set on this cluster")
         d = tempfile.mkdtemp(prefix="keelson-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # not settable on this session: the context dir below
+            pass
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
