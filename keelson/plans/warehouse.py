@@ -38,7 +38,7 @@ from keelson.operators import cleanse, marts, scd
 from keelson.operators.dedup import dedup_first
 from keelson.operators.sizing import fits_broadcast
 from keelson.schemas import SCD2_SPECS, TABLES
-from keelson.sinks.tables import append_path, overwrite_path
+from keelson.sinks.tables import append_path, overwrite_path, write_observed
 from keelson.sources.landing import EXT
 from keelson.streaming.ingest import ingest_bronze
 
@@ -69,8 +69,13 @@ class BatchOrderError(ValueError):
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, null_safe: bool = False,
-                 batch_source: str = "customers", max_files_per_trigger: int = 10000):
+                 batch_source: str = "customers", max_files_per_trigger: int = 10000,
+                 buckets: int | None = None):
+        """``buckets``: store each batch's Type 2 versions bucketed by key into
+        that many buckets (at least ``spark.sql.shuffle.partitions``), so the
+        next batch's shuffle join moves only the batch, not the dimension."""
         self.spark = spark
+        self.buckets = buckets
         self.max_files_per_trigger = max_files_per_trigger
         self.root = root.rstrip("/")
         self.null_safe = null_safe
@@ -176,8 +181,43 @@ class Warehouse:
     def _open_versions(self, entity: str, bk: str | None) -> DataFrame:
         if not bk:
             return self._read(DIM2[entity], with_batch=True).where(F.lit(False))
+        folder = f"{self.path(DIM2[entity])}/batch_key={bk}"
+        if self.buckets and self._bucketed(f"{folder}/is_current=true"):
+            return self._bucketed_open(entity, bk, folder)
         return self._folder(DIM2[entity], batch_key=bk, is_current=True)
 
+    def _state_table(self, entity: str, bk: str) -> str:
+        import hashlib
+        db = "keelson_state_" + hashlib.md5(self.root.encode()).hexdigest()[:10]
+        return f"{db}.{DIM2[entity]}_{bk.replace('-', '_')}"
+
+    def _bucketed(self, folder: str) -> bool:
+        """Whether a folder holds bucket files (written by a bucketed fold)."""
+        import re
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return False
+        for st in fs.listStatus(p):
+            n = st.getPath().getName()
+            if n.endswith(".parquet") and not n.startswith((".", "_")):
+                return re.search(r"_\d{5}\.c\d{3}\.", n) is not None
+        return False
+
+    def _bucketed_open(self, entity: str, bk: str, folder: str) -> DataFrame:
+        """Open versions of a batch as a bucketed table scan (registered over
+        the folder when this session does not know it yet)."""
+        from keelson.sinks.tables import ensure_table
+        spec = SCD2_SPECS[entity]
+        name = self._state_table(entity, bk)
+        if not self.spark.catalog.tableExists(name):
+            ensure_table(self.spark, name, self._schema(DIM2[entity]), ["is_current"], folder,
+                         bucket_by=(spec["key"], self.buckets))
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return (self.spark.table(name).where(F.col("is_current"))
+                .withColumn("batch_key", F.lit(bk)))
+
     def dim2(self, entity: str, bk: str | None = None) -> DataFrame:
         """Committed versions of a Type 2 dimension as of batch ``bk``."""
         bk = bk or self.last_committed()
@@ -231,7 +271,17 @@ class Warehouse:
         spec = SCD2_SPECS[entity]
         step = scd.scd2_step(self._open_versions(entity, last), stg, spec["key"],
                              spec["tracked"], eff, self.null_safe)
-        overwrite_path(step, f"{self.path(DIM2[entity])}/batch_key={bk}", ["is_current"])
+        folder = f"{self.path(DIM2[entity])}/batch_key={bk}"
+        if not self.buckets:
+            overwrite_path(step, folder, ["is_current"])
+            return
+        # the same folder layout, written as a bucketed table over it
+        name = self._state_table(entity, bk)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: metadata only
+        write_observed(step, lambda d: d.write.mode("overwrite").partitionBy("is_current")
+                       .bucketBy(self.buckets, spec["key"]).sortBy(spec["key"])
+                       .option("path", folder).saveAsTable(name))
 
     def _bulk_input(self, entity: str, last: str | None, stg: DataFrame) -> DataFrame:
         spec = SCD2_SPECS[entity]

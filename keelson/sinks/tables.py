@@ -53,8 +53,12 @@ def _ddl(schema: T.StructType) -> str:
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
-                 partition_by: Sequence[str] = (), location: str | None = None) -> None:
-    """CREATE TABLE IF NOT EXISTS ... USING parquet (and its database)."""
+                 partition_by: Sequence[str] = (), location: str | None = None,
+                 bucket_by: tuple[str, int] | None = None) -> None:
+    """CREATE TABLE IF NOT EXISTS ... USING parquet (and its database).
+
+    ``bucket_by=(column, n)`` declares the files as n buckets of ``column``,
+    sorted by it, so joins and aggregates on it need no shuffle of this side."""
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
     # partition columns go last in a parquet table's schema
@@ -63,6 +67,9 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     sql = f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(T.StructType(cols))}) USING parquet"
     if partition_by:
         sql += f" PARTITIONED BY ({', '.join(partition_by)})"
+    if bucket_by:
+        col, n = bucket_by
+        sql += f" CLUSTERED BY ({col}) SORTED BY ({col}) INTO {int(n)} BUCKETS"
     if location:
         sql += f" LOCATION '{location}'"
     spark.sql(sql)

@@ -244,3 +244,29 @@ def test_late_file_of_committed_batch_reaches_only_the_fact(spark, tmp_path):
     rep = wh.run(land)
     assert rep["silver"]["applied"] == [] and _dims(wh) == before
     assert 12 in [r.order_id for r in wh.fact().collect()]
+
+
+def test_bucketed_fold_equals_plain_and_shuffles_only_the_batch(spark, tmp_path):
+    from keelson.operators import scd
+    land = _landing(tmp_path)
+    write_customers(land, "customers_2026-02.json", [("1", "Ann", "Paris", "2026-02-03"),
+                                                      ("3", "Cy", "Oslo", "2026-02-04")])
+    write_products(land, "products_2026-02.csv", [("P1", "Pen", "Y", "1.5", "2025-06-01")])
+    plain = Warehouse(spark, str(tmp_path / "plain"))
+    plain.ingest(land)
+    plain.run_silver(mode="fold")
+    wh = Warehouse(spark, str(tmp_path / "bucketed"), buckets=4)
+    wh.ingest(land)
+    wh.run_silver(mode="fold")
+    assert _dims(wh) == _dims(plain)
+    # the open versions are read as a bucketed scan, also from a fresh catalog entry
+    spark.sql(f"DROP TABLE IF EXISTS {wh._state_table('customers', '2026-02')}")
+    cur = wh._open_versions("customers", "2026-02")
+    assert cur.count() == 3
+    stg = spark.createDataFrame([(1, "Ann", "Rome", D(2026, 3, 1))],
+                                "customer_id int, name string, city string, event_date date")
+    step = scd.scd2_step(cur, stg, "customer_id", ["name", "city"], F.col("event_date"),
+                         small_batch=False)
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "Bucketed: true" in plan
