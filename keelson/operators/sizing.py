@@ -22,5 +22,10 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    limit = broadcast_limit(df)
-    return 0 < limit and estimated_bytes(df) <= limit
+    """True only when the estimate is known and under the threshold; an
+    unknown size keeps the shuffle join."""
+    try:
+        limit = broadcast_limit(df)
+        return 0 < limit and estimated_bytes(df) <= limit
+    except Exception:  # no optimizer statistics available from this session
+        return False
