@@ -7,8 +7,9 @@ session's ``spark.checkpoint.dir`` or a table bucket):
     silver/silver_stg_<entity>/batch_key=<bk>/                    (per batch)
     silver/silver_dim_customers_type1/batch_key=<bk>/             (snapshot)
     silver/silver_dim_<entity>_type2/batch_key=<bk>/is_current=true|false/
-    silver/silver_fact_orders/year=../month=../
+    silver/silver_fact_orders/year=../month=../    (only touched partitions rewritten)
     silver/silver_batch_control/                                  (commit log)
+    silver/_fact_log/, silver/_fact_stage/                        (fact build log)
     gold/gold_<mart>/
 
 A Type 2 dimension is stored as *closed* versions, appended under the batch
@@ -21,7 +22,12 @@ folders.  History is never rewritten: a batch costs O(open versions + batch).
 
 Pending batches are applied either one by one (``fold``) or all in one pass
 (``bulk``: lag/lead over each key's rows).  ``auto`` takes the bulk pass
-when it is exact (no NULL in tracked columns, or ``null_safe``).
+when it is exact (no NULL in tracked columns, or ``null_safe``).  With
+``buckets`` the folded versions are stored bucketed by key, so the next
+batch's join does not shuffle the dimension.
+
+Ingestion and the Silver run are meant to run one after the other (as
+``run`` does): the fact build picks up Bronze rows by ingestion time.
 """
 
 from __future__ import annotations
@@ -126,8 +132,7 @@ class Warehouse:
         return sorted(r[0] for r in self.control().select("batch_key").distinct().collect())
 
     def last_committed(self) -> str | None:
-        c = self.committed()
-        return c[-1] if c else None
+        return self.control().agg(F.max("batch_key")).first()[0]
 
     def discover(self) -> DataFrame:
         """Distinct batch keys present in Bronze (customers, or both feeds)."""
@@ -143,7 +148,7 @@ class Warehouse:
         found = self.discover()
         keys = sorted(r[0] for r in found.join(self.control().select("batch_key"),
                                                "batch_key", "left_anti").collect())
-        if not keys and not self.committed():
+        if not keys and self.last_committed() is None:
             raise ValueError("no batch key found in Bronze: file names must carry a "
                              "YYYY-MM token")
         return keys
