@@ -276,17 +276,22 @@ class Warehouse:
         spec = SCD2_SPECS[entity]
         step = scd.scd2_step(self._open_versions(entity, last), stg, spec["key"],
                              spec["tracked"], eff, self.null_safe)
+        self._write_batch_versions(entity, bk, step)
+
+    def _write_batch_versions(self, entity: str, bk: str, versions: DataFrame) -> int:
+        """Replace the folder ``batch_key=<bk>`` of a Type 2 dimension with
+        ``versions`` (open and closed, split by is_current); bucketed by key
+        when the warehouse has ``buckets``."""
         folder = f"{self.path(DIM2[entity])}/batch_key={bk}"
         if not self.buckets:
-            overwrite_path(step, folder, ["is_current"])
-            return
-        # the same folder layout, written as a bucketed table over it
+            return overwrite_path(versions, folder, ["is_current"])
+        key = SCD2_SPECS[entity]["key"]
         name = self._state_table(entity, bk)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: metadata only
-        write_observed(step, lambda d: d.write.mode("overwrite").partitionBy("is_current")
-                       .bucketBy(self.buckets, spec["key"]).sortBy(spec["key"])
-                       .option("path", folder).saveAsTable(name))
+        return write_observed(versions, lambda d: d.write.mode("overwrite")
+                              .partitionBy("is_current").bucketBy(self.buckets, key)
+                              .sortBy(key).option("path", folder).saveAsTable(name))
 
     def _bulk_input(self, entity: str, last: str | None, stg: DataFrame) -> DataFrame:
         spec = SCD2_SPECS[entity]
@@ -333,7 +338,20 @@ class Warehouse:
                           self.null_safe, keep_order_col=True)
         out = v.withColumn("batch_key", F.coalesce("closed_by", F.lit(newest))) \
                .drop("closed_by")
-        overwrite_path(out, self.path(DIM2[entity]), ["batch_key", "is_current"], dynamic=True)
+        if not self.buckets:
+            overwrite_path(out, self.path(DIM2[entity]), ["batch_key", "is_current"],
+                           dynamic=True)
+            return
+        # staged once, then: the newest batch's folder (open versions and those
+        # it closed) as a bucketed table, the older closed ones as partitions
+        stage = f"{self.root}/silver/_scd_stage/{uuid.uuid4().hex[:12]}"
+        overwrite_path(out, stage)
+        staged = self.spark.read.schema(self._schema(DIM2[entity], with_batch=True)) \
+                     .parquet(stage)
+        newest_part = F.col("batch_key") == F.lit(newest)
+        self._write_batch_versions(entity, newest, staged.where(newest_part).drop("batch_key"))
+        overwrite_path(staged.where(~newest_part), self.path(DIM2[entity]),
+                       ["batch_key", "is_current"], dynamic=True)
 
     def run_silver(self, mode: str = "auto") -> dict:
         """Apply pending batches in order, then bring the fact up to date."""

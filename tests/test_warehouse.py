@@ -270,3 +270,19 @@ def test_bucketed_fold_equals_plain_and_shuffles_only_the_batch(spark, tmp_path)
     plan = step._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
     assert "Bucketed: true" in plan
+
+
+def test_bucketed_bulk_then_fold(spark, tmp_path):
+    land = _landing(tmp_path)
+    for m, city in ((2, "Paris"), (3, "Bern")):
+        write_customers(land, f"customers_2026-0{m}.json", [("1", "Ann", city, f"2026-0{m}-03")])
+        write_products(land, f"products_2026-0{m}.csv", [("P1", "Pen", f"C{m}", "1.5", "2025-06-01")])
+    plain = Warehouse(spark, str(tmp_path / "plain"))
+    plain.ingest(land)
+    plain.run_silver(mode="fold")
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=4)
+    wh.ingest(land)
+    wh.apply_bulk(["2026-01", "2026-02"])
+    assert wh._bucketed(f"{wh.path('silver_dim_customers_type2')}/batch_key=2026-02/is_current=true")
+    assert wh.run_silver(mode="fold")["applied"] == ["2026-03"]
+    assert _dims(wh) == _dims(plain)
