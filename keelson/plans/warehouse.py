@@ -479,8 +479,16 @@ class Warehouse:
         return self._read("silver_fact_orders")
 
     # ------------------------------------------------------------- gold ---
+    def current_versions(self, entity: str) -> DataFrame:
+        """The current rows of a Type 2 dimension: the open versions of the
+        newest committed batch, one folder (bucketed when stored so), no
+        closed history scanned."""
+        return self._open_versions(entity, self.last_committed()).drop("batch_key")
+
     def run_gold(self, as_of=None, k: int = 100) -> dict:
-        fact, dc, dp = self.fact(), self.dim2("customers"), self.dim2("products")
+        """Rebuild the marts from the fact and the current dimension rows."""
+        fact = self.fact()
+        dc, dp = self.current_versions("customers"), self.current_versions("products")
         outs = {
             "gold_agg_sales_by_city": marts.sales_by_city(fact, dc, as_of),
             "gold_agg_sales_by_category": marts.sales_by_category(fact, dp, as_of),
