@@ -240,7 +240,7 @@ class Warehouse:
         if len(bks) == 1:
             overwrite_path(clean(raw).drop("batch_key"), f"{p}/batch_key={bks[0]}")
             return self._folder(f"silver_stg_{entity}", batch_key=bks[0])
-        overwrite_path(clean(raw), p, ["batch_key"], dynamic=True)
+        overwrite_path(clean(raw), p, ["batch_key"], dynamic=True, rebalance=True)
         return self._read(f"silver_stg_{entity}", with_batch=True) \
                    .where(F.col("batch_key").isin(bks))
 
@@ -340,7 +340,7 @@ class Warehouse:
                .drop("closed_by")
         if not self.buckets:
             overwrite_path(out, self.path(DIM2[entity]), ["batch_key", "is_current"],
-                           dynamic=True)
+                           dynamic=True, rebalance=True)
             return
         # staged once, then: the newest batch's folder (open versions and those
         # it closed) as a bucketed table, the older closed ones as partitions
@@ -351,7 +351,7 @@ class Warehouse:
         newest_part = F.col("batch_key") == F.lit(newest)
         self._write_batch_versions(entity, newest, staged.where(newest_part).drop("batch_key"))
         overwrite_path(staged.where(~newest_part), self.path(DIM2[entity]),
-                       ["batch_key", "is_current"], dynamic=True)
+                       ["batch_key", "is_current"], dynamic=True, rebalance=True)
 
     def run_silver(self, mode: str = "auto") -> dict:
         """Apply pending batches in order, then bring the fact up to date."""
@@ -417,7 +417,7 @@ class Warehouse:
             src = bronze.observe(obs, F.max("_ingestion_ts").alias("upto"))
             self._log_fact("started", mark)
             n = overwrite_path(cleanse.clean_orders(src), self.path("silver_fact_orders"),
-                               ["year", "month"], dynamic=True)
+                               ["year", "month"], dynamic=True, rebalance=True)
             self._log_fact("done", obs.get.get("upto"))
             return n
         new_raw = bronze.where((F.col("_ingestion_date") >= F.to_date(F.lit(mark)))
@@ -454,7 +454,7 @@ class Warehouse:
         content = fact.where(touched).join(keys, "order_id", "left_anti").unionByName(merged)
         # the new content of the touched partitions is staged first: the
         # fact is not read and rewritten by the same job
-        overwrite_path(content, f"{stage}/parts", ["year", "month"])
+        overwrite_path(content, f"{stage}/parts", ["year", "month"], rebalance=True)
         staged = self.spark.read.schema(TABLES["silver_fact_orders"][0]) \
                      .parquet(f"{stage}/parts")
         self._log_fact("started", mark)

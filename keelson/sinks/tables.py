@@ -24,12 +24,25 @@ def write_observed(df: DataFrame, do_write: Callable[[DataFrame], None]) -> int:
 
 
 def overwrite_path(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                   dynamic: bool = False) -> int:
+                   dynamic: bool = False, rebalance: bool = False) -> int:
     """Write ``df`` as Parquet at ``path``; returns rows written.
 
     ``dynamic``: replace only the partitions present in ``df``.  Otherwise
     the folder is replaced as a whole (an empty frame leaves it empty).
+
+    ``rebalance``: cluster rows by the partition columns before writing (the
+    ``REBALANCE`` hint).  Without it every task writes one file into every
+    partition it holds rows of: thousands of tasks times hundreds of months
+    of small files.  With it AQE sends each partition's rows to few tasks,
+    splits a partition that holds a large share of all rows into pieces of
+    the advisory size and merges small ones, so files stay near that size.
+    It costs one shuffle, so it is for writes into many partitions.
     """
+    if rebalance and partition_by:
+        # the count is observed above the shuffle: observed below it, AQE
+        # drops the metrics of an input found empty at run time
+        df = df.hint("rebalance", *partition_by)
+
     def go(d: DataFrame) -> None:
         w = d.write.mode("overwrite")
         if partition_by:
