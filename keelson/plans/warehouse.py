@@ -86,6 +86,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.null_safe = null_safe
         self.batch_source = batch_source  # "customers" (as the reference) or "both"
+        self._found_upto = None  # newest ingestion time seen by the last ``pending``
 
     # ------------------------------------------------------------ paths ---
     def path(self, table: str) -> str:
@@ -134,25 +135,65 @@ class Warehouse:
     def last_committed(self) -> str | None:
         return self.control().agg(F.max("batch_key")).first()[0]
 
+    def _batch_rows(self, since=None) -> DataFrame:
+        """batch_key, _ingestion_ts of the Bronze rows that name batches
+        (customers, or both feeds); ``since``: only rows ingested after it,
+        read from the ingestion-date partitions from that day on."""
+        sources = ["customers"] if self.batch_source == "customers" else ["customers", "products"]
+        rows = reduce(DataFrame.unionByName,
+                      [self.bronze(e).select("batch_key", "_ingestion_date", "_ingestion_ts")
+                       for e in sources])
+        if since is not None:
+            rows = rows.where((F.col("_ingestion_date") >= F.to_date(F.lit(since)))
+                              & (F.col("_ingestion_ts") > F.lit(since)))
+        return rows.drop("_ingestion_date")
+
     def discover(self) -> DataFrame:
         """Distinct batch keys present in Bronze (customers, or both feeds)."""
-        sources = ["customers"] if self.batch_source == "customers" else ["customers", "products"]
-        keys = [self.bronze(e).select("batch_key") for e in sources]
-        allk = reduce(DataFrame.unionByName, keys)
-        return allk.where(F.col("batch_key").isNotNull() & (F.col("batch_key") != "")).distinct()
+        return (self._batch_rows().select("batch_key")
+                .where(F.col("batch_key").isNotNull() & (F.col("batch_key") != "")).distinct())
+
+    def _discovery_log(self) -> DataFrame:
+        p = f"{self.root}/silver/_discovery_log"
+        schema = "upto_ts timestamp, at timestamp"
+        if not self._exists(p):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(p)
+
+    def _discovery_mark(self):
+        """Ingestion time up to which every batch found in Bronze is committed
+        (None: look at all of Bronze)."""
+        return self._discovery_log().agg(F.max("upto_ts")).first()[0]
 
     def pending(self) -> list[str]:
         """Batch keys found in Bronze and not yet committed, in order.
 
-        Only this short list of keys reaches the driver."""
-        found = self.discover()
-        keys = sorted(r[0] for r in found.join(self.control().select("batch_key"),
-                                               "batch_key", "left_anti").collect())
+        Only Bronze rows ingested after the discovery mark are read: batches
+        of older rows were all committed when the mark was set (a Silver run
+        sets it only after committing everything it found).  One aggregate
+        gives each batch key of those rows, whether it is committed, and its
+        newest ingestion time; only these few rows reach the driver."""
+        done = self.control().select("batch_key").distinct().withColumn("committed", F.lit(True))
+        per_key = (self._batch_rows(self._discovery_mark()).groupBy("batch_key")
+                   .agg(F.max("_ingestion_ts").alias("upto"))
+                   .join(done, "batch_key", "left"))
+        rows = per_key.collect()
+        self._found_upto = max((r.upto for r in rows if r.upto is not None), default=None)
+        keys = sorted(r.batch_key for r in rows if r.batch_key and not r.committed)
         if not keys and self.last_committed() is None:
             raise ValueError("no batch key found in Bronze: file names must carry a "
                              "YYYY-MM token")
         return keys
 
+    def _advance_discovery(self, found: list[str]) -> None:
+        """Once every batch ``pending`` found is in the control log, later
+        runs need not look at the rows it read.  Checked against the log,
+        not assumed: a run that stopped without committing leaves the mark."""
+        if self._found_upto is not None and set(found) <= set(self.committed()):
+            row = self.spark.createDataFrame([(self._found_upto,)], "upto_ts timestamp")
+            append_path(row.withColumn("at", F.current_timestamp()),
+                        f"{self.root}/silver/_discovery_log")
+
     # ----------------------------------------------------------- silver ---
     def _folder(self, table: str, **parts) -> DataFrame:
         """One partition folder of a table, read directly: only its files are
@@ -378,6 +419,7 @@ class Warehouse:
                     self.apply_batch(bk, last)
                     last = bk
                 used = "fold"
+        self._advance_discovery(pend)
         facts = self.build_fact()
         return {"applied": pend, "mode": used, "fact_rows": facts}
 

@@ -286,3 +286,29 @@ def test_bucketed_bulk_then_fold(spark, tmp_path):
     assert wh._bucketed(f"{wh.path('silver_dim_customers_type2')}/batch_key=2026-02/is_current=true")
     assert wh.run_silver(mode="fold")["applied"] == ["2026-03"]
     assert _dims(wh) == _dims(plain)
+
+
+def test_discovery_reads_only_rows_ingested_after_the_mark(spark, tmp_path):
+    land = _landing(tmp_path)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    assert wh._discovery_mark() is None
+    wh.run(land)
+    mark = wh._discovery_mark()
+    assert mark is not None
+    # nothing new since the mark: no row is read, nothing pending
+    assert wh._batch_rows(mark).count() == 0 and wh.pending() == []
+    write_customers(land, "customers_2026-02.json", [("1", "Ann", "Paris", "2026-02-03")])
+    wh.ingest(land)
+    window = wh._batch_rows(mark)
+    assert rows(window, "batch_key") == [("2026-02",)]
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_ingestion_date" in plan
+    assert wh.pending() == ["2026-02"]
+    # the mark moves only when everything found is committed
+    wh._commit_orig, wh._commit = wh._commit, lambda bks: None
+    wh.run_silver(mode="fold")
+    assert wh._discovery_mark() == mark
+    wh._commit = wh._commit_orig
+    assert wh.run_silver(mode="fold")["applied"] == ["2026-02"]
+    assert wh._discovery_mark() > mark and wh.pending() == []
+    assert wh.committed() == ["2026-01", "2026-02"]
