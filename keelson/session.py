@@ -44,9 +44,10 @@ def build_session(master: str | None = None, app: str = "keelson",
         for k, v in {**LOCAL_CONF, **BASE_CONF, **forced}.items():
             b = b.config(k, v)
     spark = b.getOrCreate()
-    sql_conf = spark._jsparkSession.sessionState().conf()
     for k, v in BASE_CONF.items():
-        if master or not sql_conf.contains(k):
+        # get(k, None) is None only when neither the submission nor the
+        # session set the key (a default value does not count)
+        if master or spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
     for k, v in forced.items():
         try:
@@ -78,7 +79,7 @@ def shared_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # not settable on this session: the context dir below
             pass
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
