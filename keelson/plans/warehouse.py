@@ -69,6 +69,15 @@ def _part(v) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
 
 
+def _parts_filter(parts) -> "F.Column":
+    """Partition filter selecting the given (year, month) pairs (NULL-safe);
+    selects nothing for an empty list."""
+    if not parts:
+        return F.lit(False)
+    return reduce(or_, [F.col("year").eqNullSafe(F.lit(y).cast("int"))
+                        & F.col("month").eqNullSafe(F.lit(m).cast("int")) for y, m in parts])
+
+
 class BatchOrderError(ValueError):
     """A pending batch is older than the newest committed one."""
 
@@ -479,21 +488,26 @@ class Warehouse:
         if fits_broadcast(keys):
             keys = F.broadcast(keys)
         fact = self.fact()
-        # where the touched orders live now: one scan of the fact, kept
-        overwrite_path(fact.join(keys, "order_id", "left_semi"), f"{stage}/old")
+        # the partitions that hold stored rows of these orders: a pass over the
+        # order_id column alone (year and month come from the folder names),
+        # giving a short list of (year, month)
+        held = [(r[0], r[1]) for r in fact.select("order_id", "year", "month")
+                .join(keys, "order_id", "left_semi").select("year", "month")
+                .distinct().collect()]
+        # those rows in full, read from those partitions only, and kept
+        overwrite_path(fact.where(_parts_filter(held)).join(keys, "order_id", "left_semi"),
+                       f"{stage}/old")
         old = self.spark.read.schema(fact_schema).parquet(f"{stage}/old")
         merged = dedup_first(old.select(*cols).unionByName(new), ["order_id"],
                              cleanse.ORDER_RULE)
         merged = merged.withColumns({"year": F.year("order_date").cast("int"),
                                      "month": F.month("order_date").cast("int")})
-        # the touched (year, month) partitions: a short list, one entry per
-        # partition, used as partition filters so only they are read
-        parts = [(r[0], r[1]) for r in old.select("year", "month")
-                 .unionByName(merged.select("year", "month")).distinct().collect()]
-        touched = reduce(or_, [F.col("year").eqNullSafe(F.lit(y).cast("int"))
-                               & F.col("month").eqNullSafe(F.lit(m).cast("int"))
-                               for y, m in parts])
-        content = fact.where(touched).join(keys, "order_id", "left_anti").unionByName(merged)
+        # the touched (year, month) partitions: where the orders were and where
+        # they go; used as partition filters so only they are read
+        parts = sorted(set(held) | {(r[0], r[1]) for r in merged.select("year", "month")
+                                    .distinct().collect()}, key=repr)
+        content = fact.where(_parts_filter(parts)).join(keys, "order_id", "left_anti") \
+                      .unionByName(merged)
         # the new content of the touched partitions is staged first: the
         # fact is not read and rewritten by the same job
         overwrite_path(content, f"{stage}/parts", ["year", "month"], rebalance=True)
