@@ -39,6 +39,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from keelson import paths
 from keelson.functions import business_date
 from keelson.operators import cleanse, marts, scd
 from keelson.operators.dedup import dedup_first
@@ -102,10 +103,7 @@ class Warehouse:
         return f"{self.root}/{table.split('_', 1)[0]}/{table}"
 
     def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(p)
+        return paths.exists(self.spark, path)
 
     def _schema(self, table: str, with_batch: bool = False):
         from pyspark.sql import types as T
@@ -249,16 +247,8 @@ class Warehouse:
     def _bucketed(self, folder: str) -> bool:
         """Whether a folder holds bucket files (written by a bucketed fold)."""
         import re
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(folder)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return False
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if n.endswith(".parquet") and not n.startswith((".", "_")):
-                return re.search(r"_\d{5}\.c\d{3}\.", n) is not None
-        return False
+        names = [n for n in paths.data_file_names(self.spark, folder) if n.endswith(".parquet")]
+        return bool(names) and re.search(r"_\d{5}\.c\d{3}\.", names[0]) is not None
 
     def _bucketed_open(self, entity: str, bk: str, folder: str) -> DataFrame:
         """Open versions of a batch as a bucketed table scan (registered over
@@ -525,11 +515,7 @@ class Warehouse:
         return n
 
     def _drop_folder(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(p):
-            fs.delete(p, True)
+        paths.delete(self.spark, path)
 
     def fact(self) -> DataFrame:
         return self._read("silver_fact_orders")

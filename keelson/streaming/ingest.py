@@ -19,25 +19,11 @@ import datetime as dt
 from pyspark.sql import SparkSession, functions as F
 from pyspark.sql import types as T
 
+from keelson import paths
 from keelson.functions import batch_key_of
 from keelson.schemas import RAW_COLUMNS, raw_schema
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return False
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        name = it.next().getPath().getName()
-        if not name.startswith(("_", ".")):
-            return True
-    return False
-
-
 def source_schema(spark: SparkSession, entity: str, fmt: str, path: str) -> T.StructType:
     """Schema to stream with.  JSON: all-string by name.  CSV: the header's
     names (all strings).  Parquet: the files' own types (cast later)."""
@@ -58,7 +44,7 @@ def ingest_bronze(spark: SparkSession, entity: str, source_path: str, bronze_pat
     A backlog is split into micro-batches of at most ``max_files_per_trigger``
     files, each committed on its own, so a lost executor or a stopped run
     repeats one micro-batch, not the whole backlog."""
-    if not _has_files(spark, source_path):
+    if not paths.has_data_file(spark, source_path):
         return 0
     schema = source_schema(spark, entity, fmt, source_path)
     missing = [c for c in RAW_COLUMNS[entity] if c not in schema.fieldNames()]
