@@ -35,21 +35,49 @@ def _per_key(fact: DataFrame, key: str) -> DataFrame:
                               F.sum("amount").alias("__s")))
 
 
-def sales_by_city(fact: DataFrame, dim_customers: DataFrame, as_of=None) -> DataFrame:
+# grouping_id() of the two sets below, over (customer_id, product_id): a bit
+# is set for the column a row is not grouped by
+_SET_ID = {"customer_id": 1, "product_id": 2}
+
+
+def per_key_totals(fact: DataFrame) -> DataFrame:
+    """Orders and amount per customer and per product in one pass over the
+    fact (grouping sets): customer_id, product_id, __n, __s, __set.  Rows are
+    combined per task before the shuffle, so a hot key leaves each task as
+    one row.  ``totals_of`` takes one of the two sets out."""
+    return (fact.groupingSets([["customer_id"], ["product_id"]], "customer_id", "product_id")
+            .agg(F.count("order_id").alias("__n"), F.sum("amount").alias("__s"),
+                 F.grouping_id().alias("__set")))
+
+
+def totals_of(per: DataFrame, key: str) -> DataFrame:
+    """key, __n, __s: the totals of one key from ``per_key_totals`` (NULL
+    keys dropped, as the inner joins of the marts would)."""
+    return (per.where((F.col("__set") == _SET_ID[key]) & F.col(key).isNotNull())
+            .select(key, "__n", "__s"))
+
+
+def sales_by_city(fact: DataFrame, dim_customers: DataFrame, as_of=None,
+                  totals: DataFrame | None = None) -> DataFrame:
     """city, total_orders, total_amount, update_date (current city of each
-    order's customer; orders of unknown customers drop out)."""
+    order's customer; orders of unknown customers drop out).  ``totals``:
+    per-customer totals already computed (``totals_of``), else taken from
+    ``fact``."""
     cur = current(dim_customers).select("customer_id", "city")
-    return (_per_key(fact, "customer_id").join(cur, "customer_id", "inner")
+    per = totals if totals is not None else _per_key(fact, "customer_id")
+    return (per.join(cur, "customer_id", "inner")
             .groupBy("city")
             .agg(F.sum("__n").cast("int").alias("total_orders"),
                  F.sum("__s").alias("total_amount"))
             .withColumn("update_date", _as_of(as_of)))
 
 
-def sales_by_category(fact: DataFrame, dim_products: DataFrame, as_of=None) -> DataFrame:
+def sales_by_category(fact: DataFrame, dim_products: DataFrame, as_of=None,
+                      totals: DataFrame | None = None) -> DataFrame:
     """category, total_orders, total_amount, unique_products, update_date."""
     cur = current(dim_products).select("product_id", "category")
-    return (_per_key(fact, "product_id").join(cur, "product_id", "inner")
+    per = totals if totals is not None else _per_key(fact, "product_id")
+    return (per.join(cur, "product_id", "inner")
             .groupBy("category")
             .agg(F.sum("__n").cast("int").alias("total_orders"),
                  F.sum("__s").alias("total_amount"),
@@ -57,7 +85,8 @@ def sales_by_category(fact: DataFrame, dim_products: DataFrame, as_of=None) -> D
             .withColumn("update_date", _as_of(as_of)))
 
 
-def customer_ranking(fact: DataFrame, dim_customers: DataFrame, k: int = 100) -> DataFrame:
+def customer_ranking(fact: DataFrame, dim_customers: DataFrame, k: int = 100,
+                     totals: DataFrame | None = None) -> DataFrame:
     """Top ``k`` customers by total amount: customer_id, name, city,
     total_amount, ranking.  Ties are broken by customer_id.
 
@@ -66,11 +95,12 @@ def customer_ranking(fact: DataFrame, dim_customers: DataFrame, k: int = 100) ->
     task, which a window over the whole table would.
     """
     cur = current(dim_customers).select("customer_id", "name", "city")
-    totals = (_per_key(fact, "customer_id").join(cur, "customer_id", "inner")
-              .groupBy("customer_id", "name", "city")
-              .agg(F.sum("__s").alias("total_amount")))
+    per = totals if totals is not None else _per_key(fact, "customer_id")
+    by_customer = (per.join(cur, "customer_id", "inner")
+                   .groupBy("customer_id", "name", "city")
+                   .agg(F.sum("__s").alias("total_amount")))
     order = [F.col("total_amount").desc(), F.col("customer_id").asc()]
-    top = totals.orderBy(*order).limit(k)
+    top = by_customer.orderBy(*order).limit(k)
     return top.withColumn("ranking", F.row_number().over(Window.orderBy(*order)).cast("int"))
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import cleanse, governance, marts, scd, validate
 from keelson.operators.dedup import dedup_first
+from tests.helpers import rows
 
 D = dt.date
 
@@ -220,3 +221,20 @@ def test_marts_with_a_hot_customer(spark):
     assert "partial_count" in plan and "partial_sum" in plan
     top = marts.customer_ranking(fact, dim, 3).collect()
     assert [r.customer_id for r in top][0] == 1 and [r.ranking for r in top] == [1, 2, 3]
+
+
+def test_per_key_totals_one_pass_equals_separate_aggregates(spark, tmp_path):
+    # customer 1 holds most orders; some orders have no customer
+    fact_rows = [(i, 1 if i % 3 else (None if i % 2 else 2), f"P{i % 4}", float(i), None)
+                 for i in range(1, 301)]
+    path = str(tmp_path / "fact")
+    spark.createDataFrame(fact_rows, "order_id int, customer_id int, product_id string, "
+                                     "amount double, order_date date").write.parquet(path)
+    fact = spark.read.parquet(path)
+    per = marts.per_key_totals(fact)
+    for key in ("customer_id", "product_id"):
+        got = rows(marts.totals_of(per, key), key, "__n", "__s")
+        want = rows(marts._per_key(fact, key), key, "__n", "__s")
+        assert got == want and got
+    plan = per._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Expand" in plan
