@@ -63,6 +63,7 @@ def ingest_bronze(spark: SparkSession, entity: str, source_path: str, bronze_pat
                      F.to_date(ts).alias("_ingestion_date"),
                      F.col("_metadata.file_path").alias("_source_file"))
     out = out.withColumn("batch_key", batch_key_of("_source_file"))
+    started = dt.datetime.now()
     q = (out.writeStream.format("parquet")
          .option("checkpointLocation", checkpoint)
          .partitionBy("_ingestion_date", "batch_key")
@@ -71,4 +72,27 @@ def ingest_bronze(spark: SparkSession, entity: str, source_path: str, bronze_pat
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    progress = q.recentProgress
+    # Spark keeps fewer progress entries than this setting (the oldest are
+    # dropped once the buffer is full); below that every micro-batch is there
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(progress) < kept - 1:
+        return sum(int(p.get("numInputRows", 0)) for p in progress)
+    # a run that may have lost entries is counted from what it appended
+    return appended_rows(spark, bronze_path, started, ingest_ts)
+
+
+def appended_rows(spark: SparkSession, bronze_path: str, started: dt.datetime,
+                  ingest_ts: dt.datetime | None = None) -> int:
+    """Rows an ingest run appended: those stamped at or after its start (or
+    with its fixed ingestion time), read from the ingestion-date partitions
+    from that day on.  Only committed files are seen (the sink's log)."""
+    b = spark.read.parquet(bronze_path)
+    day = F.col("_ingestion_date").cast("date")
+    if ingest_ts:
+        at = F.lit(ingest_ts).cast("timestamp")
+        cond = (day == F.to_date(at)) & (F.col("_ingestion_ts") == at)
+    else:
+        at = F.lit(started).cast("timestamp")
+        cond = (day >= F.to_date(at)) & (F.col("_ingestion_ts") >= at)
+    return b.where(cond).count()

@@ -312,3 +312,27 @@ def test_discovery_reads_only_rows_ingested_after_the_mark(spark, tmp_path):
     assert wh.run_silver(mode="fold")["applied"] == ["2026-02"]
     assert wh._discovery_mark() > mark and wh.pending() == []
     assert wh.committed() == ["2026-01", "2026-02"]
+
+
+def test_ingest_count_survives_dropped_progress(spark, tmp_path):
+    # more micro-batches than Spark keeps progress entries for
+    land = str(tmp_path / "landing")
+    for m in range(1, 5):
+        write_customers(land, f"customers_2026-0{m}.json",
+                        [(str(i), f"N{i}", "Rome", f"2026-0{m}-02") for i in range(m)])
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        wh = Warehouse(spark, str(tmp_path / "wh"), max_files_per_trigger=1)
+        got = wh.ingest(land)["customers"]
+    finally:
+        spark.conf.set(key, old)
+    assert got == 1 + 2 + 3 + 4 == wh.bronze("customers").count()
+    # a second run with one more file counts only its own rows
+    write_customers(land, "customers_2026-05.json", [("9", "Z", "Oslo", "2026-05-02")])
+    spark.conf.set(key, "1")
+    try:
+        assert wh.ingest(land)["customers"] == 1
+    finally:
+        spark.conf.set(key, old)
