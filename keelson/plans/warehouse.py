@@ -121,7 +121,11 @@ class Warehouse:
 
     # ----------------------------------------------------------- bronze ---
     def ingest(self, landing_root: str, ingest_ts: dt.datetime | None = None) -> dict:
-        """Append new landing files of each feed to Bronze (exactly once)."""
+        """Append new landing files of each feed to Bronze (exactly once).
+
+        ``ingest_ts`` fixes the ingestion time (tests); it must grow from run
+        to run, as batch discovery and the fact build take rows stamped after
+        their marks."""
         def one(e):
             return lambda: ingest_bronze(self.spark, e, f"{landing_root.rstrip('/')}/{e}",
                                          self.path(f"bronze_raw_{e}"),
