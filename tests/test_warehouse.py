@@ -336,3 +336,18 @@ def test_ingest_count_survives_dropped_progress(spark, tmp_path):
         assert wh.ingest(land)["customers"] == 1
     finally:
         spark.conf.set(key, old)
+
+
+def test_runs_without_orders_then_with_only_rejected_orders(spark, tmp_path):
+    # empty inputs under shuffles: the observed counts must still be read
+    land = str(tmp_path / "landing")
+    write_customers(land, "customers_2026-01.json", [("1", "Ann", "Rome", "2026-01-05")])
+    write_products(land, "products_2026-01.csv", [("P1", "Pen", "X", "1.5", "2025-06-01")])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    r = wh.run(land)
+    assert r["silver"]["applied"] == ["2026-01"] and r["silver"]["fact_rows"] == 0
+    assert set(r["gold"].values()) == {0}
+    write_orders(land, "orders_2026-01.parquet", [("bad", "1", "P1", "3.0", "2026-01-07")])
+    r = wh.run(land)
+    assert r["ingested"]["orders"] == 1 and r["silver"]["fact_rows"] == 0
+    assert wh.fact().count() == 0 and set(r["gold"].values()) == {0}
