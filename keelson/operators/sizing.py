@@ -7,8 +7,24 @@ caller keeps a shuffle join.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
+# The size suffixes Spark accepts in byte settings (binary
+# multiples; a bare number is bytes).
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
+
+
+def byte_setting(text: str | None) -> int:
+    """A byte-size setting as written in a Spark conf ('10485760b', '64m',
+    '-1') in bytes; an unreadable value gives 0 (no broadcast)."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*([A-Za-z]*)\s*", text or "")
+    if not m or m.group(2).lower() not in _UNITS:
+        return 0
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of ``df`` (file sizes for a scan)."""
@@ -18,7 +34,7 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def broadcast_limit(df: DataFrame) -> int:
     """The session's broadcast threshold in bytes (<= 0: broadcast off)."""
-    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return byte_setting(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
 
 
 def fits_broadcast(df: DataFrame) -> bool:

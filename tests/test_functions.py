@@ -38,3 +38,13 @@ def test_lenient_casts(spark):
     assert r[1] == (None, None, None, None)
     # a fraction is rejected as an int; a time part fails the strict pattern
     assert r[2].i is None and r[2].d == -1.0 and r[2].s is None and r[2].t is None
+
+
+def test_byte_setting_reads_spark_size_strings():
+    from keelson.operators.sizing import byte_setting
+    assert byte_setting("10485760b") == 10485760
+    assert byte_setting("64m") == byte_setting("64MB") == 64 << 20
+    assert byte_setting("1g") == 1 << 30
+    assert byte_setting("2048") == 2048
+    assert byte_setting("-1") == -1
+    assert byte_setting("lots") == 0 and byte_setting(None) == 0
