@@ -1,0 +1,88 @@
+"""The pipeline's stages, each held against a plain version on its own input."""
+
+import pytest
+
+import __spark_entry__
+import corpus_pipeline
+from keelson.llm import mixing, quality, simhash
+from keelson.llm.common import store
+from tests.llm import plain
+from tests.llm.test_packing import ids_of, reference  # noqa: F401
+
+
+@pytest.fixture(scope="module")
+def steps(spark, docs):
+    out, now = {"documents": docs}, docs
+    for name, stage in corpus_pipeline.STAGES:
+        now = store(stage(spark, now, ""), "test-stage")
+        out[name] = now
+    return out
+
+
+def test_names_and_columns(steps, docs):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_dedup", "pii", "mixing", "packing"]
+    for name, df in list(steps.items())[:-1]:
+        assert df.columns == docs.columns and df.dtypes == docs.dtypes, name
+
+
+def test_quality_stage_drops_rejected_rows(steps, docs):
+    kept = {r.doc_id for r in quality.quality_report(docs).where("kept").collect()}
+    assert {r.doc_id for r in steps["quality_rules"].collect()} == kept
+    assert all(not plain.quality(r.text)["base_failed"] for r in steps["quality_rules"].collect())
+
+
+def test_one_document_of_each_group_stays(steps):
+    before = steps["quality_rules"].collect()
+    fps = [plain.fingerprint(r.text) for r in before]
+    part = plain.components(len(before), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 2)
+    least: dict = {}
+    for r, c in zip(before, part, strict=True):
+        least[c] = min(least.get(c, r.doc_id), r.doc_id)
+    assert sorted(r.doc_id for r in steps["simhash_dedup"].collect()) == sorted(least.values())
+
+
+def test_repeated_and_nameless_rows_in_dedup(spark, edges):
+    out = corpus_pipeline.dedup_stage(spark, edges, "")
+    assert out.columns == edges.columns
+    ids = [r.doc_id for r in out.select("doc_id").collect()]
+    assert sorted(i for i in ids if i is not None) == [9001, 9004, 9005, 9006, 9007, 9008, 9009, 9010] and ids.count(None) == 2
+
+
+def test_texts_are_masked(steps):
+    before = {r.doc_id: r.text for r in steps["simhash_dedup"].collect()}
+    after = {r.doc_id: r for r in steps["pii"].collect()}
+    assert set(before) == set(after)
+    for i, r in after.items():
+        found = plain.base_spans(before[i])
+        assert r.text == before[i] or "[" in r.text
+        assert not found or all(before[i][a:b] not in r.text for a, _, b in found)
+
+
+def test_mix_stage_repeats_rows(steps):
+    taken, _ = mixing.mix_sources(steps["pii"])
+    want = {r.doc_id: r.taken for r in taken.collect() if r.taken}
+    got: dict = {}
+    for r in steps["mixing"].collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + len(plain.words(r.text))
+    assert got == want
+
+
+def test_packing_holds_all_tokens(steps, reference):  # noqa: F811
+    want = sum(len(ids_of(reference, r.text)) for r in steps["mixing"].collect())
+    assert sum(r.length for r in steps["packing"].collect()) == want
+
+
+def test_empty_documents_pass_through(spark, none):
+    now = none
+    for _, stage in corpus_pipeline.STAGES:
+        now = stage(spark, now, "")
+        assert now.isEmpty()
+
+
+def test_queries_are_registered():
+    names = set(__spark_entry__.queries())
+    assert "pipeline" in names and {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")}
+
+
+def test_simhash_has_no_python_state():
+    assert simhash.fingerprint(None) == simhash.fingerprint(" \n") == 0
