@@ -4,8 +4,8 @@ A text is split into pre-tokens (words, with the vocabulary's word mark before
 them).  Distinct pre-tokens enter a trie; every trie node holds the best
 segmentation (score and number of tokens) of the prefix it stands for, computed once
 from the nodes above it, so words that share a prefix share the work, and a
-word's terminal node holds its count.  A document's count is the sum over its
-words, looked up by terminal.
+word's terminal node holds its count.  Counts of terminals are kept by word; a
+document's count is the sum over its words.
 
 The model is a unigram model over a public vocabulary of pieces in rank order:
 the probability of the piece of rank r is taken as proportional to 1 / (r + 1)
@@ -47,56 +47,68 @@ def log_probabilities(pieces: list[str]) -> dict[str, float]:
     return {p: -log(r + 1) - whole for r, p in enumerate(pieces)}
 
 
+def piece_ends(scores: dict[str, float]) -> dict[str, float | None]:
+    """Every end of every piece: the score if it is a piece itself, else None."""
+    ends: dict[str, float | None] = {p[k:]: None for p in scores for k in range(len(p))}
+    return ends | scores
+
+
 @dataclass
 class Trie:
-    """Nodes are numbers; ``edges`` maps (node, character) to a node."""
+    """Nodes are numbers; ``edges`` maps a node and a character to a node.
+
+    At a node the last piece may be any end of the prefix; ends are tried from
+    the shortest on, until no piece of the vocabulary ends so.
+    """
 
-    scores: dict[str, float]
-    longest: int
-    edges: dict[tuple[int, str], int] = field(default_factory=dict)
+    ends: dict[str, float | None]
+    edges: dict[int, int] = field(default_factory=dict)
     best: list[float] = field(default_factory=lambda: [0.0])
     tokens: list[int] = field(default_factory=lambda: [0])
-    terminal: dict[str, int] = field(default_factory=dict)
 
     def spelled(self, ch: str) -> tuple[float, int]:
         """Score and number of the byte pieces of a character."""
         raw = ch.encode("utf-8", "replace")
-        return sum(self.scores.get(BYTE.format(b), -30.0) for b in raw), len(raw)
+        found = [self.ends.get(BYTE.format(b)) for b in raw]
+        return sum(-30.0 if s is None else s for s in found), len(raw)
 
     def insert(self, word: str) -> int:
         """Tokens of ``word``; prefixes seen before are not computed again."""
         node, path, edges = 0, [0], self.edges
-        best, tokens, scores = self.best, self.tokens, self.scores
+        best, tokens, ends = self.best, self.tokens, self.ends
         for i, ch in enumerate(word, 1):
-            nxt = edges.get((node, ch))
+            key = node << 21 | ord(ch)
+            nxt = edges.get(key)
             if nxt is None:
-                alone = scores.get(ch)
-                s, n = (alone, 1) if alone is not None else self.spelled(ch)
+                s, n = ends.get(ch), 1
+                if s is None:
+                    s, n = self.spelled(ch)
                 top, count = best[node] + s, tokens[node] + n
-                for size in range(2, min(i, self.longest) + 1):
-                    s = scores.get(word[i - size : i])
-                    if s is not None:
-                        s += best[path[i - size]]
-                        n = tokens[path[i - size]] + 1
-                        if s > top or (s == top and n < count):
-                            top, count = s, n
-                nxt = len(best)
+                for start in range(i - 2, -1, -1):
+                    end = word[start:i]
+                    s = ends.get(end)
+                    if s is None:
+                        if end not in ends:
+                            break
+                        continue
+                    before = path[start]
+                    s += best[before]
+                    if s > top or (s == top and tokens[before] + 1 < count):
+                        top, count = s, tokens[before] + 1
+                nxt = edges[key] = len(best)
                 best.append(top)
                 tokens.append(count)
-                edges[node, ch] = nxt
             node = nxt
             path.append(node)
-        self.terminal[word] = tokens[node]
         return tokens[node]
 
 
-def count_tokens(docs: DataFrame, pieces: list[str], key: str = "doc_id", text: str = "text", max_nodes: int = 300_000) -> DataFrame:
+def count_tokens(docs: DataFrame, pieces: list[str], key: str = "doc_id", text: str = "text", max_nodes: int = 600_000) -> DataFrame:
     """``(doc_id, n_words, n_tokens)`` of every row."""
-    scores = docs.sparkSession.sparkContext.broadcast(log_probabilities(pieces))  # the vocabulary: its size is the parameter's
-    longest = max(map(len, pieces), default=1)
+    ends = docs.sparkSession.sparkContext.broadcast(piece_ends(log_probabilities(pieces)))  # the vocabulary: its size is the parameter's
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, known = Trie(scores.value, longest), {}
+        trie, known = Trie(ends.value), {}
         for b in batches:
             n_words, n_tokens = [], []
             for t in b.column(1):
@@ -106,7 +118,7 @@ def count_tokens(docs: DataFrame, pieces: list[str], key: str = "doc_id", text:
                     n = known.get(w)
                     if n is None:
                         if len(trie.best) > max_nodes:
-                            trie, known = Trie(scores.value, longest), {}
+                            trie, known = Trie(ends.value), {}
                         n = known[w] = trie.insert(MARK + w.decode())
                     total += n
                 n_words.append(len(ws))

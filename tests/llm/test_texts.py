@@ -19,7 +19,7 @@ def pieces():
 
 def test_trie_counts_equal_the_full_table(docs, pieces):
     scores = counts.log_probabilities(pieces)
-    trie = counts.Trie(scores, max(map(len, pieces)))
+    trie = counts.Trie(counts.piece_ends(scores))
     words = {w for r in docs.select("text").collect() for w in plain.words(r.text) if len(w) < 100}
     words |= {w for t in random_texts(200, "abcdehinorst 你é😀-", 30) for w in plain.words(t)}
     for w in sorted(words):
@@ -31,7 +31,7 @@ def test_trie_counts_equal_the_full_table(docs, pieces):
 @pytest.mark.parametrize("nodes", [50, 300_000])
 def test_documents_sum_their_words(docs, pieces, nodes):
     scores = counts.log_probabilities(pieces)
-    trie = counts.Trie(scores, max(map(len, pieces)))
+    trie = counts.Trie(counts.piece_ends(scores))
     few = docs.where("length(text) < 3000 or text is null")
     want = sorted((str(r.doc_id), len(ws := plain.words(r.text)), sum(trie.insert(counts.MARK + w) for w in ws)) for r in few.collect())
     got = sorted((str(r.doc_id), r.n_words, r.n_tokens) for r in counts.count_tokens(few, pieces, max_nodes=nodes).collect())
