@@ -14,6 +14,10 @@ def lenient_int(c) -> Column:
     return _c(c).try_cast("int")
 
 
+def lenient_long(c) -> Column:
+    return _c(c).try_cast("bigint")
+
+
 def lenient_double(c) -> Column:
     return _c(c).try_cast("double")
 

@@ -8,10 +8,10 @@ with bad values must not stop the load.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from keelson.functions import (batch_key_of, lenient_date, lenient_date_any,
-                               lenient_double, lenient_int)
+                               lenient_double, lenient_long)
 from keelson.operators.dedup import dedup_first
 
 
@@ -23,14 +23,14 @@ def with_batch_key(df: DataFrame, path_col: str = "_source_file") -> DataFrame:
 
 
 def clean_customers(bronze: DataFrame) -> DataFrame:
-    """batch_key, customer_id INT, name, city, event_date DATE.
+    """batch_key, customer_id BIGINT, name, city, event_date DATE.
 
     A NULL in any of the four columns drops the row; per batch and key the
     row with the latest event_date is kept (then name, city).
     """
     typed = with_batch_key(bronze).select(
         "batch_key",
-        lenient_int("customer_id").alias("customer_id"),
+        lenient_long("customer_id").alias("customer_id"),
         "name", "city",
         lenient_date("event_date", "yyyy-MM-dd").alias("event_date"))
     kept = typed.where(F.col("customer_id").isNotNull() & F.col("name").isNotNull()
@@ -69,8 +69,8 @@ def clean_orders(bronze: DataFrame) -> DataFrame:
     the latest order_date first.
     """
     typed = bronze.select(
-        lenient_int("order_id").alias("order_id"),
-        lenient_int("customer_id").alias("customer_id"),
+        lenient_long("order_id").alias("order_id"),
+        lenient_long("customer_id").alias("customer_id"),
         "product_id",
         lenient_double("amount").alias("amount"),
         lenient_date_any("order_date").alias("order_date"))
@@ -80,3 +80,32 @@ def clean_orders(bronze: DataFrame) -> DataFrame:
     one = dedup_first(kept, ["order_id"], ORDER_RULE)
     return one.withColumns({"year": F.year("order_date").cast("int"),
                             "month": F.month("order_date").cast("int")})
+
+
+def _first_reason(*tests) -> Column:
+    """The name of the first test that holds; NULL when none does."""
+    return F.coalesce(*[F.when(cond, F.lit(name)) for name, cond in tests])
+
+
+# Why a raw row is rejected, tested in this order (on the raw string columns).
+REJECTS = {
+    "customers": lambda: _first_reason(
+        ("customer_id", lenient_long("customer_id").isNull()),
+        ("name", F.col("name").isNull()),
+        ("city", F.col("city").isNull()),
+        ("event_date", lenient_date("event_date", "yyyy-MM-dd").isNull())),
+    "products": lambda: _first_reason(
+        ("product_id", F.col("product_id").isNull()),
+        ("price", ~F.coalesce(lenient_double("price") > 0, F.lit(False)))),
+    "orders": lambda: _first_reason(
+        ("order_id", lenient_long("order_id").isNull()),
+        ("product_id", F.col("product_id").isNull()),
+        ("amount", ~F.coalesce(lenient_double("amount") > 0, F.lit(False)))),
+}
+
+
+def rejected_rows(bronze: DataFrame, entity: str) -> DataFrame:
+    """The raw rows of a feed that cleansing drops, with the ``reason``: the
+    first column that failed.  Duplicates of a kept key are not rejects."""
+    return (with_batch_key(bronze).withColumn("reason", REJECTS[entity]())
+            .where(F.col("reason").isNotNull()))

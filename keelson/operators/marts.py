@@ -67,7 +67,7 @@ def sales_by_city(fact: DataFrame, dim_customers: DataFrame, as_of=None,
     per = totals if totals is not None else _per_key(fact, "customer_id")
     return (per.join(cur, "customer_id", "inner")
             .groupBy("city")
-            .agg(F.sum("__n").cast("int").alias("total_orders"),
+            .agg(F.sum("__n").cast("bigint").alias("total_orders"),
                  F.sum("__s").alias("total_amount"))
             .withColumn("update_date", _as_of(as_of)))
 
@@ -79,9 +79,9 @@ def sales_by_category(fact: DataFrame, dim_products: DataFrame, as_of=None,
     per = totals if totals is not None else _per_key(fact, "product_id")
     return (per.join(cur, "product_id", "inner")
             .groupBy("category")
-            .agg(F.sum("__n").cast("int").alias("total_orders"),
+            .agg(F.sum("__n").cast("bigint").alias("total_orders"),
                  F.sum("__s").alias("total_amount"),
-                 F.count_distinct("product_id").cast("int").alias("unique_products"))
+                 F.count_distinct("product_id").cast("bigint").alias("unique_products"))
             .withColumn("update_date", _as_of(as_of)))
 
 
@@ -134,7 +134,7 @@ def sales_by_city_as_was(fact: DataFrame, dim_customers: DataFrame, as_of=None)
     v = dim_customers.select("customer_id", "city", "valid_from", "valid_to")
     return (as_of_join(_per_key_day(fact, "customer_id"), v, "customer_id", "order_date")
             .groupBy("city")
-            .agg(F.sum("__n").cast("int").alias("total_orders"),
+            .agg(F.sum("__n").cast("bigint").alias("total_orders"),
                  F.sum("__s").alias("total_amount"))
             .withColumn("update_date", _as_of(as_of)))
 
@@ -144,7 +144,7 @@ def sales_by_category_as_was(fact: DataFrame, dim_products: DataFrame, as_of=Non
     v = dim_products.select("product_id", "category", "valid_from", "valid_to")
     return (as_of_join(_per_key_day(fact, "product_id"), v, "product_id", "order_date")
             .groupBy("category")
-            .agg(F.sum("__n").cast("int").alias("total_orders"),
+            .agg(F.sum("__n").cast("bigint").alias("total_orders"),
                  F.sum("__s").alias("total_amount"),
-                 F.count_distinct("product_id").cast("int").alias("unique_products"))
+                 F.count_distinct("product_id").cast("bigint").alias("unique_products"))
             .withColumn("update_date", _as_of(as_of)))

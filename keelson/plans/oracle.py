@@ -71,7 +71,7 @@ CTES["stg_customers"] = """
 SELECT batch_key, customer_id, name, city, event_date FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY batch_key, customer_id
              ORDER BY event_date DESC NULLS LAST, name ASC NULLS FIRST, city ASC NULLS FIRST) AS rn
-  FROM (SELECT batch_key, TRY_CAST(customer_id AS INTEGER) AS customer_id, name, city,
+  FROM (SELECT batch_key, TRY_CAST(customer_id AS BIGINT) AS customer_id, name, city,
                TRY_CAST(event_date AS DATE) AS event_date FROM bronze_customers) t
   WHERE customer_id IS NOT NULL AND name IS NOT NULL AND city IS NOT NULL
     AND event_date IS NOT NULL) x
@@ -97,8 +97,8 @@ FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id
              ORDER BY order_date DESC NULLS LAST, amount ASC NULLS FIRST,
                       product_id ASC NULLS FIRST, customer_id ASC NULLS FIRST) AS rn
-  FROM (SELECT TRY_CAST(order_id AS INTEGER) AS order_id,
-               TRY_CAST(customer_id AS INTEGER) AS customer_id, product_id,
+  FROM (SELECT TRY_CAST(order_id AS BIGINT) AS order_id,
+               TRY_CAST(customer_id AS BIGINT) AS customer_id, product_id,
                COALESCE(TRY_CAST(amount AS DOUBLE), 0.0) AS amount,
                TRY_CAST(order_date AS DATE) AS order_date FROM raw_orders) t
   WHERE order_id IS NOT NULL AND product_id IS NOT NULL AND amount > 0) x

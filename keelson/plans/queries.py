@@ -89,7 +89,7 @@ def q_scd2_products_bulk(spark, sf):
 # ------------------------------------------------------------------ gold --
 
 @register("q_sales_by_city", f"""
-SELECT c.city, CAST(COUNT(f.order_id) AS INTEGER) AS total_orders,
+SELECT c.city, CAST(COUNT(f.order_id) AS BIGINT) AS total_orders,
        ROUND(SUM(f.amount), 2) AS total_amount, {AS_OF_SQL} AS update_date
 FROM fact_orders f JOIN cur_customers c ON f.customer_id = c.customer_id
 GROUP BY c.city""")
@@ -98,9 +98,9 @@ def q_sales_by_city(spark, sf):
 
 
 @register("q_sales_by_category", f"""
-SELECT p.category, CAST(COUNT(f.order_id) AS INTEGER) AS total_orders,
+SELECT p.category, CAST(COUNT(f.order_id) AS BIGINT) AS total_orders,
        ROUND(SUM(f.amount), 2) AS total_amount,
-       CAST(COUNT(DISTINCT f.product_id) AS INTEGER) AS unique_products,
+       CAST(COUNT(DISTINCT f.product_id) AS BIGINT) AS unique_products,
        {AS_OF_SQL} AS update_date
 FROM fact_orders f JOIN cur_products p ON f.product_id = p.product_id
 GROUP BY p.category""")
@@ -443,7 +443,7 @@ def q_dim_as_of_boundary(spark, sf):
 
 
 @register("q_gold_report_city", f"""
-SELECT c.city, CAST(COUNT(f.order_id) AS INTEGER) AS total_orders,
+SELECT c.city, CAST(COUNT(f.order_id) AS BIGINT) AS total_orders,
        ROUND(SUM(f.amount), 2) AS total_amount, {AS_OF_SQL} AS update_date
 FROM fact_orders f JOIN cur_customers c ON f.customer_id = c.customer_id
 GROUP BY c.city ORDER BY total_amount DESC""")
@@ -453,9 +453,9 @@ def q_gold_report_city(spark, sf):
 
 
 @register("q_gold_report_category", f"""
-SELECT p.category, CAST(COUNT(f.order_id) AS INTEGER) AS total_orders,
+SELECT p.category, CAST(COUNT(f.order_id) AS BIGINT) AS total_orders,
        ROUND(SUM(f.amount), 2) AS total_amount,
-       CAST(COUNT(DISTINCT f.product_id) AS INTEGER) AS unique_products,
+       CAST(COUNT(DISTINCT f.product_id) AS BIGINT) AS unique_products,
        {AS_OF_SQL} AS update_date
 FROM fact_orders f JOIN cur_products p ON f.product_id = p.product_id
 GROUP BY p.category ORDER BY total_amount DESC""")
@@ -507,6 +507,63 @@ def q_current_customers(spark, sf):
             .orderBy("customer_id"))
 
 
+# -------------------------------------------------------------- rejects --
+
+@register("q_rejected_rows", """
+SELECT 'customers' AS feed, reason, COUNT(*) AS n FROM (
+  SELECT CASE WHEN TRY_CAST(customer_id AS BIGINT) IS NULL THEN 'customer_id'
+              WHEN name IS NULL THEN 'name' WHEN city IS NULL THEN 'city'
+              WHEN TRY_CAST(event_date AS DATE) IS NULL THEN 'event_date' END AS reason
+  FROM raw_customers) c WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL
+SELECT 'products', reason, COUNT(*) FROM (
+  SELECT CASE WHEN product_id IS NULL THEN 'product_id'
+              WHEN TRY_CAST(price AS DOUBLE) IS NULL OR TRY_CAST(price AS DOUBLE) <= 0
+              THEN 'price' END AS reason
+  FROM raw_products) p WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL
+SELECT 'orders', reason, COUNT(*) FROM (
+  SELECT CASE WHEN TRY_CAST(order_id AS BIGINT) IS NULL THEN 'order_id'
+              WHEN product_id IS NULL THEN 'product_id'
+              WHEN TRY_CAST(amount AS DOUBLE) IS NULL OR TRY_CAST(amount AS DOUBLE) <= 0
+              THEN 'amount' END AS reason
+  FROM raw_orders) o WHERE reason IS NOT NULL GROUP BY reason""")
+def q_rejected_rows(spark, sf):
+    """Raw rows that cleansing drops, by feed and first failing column."""
+    from functools import reduce
+    from keelson.operators.cleanse import rejected_rows
+    each = [rejected_rows(flows.bronze(spark, sf, e), e)
+            .groupBy(F.lit(e).alias("feed"), "reason").agg(F.count(F.lit(1)).alias("n"))
+            for e in ("customers", "products", "orders")]
+    return reduce(DataFrame.unionByName, each)
+
+
+@register("q_orders_wide_ids", """
+SELECT order_id + 3000000000 AS order_id, customer_id + 3000000000 AS customer_id, product_id,
+       amount, order_date, year, month FROM fact_orders""")
+def q_orders_wide_ids(spark, sf):
+    """The order fact with every order and customer id moved above 2^31."""
+    from keelson.operators.cleanse import clean_orders
+    raw = flows.bronze(spark, sf, "orders")
+    wide = {c: F.coalesce((F.col(c).try_cast("bigint") + 3_000_000_000).cast("string"), F.col(c))
+            for c in ("order_id", "customer_id")}
+    return clean_orders(raw.withColumns(wide))
+
+
+@register("q_ingest_unread_files", """
+SELECT CAST(NULL AS VARCHAR) AS entity, CAST(NULL AS VARCHAR) AS path
+FROM region WHERE FALSE""")
+def q_ingest_unread_files(spark, sf):
+    """Landed files with rows that Bronze does not hold (must be none)."""
+    from functools import reduce
+    from keelson.streaming.ingest import unread_files
+    run = stored.full_run(spark, sf)
+    each = [unread_files(spark, f"{run['landing']}/{e}", run["wh"].bronze(e))
+            .select(F.lit(e).alias("entity"), "path")
+            for e in ("customers", "products", "orders")]
+    return reduce(DataFrame.unionByName, each)
+
+
 # ----------------------------------------------------- changes / as-was --
 
 @register("q_scd2_changes", """
@@ -546,7 +603,7 @@ def q_batch_slice_customers(spark, sf):
 
 
 @register("q_sales_by_city_as_was", f"""
-SELECT d.city, CAST(COUNT(f.order_id) AS INTEGER) AS total_orders,
+SELECT d.city, CAST(COUNT(f.order_id) AS BIGINT) AS total_orders,
        ROUND(SUM(f.amount), 2) AS total_amount, {AS_OF_SQL} AS update_date
 FROM fact_orders f JOIN scd2_customers d
   ON f.customer_id = d.customer_id AND d.valid_from <= f.order_date
@@ -559,9 +616,9 @@ def q_sales_by_city_as_was(spark, sf):
 
 
 @register("q_sales_by_category_as_was", f"""
-SELECT d.category, CAST(COUNT(f.order_id) AS INTEGER) AS total_orders,
+SELECT d.category, CAST(COUNT(f.order_id) AS BIGINT) AS total_orders,
        ROUND(SUM(f.amount), 2) AS total_amount,
-       CAST(COUNT(DISTINCT f.product_id) AS INTEGER) AS unique_products,
+       CAST(COUNT(DISTINCT f.product_id) AS BIGINT) AS unique_products,
        {AS_OF_SQL} AS update_date
 FROM fact_orders f JOIN scd2_products d
   ON f.product_id = d.product_id AND d.valid_from <= f.order_date

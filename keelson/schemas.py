@@ -1,6 +1,8 @@
 """Table schemas of the three layers.
 
 Bronze keeps every business column as a string; Silver and Gold are typed.
+Order and customer ids and the marts' counts are BIGINT (a declared departure
+from an INT layout: ids pass 2^31 at scale, and an INT cast would drop them).
 Each entry: (schema, partition columns).
 """
 
@@ -50,32 +52,32 @@ TABLES: dict[str, tuple[T.StructType, list[str]]] = {
         "launch_date STRING, " + TECH + ", batch_key STRING"), ["_ingestion_date", "batch_key"]),
     # silver
     "silver_stg_customers": (_struct(
-        "customer_id INT, name STRING, city STRING, event_date DATE, batch_key STRING"),
+        "customer_id BIGINT, name STRING, city STRING, event_date DATE, batch_key STRING"),
         ["batch_key"]),
     "silver_stg_products": (_struct(
         "product_id STRING, product_name STRING, category STRING, price DOUBLE, "
         "launch_date DATE, batch_key STRING"), ["batch_key"]),
     "silver_dim_customers_type1": (_struct(
-        "customer_id INT, name STRING, city STRING, update_date DATE, batch_key STRING"),
+        "customer_id BIGINT, name STRING, city STRING, update_date DATE, batch_key STRING"),
         ["batch_key"]),
     "silver_dim_customers_type2": (_struct(
-        "customer_id INT, name STRING, city STRING, valid_from DATE, valid_to DATE, "
+        "customer_id BIGINT, name STRING, city STRING, valid_from DATE, valid_to DATE, "
         "is_current BOOLEAN"), []),
     "silver_dim_products_type2": (_struct(
         "product_id STRING, product_name STRING, category STRING, price DOUBLE, "
         "valid_from DATE, valid_to DATE, is_current BOOLEAN"), []),
     "silver_fact_orders": (_struct(
-        "order_id INT, customer_id INT, product_id STRING, amount DOUBLE, order_date DATE, "
+        "order_id BIGINT, customer_id BIGINT, product_id STRING, amount DOUBLE, order_date DATE, "
         "year INT, month INT"), ["year", "month"]),
     "silver_batch_control": (_struct("batch_key STRING, processed_at TIMESTAMP"), []),
     # gold
     "gold_agg_sales_by_city": (_struct(
-        "city STRING, total_orders INT, total_amount DOUBLE, update_date DATE"), []),
+        "city STRING, total_orders BIGINT, total_amount DOUBLE, update_date DATE"), []),
     "gold_agg_sales_by_category": (_struct(
-        "category STRING, total_orders INT, total_amount DOUBLE, unique_products INT, "
+        "category STRING, total_orders BIGINT, total_amount DOUBLE, unique_products BIGINT, "
         "update_date DATE"), []),
     "gold_ranking_customers": (_struct(
-        "customer_id INT, name STRING, city STRING, total_amount DOUBLE, ranking INT"), []),
+        "customer_id BIGINT, name STRING, city STRING, total_amount DOUBLE, ranking INT"), []),
 }
 
 LAYER_OF = {name: name.split("_", 1)[0] for name in TABLES}

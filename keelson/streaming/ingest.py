@@ -6,6 +6,12 @@ Parquet sink commits each micro-batch in its own log, and both live in the
 stream's checkpoint, so a rerun reads only new files and a crash between
 reading and committing cannot append twice.  An empty run commits nothing.
 
+The file source forgets files older than ``max_file_age`` (counted back from the
+newest file seen) and would skip a back-dated one without a word; its default
+here is a century, so copies that keep old timestamps are read.  The price
+is that the stream remembers every file name of the feed; a shorter age is
+safe where files are archived away before they reach it.
+
 Rows keep their business columns as strings and get ``_ingestion_ts``,
 ``_ingestion_date``, ``_source_file`` and the derived ``batch_key``; the
 table is partitioned by ingestion date and batch key, so a Silver batch
@@ -16,7 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from keelson import paths
@@ -24,6 +30,9 @@ from keelson.functions import batch_key_of
 from keelson.schemas import RAW_COLUMNS, raw_schema
 
 
+MAX_FILE_AGE = "36500d"
+
+
 def source_schema(spark: SparkSession, entity: str, fmt: str, path: str) -> T.StructType:
     """Schema to stream with.  JSON: all-string by name.  CSV: the header's
     names (all strings).  Parquet: the files' own types (cast later)."""
@@ -37,7 +46,7 @@ def source_schema(spark: SparkSession, entity: str, fmt: str, path: str) -> T.St
 
 def ingest_bronze(spark: SparkSession, entity: str, source_path: str, bronze_path: str,
                   checkpoint: str, fmt: str, ingest_ts: dt.datetime | None = None,
-                  max_files_per_trigger: int = 10000) -> int:
+                  max_files_per_trigger: int = 10000, max_file_age: str = MAX_FILE_AGE) -> int:
     """Append new files of ``source_path`` to the Bronze table at
     ``bronze_path``.  Returns the number of rows appended by this run.
 
@@ -51,7 +60,8 @@ def ingest_bronze(spark: SparkSession, entity: str, source_path: str, bronze_pat
     if missing:
         raise ValueError(f"{entity} files under {source_path} lack columns {missing}")
     reader = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-              .option("maxFilesPerTrigger", max_files_per_trigger))
+              .option("maxFilesPerTrigger", max_files_per_trigger)
+              .option("maxFileAge", max_file_age))
     if fmt == "csv":
         # header names must equal the schema's: a reordered file fails
         # instead of binding columns by position
@@ -96,3 +106,14 @@ def appended_rows(spark: SparkSession, bronze_path: str, started: dt.datetime,
         at = F.lit(started).cast("timestamp")
         cond = (day >= F.to_date(at)) & (F.col("_ingestion_ts") >= at)
     return b.where(cond).count()
+
+
+def unread_files(spark: SparkSession, source_path: str, bronze: DataFrame) -> DataFrame:
+    """``path`` of non-empty files under ``source_path`` of which Bronze holds no
+    row.  Only names and lengths of the landed files are read."""
+    def bare(c):  # scheme and the slashes after it are written in several ways
+        return F.regexp_replace(c, r"^[a-z0-9]+:/*", "/")
+    landed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .load(source_path).where(F.col("length") > 0).select(bare("path").alias("path")))
+    seen = bronze.select(bare("_source_file").alias("path")).distinct()
+    return landed.join(seen, "path", "left_anti")
