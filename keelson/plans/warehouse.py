@@ -9,7 +9,8 @@ session's ``spark.checkpoint.dir`` or a table bucket):
     silver/silver_dim_<entity>_type2/batch_key=<bk>/is_current=true|false/
     silver/silver_fact_orders/year=../month=../    (only touched partitions rewritten)
     silver/silver_batch_control/                                  (commit log)
-    silver/_fact_log/, silver/_fact_stage/                        (fact build log)
+    silver/silver_refused_batches/                (batches that came too late)
+    silver/_fact_log/, silver/_fact_stage/, silver/_bucket_log/   (build logs)
     gold/gold_<mart>/
 
 A Type 2 dimension is stored as *closed* versions, appended under the batch
@@ -79,10 +80,6 @@ def _parts_filter(parts) -> "F.Column":
                         & F.col("month").eqNullSafe(F.lit(m).cast("int")) for y, m in parts])
 
 
-class BatchOrderError(ValueError):
-    """A pending batch is older than the newest committed one."""
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, null_safe: bool = False,
                  batch_source: str = "customers", max_files_per_trigger: int = 10000,
@@ -200,11 +197,32 @@ class Warehouse:
         """Once every batch ``pending`` found is in the control log, later
         runs need not look at the rows it read.  Checked against the log,
         not assumed: a run that stopped without committing leaves the mark."""
-        if self._found_upto is not None and set(found) <= set(self.committed()):
+        settled = set(self.committed()) | set(self.refused())
+        if self._found_upto is not None and set(found) <= settled:
             row = self.spark.createDataFrame([(self._found_upto,)], "upto_ts timestamp")
             append_path(row.withColumn("at", F.current_timestamp()),
                         f"{self.root}/silver/_discovery_log")
 
+    def refused_batches(self) -> DataFrame:
+        """Batches that came after a newer one was committed: batch_key,
+        last_committed, at.  Replaying them would rewrite Type 2 history."""
+        p = f"{self.root}/silver/silver_refused_batches"
+        schema = "batch_key string, last_committed string, at timestamp"
+        if not self._exists(p):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(p)
+
+    def refused(self) -> list[str]:
+        return sorted(r[0] for r in self.refused_batches().select("batch_key").distinct().collect())
+
+    def _refuse(self, bks: list[str], last: str) -> None:
+        new = sorted(set(bks) - set(self.refused()))
+        if new:
+            rows = self.spark.createDataFrame([(b, last) for b in new],
+                                              "batch_key string, last_committed string")
+            append_path(rows.withColumn("at", F.current_timestamp()),
+                        f"{self.root}/silver/silver_refused_batches")
+
     # ----------------------------------------------------------- silver ---
     def _folder(self, table: str, **parts) -> DataFrame:
         """One partition folder of a table, read directly: only its files are
@@ -231,7 +249,15 @@ class Warehouse:
         bk = bk or self.last_committed()
         return self._at(f"silver_stg_{entity}", bk).drop("batch_key")
 
+    def _check_snapshot(self, bk: str | None) -> None:
+        """Only the newest batch of a bulk commit has a state of its own."""
+        if bk and not self._exists(f"{self.path('silver_dim_customers_type1')}/batch_key={bk}"):
+            raise ValueError(f"no state is stored for batch {bk}: it was not applied, or "
+                             "together with later ones (bulk); fold keeps every state")
+
     def dim1(self, bk: str | None = None) -> DataFrame:
+        """Type 1 rows as of batch ``bk`` (an error if it has no own state)."""
+        self._check_snapshot(bk)
         bk = bk or self.last_committed()
         return self._at("silver_dim_customers_type1", bk).drop("batch_key")
 
@@ -240,7 +266,9 @@ class Warehouse:
             return self._read(DIM2[entity], with_batch=True).where(F.lit(False))
         folder = f"{self.path(DIM2[entity])}/batch_key={bk}"
         if self.buckets and self._bucketed(f"{folder}/is_current=true"):
-            return self._bucketed_open(entity, bk, folder)
+            n = self._stored_buckets(entity, bk)
+            if n:
+                return self._bucketed_open(entity, bk, folder, n)
         return self._folder(DIM2[entity], batch_key=bk, is_current=True)
 
     def _state_table(self, entity: str, bk: str) -> str:
@@ -254,21 +282,37 @@ class Warehouse:
         names = [n for n in paths.data_file_names(self.spark, folder) if n.endswith(".parquet")]
         return bool(names) and re.search(r"_\d{5}\.c\d{3}\.", names[0]) is not None
 
-    def _bucketed_open(self, entity: str, bk: str, folder: str) -> DataFrame:
+    def _bucket_log(self) -> DataFrame:
+        p = f"{self.root}/silver/_bucket_log"
+        schema = "entity string, batch_key string, buckets int, at timestamp"
+        if not self._exists(p):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(p)
+
+    def _stored_buckets(self, entity: str, bk: str) -> int | None:
+        """The number of buckets a batch's versions were written with; None
+        (read them unbucketed) when it was never logged."""
+        mine = (F.col("entity") == F.lit(entity)) & (F.col("batch_key") == F.lit(bk))
+        return self._bucket_log().where(mine).agg(F.max_by("buckets", "at")).first()[0]
+
+    def _bucketed_open(self, entity: str, bk: str, folder: str, n: int) -> DataFrame:
         """Open versions of a batch as a bucketed table scan (registered over
-        the folder when this session does not know it yet)."""
+        the folder with the ``n`` buckets it was written with, when this
+        session does not know it yet)."""
         from keelson.sinks.tables import ensure_table
         spec = SCD2_SPECS[entity]
         name = self._state_table(entity, bk)
         if not self.spark.catalog.tableExists(name):
             ensure_table(self.spark, name, self._schema(DIM2[entity]), ["is_current"], folder,
-                         bucket_by=(spec["key"], self.buckets))
+                         bucket_by=(spec["key"], n))
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         return (self.spark.table(name).where(F.col("is_current"))
                 .withColumn("batch_key", F.lit(bk)))
 
     def dim2(self, entity: str, bk: str | None = None) -> DataFrame:
-        """Committed versions of a Type 2 dimension as of batch ``bk``."""
+        """Committed versions of a Type 2 dimension as of batch ``bk`` (an
+        error if it has no own state)."""
+        self._check_snapshot(bk)
         bk = bk or self.last_committed()
         d = self._read(DIM2[entity], with_batch=True)
         if not bk:
@@ -333,6 +377,10 @@ class Warehouse:
         name = self._state_table(entity, bk)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: metadata only
+        row = self.spark.createDataFrame([(entity, bk, self.buckets)],
+                                         "entity string, batch_key string, buckets int")
+        append_path(row.withColumn("at", F.current_timestamp()),
+                    f"{self.root}/silver/_bucket_log")
         return write_observed(versions, lambda d: d.write.mode("overwrite")
                               .partitionBy("is_current").bucketBy(self.buckets, key)
                               .sortBy(key).option("path", folder).saveAsTable(name))
@@ -355,6 +403,11 @@ class Warehouse:
     def apply_bulk(self, bks: list[str]) -> None:
         """Apply many pending batches in one pass and commit them together."""
         last, newest = self.last_committed(), bks[-1]
+        # what a stopped attempt at these batches left (never committed) goes
+        # first: a rerun may write fewer folders than it did
+        for name in (*DIM2.values(), "silver_dim_customers_type1"):
+            for bk in bks:
+                self._drop_folder(f"{self.path(name)}/batch_key={bk}")
 
         def customers():
             sc = self._write_stg("customers", bks)
@@ -396,24 +449,33 @@ class Warehouse:
         self._write_batch_versions(entity, newest, staged.where(newest_part).drop("batch_key"))
         overwrite_path(staged.where(~newest_part), self.path(DIM2[entity]),
                        ["batch_key", "is_current"], dynamic=True, rebalance=True)
+        self._drop_folder(stage)
 
     def run_silver(self, mode: str = "auto") -> dict:
-        """Apply pending batches in order, then bring the fact up to date."""
+        """Apply pending batches in order, then bring the fact up to date.
+
+        A batch older than the newest committed one is refused (recorded in
+        ``refused_batches``, not applied); the others and the fact go on.
+        ``mode="bulk"`` is an error where the bulk pass would not equal the
+        fold (NULLs in tracked columns without ``null_safe``)."""
         self.ensure_control()
-        pend = self.pending()
+        found = self.pending()
         last = self.last_committed()
-        if last and pend and pend[0] <= last:
-            raise BatchOrderError(f"batch {pend[0]} is not newer than committed {last}; "
-                                  "replaying it would corrupt Type 2 history")
+        refused = [b for b in found if last and b <= last]
+        self._refuse(refused, last)
+        pend = [b for b in found if b not in refused]
         used = "none"
         if pend:
             use_bulk = mode == "bulk" or (mode == "auto" and len(pend) > 1)
-            if use_bulk and mode == "auto" and not self.null_safe:
+            if use_bulk and not self.null_safe:
                 # products may carry NULL categories / names: check the batches
                 raw = self.bronze("products").where(F.col("batch_key").isin(pend))
                 probe = cleanse.clean_products(raw)
                 use_bulk = self.bulk_exact("products", probe) and \
                     self.bulk_exact("products", self._open_versions("products", last))
+                if not use_bulk and mode == "bulk":
+                    raise ValueError("bulk is not exact on these batches: a tracked column "
+                                     "holds NULL; use fold, auto or null_safe=True")
             if use_bulk:
                 self.apply_bulk(pend)
                 used = "bulk"
@@ -422,9 +484,9 @@ class Warehouse:
                     self.apply_batch(bk, last)
                     last = bk
                 used = "fold"
-        self._advance_discovery(pend)
+        self._advance_discovery(found)
         facts = self.build_fact()
-        return {"applied": pend, "mode": used, "fact_rows": facts}
+        return {"applied": pend, "refused": refused, "mode": used, "fact_rows": facts}
 
     def _fact_log(self) -> DataFrame:
         p = f"{self.root}/silver/_fact_log"
@@ -461,8 +523,10 @@ class Warehouse:
         if full or mark is None:
             src = bronze.observe(obs, F.max("_ingestion_ts").alias("upto"))
             self._log_fact("started", mark)
+            # the table is replaced as a whole: partitions left by an earlier,
+            # interrupted build go as well
             n = overwrite_path(cleanse.clean_orders(src), self.path("silver_fact_orders"),
-                               ["year", "month"], dynamic=True, rebalance=True)
+                               ["year", "month"], rebalance=True)
             self._log_fact("done", obs.get.get("upto"))
             return n
         new_raw = bronze.where((F.col("_ingestion_date") >= F.to_date(F.lit(mark)))
@@ -472,6 +536,7 @@ class Warehouse:
         stage = f"{self.root}/silver/_fact_stage/{uuid.uuid4().hex[:12]}"
         overwrite_path(cleanse.clean_orders(src).drop("year", "month"), f"{stage}/new")
         if not obs.get.get("n"):
+            self._drop_folder(stage)
             return 0
         cols = ["order_id", "customer_id", "product_id", "amount", "order_date"]
         fact_schema = TABLES["silver_fact_orders"][0]
@@ -516,6 +581,7 @@ class Warehouse:
         for y, m in set(parts) - written:
             self._drop_folder(f"{self.path('silver_fact_orders')}/year={_part(y)}/month={_part(m)}")
         self._log_fact("done", obs.get.get("upto"))
+        self._drop_folder(stage)
         return n
 
     def _drop_folder(self, path: str) -> None:

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.plans.warehouse import BatchOrderError, Warehouse
+from keelson.plans.warehouse import Warehouse
 from tests.helpers import rows, write_customers, write_orders, write_products
 
 D = dt.date
@@ -56,9 +56,14 @@ def test_pipeline_fold_rerun_and_late_batch(spark, tmp_path):
     assert rows(wh.table("gold_agg_sales_by_city"), "city", "total_orders") == [("Paris", 1)]
     # a late file of an old batch is refused, not replayed
     write_customers(land, "customers_2025-12.json", [("1", "Ann", "Bern", "2025-12-01")])
-    wh.ingest(land)
-    with pytest.raises(BatchOrderError):
-        wh.run_silver()
+    write_customers(land, "customers_2026-03.json", [("2", "Bob", "Bonn", "2026-03-02")])
+    write_orders(land, "orders_2026-03.parquet", [("12", "2", "P1", "5.0", "2026-03-03")])
+    r3 = wh.run(land, as_of="2026-03-01")
+    assert r3["silver"]["refused"] == ["2025-12"] and r3["silver"]["applied"] == ["2026-03"]
+    assert wh.refused() == ["2025-12"] and wh.pending() == []
+    assert r3["silver"]["fact_rows"] > 0 and wh.fact().where("order_id = 12").count() == 1
+    assert [r[1] for r in rows(wh.current_versions("customers"), "customer_id", "city")] == ["Paris", "Bonn"]
+    assert wh.run(land)["silver"]["refused"] == []
 
 
 def test_crash_before_commit_then_rerun(spark, tmp_path):
@@ -351,3 +356,142 @@ def test_runs_without_orders_then_with_only_rejected_orders(spark, tmp_path):
     r = wh.run(land)
     assert r["ingested"]["orders"] == 1 and r["silver"]["fact_rows"] == 0
     assert wh.fact().count() == 0 and set(r["gold"].values()) == {0}
+
+
+def test_backdated_file_is_read(spark, tmp_path):
+    import os
+    import time
+
+    land = str(tmp_path / "landing")
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    counts = []
+    for m, back in ((1, 0), (2, 30), (3, 0)):
+        name = f"customers_2026-0{m}.json"
+        write_customers(land, name, [(str(m), "Ann", "Rome", f"2026-0{m}-05")])
+        when = time.time() - back * 86400
+        for folder, _, files in os.walk(land):
+            for f in files:
+                if name in os.path.join(folder, f):
+                    os.utime(os.path.join(folder, f), (when, when))
+        counts.append(wh.ingest(land)["customers"])
+    assert counts == [1, 1, 1]
+    assert rows(wh.bronze("customers"), "batch_key") == [("2026-01",), ("2026-02",), ("2026-03",)]
+    from keelson.streaming.ingest import unread_files
+    assert unread_files(spark, f"{land}/customers", wh.bronze("customers")).isEmpty()
+    write_customers(land, "customers_2026-04.json", [("4", "Ann", "Rome", "2026-04-05")])
+    assert unread_files(spark, f"{land}/customers", wh.bronze("customers")).count() == 1
+
+
+def test_ids_above_int_reach_the_tables(spark, tmp_path):
+    land = str(tmp_path / "landing")
+    write_customers(land, "customers_2026-01.json", [("3000000001", "Ann", "Rome", "2026-01-05")])
+    write_products(land, "products_2026-01.csv", [("P1", "Pen", "X", "1.5", "2025-06-01")])
+    write_orders(land, "orders_2026-01.parquet", [("3000000000", "3000000001", "P1", "3.0", "2026-01-07")])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.run(land)
+    assert rows(wh.fact(), "order_id", "customer_id") == [(3000000000, 3000000001)]
+    assert rows(wh.table("gold_agg_sales_by_city"), "city", "total_orders") == [("Rome", 1)]
+
+
+def test_fact_crash_while_an_order_moves(spark, tmp_path):
+    """The order's old partition empties; the run stops before it is removed."""
+    land = str(tmp_path / "landing")
+    write_customers(land, "customers_2026-01.json", [("1", "Ann", "Rome", "2026-01-05")])
+    write_products(land, "products_2026-01.csv", [("P1", "Pen", "X", "1.5", "2025-06-01")])
+    write_orders(land, "orders_2026-01.parquet", [("10", "1", "P1", "3.0", "2026-01-07"),
+                                                  ("11", "1", "P1", "3.0", "2026-02-07")])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.run(land)
+    write_orders(land, "orders_2026-03.parquet", [("10", "1", "P1", "3.0", "2026-03-07")])
+    wh.ingest(land)
+
+    def stop(path):
+        raise RuntimeError("stopped")
+    wh._drop_folder = stop
+    with pytest.raises(RuntimeError):
+        wh.build_fact()
+    del wh._drop_folder
+    want = [(10, 2026, 3), (11, 2026, 2)]
+    wh.build_fact()
+    assert rows(wh.fact(), "order_id", "year", "month") == want
+    wh.build_fact(full=True)
+    assert rows(wh.fact(), "order_id", "year", "month") == want
+
+
+def test_bulk_rerun_after_a_stop_starts_clean(spark, tmp_path):
+    land = str(tmp_path / "landing")
+    for m, city in ((1, "x"), (2, "y")):
+        write_customers(land, f"customers_2026-0{m}.json", [("1", "Ann", city, f"2026-0{m}-02")])
+        write_products(land, f"products_2026-0{m}.csv", [("P1", "Pen", "X", "1.5", "2025-06-01")])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.ingest(land)
+    commit, wh._commit = wh._commit, lambda bks: None
+    wh.run_silver(mode="bulk")
+    wh._commit = commit
+    # a further file of the second batch: the city never changed
+    write_customers(land, "more/customers_2026-02.json", [("1", "Ann", "x", "2026-02-20")])
+    wh.ingest(land)
+    wh.run_silver(mode="bulk")
+    clean = Warehouse(spark, str(tmp_path / "clean"))
+    clean.ingest(land)
+    clean.run_silver(mode="bulk")
+    assert _dims(wh) == _dims(clean) and clean.dim2("customers").count() == 1
+
+
+def test_states_inside_a_bulk_commit_are_refused(spark, tmp_path):
+    land = str(tmp_path / "landing")
+    for m, city in ((1, "x"), (2, "y"), (3, "z")):
+        write_customers(land, f"customers_2026-0{m}.json", [("1", "Ann", city, f"2026-0{m}-02")])
+        write_products(land, f"products_2026-0{m}.csv", [("P1", "Pen", "X", "1.5", "2025-06-01")])
+    bulk, fold = Warehouse(spark, str(tmp_path / "bulk")), Warehouse(spark, str(tmp_path / "fold"))
+    for wh, mode in ((bulk, "bulk"), (fold, "fold")):
+        wh.ingest(land)
+        wh.run_silver(mode=mode)
+    for state in (lambda bk: bulk.dim2("customers", bk), bulk.dim1):
+        with pytest.raises(ValueError, match="no state"):
+            state("2026-01")
+    assert bulk.dim2("customers", "2026-03").count() == fold.dim2("customers", "2026-03").count() == 3
+    assert [fold.dim2("customers", f"2026-0{m}").count() for m in (1, 2)] == [1, 2]
+    assert fold.dim1("2026-02").first().city == "y"
+
+
+def test_bulk_is_refused_where_it_differs_from_the_fold(spark, tmp_path):
+    land = str(tmp_path / "landing")
+    for m, cat in ((1, "X"), (2, None), (3, "Y")):
+        write_customers(land, f"customers_2026-0{m}.json", [("1", "Ann", "Rome", f"2026-0{m}-02")])
+        write_products(land, f"products_2026-0{m}.csv", [("P1", "Pen", cat, "1.5", "2025-06-01")])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.ingest(land)
+    with pytest.raises(ValueError, match="bulk is not exact"):
+        wh.run_silver(mode="bulk")
+    assert wh.committed() == []
+    assert wh.run_silver(mode="fold")["applied"] == ["2026-01", "2026-02", "2026-03"]
+
+
+def test_bucket_count_may_change(spark, tmp_path):
+    land = str(tmp_path / "landing")
+    people = [(str(i), f"N{i}", "Rome", "2026-01-05") for i in range(200)]
+    write_customers(land, "customers_2026-01.json", people)
+    write_products(land, "products_2026-01.csv", [("P1", "Pen", "X", "1.5", "2025-06-01")])
+    root = str(tmp_path / "wh")
+    first = Warehouse(spark, root, buckets=8)
+    first.ingest(land)
+    first.run_silver(mode="fold")
+    for e in ("customers", "products"):  # as a new session would find it
+        spark.sql(f"DROP TABLE IF EXISTS {first._state_table(e, '2026-01')}")
+    write_customers(land, "customers_2026-02.json", [(i, n, "Oslo", "2026-02-05") for i, n, *_ in people[:100]])
+    write_products(land, "products_2026-02.csv", [("P1", "Pen", "X", "1.5", "2025-06-01")])
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        again = Warehouse(spark, root, buckets=16)
+        again.ingest(land)
+        again.run_silver(mode="fold")
+        current = again.current_versions("customers")
+        assert current.count() == 200 == current.select("customer_id").distinct().count()
+        assert current.where("city = 'Oslo'").count() == 100
+        assert again._stored_buckets("customers", "2026-01") == 8
+        assert again._stored_buckets("customers", "2026-02") == 16
+    finally:
+        spark.conf.set(key, old)
