@@ -105,4 +105,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+#: Only what SQL can state in full: fitted models, graph iterations, hash functions
+#: that SQL engines lack and tokenizers are tested against plain versions instead.
+ORACLE: dict[str, str] = {
+    "op7_chat_format": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length(regexp_replace(replace(text, chr(92), chr(92) || chr(92)),
+    '(<)(\||s>|/s>|<SYS>>|</SYS>>|start_of_turn>|end_of_turn>)|(\[)(INST\]|/INST\])', '\1\3~\2\4', 'g'))
+    + length(role) + length('<|im_start|>') + length('<|im_end|>') + 2 AS n FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
+    "op9_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+roots AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+degrees AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, r.component_id,
+  e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN roots r ON r.x = e.vec_id LEFT JOIN degrees d ON d.x = e.vec_id
+""",
+}
