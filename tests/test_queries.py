@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from keelson.plans.queries import ORACLE, QUERIES
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -28,11 +29,12 @@ def con(sf):
     return c
 
 
-PURE = [n for n, f in E.queries().items() if "stored" not in f.__code__.co_names]
+PURE = [n for n, f in QUERIES.items() if "stored" not in f.__code__.co_names]
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -52,7 +54,8 @@ def test_pure_query_matches_oracle(spark, sf, con, name):
 
 @pytest.mark.parametrize("name", ["q_scd2_customers", "q_scd2_products_mixed",
                                   "q_fact_orders_incremental", "q_row_counts",
-                                  "q_ingest_incremental", "q_orphan_orders"])
+                                  "q_ingest_incremental", "q_orphan_orders",
+                                  "q_ingest_unread_files"])
 def test_stored_query_matches_oracle(spark, sf, con, name):
     df = E.queries()[name](spark, sf)
     res = con.execute(E.oracle_sql()[name])
