@@ -106,6 +106,35 @@ WHERE rn = 1
 """
 
 
+CTES["raw_products_odd"] = """
+SELECT product_id, CASE WHEN n % 13 = 1 THEN NULL ELSE product_name END AS product_name,
+       CASE WHEN dup = 1 THEN 'AAA'
+            WHEN n % 7 = 2 AND regexp_matches(_source_file, '199[68]-01') THEN NULL
+            ELSE category END AS category,
+       CASE WHEN dup = 1 AND n % 6 = 0 THEN '1' || price WHEN dup = 1 THEN '0' || price
+            ELSE price END AS price,
+       CASE WHEN n % 5 = 3 THEN NULL ELSE launch_date END AS launch_date, _source_file
+FROM (SELECT *, unnest(CASE WHEN n % 6 < 2 THEN [0, 1] ELSE [0] END) AS dup
+      FROM (SELECT *, TRY_CAST(substring(product_id, 2) AS BIGINT) AS n FROM raw_products) a) b
+"""
+
+CTES["raw_orders_odd"] = """
+SELECT order_id, CASE WHEN n % 9 = 4 THEN NULL ELSE customer_id END AS customer_id,
+       CASE WHEN dup = 1 AND n % 5 = 2 THEN 'A' ELSE product_id END AS product_id,
+       CASE WHEN dup = 1 AND n % 5 < 2 THEN '1' || amount ELSE amount END AS amount,
+       CASE WHEN (dup = 1 AND n % 5 = 0) OR n % 11 = 2 THEN NULL
+            WHEN n % 7 = 1 THEN order_date || ' 10:30:00' ELSE order_date END AS order_date,
+       _source_file
+FROM (SELECT *, unnest(CASE WHEN n % 5 < 3 THEN [0, 1] ELSE [0] END) AS dup
+      FROM (SELECT *, TRY_CAST(order_id AS BIGINT) AS n FROM raw_orders) a) b
+"""
+
+CTES["bronze_products_odd"] = CTES["bronze_products"].replace("raw_products", "raw_products_odd")
+CTES["stg_products_odd"] = CTES["stg_products"].replace("bronze_products", "bronze_products_odd")
+CTES["fact_orders_odd"] = CTES["fact_orders"].replace("raw_orders", "raw_orders_odd").replace(
+    "TRY_CAST(order_date AS DATE)", "CAST(TRY_CAST(order_date AS TIMESTAMP) AS DATE)")
+
+
 def _scd2_bulk(stg: str, key: str, tracked: list[str], eff: str, null_safe: bool = False) -> str:
     w = f"PARTITION BY {key} ORDER BY batch_key"
     lags = ", ".join(f"LAG({t}) OVER ({w}) AS p_{t}" for t in tracked)
@@ -137,6 +166,9 @@ CTES["scd2_customers"] = ("SELECT customer_id, name, city, valid_from, valid_to,
                           "FROM scd2_customers_x")
 CTES["scd2_products"] = ("SELECT product_id, product_name, category, price, valid_from, "
                          "valid_to, is_current FROM scd2_products_x")
+CTES["scd2_products_odd_x"] = _scd2_bulk("stg_products_odd", "product_id",
+                                         ["product_name", "category", "price"],
+                                         "CAST(batch_key || '-01' AS DATE)", null_safe=True)
 CTES["cur_customers"] = "SELECT * FROM scd2_customers WHERE is_current"
 CTES["cur_products"] = "SELECT * FROM scd2_products WHERE is_current"
 

@@ -507,6 +507,42 @@ def q_current_customers(spark, sf):
             .orderBy("customer_id"))
 
 
+# ------------------------------------------------------------- odd feeds --
+
+def _odd(spark, sf, entity):
+    from keelson.functions import batch_key_of
+    from keelson.sources import feeds
+    made = {"products": feeds.odd_products, "orders": feeds.odd_orders}[entity](spark, sf)
+    return made.withColumn("batch_key", batch_key_of("_source_file"))
+
+
+@register("q_clean_products_odd", "SELECT * FROM stg_products_odd")
+def q_clean_products_odd(spark, sf):
+    """Products with NULL attributes and duplicates that differ by price or tie."""
+    from keelson.operators.cleanse import clean_products
+    return clean_products(_odd(spark, sf, "products"))
+
+
+@register("q_clean_orders_odd", "SELECT * FROM fact_orders_odd")
+def q_clean_orders_odd(spark, sf):
+    """Orders with timed and NULL dates, NULL customers and differing duplicates."""
+    from keelson.operators.cleanse import clean_orders
+    return clean_orders(_odd(spark, sf, "orders"))
+
+
+@register("q_scd2_products_nulls", """
+SELECT product_id, product_name, category, price, valid_from, valid_to, is_current
+FROM scd2_products_odd_x""")
+def q_scd2_products_nulls(spark, sf):
+    """Type 2 products over NULL attributes, a NULL counted as a change."""
+    from keelson.functions import business_date
+    from keelson.operators.cleanse import clean_products
+    from keelson.schemas import SCD2_SPECS
+    spec = SCD2_SPECS["products"]
+    return _scd.scd2_bulk(clean_products(_odd(spark, sf, "products")), spec["key"],
+                          spec["tracked"], business_date("batch_key"), null_safe=True)
+
+
 # -------------------------------------------------------------- rejects --
 
 @register("q_rejected_rows", """

@@ -124,6 +124,53 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Odd variants: the same feeds with the cases the plain ones lack, so that every
+# cleansing and tie-break rule decides some row.
+
+def odd_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_products with NULL names, categories and launch dates, and duplicates
+    per batch: a dearer one (n % 6 = 0) and one of equal price and name (n % 6 = 1),
+    where n is the number in product_id."""
+    raw = raw_products(spark, sf_dir)
+    n = F.substring("product_id", 2, 20).try_cast("bigint")
+    copies = F.when(n % 6 < 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = raw.withColumn("dup", F.explode(copies))
+    dup = F.col("dup") == 1
+    null = F.lit(None).cast("string")
+    return rows.select(
+        "product_id",
+        F.when(n % 13 == 1, null).otherwise(F.col("product_name")).alias("product_name"),
+        F.when(dup, F.lit("AAA"))
+         .when((n % 7 == 2) & F.col("_source_file").rlike("199[68]-01"), null)
+         .otherwise(F.col("category")).alias("category"),
+        F.when(dup & (n % 6 == 0), F.concat(F.lit("1"), "price"))
+         .when(dup, F.concat(F.lit("0"), "price")).otherwise(F.col("price")).alias("price"),
+        F.when(n % 5 == 3, null).otherwise(F.col("launch_date")).alias("launch_date"),
+        "_source_file")
+
+
+def odd_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_orders with dates that carry a time, NULL dates and customers, and
+    duplicates that differ by date (n % 5 = 0), amount (1) or product (2), where n is
+    the order id."""
+    raw = raw_orders(spark, sf_dir)
+    n = F.col("order_id").try_cast("bigint")
+    rows = raw.withColumn("dup", F.explode(F.when(n % 5 < 3, F.array(F.lit(0), F.lit(1)))
+                                           .otherwise(F.array(F.lit(0)))))
+    dup = F.col("dup") == 1
+    null = F.lit(None).cast("string")
+    return rows.select(
+        "order_id",
+        F.when(n % 9 == 4, null).otherwise(F.col("customer_id")).alias("customer_id"),
+        F.when(dup & (n % 5 == 2), F.lit("A")).otherwise(F.col("product_id")).alias("product_id"),
+        F.when(dup & (n % 5 < 2), F.concat(F.lit("1"), "amount"))
+         .otherwise(F.col("amount")).alias("amount"),
+        F.when((dup & (n % 5 == 0)) | (n % 11 == 2), null)
+         .when(n % 7 == 1, F.concat("order_date", F.lit(" 10:30:00")))
+         .otherwise(F.col("order_date")).alias("order_date"),
+        "_source_file")
+
+
 FEEDS = {"customers": raw_customers, "products": raw_products, "orders": raw_orders}
 
 
