@@ -51,6 +51,12 @@ class Mix:
     chunk: int = 4096
 
 
+def row_hash(key: str, source: str, text: str) -> Column:
+    """60 bits of a row's content: the order of the shuffle, the same in any engine."""
+    content = F.concat_ws("\x1f", F.col(key), F.col(source), F.col(text))
+    return F.conv(F.substring(F.md5(content), 1, 15), 16, 10).cast("long")
+
+
 def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """``(doc_id, source, size, h)`` of every row; ``h`` shuffles and identifies."""
     t = F.col(text)
@@ -58,7 +64,7 @@ def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
         F.col(key).alias("doc_id"),
         F.col(source).cast("string").alias("source"),
         F.size(words(t)).cast("long").alias("size"),
-        F.xxhash64(F.col(key), F.col(source), t).alias("h"),
+        row_hash(key, source, text).alias("h"),
     )
 
 
@@ -207,7 +213,7 @@ def apply_mix(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     taken, _ = mix_sources(docs, mix)
     part = F.floor(F.col("taken") / F.col("copies")).cast("long")
     known = taken.where("size > 0").select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("h").alias("_h"), F.col("size").alias("_size"), part.alias("_taken")).where("_taken > 0")
-    keyed = docs.withColumn("_k", F.xxhash64("doc_id", "source", "text"))
+    keyed = docs.withColumn("_k", row_hash("doc_id", "source", "text"))
     same = (F.col("_k") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
     met = keyed.join(known, same)
     epochs = F.ceil(F.col("_taken") / F.col("_size")).cast("int")

@@ -108,6 +108,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Only what SQL can state in full: fitted models, graph iterations, hash functions
 #: that SQL engines lack and tokenizers are tested against plain versions instead.
 ORACLE: dict[str, str] = {
+    # the shuffle's order restated, blocks and slots replaced by plain arithmetic
+    "op2_mix_sources": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(concat_ws(chr(31), doc_id, source, text)), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2.0 * sum(size) AS cap,
+    CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS w
+  FROM d GROUP BY source),
+capped AS (
+  SELECT coalesce(sum(cap) OVER before, 0) AS fixed, sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
+  FROM s WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT max((1.5 * (SELECT sum(source_size) FROM s) - fixed) / free) AS l FROM capped),
+t AS (SELECT source, source_size, least(cap, CAST(l AS DOUBLE) * w) AS target FROM s, level),
+line AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h % (SELECT greatest(1, count(*) // 4096) FROM d), h, doc_id) - size AS start FROM d),
+k AS (
+  SELECT doc_id, size, source_size, target, start, CAST(floor(target) AS BIGINT) // greatest(source_size, 1) AS whole,
+    CAST(floor(target) AS BIGINT) % greatest(source_size, 1) AS rest
+  FROM line JOIN t ON line.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target,
+  CAST(whole * size + greatest(0, least(start + size, rest) - start) AS BIGINT) AS taken
+FROM k
+""",
     "op7_chat_format": r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
