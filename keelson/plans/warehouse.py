@@ -11,7 +11,7 @@ session's ``spark.checkpoint.dir`` or a table bucket):
     silver/silver_batch_control/                                  (commit log)
     silver/silver_refused_batches/                (batches that came too late)
     silver/_fact_log/, silver/_fact_stage/, silver/_bucket_log/   (build logs)
-    gold/gold_<mart>/
+    gold/gold_<mart>/, gold/_gold_log/
 
 A Type 2 dimension is stored as *closed* versions, appended under the batch
 that closed them, plus the *open* versions as of each batch.  A batch
@@ -597,8 +597,36 @@ class Warehouse:
         closed history scanned."""
         return self._open_versions(entity, self.last_committed()).drop("batch_key")
 
+    def _gold_log(self) -> DataFrame:
+        p = f"{self.root}/gold/_gold_log"
+        schema = "phase string, state string, counts map<string,bigint>, at timestamp"
+        if not self._exists(p):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(p)
+
+    def _gold_state(self, as_of, k: int) -> str:
+        """What the marts depend on: their arguments, the newest committed
+        batch, and the ingestion time that the fact covers."""
+        return "|".join(map(str, (as_of or dt.date.today(), k, self.last_committed(),
+                                  self._fact_watermark())))
+
+    def _log_gold(self, phase: str, state: str, counts: dict) -> None:
+        row = self.spark.createDataFrame(
+            [(phase, state, counts)], "phase string, state string, counts map<string,bigint>")
+        append_path(row.withColumn("at", F.current_timestamp()), f"{self.root}/gold/_gold_log")
+
+    def gold_counts(self, as_of=None, k: int = 100) -> dict | None:
+        """Rows of the marts as last built, if that build finished on the present
+        state of Silver and for these arguments; else None."""
+        last = self._gold_log().orderBy(F.col("at").desc()).limit(1).collect()
+        if last and last[0].phase == "done" and last[0].state == self._gold_state(as_of, k):
+            return dict(last[0].counts)
+        return None
+
     def run_gold(self, as_of=None, k: int = 100) -> dict:
         """Rebuild the marts from the fact and the current dimension rows."""
+        state = self._gold_state(as_of, k)
+        self._log_gold("started", state, {})
         fact = self.fact()
         dc, dp = self.current_versions("customers"), self.current_versions("products")
         # one pass over the fact gives the per-customer and per-product totals
@@ -617,7 +645,9 @@ class Warehouse:
         counts = _concurrently(*[
             (lambda n: lambda: overwrite_path(outs[n].select(*TABLES[n][0].fieldNames()),
                                               self.path(n)))(n) for n in names])
-        return dict(zip(names, counts))
+        built = dict(zip(names, counts))
+        self._log_gold("done", state, built)
+        return built
 
     # ---------------------------------------------------------- readers ---
     def table(self, name: str) -> DataFrame:
@@ -675,9 +705,12 @@ class Warehouse:
 
     def run(self, landing_root: str, as_of=None, mode: str = "auto",
             ingest_ts: dt.datetime | None = None) -> dict:
-        """Bronze, then Silver, then Gold; a rerun with no new file is a no-op
-        for the dimensions."""
+        """Bronze, then Silver, then Gold; a rerun with no new file is a no-op.
+
+        The marts are rebuilt unless their last build finished on the present
+        state of Silver and for this date."""
         report = {"ingested": self.ingest(landing_root, ingest_ts)}
         report["silver"] = self.run_silver(mode)
-        report["gold"] = self.run_gold(as_of)
+        done = self.gold_counts(as_of)
+        report["gold"] = self.run_gold(as_of) if done is None else done
         return report

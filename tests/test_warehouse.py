@@ -495,3 +495,26 @@ def test_bucket_count_may_change(spark, tmp_path):
         assert again._stored_buckets("customers", "2026-02") == 16
     finally:
         spark.conf.set(key, old)
+
+
+def test_gold_is_rebuilt_only_after_a_change(spark, tmp_path):
+    land = _landing(tmp_path)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    first = wh.run(land, as_of="2026-03-01")["gold"]
+    built = []
+    real, wh.run_gold = wh.run_gold, lambda *a, **k: built.append(a) or real(*a, **k)
+    assert wh.run(land, as_of="2026-03-01")["gold"] == first and not built
+    wh.run(land, as_of="2026-03-02")  # another date
+    assert len(built) == 1
+    write_orders(land, "orders_2026-02.parquet", [("20", "2", "P1", "2.0", "2026-02-01")])
+    assert wh.run(land, as_of="2026-03-02")["gold"]["gold_agg_sales_by_city"] == 2 and len(built) == 2
+    # a build that stopped half way is repeated
+    wh._log_gold("started", "", {})
+    wh.run(land, as_of="2026-03-02")
+    assert len(built) == 3
+    # Silver changed in a run that stopped before Gold
+    write_orders(land, "orders_2026-04.parquet", [("40", "2", "P1", "2.0", "2026-04-01")])
+    wh.ingest(land)
+    wh.run_silver()
+    wh.run(land, as_of="2026-03-02")
+    assert len(built) == 4
