@@ -7,7 +7,7 @@ and not a recomputation.  The folders may be removed once a result is written.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keelson.session import shared_dir
@@ -41,6 +41,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def running_sum(df: DataFrame, keys: list[str], order: str, value: str, out: str, block: int = 4096) -> DataFrame:
+    """``df`` with ``out``: the sum of ``value`` over rows of equal ``keys`` (null-safe)
+    whose ``order`` is smaller.  ``order`` is a whole number from 0, unique per ``keys``.
+
+    Blocks of ``order`` are summed first, then run over, then each block within: no
+    task sorts more than a block of rows or one row per block of a key.
+    """
+    blocked = df.withColumn("_block", F.floor(F.col(order) / block))
+    sums = blocked.groupBy(*keys, "_block").agg(F.sum(value).alias("_sum"))
+    line = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = sums.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_block").alias("_b"), F.coalesce(F.sum("_sum").over(line), F.lit(0)).alias("_ahead"))
+    inside = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = blocked.withColumn("_inner", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    same = F.col("_block") == F.col("_b")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return inner.join(ahead, same).select(*df.columns, (F.col("_ahead") + F.col("_inner")).alias(out))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Smallest node reachable from each node of an undirected graph.
 

@@ -14,8 +14,8 @@ part of its block that the target still needs.  So every source's words come
 to its target, rounded down to a word.
 
 Scale: nothing is collected.  Running sums (a document's place on its
-source's line, a slot's rank in its source) are two-level: sums per bucket of a
-hash, running sums over the buckets, then within a bucket, so a source with a
+source's line, a slot's rank in its source) go over buckets of a hash, the
+buckets' own sums over blocks of buckets, and then within a bucket, so a source with a
 third of all rows is spread over as many buckets as any part of the input of that
 size.  The schedule's points are found by range arithmetic per source, not by a
 scan of all slots against all sources.
@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.llm.common import store, words
+from keelson.llm.common import running_sum, store, words
 
 #: Fixed value: the golden ratio less one.
 GOLDEN = 0.6180339887498949
@@ -104,8 +104,7 @@ def places(rows: DataFrame, buckets: int) -> DataFrame:
     """``rows`` with ``start``: words before the row on its source's line."""
     bucketed = rows.withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets)))
     sums = bucketed.groupBy("source", "bucket").agg(F.sum("words").alias("total"))
-    line = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("total").over(line), F.lit(0)).alias("offset"))
+    offsets = running_sum(store(sums, "mix-buckets"), ["source"], "bucket", "total", "offset").select(F.col("source").alias("s"), F.col("bucket").alias("b"), "offset")
     inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     run = bucketed.withColumn("inner", F.coalesce(F.sum("words").over(inside), F.lit(0)))
     joined = run.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
@@ -136,8 +135,7 @@ def schedule(plan: DataFrame, mix: Mix) -> DataFrame:
     picked = points.join(bands, (F.col("cell") == F.col("c")) & inside).select("source", "wanted", "slot", F.floor(F.col("slot") / mix.chunk).alias("chunk"))
     picked = store(picked, "mix-slots")
     sums = picked.groupBy("source", "chunk").count()
-    line = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col("source").alias("s"), F.col("chunk").alias("b"), F.coalesce(F.sum("count").over(line), F.lit(0)).alias("offset"))
+    offsets = running_sum(store(sums, "mix-chunks"), ["source"], "chunk", "count", "offset").select(F.col("source").alias("s"), F.col("chunk").alias("b"), "offset")
     inner = F.row_number().over(Window.partitionBy("source", "chunk").orderBy("slot")) - 1
     ranked = picked.withColumn("inner", inner).join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("b")))
     ranked = ranked.withColumn("k", F.col("offset") + F.col("inner")).where("k < wanted").select("source", "k", "slot")

@@ -31,10 +31,10 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import store
+from keelson.llm.common import running_sum, store
 from keelson.llm.tokenise import encode_batches
 
 PIECES = "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -157,16 +157,15 @@ def pack(docs: DataFrame, ranks: bytes, packing: Packing | None = None, weights:
     cells = store(made.groupBy("source", "bucket").agg(F.sum("n").alias("n")), "token-cells")
     by_source = cells.groupBy(F.col("source").alias("s")).agg(F.sum("n").alias("all"))
     # a bucket goes where the middle of its tokens lies on its source's line
-    line = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    middle = F.coalesce(F.sum("n").over(line), F.lit(0)) + F.col("n") / 2
-    dealt = cells.withColumn("middle", middle).join(by_source, F.col("source").eqNullSafe(F.col("s")))
-    dealt = dealt.select("source", "bucket", "n", F.least(F.floor(F.col("middle") / F.col("all") * groups), F.lit(groups - 1)).cast("long").alias("group"))
+    lined = running_sum(cells, ["source"], "bucket", "n", "before").join(by_source, F.col("source").eqNullSafe(F.col("s")))
+    middle = (F.col("before") + F.col("n") / 2) / F.col("all")
+    dealt = lined.select("source", "bucket", "n", F.least(F.floor(middle * groups), F.lit(groups - 1)).cast("long").alias("group"))
     dealt = store(dealt, "token-groups")
     table = dealt.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("group").alias("to"))
     if dealt.count() <= p.broadcast_rows:
         table = F.broadcast(table)
     made = made.join(table, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).select("doc_id", "source", "h", "n", "ids", F.col("to").alias("group"))
-    sums = dealt.groupBy("group", "source").agg(F.sum("n").alias("n"))
+    sums = store(dealt.groupBy("group", "source").agg(F.sum("n").alias("n")), "token-sums")
     if weights is None:
         by_source = by_source.select("s", (F.col("all") / F.lit(float(max(total, 1)))).alias("share"))
     else:
@@ -175,10 +174,9 @@ def pack(docs: DataFrame, ranks: bytes, packing: Packing | None = None, weights:
         for k, w in weights.items():
             named = F.when(F.col("s").eqNullSafe(F.lit(k)), F.lit(w / whole)).otherwise(named)
         by_source = by_source.select("s", named.alias("share"))
-    before = Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = sums.groupBy(F.col("group").alias("g")).agg(F.sum("n").alias("m")).select("g", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("ahead"))
-    own = Window.partitionBy("source").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    had = sums.withColumn("had", F.coalesce(F.sum("n").over(own), F.lit(0)))
+    totals = sums.groupBy(F.col("group").alias("g")).agg(F.sum("n").alias("m"))
+    ahead = running_sum(totals, [], "g", "m", "ahead").select("g", "ahead")
+    had = running_sum(sums, ["source"], "group", "n", "had")
     state = had.join(by_source, F.col("source").eqNullSafe(F.col("s"))).join(ahead, F.col("group") == F.col("g"))
     state = state.select("group", "source", "share", (F.col("share") * F.col("ahead") - F.col("had")).alias("owed"))
     return made.groupBy("group").cogroup(state.groupBy("group")).applyInArrow(pack_group(p), PIECES)

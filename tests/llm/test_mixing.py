@@ -88,3 +88,13 @@ def test_empty_and_wordless_tables(none, edges):
     got, _ = mixing.mix_sources(edges.where("text is null or trim(text) = ''"))
     assert got.agg(F.sum("taken")).first()[0] == 0
     assert mixing.apply_mix(edges).columns == edges.columns
+
+
+def test_running_sum_over_blocks(spark):
+    from keelson.llm.common import running_sum
+
+    rows = [(k, i, (7 * i) % 13) for k in ("a", None) for i in range(0, 60, 1 if k else 3)]
+    df = spark.createDataFrame(rows, "k string, i long, v long").repartition(3)
+    for keys, part in ((["k"], df), ([], df.where("k = 'a'"))):
+        for r in running_sum(part, keys, "i", "v", "s", block=8).collect():
+            assert r.s == sum(v for k, i, v in rows if k == r.k and i < r.i)
