@@ -57,16 +57,21 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
+def content_of(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string"))
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of every row; ``fp`` holds the 64 bits as a signed long."""
+    """``(doc_id, content, fp)`` of every row; ``fp`` holds the 64 bits as a signed
+    long, ``content`` is a hash of the text itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(2)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["doc_id", "content", "fp"])
 
-    slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, fp long")
+    slim = docs.select(F.col(key).cast("long").alias("doc_id"), content_of(text).alias("content"), F.col(text).cast("string").alias("text"))
+    return slim.mapInArrow(run, "doc_id long, content long, fp long")
 
 
 def ball(radius: int) -> list[int]:
@@ -90,7 +95,11 @@ def links(distinct: DataFrame, max_distance: int = 2) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row of ``docs``."""
+    """``(doc_id, fp, component_id, content, root)`` for every row of ``docs``.
+
+    ``root`` is a component's least fingerprint: rows that share an id but not their
+    text may lie in several components, which ``root`` tells apart.
+    """
     prints = store(fingerprints(docs, key, text, shingle), "fingerprints")
     distinct = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = connected_components(links(distinct, max_distance))
@@ -99,22 +108,26 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # only linked fingerprints need the least id of their component
     linked = named.join(roots.select(F.col("root").alias("r")).distinct(), F.col("root") == F.col("r"), "left_semi")
     least = linked.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("least"))
-    classes = named.join(least, F.col("root") == F.col("r"), "left").select(F.col("fp").alias("f"), F.coalesce("least", "first").alias("component_id"))
+    classes = named.join(least, F.col("root") == F.col("r"), "left").select(F.col("fp").alias("f"), F.coalesce("least", "first").alias("component_id"), "root")
     classes = store(classes, "classes")
-    return prints.join(classes, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
+    return prints.join(classes, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id", "content", "root")
 
 
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def first_rows(docs: DataFrame, stays: DataFrame, column: str, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose ``key`` is in ``stays``, once each; rows without one stay.
+def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_distance: int = 2) -> DataFrame:
+    """Of every component the row with its least id; rows without an id all stay.
 
-    Rows that share an id differ only by their copies' order: the first of each
-    task and then of each id is kept, so a heavily repeated id is cut down before
-    the shuffle.
+    A row is known by its id and text, so rows of one id in several components are
+    judged each.  Of rows equal in both, one stays: the first of each task and then of
+    all, so a heavily repeated row is cut down before the shuffle.
     """
-    kept = docs.join(stays, F.col(key) == F.col(column), "left_semi")
-    once = kept.dropDuplicates([key])
-    return once.unionByName(docs.where(F.col(key).isNull()))
+    found = simhash_components(docs, key, text, shingle, max_distance)
+    least = found.where("doc_id = component_id").groupBy("root", "component_id").agg(F.min("content").alias("_stays_content"))
+    stays = least.select(F.col("component_id").alias("_stays_id"), "_stays_content").distinct()
+    named = docs.withColumn("_simhash_content", content_of(text))
+    same = (F.col(key).cast("long") == F.col("_stays_id")) & (F.col("_simhash_content") == F.col("_stays_content"))
+    once = named.join(stays, same, "left_semi").dropDuplicates([key, "_simhash_content"])
+    return once.unionByName(named.where(F.col(key).isNull())).drop("_simhash_content")

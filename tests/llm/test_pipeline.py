@@ -48,6 +48,13 @@ def test_repeated_and_nameless_rows_in_dedup(spark, edges):
     assert sorted(i for i in ids if i is not None) == [9001, 9004, 9005, 9006, 9007, 9008, 9009, 9010] and ids.count(None) == 2
 
 
+def test_one_id_with_several_texts_in_dedup(spark):
+    other = "entirely different words make up this second text of the very same number"
+    rows = [(1, "first text of one that nothing else is like at all"), (1, other), (1, other), (2, other)]
+    out = corpus_pipeline.dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(map(tuple, out.collect())) == [(1, other), rows[0]]
+
+
 def test_texts_are_masked(steps):
     before = {r.doc_id: r.text for r in steps["simhash_dedup"].collect()}
     after = {r.doc_id: r for r in steps["pii"].collect()}
