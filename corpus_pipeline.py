@@ -9,7 +9,6 @@ folder and read back as the next one's input.  SQL cannot express the fitted sta
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from keelson.llm import mixing, packing, pii, quality, simhash
 from keelson.llm.common import store, table
@@ -28,9 +27,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without an id are kept as they stand: no id tells them apart.
     """
-    found = simhash.simhash_components(docs)
-    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
-    return simhash.first_rows(docs, stays, "_stays")
+    return simhash.first_of_each(docs)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
