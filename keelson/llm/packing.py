@@ -17,7 +17,9 @@ Sequences hold exactly ``length`` tokens.  What is left at the end of a group
 is cut into sequences whose lengths are powers of two, so no token is padding.
 
 Scale: token ids are stored and shuffled once, 2 bytes an id; a group's memory is
-bounded by ``group_tokens`` and its longest document, whatever the hot source.
+bounded by ``group_tokens`` and its longest document, whatever the hot source.  Rows
+that repeat in id, source and text share a hash; where their tokens exceed a bucket's
+share they are dealt by their place in the stored tokens as well.
 
 Defined results: a null or empty text is the end token alone; a null source is a
 source of its own; repeated rows are packed each; an empty table gives no rows.
@@ -142,6 +144,21 @@ def pack_group(p: Packing):
     return run
 
 
+def spread(made: DataFrame, p: Packing) -> DataFrame:
+    """``made`` with ``salt``: the place of a row whose repeats fill more than a bucket's
+    tokens, else one number.  Such contents are fewer than buckets of the corpus."""
+    repeats = made.groupBy("source", "h").agg(F.sum("n").alias("m"), F.count(F.lit(1)).alias("c"))
+    hot = repeats.where((F.col("c") > 1) & (F.col("m") > p.group_tokens / p.buckets))
+    hot = store(hot.select(F.col("source").alias("s"), F.col("h").alias("g")), "token-repeats")
+    n = hot.count()
+    if not n:
+        return made.withColumn("salt", F.lit(7).cast("long"))
+    if n <= p.broadcast_rows:
+        hot = F.broadcast(hot)
+    met = made.join(hot, F.col("source").eqNullSafe(F.col("s")) & (F.col("h") == F.col("g")), "left")
+    return met.withColumn("salt", F.when(F.col("g").isNotNull(), F.col("place")).otherwise(7)).drop("s", "g")
+
+
 def pack(docs: DataFrame, ranks: bytes, packing: Packing | None = None, weights: dict[str | None, float] | None = None) -> DataFrame:
     """Pieces of all documents: see ``PIECES``.  ``ranks`` is the vocabulary file.
 
@@ -149,11 +166,11 @@ def pack(docs: DataFrame, ranks: bytes, packing: Packing | None = None, weights:
     need not sum to one; a source that is not named counts as 0 and is packed last.
     """
     p = packing or Packing()
-    made = store(tokens(docs, ranks, p.end), "tokens")
+    made = store(tokens(docs, ranks, p.end).withColumn("place", F.monotonically_increasing_id()), "tokens")
     total = made.agg(F.sum("n")).first()[0] or 0
     groups = max(1, round(total / p.group_tokens))
     buckets = p.buckets * groups
-    made = made.withColumn("bucket", F.pmod(F.xxhash64("h", F.lit(7)), F.lit(buckets)))
+    made = spread(made, p).withColumn("bucket", F.pmod(F.xxhash64("h", "salt"), F.lit(buckets)))
     cells = store(made.groupBy("source", "bucket").agg(F.sum("n").alias("n")), "token-cells")
     by_source = cells.groupBy(F.col("source").alias("s")).agg(F.sum("n").alias("all"))
     # a bucket goes where the middle of its tokens lies on its source's line

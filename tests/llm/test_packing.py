@@ -103,6 +103,17 @@ def test_given_weights_lead(spark):
     assert share["a"] == pytest.approx(0.8, abs=0.05)
 
 
+def test_a_row_that_fills_a_third_of_the_table_is_dealt_to_many_groups(spark):
+    rows = [(i, "b", f"word{i} " * 20) for i in range(600)] + [(-1, "a", "again " * 30)] * 1200
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    size = packing.Packing(length=64, window=4, least=8, group_tokens=10_000)
+    out = packing.pack(df, bpe_ranks(), size).toPandas()
+    groups = out.assign(group=out.sequence_id // 2**32).groupby("group").length.sum()
+    assert len(groups) > 4 and groups.max() < 2 * size.group_tokens
+    again = out[out.doc_id == -1]
+    assert again.length.sum() == 1200 * again.doc_tokens.iloc[0]
+
+
 def test_empty_table_and_extra_columns(none, edges):
     assert packing.pack(none, bpe_ranks()).isEmpty()
     assert packing.pack(edges, bpe_ranks()).select("doc_id").distinct().count() == 11
