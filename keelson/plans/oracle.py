@@ -169,6 +169,9 @@ CTES["scd2_products"] = ("SELECT product_id, product_name, category, price, vali
 CTES["scd2_products_odd_x"] = _scd2_bulk("stg_products_odd", "product_id",
                                          ["product_name", "category", "price"],
                                          "CAST(batch_key || '-01' AS DATE)", null_safe=True)
+for _e in ("customers", "products"):  # the rows each batch and all before it staged
+    CTES[f"{_e}_upto"] = (f"SELECT s.*, b.upto FROM stg_{_e} s JOIN (SELECT DISTINCT batch_key AS upto "
+                          "FROM stg_customers) b ON s.batch_key <= b.upto")
 CTES["cur_customers"] = "SELECT * FROM scd2_customers WHERE is_current"
 CTES["cur_products"] = "SELECT * FROM scd2_products WHERE is_current"
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from keelson.operators import marts
 from keelson.plans import flows
 from keelson.plans.oracle import AS_OF_SQL, with_ctes
+from keelson.plans.oracle import _scd2_bulk as _scd2_bulk_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -214,9 +215,10 @@ def q_bronze_products_stored(spark, sf):
 SELECT DISTINCT batch_key FROM bronze_customers
 WHERE batch_key > '{stored.WAVE_SPLIT}'""")
 def q_pending_batches(spark, sf):
-    """Batch keys pending after the second wave landed (before applying)."""
-    run = stored.staged_run(spark, sf)
-    return spark.createDataFrame([(b,) for b in run["pending"]], "batch_key string")
+    """Batch keys that the second wave's Silver run found pending (run log)."""
+    log = stored.staged_run(spark, sf)["wh"].run_log().where("item = 'pending'")
+    newest = log.agg(F.max("at").alias("at"))
+    return log.join(newest, "at", "left_semi").select(F.col("name").alias("batch_key"))
 
 
 @register("q_batches", """
@@ -243,16 +245,17 @@ UNION ALL SELECT 'ingested_on_rerun', CAST(0 AS BIGINT)
 UNION ALL SELECT 'dim_customers_versions', COUNT(*) FROM scd2_customers
 UNION ALL SELECT 'dim_products_versions', COUNT(*) FROM scd2_products""")
 def q_pipeline_rerun_noop(spark, sf):
-    run = stored.full_run(spark, sf)
-    wh = run["wh"]
-    again = run["again"]
-    rows = [("applied_on_rerun", len(again["silver"]["applied"])),
-            ("ingested_on_rerun", sum(again["ingested"].values()))]
-    small = spark.createDataFrame(rows, "item string, n bigint")
+    """What the run log holds of the second run, and the dimensions' sizes."""
+    wh = stored.full_run(spark, sf)["wh"]
+    log = wh.run_log()
+    applied = (log.where("item = 'batches' and name = 'applied'")
+               .agg(F.max_by("n", "at").alias("n")).select(F.lit("applied_on_rerun").alias("item"), "n"))
+    ingested = (log.where("item = 'ingested'").groupBy("name").agg(F.max_by("n", "at").alias("n"))
+                .agg(F.sum("n").alias("n")).select(F.lit("ingested_on_rerun").alias("item"), "n"))
     dims = [wh.dim2(e).agg(F.count(F.lit(1)).alias("n"))
               .select(F.lit(f"dim_{e}_versions").alias("item"), "n")
             for e in ("customers", "products")]
-    return small.unionByName(dims[0]).unionByName(dims[1])
+    return applied.unionByName(ingested).unionByName(dims[0]).unionByName(dims[1])
 
 
 _GOLD_COUNTS = {
@@ -293,11 +296,9 @@ def q_row_counts(spark, sf):
     if t.startswith(("bronze", "gold")) or t == "silver_fact_orders"))
 def q_observed_counts(spark, sf):
     """Rows written, as observed during the writes themselves (no recount)."""
-    first = stored.full_run(spark, sf)["first"]
-    rows = [(f"bronze_raw_{e}", n) for e, n in first["ingested"].items()]
-    rows.append(("silver_fact_orders", first["silver"]["fact_rows"]))
-    rows += list(first["gold"].items())
-    return spark.createDataFrame(rows, "table_name string, rows_written bigint")
+    log = stored.full_run(spark, sf)["wh"].run_log()
+    return (log.where(F.col("item").isin("ingested", "fact", "gold"))
+            .groupBy(F.col("name").alias("table_name")).agg(F.sum("n").alias("rows_written")))
 
 
 @register("q_table_roundtrip", """
@@ -326,6 +327,62 @@ def q_table_roundtrip(spark, sf):
     return _r2(spark.table(name), "total_amount")
 
 
+_AFTER_SQL = f"""
+SELECT 'customers' AS dim, upto AS batch_key, CAST(customer_id AS VARCHAR) AS id, city AS attribute,
+       valid_from, valid_to, is_current FROM ({_scd2_bulk_sql("customers_upto", "customer_id, upto",
+       ["name", "city"], "event_date")}) c
+UNION ALL
+SELECT 'products', upto, product_id, category, valid_from, valid_to, is_current
+FROM ({_scd2_bulk_sql("products_upto", "product_id, upto", ["product_name", "category", "price"],
+       "CAST(batch_key || '-01' AS DATE)")}) p
+UNION ALL
+SELECT 'customers_type1', upto, CAST(customer_id AS VARCHAR), city, event_date, NULL, TRUE
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id, upto ORDER BY batch_key DESC) AS rn
+      FROM customers_upto) t WHERE rn = 1"""
+
+
+@register("q_dim_after_each_batch", _AFTER_SQL)
+def q_dim_after_each_batch(spark, sf):
+    """The state of all three dimensions after each of the batches, of which
+    the first were applied in one bulk commit and the others folded."""
+    from functools import reduce
+    wh = stored.staged_run(spark, sf)["wh"]
+    parts = []
+    for bk in wh.committed():
+        at = F.lit(bk).alias("batch_key")
+        for e, key, attr in (("customers", "customer_id", "city"),
+                             ("products", "product_id", "category")):
+            parts.append(wh.dim2(e, bk).select(
+                F.lit(e).alias("dim"), at, F.col(key).cast("string").alias("id"),
+                F.col(attr).alias("attribute"), "valid_from", "valid_to", "is_current"))
+        parts.append(wh.dim1(bk).select(
+            F.lit("customers_type1").alias("dim"), at, F.col("customer_id").cast("string").alias("id"),
+            F.col("city").alias("attribute"), F.col("update_date").alias("valid_from"),
+            F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("q_scd2_after_stops", """
+SELECT 'customers' AS dim, CAST(customer_id AS VARCHAR) AS id, city AS attribute, valid_from,
+       valid_to, is_current FROM scd2_customers
+UNION ALL
+SELECT 'products', product_id, category, valid_from, valid_to, is_current FROM scd2_products""")
+def q_scd2_after_stops(spark, sf):
+    """Both Type 2 dimensions after runs that stopped in every step and were rerun."""
+    wh = stored.stopped_run(spark, sf)["wh"]
+    each = [wh.dim2(e).select(F.lit(e).alias("dim"), F.col(k).cast("string").alias("id"),
+                              F.col(a).alias("attribute"), "valid_from", "valid_to", "is_current")
+            for e, k, a in (("customers", "customer_id", "city"),
+                            ("products", "product_id", "category"))]
+    return each[0].unionByName(each[1])
+
+
+@register("q_fact_orders_after_stops", "SELECT * FROM fact_orders")
+def q_fact_orders_after_stops(spark, sf):
+    """The fact after runs that stopped while rewriting it and were rerun."""
+    return stored.stopped_run(spark, sf)["wh"].fact()
+
+
 # ------------------------------------------------------------ validation --
 
 def _broken(dim_sql: str) -> str:

@@ -9,6 +9,10 @@ ingested, listed as pending, and folded batch by batch on top (versions
 stored bucketed by key); a last ingest finds nothing new.  Together they exercise exactly-once pick-up,
 bulk and fold on one history, and the commit log.
 
+``stopped_run``: as ``staged_run``, but the process "dies" once in every step
+(before a bulk commit, while the fact is rewritten, before a folded batch's
+commit, before a mart's build is logged) and the step is run again.
+
 Runs are kept per session and input folder, as several queries read the
 same warehouse.  Everything is written under the session's shared folder.
 """
@@ -73,3 +77,63 @@ def staged_run(spark: SparkSession, sf_dir: str) -> dict:
     _RUNS[k] = {"wh": wh, "ingested": [wave1, wave2, wave3], "pending": pending,
                 "silver": [silver1, silver2]}
     return _RUNS[k]
+
+
+class _Stop(Exception):
+    pass
+
+
+class _StoppingWarehouse(Warehouse):
+    """Stops once at the named step, just before it would be recorded."""
+
+    stop: str | None = None
+
+    def _reach(self, step: str) -> None:
+        if self.stop == step:
+            self.stop = None
+            raise _Stop(step)
+
+    def _commit(self, bks):
+        self._reach("commit")
+        super()._commit(bks)
+
+    def _log_fact(self, phase, upto):
+        if phase == "done":
+            self._reach("fact")
+        super()._log_fact(phase, upto)
+
+    def _log_gold(self, phase, state, counts):
+        if phase == "done":
+            self._reach("gold")
+        super()._log_gold(phase, state, counts)
+
+
+def stopped_run(spark: SparkSession, sf_dir: str) -> dict:
+    k = _key(spark, sf_dir, "stopped")
+    if k in _RUNS:
+        return _RUNS[k]
+    root = scratch_path(spark, "wh-stopped")
+    landing = f"{root}/landing"
+    wh = _StoppingWarehouse(spark, f"{root}/warehouse")
+    stops = []
+
+    def attempt(step: str, job) -> None:
+        wh.stop = step
+        try:
+            job()
+        except _Stop:
+            stops.append(step)
+
+    raw = {e: flows.bronze(spark, sf_dir, e) for e in ("customers", "products", "orders")}
+    early = F.col("batch_key") <= F.lit(WAVE_SPLIT)
+    for part, mode in ((early, "bulk"), (~early, "fold")):
+        for e, df in raw.items():
+            land(df.where(part).drop("batch_key"), landing, e)
+        wh.ingest(landing)
+        attempt("commit", lambda: wh.run_silver(mode=mode))  # noqa: B023  run at once
+        attempt("fact", lambda: wh.run_silver(mode=mode))  # noqa: B023
+        wh.run_silver(mode=mode)
+        attempt("gold", lambda: wh.run_gold(as_of=flows.AS_OF))
+        wh.run_gold(as_of=flows.AS_OF)
+    _RUNS[k] = {"wh": wh, "stops": stops}
+    return _RUNS[k]

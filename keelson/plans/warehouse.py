@@ -11,6 +11,7 @@ session's ``spark.checkpoint.dir`` or a table bucket):
     silver/silver_batch_control/                                  (commit log)
     silver/silver_refused_batches/                (batches that came too late)
     silver/_fact_log/, silver/_fact_stage/, silver/_bucket_log/   (build logs)
+    silver/_run_log/                              (what each step read and wrote)
     gold/gold_<mart>/, gold/_gold_log/
 
 A Type 2 dimension is stored as *closed* versions, appended under the batch
@@ -94,6 +95,7 @@ class Warehouse:
         self.null_safe = null_safe
         self.batch_source = batch_source  # "customers" (as the reference) or "both"
         self._found_upto = None  # newest ingestion time seen by the last ``pending``
+        self._staged: list[tuple] = []  # rows of the run log not yet written
 
     # ------------------------------------------------------------ paths ---
     def path(self, table: str) -> str:
@@ -128,7 +130,26 @@ class Warehouse:
                                          self.path(f"bronze_raw_{e}"),
                                          f"{self.root}/_streams/{e}", EXT[e], ingest_ts,
                                          self.max_files_per_trigger)
-        return dict(zip(ENTITIES, _concurrently(*[one(e) for e in ENTITIES])))
+        counts = dict(zip(ENTITIES, _concurrently(*[one(e) for e in ENTITIES])))
+        self._log_run([("ingested", f"bronze_raw_{e}", n) for e, n in counts.items()])
+        return counts
+
+    def run_log(self) -> DataFrame:
+        """What each finished step did: item, name, n, at.  Items: ``ingested``
+        (rows per Bronze table), ``pending``, ``applied``, ``refused`` (one row
+        per batch key), ``staged`` (rows per table and batches), ``fact`` and
+        ``gold`` (rows written), ``batches`` (a Silver run's batch counts).
+        Rows of one step share ``at``; a step that stopped half way logs nothing."""
+        p = f"{self.root}/silver/_run_log"
+        schema = "item string, name string, n bigint, at timestamp"
+        if not self._exists(p):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(p)
+
+    def _log_run(self, rows: list[tuple]) -> None:
+        df = self.spark.createDataFrame(rows, "item string, name string, n bigint")
+        append_path(df.coalesce(1).withColumn("at", F.current_timestamp()),
+                    f"{self.root}/silver/_run_log")
 
     def bronze(self, entity: str) -> DataFrame:
         return self._read(f"bronze_raw_{entity}")
@@ -249,17 +270,40 @@ class Warehouse:
         bk = bk or self.last_committed()
         return self._at(f"silver_stg_{entity}", bk).drop("batch_key")
 
-    def _check_snapshot(self, bk: str | None) -> None:
-        """Only the newest batch of a bulk commit has a state of its own."""
-        if bk and not self._exists(f"{self.path('silver_dim_customers_type1')}/batch_key={bk}"):
-            raise ValueError(f"no state is stored for batch {bk}: it was not applied, or "
-                             "together with later ones (bulk); fold keeps every state")
+    def _base_of(self, bk: str) -> tuple[str | None, list[str]]:
+        """The newest committed batch up to ``bk`` that has a stored state, and
+        the committed batches from there to ``bk``: empty for a folded batch,
+        those applied together for one inside a bulk commit."""
+        done = self.committed()
+        if bk not in done:
+            raise ValueError(f"batch {bk} is not committed")
+        after: list[str] = []
+        for b in reversed([b for b in done if b <= bk]):
+            if self._exists(f"{self.path('silver_dim_customers_type1')}/batch_key={b}"):
+                return b, after
+            after.insert(0, b)
+        return None, after
+
+    def _stg_of(self, entity: str, bks: list[str]) -> DataFrame:
+        return self._read(f"silver_stg_{entity}", with_batch=True) \
+                   .where(F.col("batch_key").isin(bks))
 
     def dim1(self, bk: str | None = None) -> DataFrame:
-        """Type 1 rows as of batch ``bk`` (an error if it has no own state)."""
-        self._check_snapshot(bk)
-        bk = bk or self.last_committed()
-        return self._at("silver_dim_customers_type1", bk).drop("batch_key")
+        """Type 1 rows as of batch ``bk``; inside a bulk commit they are
+        computed from the stored state before it and the staged batches."""
+        if not bk:
+            return self._at("silver_dim_customers_type1", self.last_committed()).drop("batch_key")
+        base, after = self._base_of(bk)
+        prior = self._at("silver_dim_customers_type1", base).drop("batch_key")
+        return self._type1_after(prior, base, self._stg_of("customers", after)) if after else prior
+
+    @staticmethod
+    def _type1_after(prior: DataFrame, last: str | None, stg: DataFrame) -> DataFrame:
+        """Type 1: the latest row per key of the earlier state and the batches."""
+        inp = prior.select("customer_id", "name", "city", F.col("update_date").alias("event_date"),
+                           F.lit(last or "").alias("batch_key")) \
+            .unionByName(stg.select("customer_id", "name", "city", "event_date", "batch_key"))
+        return scd.scd1_bulk(inp, "customer_id", ["name", "city"], "event_date")
 
     def _open_versions(self, entity: str, bk: str | None) -> DataFrame:
         if not bk:
@@ -310,25 +354,43 @@ class Warehouse:
                 .withColumn("batch_key", F.lit(bk)))
 
     def dim2(self, entity: str, bk: str | None = None) -> DataFrame:
-        """Committed versions of a Type 2 dimension as of batch ``bk`` (an
-        error if it has no own state)."""
-        self._check_snapshot(bk)
+        """Committed versions of a Type 2 dimension as of batch ``bk``.
+
+        A batch inside a bulk commit has no folder of open versions: its state
+        is the stored one before the commit, with the staged batches up to
+        ``bk`` applied in one pass (exact, as the commit itself was)."""
+        if bk:
+            base, after = self._base_of(bk)
+            if after:
+                spec = SCD2_SPECS[entity]
+                inp = self._bulk_input(entity, base, self._stg_of(entity, after))
+                later = scd.scd2_bulk(inp, spec["key"], spec["tracked"], F.col("__eff"),
+                                      self.null_safe)
+                return self._closed_upto(entity, base).unionByName(later)
         bk = bk or self.last_committed()
+        now = self._at_state(entity, bk).where("is_current").drop("batch_key")
+        return self._closed_upto(entity, bk).unionByName(now)
+
+    def _at_state(self, entity: str, bk: str | None) -> DataFrame:
         d = self._read(DIM2[entity], with_batch=True)
-        if not bk:
-            return d.where(F.lit(False)).drop("batch_key")
-        keep = (((F.col("batch_key") == F.lit(bk)) & F.col("is_current"))
-                | ((F.col("batch_key") <= F.lit(bk)) & ~F.col("is_current")))
-        return d.where(keep).drop("batch_key")
+        return d.where(F.col("batch_key") == F.lit(bk) if bk else F.lit(False))
+
+    def _closed_upto(self, entity: str, bk: str | None) -> DataFrame:
+        """Versions that batches up to ``bk`` closed (partition filters)."""
+        d = self._read(DIM2[entity], with_batch=True)
+        upto = F.col("batch_key") <= F.lit(bk) if bk else F.lit(False)
+        return d.where(upto & ~F.col("is_current")).drop("batch_key")
 
     def _write_stg(self, entity: str, bks: list[str]) -> DataFrame:
         clean = cleanse.clean_customers if entity == "customers" else cleanse.clean_products
         raw = self.bronze(entity).where(F.col("batch_key").isin(bks))
         p = self.path(f"silver_stg_{entity}")
         if len(bks) == 1:
-            overwrite_path(clean(raw).drop("batch_key"), f"{p}/batch_key={bks[0]}")
+            n = overwrite_path(clean(raw).drop("batch_key"), f"{p}/batch_key={bks[0]}")
+            self._staged.append(("staged", f"silver_stg_{entity}/{bks[0]}", n))
             return self._folder(f"silver_stg_{entity}", batch_key=bks[0])
-        overwrite_path(clean(raw), p, ["batch_key"], dynamic=True, rebalance=True)
+        n = overwrite_path(clean(raw), p, ["batch_key"], dynamic=True, rebalance=True)
+        self._staged.append(("staged", f"silver_stg_{entity}/{bks[0]}..{bks[-1]}", n))
         return self._read(f"silver_stg_{entity}", with_batch=True) \
                    .where(F.col("batch_key").isin(bks))
 
@@ -411,14 +473,8 @@ class Warehouse:
 
         def customers():
             sc = self._write_stg("customers", bks)
-            # Type 1: the latest row per key over the previous snapshot and the batches
-            prior1 = (self.dim1(last) if last else self._at("silver_dim_customers_type1", None)
-                      .drop("batch_key"))
-            inp1 = prior1.select("customer_id", "name", "city",
-                                 F.col("update_date").alias("event_date"),
-                                 F.lit(last or "").alias("batch_key")) \
-                .unionByName(sc.select("customer_id", "name", "city", "event_date", "batch_key"))
-            overwrite_path(scd.scd1_bulk(inp1, "customer_id", ["name", "city"], "event_date"),
+            prior1 = self._at("silver_dim_customers_type1", last).drop("batch_key")
+            overwrite_path(self._type1_after(prior1, last, sc),
                            f"{self.path('silver_dim_customers_type1')}/batch_key={newest}")
             self._bulk_dim2("customers", last, newest, sc)
 
@@ -486,6 +542,11 @@ class Warehouse:
                 used = "fold"
         self._advance_discovery(found)
         facts = self.build_fact()
+        self._log_run([("pending", b, 1) for b in found] + [("applied", b, 1) for b in pend]
+                      + [("refused", b, 1) for b in refused] + self._staged
+                      + [("fact", "silver_fact_orders", facts), ("batches", "pending", len(found)),
+                         ("batches", "applied", len(pend)), ("batches", "refused", len(refused))])
+        self._staged = []
         return {"applied": pend, "refused": refused, "mode": used, "fact_rows": facts}
 
     def _fact_log(self) -> DataFrame:
@@ -647,6 +708,7 @@ class Warehouse:
                                               self.path(n)))(n) for n in names])
         built = dict(zip(names, counts))
         self._log_gold("done", state, built)
+        self._log_run([("gold", n, c) for n, c in built.items()])
         return built
 
     # ---------------------------------------------------------- readers ---

@@ -55,7 +55,10 @@ def test_pure_query_matches_oracle(spark, sf, con, name):
 @pytest.mark.parametrize("name", ["q_scd2_customers", "q_scd2_products_mixed",
                                   "q_fact_orders_incremental", "q_row_counts",
                                   "q_ingest_incremental", "q_orphan_orders",
-                                  "q_ingest_unread_files"])
+                                  "q_ingest_unread_files", "q_pending_batches",
+                                  "q_pipeline_rerun_noop", "q_observed_counts",
+                                  "q_dim_after_each_batch", "q_scd2_after_stops",
+                                  "q_fact_orders_after_stops"])
 def test_stored_query_matches_oracle(spark, sf, con, name):
     df = E.queries()[name](spark, sf)
     res = con.execute(E.oracle_sql()[name])

@@ -438,7 +438,7 @@ def test_bulk_rerun_after_a_stop_starts_clean(spark, tmp_path):
     assert _dims(wh) == _dims(clean) and clean.dim2("customers").count() == 1
 
 
-def test_states_inside_a_bulk_commit_are_refused(spark, tmp_path):
+def test_states_inside_a_bulk_commit_equal_the_fold(spark, tmp_path):
     land = str(tmp_path / "landing")
     for m, city in ((1, "x"), (2, "y"), (3, "z")):
         write_customers(land, f"customers_2026-0{m}.json", [("1", "Ann", city, f"2026-0{m}-02")])
@@ -447,12 +447,43 @@ def test_states_inside_a_bulk_commit_are_refused(spark, tmp_path):
     for wh, mode in ((bulk, "bulk"), (fold, "fold")):
         wh.ingest(land)
         wh.run_silver(mode=mode)
-    for state in (lambda bk: bulk.dim2("customers", bk), bulk.dim1):
-        with pytest.raises(ValueError, match="no state"):
-            state("2026-01")
-    assert bulk.dim2("customers", "2026-03").count() == fold.dim2("customers", "2026-03").count() == 3
-    assert [fold.dim2("customers", f"2026-0{m}").count() for m in (1, 2)] == [1, 2]
-    assert fold.dim1("2026-02").first().city == "y"
+    for m in (1, 2, 3):
+        bk = f"2026-0{m}"
+        assert rows(bulk.dim1(bk), "city", "update_date") == rows(fold.dim1(bk), "city", "update_date")
+        for e in ("customers", "products"):
+            cols = bulk.dim2(e).columns
+            assert _text(bulk.dim2(e, bk), cols) == _text(fold.dim2(e, bk), cols)
+        assert bulk.dim2("customers", bk).count() == m
+    with pytest.raises(ValueError, match="not committed"):
+        bulk.dim2("customers", "2026-04")
+    # a second backlog on top of the first: states inside it start from the first
+    for m, city in ((4, "x"), (5, "y")):
+        write_customers(land, f"customers_2026-0{m}.json", [("1", "Ann", city, f"2026-0{m}-02"),
+                                                            ("2", "Bob", city, f"2026-0{m}-03")])
+    for wh, mode in ((bulk, "bulk"), (fold, "fold")):
+        wh.ingest(land)
+        wh.run_silver(mode=mode)
+    for m in range(1, 6):
+        bk, cols = f"2026-0{m}", bulk.dim2("customers").columns
+        assert rows(bulk.dim1(bk), "customer_id", "city") == rows(fold.dim1(bk), "customer_id", "city")
+        assert _text(bulk.dim2("customers", bk), cols) == _text(fold.dim2("customers", bk), cols)
+
+
+def _text(df, cols):
+    return sorted(repr(r) for r in df.select(*cols).collect())
+
+
+def test_run_log_holds_what_each_step_did(spark, tmp_path):
+    land = _landing(tmp_path)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    assert wh.run_log().isEmpty()
+    wh.run(land, as_of="2026-03-01")
+    got = {(r.item, r.name): r.n for r in wh.run_log().collect()}
+    assert got[("ingested", "bronze_raw_customers")] == 2 and got[("pending", "2026-01")] == 1
+    assert got[("staged", "silver_stg_customers/2026-01")] == 2
+    assert got[("fact", "silver_fact_orders")] == 2 and got[("gold", "gold_agg_sales_by_city")] == 1
+    wh.run(land, as_of="2026-03-01")
+    assert rows(wh.run_log().where("item = 'applied'"), "name") == [("2026-01",)]
 
 
 def test_bulk_is_refused_where_it_differs_from_the_fold(spark, tmp_path):
