@@ -738,25 +738,54 @@ class Warehouse:
              "gold_agg_sales_by_category", "gold_ranking_customers")
 
     def register_catalog(self, db_prefix: str = "keelson") -> list[str]:
-        """Declare the tables in the session catalog: the plain ones (fact,
-        control, gold) as Parquet tables over their folders (``CREATE TABLE
-        IF NOT EXISTS .. LOCATION``, partitions recovered), the batch-versioned
-        ones as temp views of their committed content."""
+        """Declare every table that has been written in the session's catalog,
+        for any session that shares it.
+
+        Fact, control and gold are Parquet tables over their folders.  Bronze is
+        declared as ``<name>_files`` (read through the stream sink's own log, so
+        partition columns come as strings) and the tables kept per batch as
+        ``<name>_batches``; under their own name there is a stored view of
+        their typed, committed content.  Partitions are recovered here: call it
+        again after new batches (a session that read the tables before must
+        refresh them)."""
         from keelson.sinks.tables import ensure_table
         names = []
-        for name in self.PLAIN:
+        control = f"{db_prefix}_silver.silver_batch_control"
+        newest = f"(SELECT MAX(batch_key) FROM {control})"
+        for name, (schema, parts) in TABLES.items():
             if not self._exists(self.path(name)):
                 continue
-            schema, parts = TABLES[name]
             full = f"{db_prefix}_{name.split('_', 1)[0]}.{name}"
-            ensure_table(self.spark, full, schema, parts, self.path(name))
-            if parts:
-                self.spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
             names.append(full)
-        for name in TABLES:
-            if name not in self.PLAIN:
-                self.table(name).createOrReplaceTempView(name)
-                names.append(name)
+            if name.startswith("bronze_"):
+                from pyspark.sql import types as T
+                as_read = T.StructType([T.StructField(f.name, T.StringType() if f.name in parts
+                                                      else f.dataType) for f in schema.fields])
+                ensure_table(self.spark, f"{full}_files", as_read, [], self.path(name))
+                self.spark.catalog.refreshTable(f"{full}_files")
+                cols = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+                                 for f in schema.fields)
+                self.spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {cols} FROM {full}_files")
+                continue
+            if name in self.PLAIN:
+                ensure_table(self.spark, full, schema, parts, self.path(name))
+                if parts:
+                    self.spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+                self.spark.catalog.refreshTable(full)
+                continue
+            two = name in DIM2.values()
+            ensure_table(self.spark, f"{full}_batches", self._schema(name, with_batch=True),
+                         ["batch_key", "is_current"] if two else ["batch_key"], self.path(name))
+            self.spark.sql(f"ALTER TABLE {full}_batches RECOVER PARTITIONS")
+            self.spark.catalog.refreshTable(f"{full}_batches")
+            cols = ", ".join(c for c in schema.fieldNames() if c != "batch_key")
+            kept = f"batch_key = {newest}"
+            if two:
+                kept = f"({kept} AND is_current) OR (batch_key <= {newest} AND NOT is_current)"
+            ensure_table(self.spark, control, *TABLES["silver_batch_control"],
+                         self.path("silver_batch_control"))
+            self.spark.sql(f"CREATE OR REPLACE VIEW {full} AS "
+                           f"SELECT {cols} FROM {full}_batches WHERE {kept}")
         return names
 
     def ensure_control(self) -> None:
