@@ -38,7 +38,7 @@ def encoder(ranks: bytes):
 def token_ids(enc, text: str | None, end: int = 0) -> np.ndarray:
     """Ids of a whole text, then ``end``; the special token's string is that token."""
     t = (text or "").encode("utf-8", "replace").decode()
-    return np.array([*enc.encode(t, allowed_special="all"), end], dtype=np.uint32)
+    return np.append(enc.encode_to_numpy(t, allowed_special="all"), np.uint32(end))
 
 
 def encode_batches(ranks: bytes, width: str, end: int = 0, rows: int = 256):
