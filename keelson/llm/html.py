@@ -5,8 +5,12 @@ adjusted by the share of link characters and link tags (menus and link lists
 come out low, running text high).  The densities of an element's children add up
 to its density sum, and the element with the greatest sum holds the article.  The
 least density on the path from the body to that element is the threshold: other
-subtrees that reach it (an article may be split) contribute their own
-greatest-sum element.
+subtrees that reach it (an article may be split) are taken as well.
+
+What is taken is taken whole.  Around the element with the greatest sum that is the
+``article`` or ``main`` it lies in; on pages without those, the highest ancestor in which
+no list of links (two links or more that make up most of a block) lies beside it.
+Other ``article`` elements that are no such lists, and an ``h1`` beside the path, are taken too.
 
 Elements that say themselves that they are no article text (scripts, forms, menus,
 sidebars, notices, adverts, reader comments ...) are left out of the tree first.
@@ -245,24 +249,60 @@ def blocks_of(root: Node) -> list[str]:
     return out
 
 
+def linked(chars: int, link_chars: int, link_tags: int) -> bool:
+    """Whether text is a menu or list of links: two links or more, most of its characters."""
+    return link_tags > 1 and 2 * link_chars > chars
+
+
+def holders(nodes: list[Node]) -> set[int]:
+    """``id`` of the nodes that are such lists or hold one."""
+    out: set[int] = set()
+    for n in reversed(nodes):
+        if linked(n.chars, n.link_chars, n.link_tags) or any(id(c) in out for c in n.children()):
+            out.add(id(n))
+    return out
+
+
+def whole(target: Node, path: list[Node], nodes: list[Node]) -> Node:
+    """The subtree that is the article: the outermost ``article`` around ``target``, else the
+    nearest ``main``, else the highest ancestor with no list of links beside the path."""
+    articles = [n for n in path if n.tag == "article"]
+    mains = [n for n in path if n.tag == "main"]
+    if articles or mains:
+        return articles[-1] if articles else mains[0]
+    lists, top = holders(nodes), target
+    for p in path[1:]:
+        kept = [c for c in p.children() if not c.skip]
+        own = [getattr(p, f) - sum(getattr(c, f) for c in kept) for f in ("chars", "link_chars", "link_tags")]
+        if linked(*own) or any(id(c) in lists for c in kept if c is not top):
+            break
+        top = p
+    return top
+
+
 def selected(nodes: list[Node]) -> list[Node]:
-    """The greatest-sum subtree, and others that reach the path's least density."""
+    """The article's subtree, and others that are articles as well, the page's title beside
+    the path or reach the path's least density.  Each is taken whole."""
     target = densest(nodes)
     path, n = [], target
     while n is not None:
         path.append(n)
         n = n.parent
     least = min(x.density for x in path)
-    chosen, todo = [], [nodes[0]]
+    top = whole(target, path, nodes)
+    chosen, todo = [], [(nodes[0], False)]
     on_path = set(map(id, path))
     while todo:
-        n = todo.pop()
-        if n is target:
+        n, below = todo.pop()  # below a subtree that is not taken only articles count
+        kept = [c for c in reversed(n.children()) if not c.skip]
+        if n is top:
             chosen.append(n)
         elif id(n) in on_path:
-            todo.extend(c for c in reversed(n.children()) if not c.skip)
-        elif n.density >= least and n.chars:
-            chosen.append(densest(in_order(n)) if n.children() else n)
+            todo.extend((c, False) for c in kept)
+        elif n.chars and ((n.density >= least and not below) or (n.tag in (("article",) if below else ("article", "h1")) and not linked(n.chars, n.link_chars, n.link_tags))):
+            chosen.append(n)
+        else:
+            todo.extend((c, True) for c in kept)
     return chosen
 
 

@@ -139,3 +139,27 @@ def test_given_pages(spark):
         blocks = re.sub(r"</?(?:p|h1)>", "\0", inner.replace("<br>", " "))
         want = [" ".join(unescape(re.sub("<[^>]*>", "", b)).split()) for b in blocks.split("\0")]
         assert html.extract(r.html) == "\n".join(filter(None, want))
+
+
+WORDS = [f"Sentence {i} of this text has some more words in it, so that it runs on for a good while." for i in range(10)]
+TEN = [f"<p>{w}</p>" for w in WORDS]
+MENU = "<div><ul>" + "".join(f"<li><a href='/{i}'>Linked words {i}</a></li>" for i in range(9)) + "</ul></div>"
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_articles_are_taken_whole(outer):
+    pages = [
+        f"<h1>A short title</h1><div>{''.join(TEN)}</div>",
+        f"<h1>A short title</h1><section>{''.join(TEN[:6])}</section><section>{''.join(TEN[6:])}</section>",
+        f"<h1>A short title</h1><section>{''.join(TEN[:9])}</section><section><div>{TEN[9]}</div></section>",
+    ]
+    for inner in pages:
+        want = ["A short title", *WORDS]
+        assert html.extract(f"<body>{MENU}<{outer}>{inner}</{outer}></body>").split("\n") == want
+        assert html.extract(f"<body><{outer}>{inner}</{outer}></body>").split("\n") == want
+
+
+def test_split_articles_and_titles_beside_lists():
+    split = f"<body>{MENU}<main><div><article>{''.join(TEN[:9])}</article></div><div><article>{TEN[9]}</article></div></main></body>"
+    assert html.extract(split).split("\n") == WORDS
+    assert html.extract(f"<body><h1>A short title</h1>{MENU}<div>{''.join(TEN)}</div></body>").split("\n") == ["A short title", *WORDS]
