@@ -13,7 +13,11 @@ no list of links (two links or more that make up most of a block) lies beside it
 Other ``article`` elements that are no such lists, and an ``h1`` beside the path, are taken too.
 
 Elements that say themselves that they are no article text (scripts, forms, menus,
-sidebars, notices, adverts, reader comments ...) are left out of the tree first.
+sidebars, notices, adverts, reader comments ...) are left out of the tree first: by their
+tag, role, or the first or last part of a class or id word, unless another part tells
+of a state (``has-sidebar``, ``comments-open``).  One that holds an ``article`` or ``main`` longer
+than every one outside such elements stays: the mark is a layout's, not a comment's or a teaser's.
+Optional end tags are implied in them as elsewhere.
 Inline marks are no nodes: their text belongs to the block around them.
 
 Defined results: null and empty pages, and pages without text, give an empty
@@ -36,10 +40,16 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("head title script style noscript template iframe object svg math canvas audio video map button select textarea input label datalist form nav menu aside footer header dialog".split())
 CLOSES_P = BLOCKS
+#: Dropped elements whose content is no markup of the page, and what ``head`` may hold.
+OPAQUE = frozenset("head title script style noscript template iframe object svg math select textarea".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title script style noscript template".split())
+BREAKS_OUT = BLOCKS - {"html", "head", "body"}
 SIBLINGS = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promoted cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription paywall sidebar menu nav navbar navigation breadcrumb breadcrumbs comment comments commentlist disqus replies respond related recommended share sharing social pagination pager masthead footer toolbar login signup".split()
 )
+#: Beside a noise word these tell of a page's state: ``has-sidebar``, ``comments-open``.
+STATES = frozenset("has have with no not without hide hidden show open opened closed on off enabled disabled".split())
 NOISE_NAMES = frozenset("header site-header page-header top-header site-footer page-footer skip-link search search-form".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
@@ -76,19 +86,22 @@ def is_noise(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) ->
             return True
         if name in ("class", "id"):
             for token in value.split():
-                if token in NOISE_NAMES or not NOISE_WORDS.isdisjoint(token.replace("_", "-").split("-")):
+                parts = [x for x in token.replace("_", "-").split("-") if x]
+                if token in NOISE_NAMES or (parts and (parts[0] in NOISE_WORDS or parts[-1] in NOISE_WORDS) and STATES.isdisjoint(parts)):
                     return True
     return False
 
 
 class TreeBuilder(HTMLParser):
-    """Block tree of a page; ``open`` holds the open blocks and dropped elements."""
+    """Block tree of a page; elements marked as no article text are nodes to be skipped."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("html", None)
         self.at = self.root
         self.link: Node | None = None  # the block in which a link is open
+        self.named: list[Node] = []  # article and main elements
+        self.inline: set[str] = set()  # tags of marked elements that are no blocks
 
     def _close(self, node: Node) -> None:
         """Close ``node`` and everything open in it."""
@@ -101,21 +114,38 @@ class TreeBuilder(HTMLParser):
             self.link = None
         self.at = node.parent or self.root
 
-    def _find(self, tags: str | tuple, stop: str = "") -> Node | None:
+    def _find(self, tags: str | tuple, stop: str = "", noise: bool = True) -> Node | None:
+        """The innermost open element of ``tags``, up to one of ``stop`` (or a skipped block)."""
         tags, stops = (tags.split() if isinstance(tags, str) else tags), stop.split()
         n = self.at
         while n is not None and n is not self.root:
             if n.tag in tags:
                 return n
-            if n.tag in stops or n.skip:
+            if n.tag in stops or (not noise and n.skip and n.tag in BLOCKS):
                 return None
             n = n.parent
         return None
 
+    def _opaque(self) -> bool:
+        return self.at.skip and self.at.tag in OPAQUE
+
+    def _leave_head(self) -> None:
+        if self.at.skip and self.at.tag == "head":
+            self._close(self.at)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ("html", "body"):
+        if tag == "body":
+            if (head := self._find(("head",))) is not None:
+                self._close(head)
             return
-        if self.at.skip:  # inside a dropped element only its own kind of tag matters
+        if tag == "html":
+            return
+        if self.at.tag == "head" and tag not in IN_HEAD:
+            self._leave_head()
+        if tag in BREAKS_OUT:  # a block ends a drawing or formula that was left open
+            while self._opaque() and self.at.tag in ("svg", "math"):
+                self._close(self.at)
+        if self._opaque() and not (self.at.tag == "head" and tag in IN_HEAD):  # only its own kind of tag matters
             if tag == self.at.tag and tag not in VOID:
                 self.at = self._child(tag, True)
             return
@@ -123,16 +153,22 @@ class TreeBuilder(HTMLParser):
             self._close(p)
         if tag in SIBLINGS:
             same, stop = SIBLINGS[tag]
-            while (n := self._find(same, stop)) is not None:
+            while (n := self._find(same, stop, False)) is not None:
                 self._close(n)
+        if tag == "a" and tag in self.inline and (n := self._find(("a",))) is not None:
+            self._close(n)
         noise = is_noise(tag, attrs, self._find("article main") is not None)
         if tag == "br" or tag in VOID:
             self.at.items.append(" ") if tag in ("br", "hr", "wbr") and tag != "wbr" else None
             return
         if noise:
             self.at = self._child(tag, True)
-        elif tag in BLOCKS:
+            if tag not in BLOCKS:
+                self.inline.add(tag)
+        elif tag in BLOCKS or (tag != "a" and tag in self.inline and self._find((tag,)) is not None):  # or inside a skipped one of its kind
             self.at = self._child(tag, False)
+            if tag in ("article", "main"):
+                self.named.append(self.at)
         elif tag == "a":
             self.link = self.at
             self.at.link_tags += 1
@@ -143,44 +179,57 @@ class TreeBuilder(HTMLParser):
         return node
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        if tag in VOID:
-            self.handle_starttag(tag, attrs)
-        else:  # a slash on another element is ignored, as browsers do
-            self.handle_starttag(tag, attrs)
+        if tag in ("svg", "math") or (self._opaque() and self.at.tag in ("svg", "math")):  # there a slash closes
+            return
+        self.handle_starttag(tag, attrs)  # a slash on another element is ignored, as browsers do
 
     def handle_endtag(self, tag: str) -> None:
-        if self.at.skip:
+        if self._opaque():
             if tag == self.at.tag:
                 self._close(self.at)
-            elif tag in ("body", "html", "article", "main"):
-                n = self.at
-                while n is not None and n.skip:
-                    n = n.parent
-                if n is not None and n is not self.root and self._open(tag):
-                    self.at = n
-                    self.handle_endtag(tag)
+            elif tag in ("head", "article", "main") and (n := self._find((tag,))) is not None:
+                self._close(n)
             return
         if tag == "a":
             self.link = None
-        elif tag in BLOCKS and (n := self._find((tag,))) is not None:
+        if (tag in BLOCKS or tag in self.inline) and (n := self._find((tag,))) is not None:
             self._close(n)
 
-    def _open(self, tag: str) -> bool:
-        n = self.at
-        while n is not None:
-            if n.tag == tag:
-                return True
-            n = n.parent
-        return False
-
     def handle_data(self, data: str) -> None:
-        if not self.at.skip:
+        if self.at.tag == "head" and data.strip():
+            self._leave_head()
+        if not self._opaque():
             self.at.items.append(data)
             n = len("".join(data.split()))
             self.at.chars += n
             if self.link is not None:
                 self.at.link_chars += n
 
+    def restore(self) -> None:
+        """Keep marked elements around the longest articles (see above)."""
+        if not self.named:
+            return
+        around = {}  # the skipped elements around each node
+        size: dict = {}
+        todo = [(self.root, None)]
+        order = []
+        while todo:
+            n, skipped = todo.pop()
+            skipped = n if n.skip else skipped
+            around[id(n)] = skipped
+            order.append(n)
+            todo.extend((c, skipped) for c in n.children())
+        for n in reversed(order):
+            size[id(n)] = n.chars + sum(size[id(c)] for c in n.children() if not c.skip)
+        clean = max((size[id(n)] for n in self.named if around[id(n)] is None), default=0)
+        for n in self.named:
+            if size[id(n)] > clean and around[id(n)] is not None:
+                p = n
+                while p is not None:
+                    if p.skip and p.tag not in OPAQUE:
+                        p.skip = False
+                    p = p.parent
+
 
 def in_order(root: Node) -> list[Node]:
     """Kept nodes, parents before children (no recursion: pages may nest deeply)."""
@@ -313,6 +362,7 @@ def extract(page: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(page)
     builder.close()
+    builder.restore()
     nodes = in_order(builder.root)
     weigh(nodes)
     return "\n".join(line for n in selected(nodes) for line in blocks_of(n))

@@ -163,3 +163,37 @@ def test_split_articles_and_titles_beside_lists():
     split = f"<body>{MENU}<main><div><article>{''.join(TEN[:9])}</article></div><div><article>{TEN[9]}</article></div></main></body>"
     assert html.extract(split).split("\n") == WORDS
     assert html.extract(f"<body><h1>A short title</h1>{MENU}<div>{''.join(TEN)}</div></body>").split("\n") == ["A short title", *WORDS]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><div class='site has-sidebar'><article>{0}</article></div></body>",
+        "<body class='no-sidebar'><div class=layout-no-sidebar><article>{0}</article></div></body>",
+        "<body><div class='content with-menu'><div>{0}</div></div></body>",
+        "<body><div class='post comments-open'><div>{0}</div></div></body>",
+        "<body><div class=menu><article>{0}</article></div></body>",
+        "<body><form><div class='page sidebar'><main>{0}</main></div></form></body>",
+        "<html><head><title>t</title><body><article>{0}</article></body></html>",
+        "<html><head><title>t</title><article>{0}</article></html>",
+        "<head><meta charset=utf-8><script>var a = '<p>';</script><noscript><p>no</p></noscript><div>{0}</div>",
+        "<body><p class=notice>A notice<div>{0}</div></body>",
+        "<body><div><ul><li class=notice>A notice</ul>{0}</div></body>",
+        "<body><div><div><nav>Menu</div>{0}</div></body>",
+        "<body><div><span class=share>Share <span>it</span> now</span>{0}</div></body>",
+        "<body><div><p><svg><path d=x><div>{0}</div></body>",
+    ],
+)
+def test_marks_and_open_ends_lose_no_article(page):
+    assert html.extract(page.format("".join(TEN))).split("\n") == WORDS
+
+
+def test_items_after_a_marked_one_stay():
+    table = "<table><tr><td class=ad>An advert<td>one<tr><td>two<dl></table><dl><dt class=promo>A<dd>three</dl><ul><li class=notice>B<li>four</ul>"
+    assert html.extract(table) == "one\ntwo\nthree\nfour"
+
+
+def test_comments_and_teasers_are_left_out_though_they_are_articles():
+    for mark in ("comments", "related", "sidebar", "post-comments", "cookie-notice"):
+        page = f"<body><article>{''.join(TEN)}</article><div class={mark}><article><p>{WORDS[0]}</p></article></div></body>"
+        assert html.extract(page).split("\n") == WORDS
