@@ -201,8 +201,9 @@ def written(spans: Column) -> Column:
 def masked(text: Column, spans: Column, block: int = 1024) -> Column:
     """``text`` with every span replaced by its kind in brackets.
 
-    A span that begins inside an earlier one is dropped with it.  The text is cut into
-    blocks first, so a piece costs its own length and not its distance from the start.
+    Spans that overlap are masked as one, from the first one's start to the furthest end,
+    under the first one's kind.  The text is cut into blocks first, so a piece costs its
+    own length and not its distance from the start.
     """
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
@@ -219,11 +220,12 @@ def masked(text: Column, spans: Column, block: int = 1024) -> Column:
             ends = F.transform(s, lambda x: x.end)
             rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(s))).cast("int"))
             far = F.aggregate(rounds, ends, lambda e, r: F.transform(e, lambda x, i: F.greatest(x, F.coalesce(F.get(e, i - F.pow(F.lit(2), r).cast("int")), F.lit(0)))))
-            return let(far, lambda f: F.filter(s, lambda x, i: x.start >= F.coalesce(F.get(f, i - 1), F.lit(0))))
+            after = lambda f: F.transform(s, lambda x, i: F.struct(x.start.alias("start"), x.kind.alias("kind"), F.coalesce(F.get(f, i - 1), F.lit(0).cast("long")).alias("at")))
+            return let(far, lambda f: F.filter(after(f), lambda x: x.start >= x.at))
 
-        def joined(s: Column) -> Column:
-            body = F.transform(s, lambda x, i: F.concat(cut(blocks, F.coalesce(F.get(s, i - 1).end, F.lit(0).cast("long")), x.start), F.get(names, x.kind)))
-            return F.concat(F.array_join(body, ""), cut(blocks, F.element_at(s, -1).end, F.length(text).cast("long")))
+        def joined(s: Column) -> Column:  # ``at``: the furthest end of all spans before
+            body = F.transform(s, lambda x: F.concat(cut(blocks, x.at, x.start), F.get(names, x.kind)))
+            return F.concat(F.array_join(body, ""), cut(blocks, F.array_max(F.transform(spans, lambda x: x.end)), F.length(text).cast("long")))
 
         return let(apart(spans), joined)
 

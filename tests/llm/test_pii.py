@@ -52,6 +52,27 @@ def test_added_spans_and_masks(spark, docs):
             assert kinds == (["secret", "secret"] if r.doc_id < 100 else []), r.text
 
 
+def test_overlapping_spans_are_masked_to_the_last_character(spark):
+    rnd = random.Random(4)
+    bits = ["+1 415-555-0100", "+1 415 555 0100 2", "john@x.com", "4111 1111 1111 1111", "10.0.0.1", " ", "-", ".", "7", "w", "+"]
+    texts = ["call +1 415-555-0100john@x.com now", "+1 415 555 0100 2john@x.com", "4111 1111 1111 1111@x.com4111 1111 1111 1111"]
+    texts += ["".join(rnd.choice(bits) for _ in range(rnd.randrange(12))) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("s", pii.base_spans(F.col("text"))).coalesce(2)
+    parted = 0
+    for r in df.withColumn("m", pii.masked(F.col("text"), F.col("s"), 16)).collect():
+        held = {i for x in r.s for i in range(x.start, x.end)}
+        first: dict = {}  # kinds of the spans that begin inside no earlier one
+        for x in r.s:
+            if not any(y.start <= x.start < y.end for y in r.s if (y.start, y.kind) < (x.start, x.kind)):
+                first[x.start] = f"[{pii.KINDS[x.kind].upper()}]"
+        want = "".join(first.get(i, "") + ("" if i in held else c) for i, c in enumerate(r.text))
+        assert r.m == want, r.text
+        parted += any(x.start < y.start < x.end < y.end for x in r.s for y in r.s)
+    assert parted > 20
+    out = pii.mask_texts(df.select("doc_id", "text")).orderBy("doc_id").limit(2).collect()
+    assert [r.text for r in out] == ["call [PHONE] now", "[PHONE]"]
+
+
 def test_reruns_agree(docs):
     assert pii.fit(docs) == pii.fit(docs.repartition(5))
 
