@@ -2,8 +2,8 @@
 
 Documents are tokenised once and stored.  Each source's documents are shuffled by a
 hash and dealt in equal token shares to groups of about ``group_tokens``, so every
-group holds the sources in nearly the same proportions; a group keeps one queue
-of tokens per source and fills
+group holds the sources in nearly the same proportions (a source of few documents
+begins at a group of its own hash); a group keeps one queue of tokens per source and fills
 windows of ``window`` sequences: in turn every source's deficit grows by its
 target proportion of a window, and it is served up to its deficit, so a window
 holds the sources in the target proportions to within the pieces still owed.
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from heapq import heapify, heappop, heapreplace
 from math import ceil
 
 import numpy as np
@@ -76,30 +77,35 @@ def round_robin(queues: list[list[int]], share: list[float], owed: list[float],
     within their source: the run names ``(source, index)``.
     """
     at = [[0, 0] for _ in queues]  # next document, tokens of it already served
-    live = [s for s, q in enumerate(queues) if q]
     floor = 1e-9
-    while live:
-        served = False
-        for s in list(live):
-            owed[s] += max(share[s], floor) * window
-            q, pos = queues[s], at[s]
-            while pos[0] < len(q):
-                rest = q[pos[0]] - pos[1]
-                take = min(int(owed[s]), rest)
-                if take <= 0 or (take < rest and take < least):
-                    break
-                yield (s, pos[0]), pos[1], take
-                served = True
-                owed[s] -= take
-                pos[1] += take
-                if pos[1] == q[pos[0]]:
-                    pos[0], pos[1] = pos[0] + 1, 0
-            if pos[0] == len(q):
-                live.remove(s)
-        if live and not served:  # skip the rounds in which nobody could be served
-            rounds = min((min(least, queues[s][at[s][0]] - at[s][1]) - owed[s]) / (max(share[s], floor) * window) for s in live)
-            for s in live:
-                owed[s] += max(0, ceil(rounds) - 1) * max(share[s], floor) * window
+    grow = [max(x, floor) * window for x in share]  # a round's growth of the deficit
+
+    def rounds(s: int) -> int:
+        """Rounds until the source can be served."""
+        return max(1, ceil((min(least, queues[s][at[s][0]] - at[s][1]) - owed[s]) / grow[s]))
+
+    # only sources that are due are looked at, in their order within a round
+    due, last = [(rounds(s), s) for s, q in enumerate(queues) if q], [0] * len(queues)
+    heapify(due)
+    while due:
+        r, s = due[0]
+        owed[s] += (r - last[s]) * grow[s]
+        last[s] = r
+        q, pos = queues[s], at[s]
+        while pos[0] < len(q):
+            rest = q[pos[0]] - pos[1]
+            take = min(int(owed[s]), rest)
+            if take <= 0 or (take < rest and take < least):
+                break
+            yield (s, pos[0]), pos[1], take
+            owed[s] -= take
+            pos[1] += take
+            if pos[1] == q[pos[0]]:
+                pos[0], pos[1] = pos[0] + 1, 0
+        if pos[0] == len(q):
+            heappop(due)
+        else:
+            heapreplace(due, (r + rounds(s), s))
 
 
 def pack_group(p: Packing):
@@ -173,9 +179,11 @@ def pack(docs: DataFrame, ranks: bytes, packing: Packing | None = None, weights:
     made = spread(made, p).withColumn("bucket", F.pmod(F.xxhash64("h", "salt"), F.lit(buckets)))
     cells = store(made.groupBy("source", "bucket").agg(F.sum("n").alias("n")), "token-cells")
     by_source = cells.groupBy(F.col("source").alias("s")).agg(F.sum("n").alias("all"))
-    # a bucket goes where the middle of its tokens lies on its source's line
+    # a bucket goes where the middle of its tokens lies on its source's line; the lines are
+    # turned by a hash each, or the middles of all sources of one document would meet
     lined = running_sum(cells, ["source"], "bucket", "n", "before").join(by_source, F.col("source").eqNullSafe(F.col("s")))
-    middle = (F.col("before") + F.col("n") / 2) / F.col("all")
+    turn = F.pmod(F.xxhash64("source"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    middle = ((F.col("before") + F.col("n") / 2) / F.col("all") + turn) % F.lit(1.0)
     dealt = lined.select("source", "bucket", "n", F.least(F.floor(middle * groups), F.lit(groups - 1)).cast("long").alias("group"))
     dealt = store(dealt, "token-groups")
     table = dealt.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("group").alias("to"))

@@ -114,6 +114,27 @@ def test_a_row_that_fills_a_third_of_the_table_is_dealt_to_many_groups(spark):
     assert again.length.sum() == 1200 * again.doc_tokens.iloc[0]
 
 
+@pytest.mark.parametrize("each", [1, 2, 3])
+def test_many_small_sources_are_dealt_to_many_groups(spark, each):
+    rows = [(i, f"host{i // each}", f"word{i} " * 30) for i in range(1800)] + [(-i - 1, "big", f"word{i} " * 30) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    size = packing.Packing(length=64, window=4, least=8, group_tokens=15_000)
+    out = packing.pack(df, bpe_ranks(), size).toPandas()
+    groups = out.assign(group=out.sequence_id // 2**32).groupby("group").length.sum()
+    assert len(groups) > 8 and groups.max() < 1.6 * size.group_tokens
+    assert out.doc_id.nunique() == len(rows) and out.length.sum() == out.groupby("doc_id").doc_tokens.first().sum()
+
+
+def test_round_robin_looks_only_at_sources_that_are_due():
+    import time
+
+    n = 6000
+    queues, start = [[500, 300] for _ in range(n)], time.process_time()
+    runs = list(packing.round_robin(queues, [1 / n / 50] * n, [i / n * -400.0 for i in range(n)], 8192, 64))
+    assert sum(k for _, _, k in runs) == 800 * n
+    assert time.process_time() - start < 5
+
+
 def test_empty_table_and_extra_columns(none, edges):
     assert packing.pack(none, bpe_ranks()).isEmpty()
     assert packing.pack(edges, bpe_ranks()).select("doc_id").distinct().count() == 11
