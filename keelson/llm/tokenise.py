@@ -6,6 +6,7 @@ executors need no path.  A parsed vocabulary is kept for the worker's life.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
 
@@ -15,6 +16,10 @@ import pyarrow as pa
 #: The vocabulary's own split pattern and its one special token.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPECIAL = {"<|endoftext|>": 50256}
+#: The pattern's white space; its engine keeps a state per character of a run and fails
+#: beyond a million, so runs of so many characters are encoded by themselves.
+LONG = 1 << 16
+LONG_RUN = re.compile(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG},}}")
 
 
 def kept(name: str, make):
@@ -38,7 +43,14 @@ def encoder(ranks: bytes):
 def token_ids(enc, text: str | None, end: int = 0) -> np.ndarray:
     """Ids of a whole text, then ``end``; the special token's string is that token."""
     t = (text or "").encode("utf-8", "replace").decode()
-    return np.append(enc.encode_to_numpy(t, allowed_special="all"), np.uint32(end))
+    parts, at = [], 0
+    for m in LONG_RUN.finditer(t) if len(t) >= LONG else ():
+        # a run is one pre-token, but for its last character where other text follows
+        over = m.end() == len(t) or t.startswith(tuple(SPECIAL), m.end())
+        stop = m.end() if over else m.end() - 1
+        parts += [enc.encode_to_numpy(t[at : m.start()], allowed_special="all"), np.array(enc._encode_single_piece(t[m.start() : stop]), np.uint32)]
+        at = stop
+    return np.concatenate([*parts, enc.encode_to_numpy(t[at:], allowed_special="all"), np.array([end], np.uint32)])
 
 
 def encode_batches(ranks: bytes, width: str, end: int = 0, rows: int = 256):

@@ -29,6 +29,21 @@ def test_ids_equal_the_reference_tokenizer(docs, reference):
         assert tokenise.token_ids(enc, t).tolist() == ids_of(reference, t), repr(t)
 
 
+def test_ids_of_long_texts_and_long_white_space(docs, reference, monkeypatch):
+    enc = tokenise.encoder(bpe_ranks())
+    texts = [r.text for r in docs.where("length(text) >= 30000").select("text").collect()]
+    assert texts
+    run = 2_000_000
+    texts += [" " * run, "\n" * run, "a" + " " * run + "b", "a\n" + "\n" * run + " b\u3000", "x" + " \t\r\n\u3000\x85" * (run // 6) + "<|endoftext|> y" + "\xa0" * run + "\x1c"]
+    for t in texts:
+        assert tokenise.token_ids(enc, t).tolist() == ids_of(reference, t), repr(t[:50])
+    short = random_texts(1500, "ab \n\t \u2003\x85\x1c <|endoftext|>1.", 60, 9) + ["   <|endoftext|>   a", "    ", "a    ", "    a"]
+    monkeypatch.setattr(tokenise, "LONG", 3)
+    monkeypatch.setattr(tokenise, "LONG_RUN", tokenise.re.compile(tokenise.LONG_RUN.pattern.replace(str(1 << 16), "3")))
+    for t in short:
+        assert tokenise.token_ids(enc, t).tolist() == ids_of(reference, t), repr(t)
+
+
 @pytest.mark.parametrize("size", [SMALL, packing.Packing()])
 def test_pieces_hold_every_id_once(docs, reference, size):
     rows = packing.pack(docs, bpe_ranks(), size).collect()
