@@ -22,8 +22,9 @@ scan of all slots against all sources.
 
 Defined results: a null text has size 0 and is never taken; a null source is a
 source of its own, ordered last; an empty table gives no rows; rows that agree
-in id, source and text share what they took evenly (rounded down); sources
-without words have target 0.
+in id, source and text share what they took one after the other: whole passes over all
+of them are each row's, of the rest the first rows take their whole text, one takes
+a part and the others nothing; sources without words have target 0.
 """
 
 from __future__ import annotations
@@ -194,9 +195,35 @@ def mix_sources(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", so
 
 
 def shares(taken: DataFrame) -> DataFrame:
-    """One row per input row: copies of a row share what they took evenly."""
-    each = taken.withColumn("taken", F.floor(F.col("taken") / F.col("copies")).cast("long"))
-    return each.select("doc_id", "source", "h", "size", "copies", "source_size", "target", "taken")
+    """What each of a row's copies took: a row for those that took alike, ``copies`` of them."""
+    passes, rest = passed(F.col("taken"), F.col("size"), F.col("copies"))
+    each = taken.withColumns({"_base": passes * F.col("size"), "_rest": rest}).withColumn("_full", F.floor(F.col("_rest") / F.greatest(F.col("size"), F.lit(1))))
+    part = F.col("_rest") - F.col("_full") * F.col("size")
+    cut = F.when(part > 0, 1).otherwise(0)
+    alike = [(F.col("_full"), F.col("_base") + F.col("size")), (cut, F.col("_base") + part), (F.col("copies") - F.col("_full") - cut, F.col("_base"))]
+    each = each.withColumn("_alike", F.explode(F.array(*[F.struct(n.cast("long").alias("n"), t.cast("long").alias("t")) for n, t in alike]))).where("_alike.n > 0")
+    return each.select("doc_id", "source", "h", "size", F.col("_alike.n").alias("copies"), "source_size", "target", F.col("_alike.t").alias("taken"))
+
+
+def passed(taken: Column, size: Column, copies: Column) -> tuple[Column, Column]:
+    """Whole passes over all copies of a row in ``taken`` words, and the words left."""
+    all_words = F.greatest(size * copies, F.lit(1))
+    return F.floor(taken / all_words).cast("long"), taken % all_words
+
+
+def numbered(rows: DataFrame, keys: list[str], chunk: int) -> DataFrame:
+    """``rows`` with ``_n``, their number from 0 among rows of equal ``keys`` (null-safe).
+
+    Rows are stored in chunks of places first, so a heavily repeated row is numbered by many tasks.
+    """
+    placed = store(rows.withColumn("_place", F.monotonically_increasing_id()), "mix-copies").withColumn("_chunk", F.floor(F.col("_place") / chunk))
+    sums = store(placed.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_rows")), "mix-copy-counts")
+    ahead = running_sum(sums, keys, "_chunk", "_rows", "_before").select(*[F.col(k).alias(f"{k}_") for k in keys], F.col("_chunk").alias("_chunk_"), "_before")
+    same = F.col("_chunk") == F.col("_chunk_")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy("_place")) - 1
+    return placed.withColumn("_inside", inside).join(ahead, same).select(*rows.columns, (F.col("_before") + F.col("_inside")).alias("_n"))
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -208,12 +235,19 @@ def apply_mix(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     """``docs`` as mixed: a row taken once and a half stands there twice, the second
     time cut after half of its words; a row not taken is absent.  Columns are
     those of ``docs``; ``n_chars``, where there is one, follows a cut text."""
+    mix = mix or Mix()
     taken, _ = mix_sources(docs, mix)
-    part = F.floor(F.col("taken") / F.col("copies")).cast("long")
-    known = taken.where("size > 0").select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("h").alias("_h"), F.col("size").alias("_size"), part.alias("_taken")).where("_taken > 0")
+    known = taken.where("size > 0 and taken > 0").select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("h").alias("_h"), F.col("size").alias("_size"), F.col("copies").alias("_copies"), F.col("taken").alias("_taken"))
+    known = store(known, "mix-taken")
     keyed = docs.withColumn("_k", row_hash("doc_id", "source", "text"))
     same = (F.col("_k") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
     met = keyed.join(known, same)
+    if not known.where("_copies > 1").isEmpty():
+        many = numbered(met.where("_copies > 1"), ["_h", "_d", "_s"], mix.chunk)
+        passes, rest = passed(F.col("_taken"), F.col("_size"), F.col("_copies"))
+        own = passes * F.col("_size") + F.least(F.greatest(rest - F.col("_n") * F.col("_size"), F.lit(0)), F.col("_size"))
+        many = many.withColumn("_taken", own).where("_taken > 0").drop("_n")
+        met = met.where("_copies = 1").unionByName(many)
     epochs = F.ceil(F.col("_taken") / F.col("_size")).cast("int")
     rows = met.withColumn("_e", F.explode(F.sequence(F.lit(1), epochs)))
     left = F.col("_taken") - (F.col("_e") - 1) * F.col("_size")

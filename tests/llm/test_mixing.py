@@ -82,6 +82,31 @@ def test_apply_repeats_cuts_and_drops(docs, mixed):
     assert words == {k: v for k, v in want.items() if v}
 
 
+def test_copies_of_a_row_are_taken_whole_one_after_the_other(spark):
+    one, two = "once", "first second third"
+    rows = [(1, one, "a", 4)] * 5000 + [(2, "b " * 4000, "b", 8000), (3, two, "c", 18)] + [(None, two, None, 18)] * 700 + [(4, "d " * 2000, None, 4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(3)
+    mix = mixing.Mix(weights=(1.0, 1.0, 1.0, 1.0), share=0.5, block=64, chunk=32)
+    got, _ = taken(df, mix)
+    assert sum(r["copies"] for r in got) == len(rows)
+    for s in ("a", "b", None):
+        mine = [r for r in got if r["source"] == s]
+        assert sum(r["taken"] * r["copies"] for r in mine) == int(mine[0]["target"]) > 0
+    want: dict = {}
+    for r in got:
+        for _ in range(r["copies"]):
+            want.setdefault(r["doc_id"], []).append(r["taken"])
+    out: dict = {}
+    for r in mixing.apply_mix(df, mix).collect():
+        out.setdefault(r.doc_id, []).append(r.text)
+    for i, texts in out.items():
+        assert sum(len(plain.words(t)) for t in texts) == sum(want[i])
+    assert set(out[1]) == {one}
+    assert sum(t != two for t in out.get(None, [])) <= 1 and two in out[None]
+    twice, _ = taken(df, mixing.Mix(weights=(1.0, 1.0, 1.0, 1.0), share=1.5, block=64, chunk=32))
+    assert all(r["taken"] <= 2 * r["size"] for r in twice) and sum(r["taken"] * r["copies"] for r in twice if r["source"] == "a") == int(next(r["target"] for r in twice if r["source"] == "a"))
+
+
 def test_empty_and_wordless_tables(none, edges):
     got, order = mixing.mix_sources(none)
     assert got.isEmpty() and order.isEmpty() and mixing.apply_mix(none).isEmpty()
