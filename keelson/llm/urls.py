@@ -80,8 +80,9 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 def propagate(seeds: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-3, max_rounds: int = 60) -> DataFrame:
     """``(host, trust, distrust)`` from ``seeds (host, trust, distrust)`` and ``links``.
 
-    Rounds end when no score moves by more than ``tolerance``; what ``max_rounds``
-    could leave out is below ``damping ** max_rounds`` of a seed's mass.
+    Rounds end when all scores together move by no more than ``tolerance`` (each may move
+    a little and add up at one host that they all reach next); what ``max_rounds`` could
+    leave out is below ``damping ** max_rounds`` of the seeds' mass.
     """
     links = store(links, "host-links")
     out = links.groupBy(F.col("src").alias("s")).agg(F.sum("n").alias("out"))
@@ -100,8 +101,8 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = 0.85, toleran
         given = given.select(F.col("taker").alias("host"), (F.col("t") * F.col("trust") * damping).alias("trust"), (F.col("d") * F.col("distrust") * damping).alias("distrust"))
         nxt = store(own.union(given).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "host-scores")
         was = scores.select(F.col("host").alias("h"), F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
-        change = F.greatest(F.abs(F.col("trust") - F.col("t0")), F.abs(F.col("distrust") - F.col("d0")))
-        moved = nxt.join(was, F.col("host") == F.col("h")).agg(F.max(change)).first()[0]
+        change = F.abs(F.col("trust") - F.col("t0")) + F.abs(F.col("distrust") - F.col("d0"))
+        moved = nxt.join(was, F.col("host") == F.col("h")).agg(F.sum(change)).first()[0]
         scores = nxt
         if not moved or moved <= tolerance:
             break

@@ -109,6 +109,14 @@ def test_propagation_equals_plain_iteration(spark):
     assert not {"fine.org", "mixed.net", ""} & blocked[0.5]
 
 
+def test_small_shares_of_many_hosts_add_up(spark):
+    n = 1000
+    seeds = spark.createDataFrame([("bad", 0.0, 1.0)], "host string, trust double, distrust double")
+    pairs = [(f"h{i}", "bad", 1) for i in range(n)] + [("hub", f"h{i}", 1) for i in range(n)]
+    scores = urls.propagate(seeds, spark.createDataFrame(pairs, "src string, dst string, n long").coalesce(2))
+    assert scores.where("host = 'hub'").first().distrust == pytest.approx(0.85 * 0.85)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.url_filter(df, RULES).isEmpty()
