@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import chat, counts, embeddings, html, mixing, packing, pii, quality, simhash, urls
+from keelson.llm import chat, counts, embeddings, html, mixing, packing, pii, quality, sentencepieces, simhash, urls
 from keelson.llm.common import table
 
 #: Vocabulary files of public tokenizers, by the folder's own lookup.
@@ -89,6 +89,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe_ranks())
 
 
+def piece_digests(docs: DataFrame, model: bytes) -> DataFrame:
+    """Number and digest of each row's ids, and the digest of the text they decode to."""
+    out = sentencepieces.decode(sentencepieces.encode(docs, model), model)
+    written = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), sentencepieces.load_model(vocabulary(PIECES)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -102,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extract,
         op9_embedding_dedup,
         op10_packing,
+        op13_sentencepiece,
     )
 }
 
