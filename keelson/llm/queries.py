@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import chat, counts, embeddings, html, mixing, packing, pii, quality, sentencepieces, simhash, urls
+from keelson.llm import chat, counts, embeddings, html, mixing, packing, pii, quality, ranked, sentencepieces, simhash, urls
 from keelson.llm.common import table
 
 #: Vocabulary files of public tokenizers, by the folder's own lookup.
@@ -96,6 +96,10 @@ def piece_digests(docs: DataFrame, model: bytes) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), sentencepieces.load_model(vocabulary(PIECES)))
 
@@ -113,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extract,
         op9_embedding_dedup,
         op10_packing,
+        op12_ranked_search,
         op13_sentencepiece,
     )
 }
@@ -178,5 +183,28 @@ degrees AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT e.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, r.component_id,
   e.vec_id = r.component_id AS kept
 FROM embeddings e JOIN roots r ON r.x = e.vec_id LEFT JOIN degrees d ON d.x = e.vec_id
+""",
+    "op12_ranked_search": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+q AS (
+  SELECT item_id, term, CAST(count(*) AS BIGINT) AS repeats FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) t GROUP BY item_id, term),
+n AS (SELECT doc_id, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+g AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+tf AS (
+  SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) t
+  WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term) f, g),
+s AS (
+  SELECT item_id, tf.doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN tf ON tf.term = q.term JOIN w ON w.term = q.term JOIN n ON n.doc_id = tf.doc_id, g
+  GROUP BY item_id, tf.doc_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
 """,
 }

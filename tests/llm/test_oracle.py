@@ -10,7 +10,7 @@ from keelson.llm.queries import ORACLE, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, name, sf_dir):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "embeddings"):
+    for t in ("documents", "conversations", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     got = QUERIES[name](spark, sf_dir)
     want = con.execute(ORACLE[name])
