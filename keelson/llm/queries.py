@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import chat, counts, embeddings, html, mixing, packing, pii, quality, ranked, sentencepieces, simhash, urls
+from keelson.llm import chat, counts, embeddings, html, mixing, packing, pii, quality, ranked, repair, sentencepieces, simhash, urls
 from keelson.llm.common import table
 
 #: Vocabulary files of public tokenizers, by the folder's own lookup.
@@ -96,6 +96,10 @@ def piece_digests(docs: DataFrame, model: bytes) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -117,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extract,
         op9_embedding_dedup,
         op10_packing,
+        op11_conversation_repair,
         op12_ranked_search,
         op13_sentencepiece,
     )
@@ -206,5 +211,60 @@ s AS (
   GROUP BY item_id, tf.doc_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+""",
+    # CRC-32 by its table, the cheapest repair by a recursion over a conversation's rows:
+    # a weight is the cost in digits and the audit, so that the least string is the lightest
+    "op11_conversation_repair": r"""
+WITH RECURSIVE t AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crcs
+  FROM (SELECT unnest(range(256)) AS i) b),
+k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda x: CAST(ord(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, crcs[1 + (xor(c, b) & 255)]))) % 20 AS kind FROM conversations, t),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 0 THEN [] WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM k),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+    left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS before FROM d),
+f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
+ins(q, to_q, n, role1, role2) AS (VALUES (0, 0, 0, NULL, NULL), (1, 1, 0, NULL, NULL), (2, 2, 0, NULL, NULL), (3, 3, 0, NULL, NULL),
+  (0, 2, 1, 'user', NULL), (1, 2, 1, 'user', NULL), (3, 2, 1, 'user', NULL), (2, 3, 1, 'assistant', NULL),
+  (0, 3, 2, 'user', 'assistant'), (1, 3, 2, 'user', 'assistant')),
+edits(q, edit, c, to_q, price, role) AS (VALUES (0, 'K', 's', 1, 0, NULL), (0, 'K', 'u', 2, 0, NULL), (1, 'K', 'u', 2, 0, NULL), (3, 'K', 'u', 2, 0, NULL),
+  (2, 'K', 'a', 3, 0, NULL), (0, 'R', NULL, 2, 1, 'user'), (1, 'R', NULL, 2, 1, 'user'), (3, 'R', NULL, 2, 1, 'user'), (2, 'R', NULL, 3, 1, 'assistant'),
+  (0, 'D', NULL, 0, 2, NULL), (1, 'D', NULL, 1, 2, NULL), (2, 'D', NULL, 2, 2, NULL), (3, 'D', NULL, 3, 2, NULL)),
+p AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, to_q AS q, printf('%09d', 5 * n) || repeat('I', n) AS w,
+    list_transform(list_filter([role1, role2], lambda x: x IS NOT NULL), lambda x: x || ':') AS made
+  FROM (SELECT DISTINCT conv_id FROM conversations) c, ins WHERE ins.q = 0
+  UNION ALL
+  SELECT conv_id, i, q, min(w), arg_min(made, w) FROM (
+    SELECT p.conv_id, f.i, ins.to_q AS q,
+      printf('%09d', CAST(left(w, 9) AS INTEGER) + price + CASE WHEN edit <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END + 5 * n)
+        || substr(w, 10) || edit || repeat('I', n) AS w,
+      made || CASE WHEN edit = 'D' THEN [] ELSE [coalesce(e.role, f.role) || ':' || text] END
+        || list_transform(list_filter([role1, role2], lambda x: x IS NOT NULL), lambda x: x || ':') AS made
+    FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+    JOIN edits e ON e.q = p.q AND (e.c IS NULL OR e.c = f.c) AND (edit = 'D' OR fault NOT IN ('blank', 'duplicate'))
+    JOIN ins ON ins.q = e.to_q) s GROUP BY conv_id, i, q),
+n AS (
+  SELECT c.conv_id, count(f.i) AS n, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE before || f.c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id),
+best AS (
+  SELECT n.conv_id, min(w) AS w, arg_min(made, w) AS made FROM n JOIN p ON p.conv_id IS NOT DISTINCT FROM n.conv_id AND p.i = n.n
+  WHERE q IN (0, 3) GROUP BY n.conv_id)
+SELECT n.conv_id, gaps, blank, duplicate, truncated, illegal, CAST(left(w, 9) AS BIGINT) AS cost, substr(w, 10) AS audit,
+  sha256(array_to_string(made, chr(10))) AS repaired_sha256
+FROM n JOIN best ON best.conv_id IS NOT DISTINCT FROM n.conv_id
 """,
 }
