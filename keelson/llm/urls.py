@@ -6,13 +6,16 @@ from trusted seeds along links, and distrust runs from blocked seeds against
 them (who links to a bad host is suspect), both over host-to-host edges.  A host
 seeds trust and distrust by the shares of its own pages that rules allow and block.
 
-Scores are in units of a full seed: ``score = seed + damping * sum of incoming``.
-A host is blocked when its distrust reaches ``threshold`` and exceeds its trust,
-so a threshold means the same whatever the number of hosts.
+What rules say of a host's own pages outweighs the graph: such a host keeps its two
+shares, and gives them on, whatever links to it.  Any other host has ``score = damping *
+sum of incoming``, in units of a full seed: trust is shared over a giver's links, distrust
+over the links to its giver.  A host is blocked when its distrust reaches ``threshold`` and
+exceeds its trust, so a threshold means the same whatever the number of hosts.
 
 Scale: pages are aggregated to hosts and links to host pairs before anything is
 joined; scores live in tables, one row per host, and a round is one join and one
-aggregation over stored edges, which adaptive execution may split at a heavy host.
+aggregation over stored edges, which adaptive execution may split at a heavy host;
+``ROUNDS`` of them make one job and one stored table.
 
 Defined results: a null url, or one without ``://``, has an empty host and path,
 fits no rule and is allowed; a null html has no links; repeated rows are judged
@@ -30,6 +33,7 @@ from keelson.llm.common import store
 
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 HREF = r"(?is)<a\s[^>]*?href\s*=\s*[\"']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^\"'\s>]+)"
+ROUNDS = 6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -55,7 +59,7 @@ def path_of(url: Column) -> Column:
 def deciding_rule(rules: list[Rule], host: Column, path: Column, say) -> Column:
     """``say(rule)`` of the longest rule that fits (of equals, the first); else null."""
     out = F.lit(None).cast("string")
-    for r in sorted(rules, key=lambda r: len(r.text)):
+    for r in sorted(rules[::-1], key=lambda r: len(r.text)):  # the last that fits is taken
         fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
         out = F.when(fits, F.lit(say(r))).otherwise(out)
     return out
@@ -77,12 +81,13 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return ends.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-3, max_rounds: int = 60) -> DataFrame:
+def propagate(seeds: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-3) -> DataFrame:
     """``(host, trust, distrust)`` from ``seeds (host, trust, distrust)`` and ``links``.
 
-    Rounds end when all scores together move by no more than ``tolerance`` (each may move
-    a little and add up at one host that they all reach next); what ``max_rounds`` could
-    leave out is below ``damping ** max_rounds`` of the seeds' mass.
+    Hosts with a seed above 0 keep it.  Scores only rise; ``left`` bounds what all rounds to
+    come can add to all hosts together (a round gives on at most ``damping`` of the last
+    one's rise), so rounds end when no host can move by more than ``tolerance``.  That falls
+    by a fixed factor a job, so the rounds grow with the logarithm of the seeds' mass.
     """
     links = store(links, "host-links")
     out = links.groupBy(F.col("src").alias("s")).agg(F.sum("n").alias("out"))
@@ -92,20 +97,28 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = 0.85, toleran
     backward = shares.select(F.col("dst").alias("giver"), F.col("src").alias("taker"), F.lit(0.0).alias("t"), (F.col("n") / F.col("into")).alias("d"))
     flows = store(forward.union(backward), "host-flows")
     ends = flows.select(F.col("taker").alias("host"), F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust"))
-    own = store(seeds.select("host", "trust", "distrust").union(ends).groupBy("host").agg(F.max("trust").alias("trust"), F.max("distrust").alias("distrust")), "host-seeds")
+    own = seeds.select("host", "trust", "distrust").union(ends).groupBy("host").agg(F.max("trust").alias("trust"), F.max("distrust").alias("distrust"))
+    own = store(own.withColumn("known", (F.col("trust") > 0) | (F.col("distrust") > 0)), "host-seeds")
     if flows.isEmpty():
-        return own
-    scores = own
-    for _ in range(max_rounds):
+        return own.drop("known")
+
+    def advanced(scores: DataFrame) -> DataFrame:
         given = flows.join(scores, F.col("giver") == F.col("host"))
-        given = given.select(F.col("taker").alias("host"), (F.col("t") * F.col("trust") * damping).alias("trust"), (F.col("d") * F.col("distrust") * damping).alias("distrust"))
-        nxt = store(own.union(given).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "host-scores")
-        was = scores.select(F.col("host").alias("h"), F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
-        change = F.abs(F.col("trust") - F.col("t0")) + F.abs(F.col("distrust") - F.col("d0"))
-        moved = nxt.join(was, F.col("host") == F.col("h")).agg(F.sum(change)).first()[0]
-        scores = nxt
-        if not moved or moved <= tolerance:
-            break
+        given = given.select(F.col("taker").alias("host"), (F.col("t") * F.col("trust") * damping).alias("trust"), (F.col("d") * F.col("distrust") * damping).alias("distrust"), F.lit(False).alias("known"))
+        known = F.max("known")
+        value = lambda c: F.coalesce(F.when(known, F.max(F.when(F.col("known"), F.col(c)))).otherwise(F.sum(c)), F.lit(0.0)).alias(c)
+        return own.union(given).groupBy("host").agg(value("trust"), value("distrust"))
+
+    mass = own.agg(F.sum(F.col("trust") + F.col("distrust"))).first()[0] or 0.0
+    scores, total, left = own.drop("known"), mass, mass / (1 - damping)
+    while left > tolerance:
+        nxt = scores
+        for _ in range(ROUNDS):
+            nxt = advanced(nxt)
+        scores = store(nxt, "host-scores")
+        was, total = total, scores.agg(F.sum(F.col("trust") + F.col("distrust"))).first()[0]
+        fell = damping**ROUNDS
+        left = min(left * fell, max(total - was, 0.0) * fell / (1 - fell))
     return scores
 
 
