@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +91,7 @@ class ChunkTable:
 
     def __init__(self, sp, limit: int = TABLE) -> None:
         self.sp, self.limit, self.segmented = sp, limit, 0
+        self.begins = np.array([p.startswith(MARK) for p in sp.id_to_piece(list(range(sp.get_piece_size())))])
         self.clear()
 
     def clear(self) -> None:
@@ -99,22 +99,31 @@ class ChunkTable:
         self.ids = np.zeros(1 << 12, np.int32)
         self.ends = np.zeros(1 << 12, np.int64)  # end of each chunk's ids, after a leading zero
 
-    def segment(self, chunks: list[str]) -> list[list[int]]:
-        """The library's ids: it puts the first mark itself, but for an empty text."""
+    def segment(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The chunks (in another order), how many ids each has, and all ids.
+
+        Chunks with one mark and more are given to the library as one text: of each, the
+        first piece alone begins with the mark.  The library puts a text's first mark itself.
+        """
         self.segmented += len(chunks)
-        out = self.sp.encode([c[1:] for c in chunks], num_threads=1)
-        return [ids if len(c) > 1 else [self.sp.piece_to_id(MARK)] for c, ids in zip(chunks, out, strict=True)]
+        plain = [c for c in chunks if len(c) > 1 and c.rfind(MARK) == 0]
+        other = [c for c in chunks if len(c) == 1 or c.rfind(MARK) > 0]
+        ids = np.array(self.sp.encode("".join(plain)[1:], num_threads=1), np.int32)
+        starts = np.flatnonzero(self.begins[ids])
+        each = [self.sp.encode(c[1:], num_threads=1) if len(c) > 1 else [self.sp.piece_to_id(MARK)] for c in other]
+        lens = np.concatenate([np.diff(starts, append=len(ids)), np.array([len(x) for x in each], np.int64)])
+        return plain + other, lens, np.concatenate([ids, *(np.array(x, np.int32) for x in each)])
 
     def add(self, chunks: list[str]) -> None:
-        made = self.segment(chunks)
+        made, lens, ids = self.segment(chunks)
         first = len(self.place)
-        last = first + len(chunks)
+        last = first + len(made)
         used = self.ends[first]
-        ends = used + np.cumsum(np.fromiter(map(len, made), np.int64, len(made)))
+        ends = used + np.cumsum(lens)
         self.ids, self.ends = room(self.ids, ends[-1]), room(self.ends, last + 1)
-        self.ids[used : ends[-1]] = np.fromiter(chain.from_iterable(made), np.int32, ends[-1] - used)
+        self.ids[used : ends[-1]] = ids
         self.ends[first + 1 : last + 1] = ends
-        self.place.update(zip(chunks, range(first, last), strict=True))
+        self.place.update(zip(made, range(first, last), strict=True))
 
     def look_up(self, chunks: list[str]) -> np.ndarray:
         """Ids of the chunks, one after the other."""
@@ -134,14 +143,12 @@ class ChunkTable:
             return np.zeros(0, np.int32)
         out = []
         for w in windows(MARK + text.replace(" ", MARK)):
-            run: list[str] = []
-            for c in CHUNK.findall(w):
-                if len(c) <= LONG:
-                    run.append(c)
-                    continue
-                out += [self.look_up(run), np.array(self.segment([c])[0], np.int32)]
-                run = []
-            out.append(self.look_up(run))
+            chunks = CHUNK.findall(w)
+            at = 0
+            for k in (k for k, c in enumerate(chunks) if len(c) > LONG) if len(w) > LONG else ():
+                out += [self.look_up(chunks[at:k]), self.segment([chunks[k]])[2]]
+                at = k + 1
+            out.append(self.look_up(chunks[at:]))
         return out[0] if len(out) == 1 else np.concatenate(out)
 
 
