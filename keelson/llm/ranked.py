@@ -236,6 +236,26 @@ def term_weights(found: DataFrame, n_docs: int, size: int) -> np.ndarray:
     return out
 
 
+def pilot_length(vectors: DataFrame) -> float:
+    """A length that about ``PILOT`` vectors reach (more where many are equally long),
+    from counts by the length's logarithm in 16ths: a few hundred rows to the driver."""
+    steps = vectors.groupBy(F.floor(F.log2("norm") * 16).alias("step")).count().orderBy(F.col("step").desc()).collect()
+    n = 0
+    for r in steps:
+        n += r["count"]
+        if n >= PILOT:
+            return 2.0 ** (r.step / 16) * MARGIN
+    return 0.0
+
+
+def best(rows: DataFrame, k: int) -> DataFrame:
+    """The tasks' rows with ``rank``, k an item; ranked in parts first, as tasks may be many."""
+    order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
+    part = Window.partitionBy("q", "part").orderBy(*order)
+    some = rows.withColumn("part", F.spark_partition_id() % 64).withColumn("r", F.row_number().over(part)).where(F.col("r") <= k)
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(*order))).where(F.col("rank") <= k)
+
+
 def ranked_search(docs: DataFrame, queries: DataFrame, k: int = 10, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """``(item_id, rank, doc_id, score)``: each item's k best documents with a score above 0."""
     spark = docs.sparkSession
@@ -250,17 +270,12 @@ def ranked_search(docs: DataFrame, queries: DataFrame, k: int = 10, doc_id: str
         made = impact_vectors(found, weights, total.n_docs, total.n_terms).withColumn("salt", F.rand(7))
         ordered = made.repartitionByRange(F.col("norm").desc(), F.col("salt")).sortWithinPartitions(F.col("norm").desc()).drop("salt")
         vectors = store(ordered, "ranked-vectors")
-        longest = vectors.orderBy(F.col("norm").desc()).limit(PILOT)
         bounds = [0] * len(items.ids)
-        for r in search(longest, items, weights, bounds, k).groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).collect():
-            bounds[r.q - items.first] = r.least if r.n >= k else 0
+        longest = vectors.where(F.col("norm") >= pilot_length(vectors))
+        for r in best(search(longest, items, weights, bounds, k), k).where(F.col("rank") == k).collect():  # a row an item
+            bounds[r.q - items.first] = r.score
         lengths = [math.sqrt(sum(c * c for t, c in terms.items() if weights[t] > 0)) for terms in items.terms]
         shortest = min((b / x for b, x in zip(bounds, lengths, strict=True) if x), default=0.0)
         rows = search(vectors.where(F.col("norm") >= shortest * MARGIN), items, weights, bounds, k)
-        order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
-        # a task's rows of an item are few; ranked in parts first, as there may be many tasks
-        part = Window.partitionBy("q", "part").orderBy(*order)
-        some = rows.withColumn("part", F.spark_partition_id() % 64).withColumn("r", F.row_number().over(part)).where(F.col("r") <= k)
-        best = some.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(*order))).where(F.col("rank") <= k)
-        out = out.unionByName(best.select("item_id", "rank", "doc_id", "score"))
+        out = out.unionByName(best(rows, k).select("item_id", "rank", "doc_id", "score"))
     return out
