@@ -20,6 +20,11 @@ def _is_data(name: str) -> bool:
     return not name.startswith(("_", "."))
 
 
+def part(v) -> str:
+    """Folder value of a partition column (NULL and '' have Spark's default name)."""
+    return "__HIVE_DEFAULT_PARTITION__" if v in (None, "") else str(v)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return bool(fs.exists(p))

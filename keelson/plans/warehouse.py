@@ -3,7 +3,9 @@
 Layout under ``root`` (a folder every executor can reach, e.g. under the
 session's ``spark.checkpoint.dir`` or a table bucket):
 
-    bronze/bronze_raw_<entity>/_ingestion_date=../batch_key=../   (stream sink)
+    bronze/bronze_raw_<entity>/ingest_id=../_ingestion_date=../batch_key=../
+    bronze/bronze_raw_<entity>/_parts/           (its visible partitions)
+    _streams/<entity>/files/, stream/            (file ledger, checkpoint)
     silver/silver_stg_<entity>/batch_key=<bk>/                    (per batch)
     silver/silver_dim_customers_type1/batch_key=<bk>/             (snapshot)
     silver/silver_dim_<entity>_type2/batch_key=<bk>/is_current=true|false/
@@ -49,7 +51,7 @@ from keelson.operators.sizing import fits_broadcast
 from keelson.schemas import SCD2_SPECS, TABLES
 from keelson.sinks.tables import append_path, overwrite_path, write_observed
 from keelson.sources.landing import EXT
-from keelson.streaming.ingest import ingest_bronze
+from keelson.streaming.ingest import bronze_parts, ingest_bronze, read_bronze
 
 ENTITIES = ("customers", "orders", "products")
 DIM2 = {"customers": "silver_dim_customers_type2", "products": "silver_dim_products_type2"}
@@ -67,11 +69,6 @@ def _concurrently(*jobs):
 _UNKNOWN = object()
 
 
-def _part(v) -> str:
-    """Folder value of a partition column (NULL has Spark's default name)."""
-    return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
-
-
 def _parts_filter(parts) -> "F.Column":
     """Partition filter selecting the given (year, month) pairs (NULL-safe);
     selects nothing for an empty list."""
@@ -151,8 +148,11 @@ class Warehouse:
         append_path(df.coalesce(1).withColumn("at", F.current_timestamp()),
                     f"{self.root}/silver/_run_log")
 
-    def bronze(self, entity: str) -> DataFrame:
-        return self._read(f"bronze_raw_{entity}")
+    def bronze(self, entity: str, batch_keys=None, since=None) -> DataFrame:
+        """Bronze rows of a feed: all, of some batches, or ingested after a time
+        (only the folders that hold such rows are listed)."""
+        name = f"bronze_raw_{entity}"
+        return read_bronze(self.spark, self.path(name), self._schema(name), batch_keys, since)
 
     # ---------------------------------------------------------- control ---
     def control(self) -> DataFrame:
@@ -169,13 +169,9 @@ class Warehouse:
         (customers, or both feeds); ``since``: only rows ingested after it,
         read from the ingestion-date partitions from that day on."""
         sources = ["customers"] if self.batch_source == "customers" else ["customers", "products"]
-        rows = reduce(DataFrame.unionByName,
-                      [self.bronze(e).select("batch_key", "_ingestion_date", "_ingestion_ts")
+        return reduce(DataFrame.unionByName,
+                      [self.bronze(e, since=since).select("batch_key", "_ingestion_ts")
                        for e in sources])
-        if since is not None:
-            rows = rows.where((F.col("_ingestion_date") >= F.to_date(F.lit(since)))
-                              & (F.col("_ingestion_ts") > F.lit(since)))
-        return rows.drop("_ingestion_date")
 
     def discover(self) -> DataFrame:
         """Distinct batch keys present in Bronze (customers, or both feeds)."""
@@ -383,7 +379,7 @@ class Warehouse:
 
     def _write_stg(self, entity: str, bks: list[str]) -> DataFrame:
         clean = cleanse.clean_customers if entity == "customers" else cleanse.clean_products
-        raw = self.bronze(entity).where(F.col("batch_key").isin(bks))
+        raw = self.bronze(entity, batch_keys=bks)
         p = self.path(f"silver_stg_{entity}")
         if len(bks) == 1:
             n = overwrite_path(clean(raw).drop("batch_key"), f"{p}/batch_key={bks[0]}")
@@ -525,7 +521,7 @@ class Warehouse:
             use_bulk = mode == "bulk" or (mode == "auto" and len(pend) > 1)
             if use_bulk and not self.null_safe:
                 # products may carry NULL categories / names: check the batches
-                raw = self.bronze("products").where(F.col("batch_key").isin(pend))
+                raw = self.bronze("products", batch_keys=pend)
                 probe = cleanse.clean_products(raw)
                 use_bulk = self.bulk_exact("products", probe) and \
                     self.bulk_exact("products", self._open_versions("products", last))
@@ -590,9 +586,7 @@ class Warehouse:
                                ["year", "month"], rebalance=True)
             self._log_fact("done", obs.get.get("upto"))
             return n
-        new_raw = bronze.where((F.col("_ingestion_date") >= F.to_date(F.lit(mark)))
-                               & (F.col("_ingestion_ts") > F.lit(mark)))
-        src = new_raw.observe(obs, F.max("_ingestion_ts").alias("upto"),
+        src = self.bronze("orders", since=mark).observe(obs, F.max("_ingestion_ts").alias("upto"),
                               F.count(F.lit(1)).alias("n"))
         stage = f"{self.root}/silver/_fact_stage/{uuid.uuid4().hex[:12]}"
         overwrite_path(cleanse.clean_orders(src).drop("year", "month"), f"{stage}/new")
@@ -640,7 +634,7 @@ class Warehouse:
         # overwrite: remove it, or its moved orders would stay twice
         written = {(r[0], r[1]) for r in staged.select("year", "month").distinct().collect()}
         for y, m in set(parts) - written:
-            self._drop_folder(f"{self.path('silver_fact_orders')}/year={_part(y)}/month={_part(m)}")
+            self._drop_folder(f"{self.path('silver_fact_orders')}/year={paths.part(y)}/month={paths.part(m)}")
         self._log_fact("done", obs.get.get("upto"))
         self._drop_folder(stage)
         return n
@@ -742,10 +736,9 @@ class Warehouse:
         for any session that shares it.
 
         Fact, control and gold are Parquet tables over their folders.  Bronze is
-        declared as ``<name>_files`` (read through the stream sink's own log, so
-        partition columns come as strings) and the tables kept per batch as
+        declared as ``<name>_files`` and the tables kept per batch as
         ``<name>_batches``; under their own name there is a stored view of
-        their typed, committed content.  Partitions are recovered here: call it
+        their committed content.  Partitions are recovered here: call it
         again after new batches (a session that read the tables before must
         refresh them)."""
         from keelson.sinks.tables import ensure_table
@@ -759,13 +752,14 @@ class Warehouse:
             names.append(full)
             if name.startswith("bronze_"):
                 from pyspark.sql import types as T
-                as_read = T.StructType([T.StructField(f.name, T.StringType() if f.name in parts
-                                                      else f.dataType) for f in schema.fields])
-                ensure_table(self.spark, f"{full}_files", as_read, [], self.path(name))
-                self.spark.catalog.refreshTable(f"{full}_files")
-                cols = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
-                                 for f in schema.fields)
-                self.spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {cols} FROM {full}_files")
+                files, layout = f"{full}_files", ["ingest_id", *parts]
+                stored = T.StructType([*schema.fields, T.StructField("ingest_id", T.LongType())])
+                ensure_table(self.spark, files, stored, layout, self.path(name))
+                self.spark.sql(f"ALTER TABLE {files} RECOVER PARTITIONS")
+                self.spark.catalog.refreshTable(files)
+                last = bronze_parts(self.spark, self.path(name)).agg(F.max("ingest_id")).first()[0]
+                self.spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {', '.join(schema.fieldNames())} "
+                               f"FROM {files} WHERE ingest_id <= {-1 if last is None else last}")
                 continue
             if name in self.PLAIN:
                 ensure_table(self.spark, full, schema, parts, self.path(name))

@@ -52,9 +52,10 @@ def overwrite_path(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return write_observed(df, go)
 
 
-def append_path(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def append_path(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                options: dict | None = None) -> int:
     def go(d: DataFrame) -> None:
-        w = d.write.mode("append")
+        w = d.write.mode("append").options(**(options or {}))
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
