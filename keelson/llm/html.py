@@ -8,16 +8,20 @@ least density on the path from the body to that element is the threshold: other
 subtrees that reach it (an article may be split) are taken as well.
 
 What is taken is taken whole.  Around the element with the greatest sum that is the
-``article`` or ``main`` it lies in; on pages without those, the highest ancestor in which
-no list of links (two links or more that make up most of a block) lies beside it.
+``article`` or ``main`` it lies in.  On pages without those density decides: from that
+element upwards every ancestor is taken as long as all that lies beside the path
+belongs to the text.  A list of links (two links or more that make up most of a block) does
+not; a bare container (``div``, ``table`` ...) does where its density reaches that of the path,
+as far as that holds no list of links.
 Other ``article`` elements that are no such lists, and an ``h1`` beside the path, are taken too.
 
-Elements that say themselves that they are no article text (scripts, forms, menus,
-sidebars, notices, adverts, reader comments ...) are left out of the tree first: by their
-tag, role, or the first or last part of a class or id word, unless another part tells
-of a state (``has-sidebar``, ``comments-open``).  One that holds an ``article`` or ``main`` longer
-than every one outside such elements stays: the mark is a layout's, not a comment's or a teaser's.
-Optional end tags are implied in them as elsewhere.
+Elements that say themselves that they are no article text are left out of the tree first:
+by their tag or role (scripts, forms, menus, sidebars, footers ...), or by a class or id word
+whose last telling part names such a thing (``cookie-notice``, ``ad-slot-2``, but not
+``menu-recipe`` or ``paywall-content``, nor a state as in ``has-sidebar``).  A word alone
+drops nothing: an element so marked stays when it holds most of the text of its article (or page), an
+article's ``h1``, or, whatever marks it, an ``article`` or ``main`` longer than every one
+outside such elements.  Optional end tags are implied in them as elsewhere.
 Inline marks are no nodes: their text belongs to the block around them.
 
 Defined results: null and empty pages, and pages without text, give an empty
@@ -46,10 +50,14 @@ IN_HEAD = frozenset("base basefont bgsound link meta title script style noscript
 BREAKS_OUT = BLOCKS - {"html", "head", "body"}
 SIBLINGS = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 NOISE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promoted cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription paywall sidebar menu nav navbar navigation breadcrumb breadcrumbs comment comments commentlist disqus replies respond related recommended share sharing social pagination pager masthead footer toolbar login signup".split()
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promoted cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription paywall sidebar menu nav navbar navigation breadcrumb breadcrumbs comment comments commentlist disqus replies respond related recommended share sharing social pagination pager masthead footer toolbar login signup discussion discussions copyright colophon".split()
 )
 #: Beside a noise word these tell of a page's state: ``has-sidebar``, ``comments-open``.
 STATES = frozenset("has have with no not without hide hidden show open opened closed on off enabled disabled".split())
+#: Parts of a class word that only say what kind of box it is: ``ad-container-2`` is an ``ad``.
+BOXES = frozenset("left right top bottom inner outer primary secondary list lists container wrapper wrap box area section block widget widgets button buttons slot unit bar panel zone row col column link links item items form media this us posts articles stories".split())
+#: Bare containers: beside the path their density tells whether they belong to the text.
+BARE = frozenset("div table td center".split())
 NOISE_NAMES = frozenset("header site-header page-header top-header site-footer page-footer skip-link search search-form".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
@@ -57,10 +65,10 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form
 class Node:
     """A block: its text pieces and child blocks in order, and its counts."""
 
-    __slots__ = ("tag", "parent", "items", "skip", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "items", "skip", "marked", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, skip: bool = False) -> None:
-        self.tag, self.parent, self.skip = tag, parent, skip
+    def __init__(self, tag: str, parent: Node | None, skip: bool = False, marked: bool = False) -> None:
+        self.tag, self.parent, self.skip, self.marked = tag, parent, skip, marked
         self.items: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -69,27 +77,34 @@ class Node:
         return [x for x in self.items if isinstance(x, Node)]
 
 
-def is_noise(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
-    if tag in ("html", "body", "main", "article"):
-        return False
-    if tag == "header" and in_article:
-        return False
+def is_mark(token: str) -> bool:
+    """Whether a class or id word names something that is no article text."""
+    parts = [x for x in token.replace("_", "-").split("-") if x]
+    if token in NOISE_NAMES or not STATES.isdisjoint(parts):
+        return token in NOISE_NAMES
+    while parts and (parts[-1] in BOXES or parts[-1].isdigit()):
+        parts.pop()
+    return bool(parts) and parts[-1] in NOISE_WORDS
+
+
+def noise_of(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> str:
+    """``sure`` by tag, role or being hidden, ``marked`` by a class or id word, else empty."""
+    if tag in ("html", "body", "main", "article") or (tag == "header" and in_article):
+        return ""
     if tag in DROPPED:
-        return True
+        return "sure"
+    out = ""
     for name, value in attrs:
         value = (value or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "sure"
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return "sure"
         if name == "role" and value in NOISE_ROLES:
-            return True
-        if name in ("class", "id"):
-            for token in value.split():
-                parts = [x for x in token.replace("_", "-").split("-") if x]
-                if token in NOISE_NAMES or (parts and (parts[0] in NOISE_WORDS or parts[-1] in NOISE_WORDS) and STATES.isdisjoint(parts)):
-                    return True
-    return False
+            return "sure"
+        if name in ("class", "id") and any(map(is_mark, value.split())):
+            out = "marked"
+    return out
 
 
 class TreeBuilder(HTMLParser):
@@ -101,6 +116,7 @@ class TreeBuilder(HTMLParser):
         self.at = self.root
         self.link: Node | None = None  # the block in which a link is open
         self.named: list[Node] = []  # article and main elements
+        self.marks: list[Node] = []  # elements marked by a class or id word
         self.inline: set[str] = set()  # tags of marked elements that are no blocks
 
     def _close(self, node: Node) -> None:
@@ -157,12 +173,15 @@ class TreeBuilder(HTMLParser):
                 self._close(n)
         if tag == "a" and tag in self.inline and (n := self._find(("a",))) is not None:
             self._close(n)
-        noise = is_noise(tag, attrs, self._find("article main") is not None)
+        noise = noise_of(tag, attrs, self._find("article main") is not None)
         if tag == "br" or tag in VOID:
             self.at.items.append(" ") if tag in ("br", "hr", "wbr") and tag != "wbr" else None
             return
         if noise:
             self.at = self._child(tag, True)
+            self.at.marked = noise == "marked"
+            if self.at.marked:
+                self.marks.append(self.at)
             if tag not in BLOCKS:
                 self.inline.add(tag)
         elif tag in BLOCKS or (tag != "a" and tag in self.inline and self._find((tag,)) is not None):  # or inside a skipped one of its kind
@@ -206,11 +225,12 @@ class TreeBuilder(HTMLParser):
                 self.at.link_chars += n
 
     def restore(self) -> None:
-        """Keep marked elements around the longest articles (see above)."""
-        if not self.named:
+        """Keep marked elements that hold most of a text, and those around the longest
+        articles (see above)."""
+        if not self.named and not self.marks:
             return
         around = {}  # the skipped elements around each node
-        size: dict = {}
+        size: dict = {}  # characters, without those of skipped elements but for marked ones
         todo = [(self.root, None)]
         order = []
         while todo:
@@ -219,16 +239,32 @@ class TreeBuilder(HTMLParser):
             around[id(n)] = skipped
             order.append(n)
             todo.extend((c, skipped) for c in n.children())
-        for n in reversed(order):
-            size[id(n)] = n.chars + sum(size[id(c)] for c in n.children() if not c.skip)
+
+        def measure(counts) -> None:
+            for n in reversed(order):
+                size[id(n)] = n.chars + sum(size[id(c)] for c in n.children() if counts(c))
+
+        measure(lambda c: c.marked or not c.skip)
+        titled = {id(p) for n in order if n.tag == "h1" for p in ancestors(n)}
+        for n in self.marks:
+            scope = next((p for p in ancestors(n) if p.tag in ("article", "main")), None)
+            if scope is None and self.named:  # the text is the named elements'
+                continue
+            if 2 * size[id(n)] > size[id(scope or self.root)] or (scope is not None and id(n) in titled):
+                n.skip = False
+        measure(lambda c: not c.skip)
         clean = max((size[id(n)] for n in self.named if around[id(n)] is None), default=0)
         for n in self.named:
             if size[id(n)] > clean and around[id(n)] is not None:
-                p = n
-                while p is not None:
+                for p in (n, *ancestors(n)):
                     if p.skip and p.tag not in OPAQUE:
                         p.skip = False
-                    p = p.parent
+
+
+def ancestors(n: Node) -> Iterator[Node]:
+    while n.parent is not None:
+        n = n.parent
+        yield n
 
 
 def in_order(root: Node) -> list[Node]:
@@ -312,33 +348,42 @@ def holders(nodes: list[Node]) -> set[int]:
     return out
 
 
-def whole(target: Node, path: list[Node], nodes: list[Node]) -> Node:
+def belongs(n: Node, lists: set[int], least: float) -> bool:
+    """Whether a block beside the path is part of the text: no list of links, and, if it is
+    a bare container, as dense as the path."""
+    return not n.chars or (id(n) not in lists and (n.tag not in BARE or n.density >= least))
+
+
+def whole(target: Node, path: list[Node], lists: set[int], bound: float) -> Node:
     """The subtree that is the article: the outermost ``article`` around ``target``, else the
-    nearest ``main``, else the highest ancestor with no list of links beside the path."""
+    nearest ``main``, else the highest ancestor with nothing beside the path that does
+    not belong to the text."""
     articles = [n for n in path if n.tag == "article"]
     mains = [n for n in path if n.tag == "main"]
     if articles or mains:
         return articles[-1] if articles else mains[0]
-    lists, top = holders(nodes), target
+    top = target
     for p in path[1:]:
         kept = [c for c in p.children() if not c.skip]
         own = [getattr(p, f) - sum(getattr(c, f) for c in kept) for f in ("chars", "link_chars", "link_tags")]
-        if linked(*own) or any(id(c) in lists for c in kept if c is not top):
+        if linked(*own) or not all(belongs(c, lists, bound) for c in kept if c is not top):
             break
         top = p
     return top
 
 
+def path_to_root(n: Node) -> list[Node]:
+    return [n, *ancestors(n)]
+
+
 def selected(nodes: list[Node]) -> list[Node]:
     """The article's subtree, and others that are articles as well, the page's title beside
     the path or reach the path's least density.  Each is taken whole."""
     target = densest(nodes)
-    path, n = [], target
-    while n is not None:
-        path.append(n)
-        n = n.parent
-    least = min(x.density for x in path)
-    top = whole(target, path, nodes)
+    path = path_to_root(target)
+    least, lists = min(x.density for x in path), holders(nodes)
+    bound = min((x.density for x in path if id(x) not in lists), default=least)
+    top = whole(target, path, lists, bound)
     chosen, todo = [], [(nodes[0], False)]
     on_path = set(map(id, path))
     while todo:
@@ -348,7 +393,7 @@ def selected(nodes: list[Node]) -> list[Node]:
             chosen.append(n)
         elif id(n) in on_path:
             todo.extend((c, False) for c in kept)
-        elif n.chars and ((n.density >= least and not below) or (n.tag in (("article",) if below else ("article", "h1")) and not linked(n.chars, n.link_chars, n.link_tags))):
+        elif n.chars and ((n.density >= (bound if n.tag in BARE else least) and not below) or (n.tag in (("article",) if below else ("article", "h1")) and not linked(n.chars, n.link_chars, n.link_tags))):
             chosen.append(n)
         else:
             todo.extend((c, True) for c in kept)
