@@ -14,7 +14,9 @@ vocabulary is spelled in its UTF-8 bytes.  Of equal scores the segmentation with
 fewer tokens counts.
 
 Scale: no shuffle; a task keeps one trie across its rows and starts a new one
-at ``max_nodes``, which bounds memory and changes no count.
+at ``max_nodes``, which bounds memory and changes no count.  A word of more than
+``LONG`` characters goes by a rolling window instead: the longest piece bounds how far a
+segmentation looks back, so only that many prefixes are held.
 
 Defined results: null, empty and blank texts count 0; rows are counted each.
 """
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 #: The vocabulary's word mark and the form of its byte pieces.
 MARK = "▁"
 BYTE = "<0x{:02X}>"
+LONG = 4096
 
 
 def load_pieces(path: str) -> list[str]:
@@ -103,6 +106,33 @@ class Trie:
         return tokens[node]
 
 
+    def rolled(self, word: str) -> int:
+        """Tokens of ``word`` without entering it: the last prefixes alone are kept."""
+        ends, back = self.ends, max(map(len, self.ends))
+        best, tokens, first = [0.0], [0], 0  # of the prefixes from ``first`` on
+        for i, ch in enumerate(word, 1):
+            s, n = ends.get(ch), 1
+            if s is None:
+                s, n = self.spelled(ch)
+            top, count = best[-1] + s, tokens[-1] + n
+            for start in range(i - 2, -1, -1):
+                end = word[start:i]
+                s = ends.get(end)
+                if s is None:
+                    if end not in ends:
+                        break
+                    continue
+                s += best[start - first]
+                if s > top or (s == top and tokens[start - first] + 1 < count):
+                    top, count = s, tokens[start - first] + 1
+            best.append(top)
+            tokens.append(count)
+            if len(best) > 64 * back:
+                first += len(best) - back
+                del best[:-back], tokens[:-back]
+        return tokens[-1]
+
+
 def count_tokens(docs: DataFrame, pieces: list[str], key: str = "doc_id", text: str = "text", max_nodes: int = 600_000) -> DataFrame:
     """``(doc_id, n_words, n_tokens)`` of every row."""
     ends = docs.sparkSession.sparkContext.broadcast(piece_ends(log_probabilities(pieces)))  # the vocabulary: its size is the parameter's
@@ -116,7 +146,9 @@ def count_tokens(docs: DataFrame, pieces: list[str], key: str = "doc_id", text:
                 total = 0
                 for w in ws:
                     n = known.get(w)
-                    if n is None:
+                    if n is None and len(w) > LONG and len(w.decode()) > LONG:
+                        n = trie.rolled(MARK + w.decode())
+                    elif n is None:
                         if len(trie.best) > max_nodes:
                             trie, known = Trie(ends.value), {}
                         n = known[w] = trie.insert(MARK + w.decode())

@@ -197,3 +197,114 @@ def test_comments_and_teasers_are_left_out_though_they_are_articles():
     for mark in ("comments", "related", "sidebar", "post-comments", "cookie-notice"):
         page = f"<body><article>{''.join(TEN)}</article><div class={mark}><article><p>{WORDS[0]}</p></article></div></body>"
         assert html.extract(page).split("\n") == WORDS
+
+
+def test_density_decides_on_pages_without_semantic_tags(spark):
+    """The given pages with every telling tag and class taken away: most articles come out
+    exactly, by density alone, and hardly anything of one is lost."""
+    import re
+
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    exact = whole = 0
+    for h in pages:
+        want = html.extract(h).split("\n")
+        bare = re.sub(r' class="[^"]*"', "", re.sub(r"<(/?)(article|footer|nav|header|aside|main)\b", r"<\1div", h))
+        got = html.extract(bare).split("\n")
+        exact += got == want
+        whole += set(want) <= set(got)
+    print(f"without semantic tags: {exact} of {len(pages)} articles exact, {whole} whole")
+    assert exact >= 0.7 * len(pages) and whole >= 0.97 * len(pages)
+
+
+@pytest.mark.parametrize("shell", ["<article>{}</article>", "<main><div>{}</div></main>", "<div>{}</div>"])
+def test_class_words_alone_drop_nothing_of_an_article(shell):
+    parts = ["<div class='paywall-content'>" + "".join(TEN[:6]) + "</div>", "<section class='menu-recipe'>" + TEN[6] + "</section>", f"<p id='social-history'>{WORDS[7]}</p>", *TEN[8:]]
+    assert html.extract(f"<body>{MENU}{shell.format(''.join(parts))}</body>").split("\n") == WORDS
+
+
+@pytest.mark.parametrize("noise", [
+    "<section class='reader-discussion'><p>First! What a fine text this is, I say.</p><p>Not so fine at all, say I.</p></section>",
+    "<div class=copyright>All rights reserved by the owner of this page.</div>",
+    "<div class='ad-slot-2'>Buy this at once, it is very cheap today.</div>",
+    "<div><h3>About</h3><p>We write.</p><p>A lot.</p><p>Of texts.</p></div>",
+    "<div>&copy; the owner</div>",
+])
+@pytest.mark.parametrize("place", ["<body><div class=wrap>{menu}<div>{text}</div>{noise}</div></body>", "<body>{menu}<article>{text}</article>{noise}</body>"])
+def test_what_is_no_article_goes(noise, place):
+    assert html.extract(place.format(menu=MENU, text="".join(TEN), noise=noise)).split("\n") == WORDS
+
+
+def test_marked_parts_of_an_article_go_unless_they_are_most_of_it():
+    less = f"<article><h1>Title</h1>{''.join(TEN)}<div class=comments><p>{'A reader wrote this here. ' * 12}</p></div></article>"
+    assert html.extract(less).split("\n") == ["Title", *WORDS]
+    most = f"<article><div class=social><h1>Title</h1>{''.join(TEN)}</div><p>Out of the box.</p></article>"
+    assert html.extract(most).split("\n") == ["Title", *WORDS, "Out of the box."]
+
+
+def plain_weights(node, ratio):
+    """Characters, tags, link characters, link tags and density of a kept node, by recursion."""
+    from math import e, log
+
+    kept = [c for c in node.items if isinstance(c, html.Node) and not c.skip]
+    below = [plain_weights(c, ratio) for c in kept]
+    own = [len("".join("".join(x for x in node.items if isinstance(x, str)).split())), 0, node.own_link[0], node.own_link[1]]
+    c, t, lc, lt = (own[i] + sum(b[i] + (i == 1) for b in below) for i in range(4))
+    if not c:
+        return 0, t, lc, lt, 0.0, 0.0
+    base = log((c / max(c - lc, 1)) * lc + ratio * c + e)
+    many = max(t + lt, 1)
+    if base > 1 and c > 1 and log(base) > 0:
+        density = max(0.0, c / many * log((c / max(lc, 1)) * (many / max(lt, 1))) / log(base))
+    else:
+        density = c / many
+    return c, t, lc, lt, density, sum(b[4] for b in below)
+
+
+def test_densities_equal_a_plain_recursion():
+    import random
+
+    rnd = random.Random(5)
+
+    def block(depth):
+        if depth == 0 or rnd.random() < 0.3:
+            words = "word " * rnd.randrange(30)
+            return f"<p>{words}{'<a href=x>link text</a>' * rnd.randrange(3)}</p>"
+        return f"<{(t := rnd.choice(['div', 'section', 'ul', 'td']))}>{''.join(block(depth - 1) for _ in range(rnd.randrange(5)))}</{t}>"
+
+    for _ in range(60):
+        b = html.TreeBuilder()
+        b.feed(block(5))
+        b.close()
+        nodes = html.in_order(b.root)
+        for n in nodes:
+            html.Node.own_link = property(lambda self: own[id(self)])
+        own = {id(n): (n.link_chars, n.link_tags) for n in nodes}
+        total = [sum(n.chars for n in nodes), sum(n.link_chars for n in nodes)]
+        ratio = total[1] / max(total[0], 1)
+        want = {id(n): plain_weights(n, ratio) for n in nodes}
+        html.weigh(nodes)
+        for n in nodes:
+            c, t, lc, lt, density, kids = want[id(n)]
+            assert (n.chars, n.tags, n.link_chars, n.link_tags) == (c, t, lc, lt)
+            assert n.density == pytest.approx(density) and n.total == pytest.approx(kids)
+        del html.Node.own_link
+        best = html.densest(nodes)
+        assert want[id(best)][5] == pytest.approx(max(w[5] for w in want.values()))
+
+
+def test_long_words_take_a_rolling_window(docs, pieces):
+    scores = counts.log_probabilities(pieces)
+    trie = counts.Trie(counts.piece_ends(scores))
+    words = [w for w in {w for r in docs.limit(30).collect() for w in plain.words(r.text)} if len(w) < 400][:600]
+    words += ["x" * 900, "ab😀" * 300, "é" * 777, "the" * 500]
+    for w in words:
+        assert trie.rolled(counts.MARK + w) == trie.insert(counts.MARK + w), w[:40]
+    nodes = len(trie.best)
+    assert trie.rolled(counts.MARK + "base64/" * 200_000) > 0 and len(trie.best) == nodes
+
+
+def test_a_text_of_one_huge_word_is_counted(spark, pieces, monkeypatch):
+    df = spark.createDataFrame([(1, "aGVsbG8" * 150_000), (2, "short words here")], "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in counts.count_tokens(df, pieces).collect()}
+    trie = counts.Trie(counts.piece_ends(counts.log_probabilities(pieces)))
+    assert got[1] == trie.rolled(counts.MARK + "aGVsbG8" * 150_000)
