@@ -37,6 +37,14 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shielded(docs: DataFrame, used: list[str]):
+    """``docs`` with every column but ``used`` under a neutral name, and a function that gives a
+    frame of such rows the names and order of ``docs`` back.  So no name that an
+    operator makes for itself can meet one of its input's."""
+    own = {c: c if c in used else f"own{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*own.values()), lambda df: df.select(*[F.col(f"`{n}`").alias(c) for c, n in own.items()])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.llm.common import running_sum, store, words
+from keelson.llm.common import running_sum, shielded, store, words
 
 #: Fixed value: the golden ratio less one.
 GOLDEN = 0.6180339887498949
@@ -236,10 +236,12 @@ def apply_mix(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     time cut after half of its words; a row not taken is absent.  Columns are
     those of ``docs``; ``n_chars``, where there is one, follows a cut text."""
     mix = mix or Mix()
-    taken, _ = mix_sources(docs, mix)
+    kind = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
+    inside, back = shielded(docs, ["doc_id", "source", "text", "n_chars"])
+    taken, _ = mix_sources(inside, mix)
     known = taken.where("size > 0 and taken > 0").select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("h").alias("_h"), F.col("size").alias("_size"), F.col("copies").alias("_copies"), F.col("taken").alias("_taken"))
     known = store(known, "mix-taken")
-    keyed = docs.withColumn("_k", row_hash("doc_id", "source", "text"))
+    keyed = inside.withColumn("_k", row_hash("doc_id", "source", "text"))
     same = (F.col("_k") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
     met = keyed.join(known, same)
     if not known.where("_copies > 1").isEmpty():
@@ -253,6 +255,6 @@ def apply_mix(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     left = F.col("_taken") - (F.col("_e") - 1) * F.col("_size")
     cut = left < F.col("_size")
     out = rows.withColumn("text", F.when(cut, first_words(F.col("text"), left)).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    if kind is not None:
+        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return back(out)

@@ -26,7 +26,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import let, store
+from keelson.llm.common import let, shielded, store
 from keelson.llm.em import fit_votes
 
 #: The base kinds in their order, then the added ones.
@@ -237,11 +237,10 @@ def mask_texts(docs: DataFrame, text: str = "text", chars: str = "n_chars", thre
 
     A null text stays null; a text without spans is returned as it is.
     """
-    slim = docs.withColumnRenamed("base_spans", "_base").withColumnRenamed("all_spans", "_all")
-    found = find_pii(slim, text, threshold)
+    inside, back = shielded(docs, [text, chars])
+    found = find_pii(inside, text, threshold)
     some = F.size("all_spans") > 0
     made = found.withColumn(text, F.when(some, masked(F.col(text), F.col("all_spans"))).otherwise(F.col(text)))
     if chars in docs.columns:
         made = made.withColumn(chars, F.when(some, F.length(text).cast(docs.schema[chars].dataType)).otherwise(F.col(chars)))
-    back = {"base_spans": "_base", "all_spans": "_all"}
-    return made.select(*[F.col(back[c]).alias(c) if c in back else F.col(c) for c in docs.columns])
+    return back(made)

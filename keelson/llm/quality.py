@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import WORD, let, store, words
+from keelson.llm.common import WORD, let, shielded, store, words
 from keelson.llm.em import VoteModel, fit_votes
 
 SYMBOLS = "#*$%&|<>"
@@ -136,6 +136,12 @@ def quality_rules(docs: DataFrame, text: str = "text", threshold: float = 0.5) -
     return judge(measure(docs, text), model, threshold)
 
 
+def kept_rows(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, as they are, whatever their columns' names."""
+    inside, back = shielded(docs, [text])
+    return back(quality_rules(inside, text, threshold).where("kept"))
+
+
 def quality_report(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
     """Counts and verdict per row without the text, which is read once."""
     slim = measure(docs.select(F.col(key).alias(key), F.col(text).alias("_t")), "_t").drop("_t")

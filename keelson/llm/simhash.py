@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.llm.common import connected_components, store
+from keelson.llm.common import connected_components, shielded, store
 
 SEED = 42
 #: Shingles whose bits are unpacked at once.
@@ -118,16 +118,17 @@ def hex_digits(fp: Column) -> Column:
 
 
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """Of every component the row with its least id; rows without an id all stay.
+    """Of every component the row with its least id, or, where no row of it has one, the
+    row of the least text hash.
 
     A row is known by its id and text, so rows of one id in several components are
     judged each.  Of rows equal in both, one stays: the first of each task and then of
     all, so a heavily repeated row is cut down before the shuffle.
     """
     found = simhash_components(docs, key, text, shingle, max_distance)
-    least = found.where("doc_id = component_id").groupBy("root", "component_id").agg(F.min("content").alias("_stays_content"))
-    stays = least.select(F.col("component_id").alias("_stays_id"), "_stays_content").distinct()
-    named = docs.withColumn("_simhash_content", content_of(text))
-    same = (F.col(key).cast("long") == F.col("_stays_id")) & (F.col("_simhash_content") == F.col("_stays_content"))
-    once = named.join(stays, same, "left_semi").dropDuplicates([key, "_simhash_content"])
-    return once.unionByName(named.where(F.col(key).isNull())).drop("_simhash_content")
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "content")).alias("least"))
+    stays = least.select(F.col("least.doc_id").alias("stays_id"), F.col("least.content").alias("stays_content")).distinct()
+    inside, back = shielded(docs, [key, text])
+    named = inside.withColumn("content", content_of(text))
+    same = F.col(key).cast("long").eqNullSafe(F.col("stays_id")) & (F.col("content") == F.col("stays_content"))
+    return back(named.join(stays, same, "left_semi").dropDuplicates([key, "content"]))

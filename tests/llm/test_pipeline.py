@@ -45,7 +45,35 @@ def test_repeated_and_nameless_rows_in_dedup(spark, edges):
     out = corpus_pipeline.dedup_stage(spark, edges, "")
     assert out.columns == edges.columns
     ids = [r.doc_id for r in out.select("doc_id").collect()]
-    assert sorted(i for i in ids if i is not None) == [9001, 9004, 9005, 9006, 9007, 9008, 9009, 9010] and ids.count(None) == 2
+    assert sorted(i for i in ids if i is not None) == [9001, 9004, 9005, 9006, 9007, 9008, 9009, 9010] and ids.count(None) == 1
+    # a component without ids keeps one row, however many there are
+    nameless = spark.createDataFrame([(None, "these words stand in many rows without any id at all")] * 5 + [(None, "quite another text of seven words")], "doc_id long, text string")
+    assert corpus_pipeline.dedup_stage(spark, nameless, "").count() == 2
+
+
+STAGE_NAMES = {
+    "quality_rules": ["_q", "_qw", "_ql", "kept", "posterior", "base_failed", "n_words", "q", "symbols"],
+    "simhash_dedup": ["_stays_id", "_stays_content", "_simhash_content", "content", "stays_id", "stays_content", "fp", "root", "node", "component_id"],
+    "pii": ["base_spans", "all_spans", "_base", "_all", "x", "m", "before", "own0", "own1"],
+    "mixing": ["_k", "_e", "_h", "_d", "_s", "_size", "_copies", "_taken", "_n", "_place", "_chunk", "_inside", "size", "h", "taken", "target", "slot", "words", "own5"],
+}
+
+
+@pytest.mark.parametrize("name", STAGE_NAMES)
+def test_names_of_the_operators_own_columns_pass_unchanged(spark, docs, name):
+    """Input columns that bear an internal name neither fail a stage nor change."""
+    from pyspark.sql import functions as F
+
+    extra = STAGE_NAMES[name]
+    some = docs.where("doc_id is null or doc_id >= 9000 or doc_id < 40")
+    clash = some.select("*", *[F.concat_ws("|", F.lit(c), F.col("doc_id")).alias(c) for c in extra])
+    stage = dict(corpus_pipeline.STAGES)[name]
+    out = stage(spark, clash, "")
+    assert out.columns == clash.columns and out.dtypes == clash.dtypes
+    rows = out.collect()
+    assert rows and all(r[c] == (c if r.doc_id is None else f"{c}|{r.doc_id}") for r in rows for c in extra)
+    bare = stage(spark, some, "")
+    assert sorted(map(repr, bare.collect())) == sorted(map(repr, out.select(*some.columns).collect()))
 
 
 def test_one_id_with_several_texts_in_dedup(spark):
@@ -88,7 +116,7 @@ def test_empty_documents_pass_through(spark, none):
 
 def test_queries_are_registered():
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")}
+    assert "pipeline" in names and {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")}
 
 
 def test_simhash_has_no_python_state():
