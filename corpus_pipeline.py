@@ -19,14 +19,12 @@ ORACLE_SQL = None
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality.quality_rules(docs).where("kept").select(*docs.columns)
+    return quality.kept_rows(docs)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every SimHash component the row with its least id (one of equal rows).
-
-    Rows without an id are kept as they stand: no id tells them apart.
-    """
+    """Of every SimHash component one row: that with its least id, one of equal rows, or
+    one without an id where no row of the component has one."""
     return simhash.first_of_each(docs)
 
 
