@@ -121,6 +121,48 @@ def as_of_join(facts: DataFrame, versions: DataFrame, key: str, date_col: str,
     return facts.join(v, cond, how).drop("__vk")
 
 
+def as_of_merge(facts: DataFrame, versions: DataFrame, key: str, date_col: str,
+                days: int = 64) -> DataFrame:
+    """``as_of_join`` (inner) for keys with many versions: a merge in date order.
+
+    The range join compares every fact row with every version of its key.  Here both
+    are put in order and the last version begun is carried along, so a row costs
+    the same however many versions its key has.  Time is cut into pieces of ``days``,
+    and a piece of a key is one unit of work, so a key with a large share of all rows is
+    split; the version that is open when a piece begins is found from one row per
+    key and piece.  Versions of a key must not overlap (``validate.scd2_overlap`` tells);
+    fact rows without a key or date, or outside every version, drop out.
+    """
+    piece = lambda d: F.floor(F.unix_date(d) / days).cast("int")
+    cols = [c for c in versions.columns if c != key]
+    ver = F.struct(*cols)
+    v = versions.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()) \
+        .select(F.col(key).alias("__k"), piece("valid_from").alias("__p"),
+                F.col("valid_from").alias("__d"), ver.alias("__v"))
+    f = facts.where(F.col(key).isNotNull() & F.col(date_col).isNotNull()) \
+        .select(F.col(key).alias("__k"), piece(date_col).alias("__p"), F.col(date_col).alias("__d"),
+                F.struct(*facts.columns).alias("__f"))
+    # the last version begun in each piece, carried over the pieces of the key
+    begun = v.groupBy("__k", "__p").agg(F.max_by("__v", "__d").alias("__v"))
+    seen = f.select("__k", "__p").distinct()
+    none_v, none_f = F.lit(None).cast(v.schema["__v"].dataType), F.lit(None).cast(f.schema["__f"].dataType)
+    marks = begun.unionByName(seen.withColumn("__v", none_v)) \
+        .groupBy("__k", "__p").agg(F.max("__v").alias("__v"))
+    before = Window.partitionBy("__k").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    opens = marks.select("__k", "__p", F.last("__v", ignorenulls=True).over(before).alias("__v")) \
+        .where(F.col("__v").isNotNull())
+    order = {"open": 0, "version": 1, "fact": 2}
+    rows = (opens.select("__k", "__p", F.lit(None).cast("date").alias("__d"), F.lit(order["open"]).alias("__o"), "__v", none_f.alias("__f"))
+            .unionByName(v.select("__k", "__p", "__d", F.lit(order["version"]).alias("__o"), "__v", none_f.alias("__f")))
+            .unionByName(f.select("__k", "__p", "__d", F.lit(order["fact"]).alias("__o"), none_v.alias("__v"), "__f")))
+    along = Window.partitionBy("__k", "__p").orderBy(F.col("__d").asc_nulls_first(), "__o") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    met = rows.withColumn("__v", F.last("__v", ignorenulls=True).over(along)) \
+        .where(F.col("__f").isNotNull() & F.col("__v").isNotNull())
+    end = F.col("__v.valid_to")
+    return met.where(end.isNull() | (end > F.col("__d"))).select("__f.*", *[F.col(f"__v.{c}") for c in cols])
+
+
 def _per_key_day(fact: DataFrame, key: str) -> DataFrame:
     # one row per key and order date before the range join: a hot key is
     # reduced to at most one row per day

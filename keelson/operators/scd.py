@@ -19,7 +19,9 @@ Both compare tracked columns with ``<>`` by default, so NULL against a value
 is *not* a change (the reference semantics); ``null_safe=True`` counts it.
 The bulk form equals the fold when tracked columns hold no NULL, or when
 ``null_safe=True`` (the fold compares with the last accepted version, the
-bulk with the last seen row; they differ only across NULLs).
+bulk with the last seen row; they differ only across NULLs).  ``scd2_history``
+is a one-pass form that equals the fold always: an ordered fold of each key's
+rows inside one aggregate.
 """
 
 from __future__ import annotations
@@ -182,6 +184,44 @@ def scd2_bulk(stg: DataFrame, key: str, tracked: Sequence[str], effective: Colum
     return out.select(*cols)
 
 
+def scd2_history(stg: DataFrame, key: str, tracked: Sequence[str], effective: Column,
+                 null_safe: bool = False, order_col: str = "batch_key") -> DataFrame:
+    """Type 2 versions of all batches in one pass, equal to the fold with any NULLs.
+
+    Each key's rows (one per batch, so a short list) are collected, put in
+    order and folded: a row opens a version when a tracked column differs
+    from the last *accepted* row.  One shuffle, no window.
+    Output: key, tracked..., valid_from, valid_to, is_current, ``opened_by``
+    and ``closed_by`` (batches).
+    """
+    row = F.struct(F.col(order_col).alias("o"), effective.alias("f"),
+                   *[F.col(t).alias(f"a{i}") for i, t in enumerate(tracked)])
+    per_key = stg.groupBy(key).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+
+    def accept(acc: Column, x: Column) -> Column:
+        last = F.element_at(acc, -1)
+        differ = any_differs([(x[f"a{i}"], last[f"a{i}"]) for i in range(len(tracked))], null_safe)
+        return F.when(differ, F.concat(acc, F.array(x))).otherwise(acc)
+
+    kept = F.aggregate(F.slice("rows", 2, F.size("rows")), F.slice("rows", 1, 1), accept)
+    folded = per_key.select(key, kept.alias("kept"))
+    at = folded.select(key, F.posexplode("kept").alias("i", "v"), "kept")
+    nxt = F.get("kept", F.col("i") + 1)
+    return at.select(key, *[F.col(f"v.a{i}").alias(t) for i, t in enumerate(tracked)],
+                     F.col("v.f").alias("valid_from"), nxt["f"].alias("valid_to"),
+                     nxt.isNull().alias("is_current"),
+                     F.col("v.o").alias("opened_by"), nxt["o"].alias("closed_by"))
+
+
+def versions_as_of(history: DataFrame, bk: str) -> DataFrame:
+    """The versions of a history with ``opened_by`` / ``closed_by`` as they stood
+    after batch ``bk``: later ones are unknown, later closes undone."""
+    closed = F.col("closed_by").isNotNull() & (F.col("closed_by") <= F.lit(bk))
+    return (history.where(F.col("opened_by") <= F.lit(bk))
+            .withColumns({"valid_to": F.when(closed, F.col("valid_to")), "is_current": ~closed,
+                          "closed_by": F.when(closed, F.col("closed_by"))}))
+
+
 def tracked_nulls(stg: DataFrame, tracked: Sequence[str]) -> Column:
     """An aggregate counting rows with a NULL tracked column (bulk guard)."""
     return F.count_if(reduce(or_, [F.col(t).isNull() for t in tracked]))

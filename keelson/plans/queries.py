@@ -22,11 +22,12 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, whole: bool = False):
+    """``whole``: the SQL stands as it is (it names its own CTEs)."""
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = with_ctes(sql)
+            ORACLE[name] = sql if whole else with_ctes(sql)
         return fn
     return deco
 
@@ -345,8 +346,11 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id, upto ORDER BY batch
 def q_dim_after_each_batch(spark, sf):
     """The state of all three dimensions after each of the batches, of which
     the first were applied in one bulk commit and the others folded."""
+    return _after_each_batch(stored.staged_run(spark, sf)["wh"])
+
+
+def _after_each_batch(wh) -> DataFrame:
     from functools import reduce
-    wh = stored.staged_run(spark, sf)["wh"]
     parts = []
     for bk in wh.committed():
         at = F.lit(bk).alias("batch_key")
@@ -383,6 +387,73 @@ def q_fact_orders_after_stops(spark, sf):
     return stored.stopped_run(spark, sf)["wh"].fact()
 
 
+# ------------------------------------------- late rows, types, rewrites --
+
+@register("q_late_rows", f"""
+SELECT 'customers' AS entity, batch_key, COUNT(*) AS n FROM bronze_customers
+WHERE batch_key = '{stored.LATE_CUSTOMERS}' AND TRY_CAST(customer_id AS BIGINT) % 7 = 3 GROUP BY batch_key
+UNION ALL
+SELECT 'products', batch_key, COUNT(*) FROM bronze_products
+WHERE batch_key = '{stored.LATE_PRODUCTS}' AND TRY_CAST(substring(product_id, 2) AS BIGINT) % 6 = 2
+GROUP BY batch_key""")
+def q_late_rows(spark, sf):
+    """Rows that came for a batch after its commit, as recorded per file."""
+    rows = stored.late_run(spark, sf)["wh"].late_rows()
+    return rows.groupBy("entity", "batch_key").agg(F.sum("n").alias("n"))
+
+
+@register("q_scd2_after_late_file", """
+SELECT 'customers' AS dim, CAST(customer_id AS VARCHAR) AS id, city AS attribute, valid_from,
+       valid_to, is_current FROM scd2_customers
+UNION ALL
+SELECT 'products', product_id, category, valid_from, valid_to, is_current FROM scd2_products
+UNION ALL
+SELECT 'customers_type1', CAST(customer_id AS VARCHAR), city, update_date, NULL, TRUE FROM scd1_customers""")
+def q_scd2_after_late_file(spark, sf):
+    """The dimensions after late rows of two old batches were replayed for their keys
+    and a further batch was folded: equal to a build of all rows in order."""
+    wh = stored.late_run(spark, sf)["wh"]
+    each = [wh.dim2(e).select(F.lit(e).alias("dim"), F.col(k).cast("string").alias("id"),
+                              F.col(a).alias("attribute"), "valid_from", "valid_to", "is_current")
+            for e, k, a in (("customers", "customer_id", "city"),
+                            ("products", "product_id", "category"))]
+    one = wh.dim1().select(F.lit("customers_type1").alias("dim"), F.col("customer_id").cast("string").alias("id"),
+                           F.col("city").alias("attribute"), F.col("update_date").alias("valid_from"),
+                           F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
+    return each[0].unionByName(each[1]).unionByName(one)
+
+
+@register("q_dim_after_late_file", _AFTER_SQL)
+def q_dim_after_late_file(spark, sf):
+    """As q_dim_after_each_batch, where some rows of two batches came late."""
+    return _after_each_batch(stored.late_run(spark, sf)["wh"])
+
+
+@register("q_orders_mixed_types", "SELECT * FROM fact_orders")
+def q_orders_mixed_types(spark, sf):
+    """The fact from Parquet files with BIGINT, INT and string ids in one feed."""
+    return stored.types_run(spark, sf)["wh"].fact()
+
+
+@register("q_fact_while_rewriting", f"""
+SELECT order_id, customer_id, product_id, amount, order_date,
+       CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTEGER) AS month
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id
+             ORDER BY order_date DESC NULLS LAST, amount ASC NULLS FIRST,
+                      product_id ASC NULLS FIRST, customer_id ASC NULLS FIRST) AS rn
+  FROM (SELECT TRY_CAST(order_id AS BIGINT) AS order_id, TRY_CAST(customer_id AS BIGINT) AS customer_id,
+               product_id, COALESCE(TRY_CAST(amount AS DOUBLE), 0.0) AS amount,
+               TRY_CAST(order_date AS DATE) AS order_date
+        FROM bronze_orders WHERE batch_key <= '{stored.WAVE_SPLIT}') t
+  WHERE order_id IS NOT NULL AND product_id IS NOT NULL AND amount > 0) x
+WHERE rn = 1""")
+def q_fact_while_rewriting(spark, sf):
+    """What readers see of the fact while a build has written its rows and not yet
+    committed them: the state before."""
+    return stored.rewriting_run(spark, sf)["wh"].fact()
+
+
 # ------------------------------------------------------------ validation --
 
 def _broken(dim_sql: str) -> str:
@@ -600,6 +671,41 @@ def q_scd2_products_nulls(spark, sf):
                           spec["tracked"], business_date("batch_key"), null_safe=True)
 
 
+# the fold stated in SQL: a row is accepted when it differs from the last accepted one
+_FOLD_NULLS = """
+SELECT product_id, product_name, category, price, valid_from,
+       LEAD(valid_from) OVER w AS valid_to, LEAD(valid_from) OVER w IS NULL AS is_current
+FROM (SELECT DISTINCT n.product_id, n.product_name, n.category, n.price, n.valid_from, n.i
+      FROM accepted a JOIN numbered n ON n.product_id = a.product_id AND n.i = a.last) v
+WINDOW w AS (PARTITION BY product_id ORDER BY i)"""
+
+
+def _fold_nulls_sql() -> str:
+    numbered = with_ctes("""SELECT product_id, product_name, category, price, CAST(batch_key || '-01' AS DATE) AS valid_from,
+       ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY batch_key) AS i FROM stg_products_odd""")
+    return f"""WITH RECURSIVE numbered AS ({numbered}),
+accepted AS (
+  SELECT product_id, CAST(1 AS BIGINT) AS i, CAST(1 AS BIGINT) AS last FROM numbered WHERE i = 1
+  UNION ALL
+  SELECT n.product_id, n.i, CASE WHEN n.product_name <> l.product_name OR n.category <> l.category
+                                   OR n.price <> l.price THEN n.i ELSE a.last END
+  FROM accepted a JOIN numbered n ON n.product_id = a.product_id AND n.i = a.i + 1
+  JOIN numbered l ON l.product_id = a.product_id AND l.i = a.last)
+{_FOLD_NULLS}"""
+
+
+@register("q_scd2_products_nulls_fold", _fold_nulls_sql(), whole=True)
+def q_scd2_products_nulls_fold(spark, sf):
+    """Type 2 products over NULL attributes, a NULL no change (`<>`), in one pass: each row
+    compared with the last accepted one, as batch-by-batch folding does."""
+    from keelson.functions import business_date
+    from keelson.operators.cleanse import clean_products
+    from keelson.schemas import SCD2_SPECS
+    spec = SCD2_SPECS["products"]
+    return _scd.scd2_history(clean_products(_odd(spark, sf, "products")), spec["key"], spec["tracked"],
+                             business_date("batch_key")).drop("opened_by", "closed_by")
+
+
 # -------------------------------------------------------------- rejects --
 
 @register("q_rejected_rows", """
@@ -657,6 +763,39 @@ def q_ingest_unread_files(spark, sf):
     return reduce(DataFrame.unionByName, each)
 
 
+@register("q_ingest_unread_files_damaged", """
+SELECT 'customers' AS entity, MAX(batch_key) AS batch_key FROM bronze_customers
+UNION ALL SELECT 'products', MAX(batch_key) FROM bronze_products""")
+def q_ingest_unread_files_damaged(spark, sf):
+    """The check on a Bronze without its newest batch's rows: it names their files."""
+    from functools import reduce
+    from keelson.functions import batch_key_of
+    from keelson.streaming.ingest import unread_files
+    run = stored.full_run(spark, sf)
+    each = []
+    for e in ("customers", "products"):
+        b = run["wh"].bronze(e)
+        newest = b.agg(F.max("batch_key")).first()[0]
+        lost = unread_files(spark, f"{run['landing']}/{e}", b.where(F.col("batch_key") != newest))
+        each.append(lost.select(F.lit(e).alias("entity"), batch_key_of("path").alias("batch_key")).distinct())
+    return reduce(DataFrame.unionByName, each)
+
+
+@register("q_multi_current_products_damaged", f"""
+SELECT product_id, COUNT(*) AS current_versions FROM {_broken('scd2_products')} d
+WHERE is_current GROUP BY product_id HAVING COUNT(*) > 1""")
+def q_multi_current_products_damaged(spark, sf):
+    return validate.multi_current(_broken_df(stored.full_run(spark, sf)["wh"].dim2("products")),
+                                  "product_id")
+
+
+@register("q_products_not_open", """
+SELECT * FROM scd2_products WHERE is_current AND valid_to IS NOT NULL""")
+def q_products_not_open(spark, sf):
+    """Current rows of the stored product dimension that carry an end (must be none)."""
+    return validate.current_not_open(stored.full_run(spark, sf)["wh"].dim2("products"))
+
+
 # ----------------------------------------------------- changes / as-was --
 
 @register("q_scd2_changes", """
@@ -723,11 +862,14 @@ def q_sales_by_category_as_was(spark, sf):
                "total_amount")
 
 
-@register("q_orders_as_was", """
+_AS_WAS_SQL = """
 SELECT f.order_id, f.customer_id, d.city, d.valid_from
 FROM fact_orders f JOIN scd2_customers d
   ON f.customer_id = d.customer_id AND d.valid_from <= f.order_date
- AND (d.valid_to > f.order_date OR d.valid_to IS NULL)""")
+ AND (d.valid_to > f.order_date OR d.valid_to IS NULL)"""
+
+
+@register("q_orders_as_was", _AS_WAS_SQL)
 def q_orders_as_was(spark, sf):
     """Point-in-time join at row level: each order with the customer version
     valid on its date (no fan-out: one version per order)."""
@@ -736,3 +878,12 @@ def q_orders_as_was(spark, sf):
                                                "valid_to")
     return marts.as_of_join(f, v, "customer_id", "order_date") \
         .select("order_id", "customer_id", "city", "valid_from")
+
+
+@register("q_orders_as_was_merged", _AS_WAS_SQL)
+def q_orders_as_was_merged(spark, sf):
+    """The same by a merge in date order, for keys with many versions."""
+    f = flows.fact_orders(spark, sf).select("order_id", "customer_id", "order_date")
+    v = flows.scd2_customers(spark, sf).select("customer_id", "city", "valid_from", "valid_to")
+    return marts.as_of_merge(f, v, "customer_id", "order_date") \
+        .select("order_id", "customer_id", "city", "valid_from")

@@ -13,13 +13,20 @@ bulk and fold on one history, and the commit log.
 (before a bulk commit, while the fact is rewritten, before a folded batch's
 commit, before a mart's build is logged) and the step is run again.
 
+``late_run``: some rows of two early batches come only after later batches were committed
+(some in bulk, some folded); they are recorded and replayed, then a last batch is folded.
+
+``types_run``: the orders feed as Parquet files of three type layouts, in two waves.
+
+``rewriting_run``: a second wave's fact build stops after writing its rows, before its commit.
+
 Runs are kept per session and input folder, as several queries read the
 same warehouse.  Everything is written under the session's shared folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from keelson.plans import flows
 from keelson.plans.warehouse import Warehouse
@@ -79,6 +86,71 @@ def staged_run(spark: SparkSession, sf_dir: str) -> dict:
     return _RUNS[k]
 
 
+# The batches whose late rows arrive after later commits, the batch
+# folded before them and the last one, folded after them.
+LATE_CUSTOMERS, LATE_PRODUCTS, LATE_AFTER, LAST = "1997-01", "1998-01", "2000-01", "2001-01"
+
+
+def is_late(entity: str) -> Column:
+    """Raw rows (with ``batch_key``) that ``late_run`` holds back."""
+    if entity == "customers":
+        return (F.col("batch_key") == LATE_CUSTOMERS) & F.coalesce(F.col("customer_id").try_cast("bigint") % 7 == 3, F.lit(False))
+    if entity == "products":
+        return (F.col("batch_key") == LATE_PRODUCTS) & F.coalesce(F.substring("product_id", 2, 20).try_cast("bigint") % 6 == 2, F.lit(False))
+    return F.lit(False)
+
+
+def late_run(spark: SparkSession, sf_dir: str) -> dict:
+    k = _key(spark, sf_dir, "late")
+    if k in _RUNS:
+        return _RUNS[k]
+    root = scratch_path(spark, "wh-late")
+    landing = f"{root}/landing"
+    wh = Warehouse(spark, f"{root}/warehouse", late="replay")
+    raw = {e: flows.bronze(spark, sf_dir, e) for e in ("customers", "products", "orders")}
+    bk = F.col("batch_key")
+    waves = [(bk <= WAVE_SPLIT, False), ((bk > WAVE_SPLIT) & (bk <= LATE_AFTER), False),
+             (F.lit(True), True), (bk > LATE_AFTER, False)]
+    reports = []
+    for part, late in waves:
+        for e, df in raw.items():
+            land(df.where(part & (is_late(e) if late else ~is_late(e))).drop("batch_key"), landing, e)
+        wh.ingest(landing)
+        reports.append(wh.run_silver(mode="auto"))
+    _RUNS[k] = {"wh": wh, "silver": reports}
+    return _RUNS[k]
+
+
+def types_run(spark: SparkSession, sf_dir: str) -> dict:
+    """Orders as files of strings, of BIGINT ids with typed amounts and dates, and of INT
+    ids; the first two in one run, the third in a later one with more strings."""
+    k = _key(spark, sf_dir, "types")
+    if k in _RUNS:
+        return _RUNS[k]
+    root = scratch_path(spark, "wh-types")
+    wh = Warehouse(spark, f"{root}/warehouse")
+    raw = feeds.raw_feed(spark, sf_dir, "orders")
+    typed = F.col("order_id").try_cast("bigint").isNotNull()
+    group = F.when(typed, F.col("order_id").try_cast("bigint") % 4).otherwise(0)
+
+    def put(name: str, g: int, ids: str | None) -> None:
+        df = raw.where(group == g).drop("_source_file")
+        if ids:
+            df = df.withColumns({"order_id": F.col("order_id").cast(ids), "customer_id": F.col("customer_id").cast(ids),
+                                 "amount": F.col("amount").cast("double"), "order_date": F.col("order_date").cast("date")})
+        df.write.mode("append").parquet(f"{root}/landing/orders/{name}")
+
+    rows = []
+    for wave in ([("orders_1996-01", 0, None), ("orders_1997-01", 1, "bigint")],
+                 [("orders_1998-01", 2, "int"), ("orders_1999-01", 3, None)]):
+        for name, g, ids in wave:
+            put(name, g, ids)
+        rows.append(wh.ingest(f"{root}/landing")["orders"])
+        wh.build_fact()
+    _RUNS[k] = {"wh": wh, "ingested": rows}
+    return _RUNS[k]
+
+
 class _Stop(Exception):
     pass
 
@@ -97,10 +169,10 @@ class _StoppingWarehouse(Warehouse):
         self._reach("commit")
         super()._commit(bks)
 
-    def _log_fact(self, phase, upto):
+    def _log_fact(self, phase, attempt, base, upto):
         if phase == "done":
             self._reach("fact")
-        super()._log_fact(phase, upto)
+        super()._log_fact(phase, attempt, base, upto)
 
     def _log_gold(self, phase, state, counts):
         if phase == "done":
@@ -137,3 +209,26 @@ def stopped_run(spark: SparkSession, sf_dir: str) -> dict:
         wh.run_gold(as_of=flows.AS_OF)
     _RUNS[k] = {"wh": wh, "stops": stops}
     return _RUNS[k]
+
+
+def rewriting_run(spark: SparkSession, sf_dir: str) -> dict:
+    k = _key(spark, sf_dir, "rewriting")
+    if k in _RUNS:
+        return _RUNS[k]
+    root = scratch_path(spark, "wh-rewriting")
+    landing = f"{root}/landing"
+    wh = _StoppingWarehouse(spark, f"{root}/warehouse")
+    raw = flows.bronze(spark, sf_dir, "orders")
+    early = F.col("batch_key") <= F.lit(WAVE_SPLIT)
+    for part in (early, ~early):
+        land(raw.where(part).drop("batch_key"), landing, "orders")
+        wh.ingest(landing)
+        if part is early:
+            wh.build_fact()
+    wh.stop = "fact"
+    try:
+        wh.build_fact()
+    except _Stop:
+        _RUNS[k] = {"wh": wh}
+        return _RUNS[k]
+    raise AssertionError("the build did not stop")

@@ -9,10 +9,12 @@ session's ``spark.checkpoint.dir`` or a table bucket):
     silver/silver_stg_<entity>/batch_key=<bk>/                    (per batch)
     silver/silver_dim_customers_type1/batch_key=<bk>/             (snapshot)
     silver/silver_dim_<entity>_type2/batch_key=<bk>/is_current=true|false/
-    silver/silver_fact_orders/year=../month=../    (only touched partitions rewritten)
+                                                  (open versions of the newest batches only)
+    silver/silver_fact_orders/attempt=../year=../month=../   (see ``plans/fact.py``)
     silver/silver_batch_control/                                  (commit log)
     silver/silver_refused_batches/                (batches that came too late)
-    silver/_fact_log/, silver/_fact_stage/, silver/_bucket_log/   (build logs)
+    silver/_late/                                 (late rows and corrections)
+    silver/_fact_stage/, silver/_bucket_log/      (build stage, bucket counts)
     silver/_run_log/                              (what each step read and wrote)
     gold/gold_<mart>/, gold/_gold_log/
 
@@ -25,8 +27,8 @@ that stopped half way is invisible, and its rerun overwrites its own
 folders.  History is never rewritten: a batch costs O(open versions + batch).
 
 Pending batches are applied either one by one (``fold``) or all in one pass
-(``bulk``: lag/lead over each key's rows).  ``auto`` takes the bulk pass
-when it is exact (no NULL in tracked columns, or ``null_safe``).  With
+(``bulk``: an ordered fold of each key's rows inside one aggregate, equal to the fold also
+across NULLs).  ``auto`` takes the bulk pass for more than one batch.  With
 ``buckets`` the folded versions are stored bucketed by key, so the next
 batch's join does not shuffle the dimension.
 
@@ -39,7 +41,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -48,6 +49,8 @@ from keelson.functions import business_date
 from keelson.operators import cleanse, marts, scd
 from keelson.operators.dedup import dedup_first
 from keelson.operators.sizing import fits_broadcast
+from keelson.plans.corrections import TYPE1, Corrections, rebuilt, type1_history, with_keys
+from keelson.plans.fact import FactTable
 from keelson.schemas import SCD2_SPECS, TABLES
 from keelson.sinks.tables import append_path, overwrite_path, write_observed
 from keelson.sources.landing import EXT
@@ -69,20 +72,20 @@ def _concurrently(*jobs):
 _UNKNOWN = object()
 
 
-def _parts_filter(parts) -> "F.Column":
-    """Partition filter selecting the given (year, month) pairs (NULL-safe);
-    selects nothing for an empty list."""
-    if not parts:
-        return F.lit(False)
-    return reduce(or_, [F.col("year").eqNullSafe(F.lit(y).cast("int"))
-                        & F.col("month").eqNullSafe(F.lit(m).cast("int")) for y, m in parts])
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, null_safe: bool = False,
                  batch_source: str = "customers", max_files_per_trigger: int = 10000,
-                 buckets: int | None = None):
-        """``buckets``: store each batch's Type 2 versions bucketed by key into
+                 buckets: int | None = None, late: str = "record",
+                 keep_states: int | None = 2):
+        """``keep_states``: open versions and Type 1 rows are kept as stored states of that
+        many newest batches (None: of all); the state after an older batch is
+        computed from the staged batches (see ``drop_old_states``).
+
+        ``late``: rows that arrive for a committed batch are recorded (``late_rows``) and
+        not applied to the dimensions ("record", as the reference does not apply
+        them), or a Silver run also rebuilds the touched keys' histories ("replay").
+
+        ``buckets``: store each batch's Type 2 versions bucketed by key into
         that many buckets (at least ``spark.sql.shuffle.partitions``), so the
         next batch's shuffle join moves only the batch, not the dimension."""
         self.spark = spark
@@ -91,6 +94,10 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.null_safe = null_safe
         self.batch_source = batch_source  # "customers" (as the reference) or "both"
+        self.late = late
+        self.keep_states = keep_states
+        self._late = Corrections(spark, self.root)
+        self._fact = FactTable(spark, self.path("silver_fact_orders"))
         self._found_upto = None  # newest ingestion time seen by the last ``pending``
         self._staged: list[tuple] = []  # rows of the run log not yet written
 
@@ -134,7 +141,7 @@ class Warehouse:
     def run_log(self) -> DataFrame:
         """What each finished step did: item, name, n, at.  Items: ``ingested``
         (rows per Bronze table), ``pending``, ``applied``, ``refused`` (one row
-        per batch key), ``staged`` (rows per table and batches), ``fact`` and
+        per batch key), ``late`` (rows per feed and committed batch), ``staged`` (rows per table and batches), ``fact`` and
         ``gold`` (rows written), ``batches`` (a Silver run's batch counts).
         Rows of one step share ``at``; a step that stopped half way logs nothing."""
         p = f"{self.root}/silver/_run_log"
@@ -268,8 +275,8 @@ class Warehouse:
 
     def _base_of(self, bk: str) -> tuple[str | None, list[str]]:
         """The newest committed batch up to ``bk`` that has a stored state, and
-        the committed batches from there to ``bk``: empty for a folded batch,
-        those applied together for one inside a bulk commit."""
+        the committed batches from there to ``bk``: empty where the batch's own state is
+        stored; else those applied with it in bulk, or whose states were dropped."""
         done = self.committed()
         if bk not in done:
             raise ValueError(f"batch {bk} is not committed")
@@ -287,11 +294,15 @@ class Warehouse:
     def dim1(self, bk: str | None = None) -> DataFrame:
         """Type 1 rows as of batch ``bk``; inside a bulk commit they are
         computed from the stored state before it and the staged batches."""
+        bk = bk or self.last_committed()
         if not bk:
-            return self._at("silver_dim_customers_type1", self.last_committed()).drop("batch_key")
+            return self._at("silver_dim_customers_type1", None).drop("batch_key")
         base, after = self._base_of(bk)
-        prior = self._at("silver_dim_customers_type1", base).drop("batch_key")
-        return self._type1_after(prior, base, self._stg_of("customers", after)) if after else prior
+        state = self._at("silver_dim_customers_type1", base).drop("batch_key")
+        if after:
+            state = self._type1_after(state, base, self._stg_of("customers", after))
+        cols = ["customer_id", "name", "city", "update_date"]
+        return self._late.state(TYPE1, "customer_id", state, bk, cols)
 
     @staticmethod
     def _type1_after(prior: DataFrame, last: str | None, stg: DataFrame) -> DataFrame:
@@ -302,8 +313,18 @@ class Warehouse:
         return scd.scd1_bulk(inp, "customer_id", ["name", "city"], "event_date")
 
     def _open_versions(self, entity: str, bk: str | None) -> DataFrame:
+        """Open versions after a batch with a stored state, corrected keys included."""
         if not bk:
             return self._read(DIM2[entity], with_batch=True).where(F.lit(False))
+        stored = self._stored_open(entity, bk)
+        columns = [c for c in stored.columns if c != "batch_key"]
+        spec = SCD2_SPECS[entity]
+        if self._late.history(entity, spec["key"]) is None:
+            return stored
+        return self._late.state(entity, spec["key"], stored, bk, columns) \
+                   .withColumn("batch_key", F.lit(bk)).select(*stored.columns)
+
+    def _stored_open(self, entity: str, bk: str) -> DataFrame:
         folder = f"{self.path(DIM2[entity])}/batch_key={bk}"
         if self.buckets and self._bucketed(f"{folder}/is_current=true"):
             n = self._stored_buckets(entity, bk)
@@ -327,7 +348,7 @@ class Warehouse:
         schema = "entity string, batch_key string, buckets int, at timestamp"
         if not self._exists(p):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(p)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(p)
 
     def _stored_buckets(self, entity: str, bk: str) -> int | None:
         """The number of buckets a batch's versions were written with; None
@@ -352,30 +373,35 @@ class Warehouse:
     def dim2(self, entity: str, bk: str | None = None) -> DataFrame:
         """Committed versions of a Type 2 dimension as of batch ``bk``.
 
-        A batch inside a bulk commit has no folder of open versions: its state
-        is the stored one before the commit, with the staged batches up to
-        ``bk`` applied in one pass (exact, as the commit itself was)."""
+        A batch inside a bulk commit, or one whose state was dropped, has no folder
+        of open versions: its state is the last stored one before it, with the staged
+        batches up to ``bk`` applied in one pass (exact across NULLs)."""
+        spec = SCD2_SPECS[entity]
+        columns = self._schema(DIM2[entity]).fieldNames()
         if bk:
             base, after = self._base_of(bk)
             if after:
-                spec = SCD2_SPECS[entity]
                 inp = self._bulk_input(entity, base, self._stg_of(entity, after))
-                later = scd.scd2_bulk(inp, spec["key"], spec["tracked"], F.col("__eff"),
-                                      self.null_safe)
-                return self._closed_upto(entity, base).unionByName(later)
+                later = scd.scd2_history(inp, spec["key"], spec["tracked"], F.col("__eff"),
+                                         self.null_safe)
+                # of keys corrected since, the correction alone
+                whole = self._closed_rows(entity, base).unionByName(
+                    later.withColumn("batch_key", F.coalesce("closed_by", F.lit(bk))).select(*columns, "batch_key"))
+                now = whole.where("is_current").select(*columns)
+                return self._late.closed(entity, spec["key"], whole.where("not is_current"), bk, columns) \
+                           .unionByName(self._late.state(entity, spec["key"], now, bk, columns))
         bk = bk or self.last_committed()
-        now = self._at_state(entity, bk).where("is_current").drop("batch_key")
-        return self._closed_upto(entity, bk).unionByName(now)
-
-    def _at_state(self, entity: str, bk: str | None) -> DataFrame:
-        d = self._read(DIM2[entity], with_batch=True)
-        return d.where(F.col("batch_key") == F.lit(bk) if bk else F.lit(False))
+        if not bk:
+            return self._closed_rows(entity, None).select(*columns)
+        return self._late.closed(entity, spec["key"], self._closed_rows(entity, bk), bk, columns) \
+                   .unionByName(self._open_versions(entity, bk).select(*columns))
 
-    def _closed_upto(self, entity: str, bk: str | None) -> DataFrame:
-        """Versions that batches up to ``bk`` closed (partition filters)."""
+    def _closed_rows(self, entity: str, bk: str | None) -> DataFrame:
+        """Stored versions that batches up to ``bk`` closed (partition filters), with
+        ``batch_key``, the batch that did."""
         d = self._read(DIM2[entity], with_batch=True)
         upto = F.col("batch_key") <= F.lit(bk) if bk else F.lit(False)
-        return d.where(upto & ~F.col("is_current")).drop("batch_key")
+        return d.where(upto & ~F.col("is_current"))
 
     def _write_stg(self, entity: str, bks: list[str]) -> DataFrame:
         clean = cleanse.clean_customers if entity == "customers" else cleanse.clean_products
@@ -390,7 +416,18 @@ class Warehouse:
         return self._read(f"silver_stg_{entity}", with_batch=True) \
                    .where(F.col("batch_key").isin(bks))
 
+    def _bronze_parts(self) -> DataFrame:
+        """entity, batch_key, ingest_id, n of the dimension feeds' Bronze partitions."""
+        return reduce(DataFrame.unionByName, [
+            bronze_parts(self.spark, self.path(f"bronze_raw_{e}"))
+            .groupBy(F.lit(e).alias("entity"), "batch_key", "ingest_id").agg(F.sum("n").alias("n"))
+            for e in DIM2])
+
     def _commit(self, bks: list[str]) -> None:
+        mine = self._bronze_parts().where(F.col("batch_key").isin(bks))
+        marks = self.spark.createDataFrame([(e, b, -1) for e in DIM2 for b in bks],
+                                           "entity string, batch_key string, ingest_id bigint")
+        self._late.note_applied(mine.select(*marks.columns).unionByName(marks), bks[-1])
         rows = self.spark.createDataFrame([(b,) for b in bks], "batch_key string")
         append_path(rows.withColumn("processed_at", F.current_timestamp()),
                     self.path("silver_batch_control"))
@@ -438,7 +475,7 @@ class Warehouse:
         row = self.spark.createDataFrame([(entity, bk, self.buckets)],
                                          "entity string, batch_key string, buckets int")
         append_path(row.withColumn("at", F.current_timestamp()),
-                    f"{self.root}/silver/_bucket_log")
+                    f"{self.root}/silver/_bucket_log/{entity}")  # both chains log at once
         return write_observed(versions, lambda d: d.write.mode("overwrite")
                               .partitionBy("is_current").bucketBy(self.buckets, key)
                               .sortBy(key).option("path", folder).saveAsTable(name))
@@ -452,12 +489,6 @@ class Warehouse:
             *cols, F.col("valid_from").alias("__eff"), "batch_key")
         return prior.unionByName(new)
 
-    def bulk_exact(self, entity: str, inp: DataFrame) -> bool:
-        if self.null_safe:
-            return True
-        n = inp.agg(scd.tracked_nulls(inp, SCD2_SPECS[entity]["tracked"])).first()[0]
-        return n == 0
-
     def apply_bulk(self, bks: list[str]) -> None:
         """Apply many pending batches in one pass and commit them together."""
         last, newest = self.last_committed(), bks[-1]
@@ -469,7 +500,7 @@ class Warehouse:
 
         def customers():
             sc = self._write_stg("customers", bks)
-            prior1 = self._at("silver_dim_customers_type1", last).drop("batch_key")
+            prior1 = self.dim1(last)
             overwrite_path(self._type1_after(prior1, last, sc),
                            f"{self.path('silver_dim_customers_type1')}/batch_key={newest}")
             self._bulk_dim2("customers", last, newest, sc)
@@ -483,10 +514,9 @@ class Warehouse:
     def _bulk_dim2(self, entity: str, last: str | None, newest: str, stg: DataFrame) -> None:
         spec = SCD2_SPECS[entity]
         inp = self._bulk_input(entity, last, stg)
-        v = scd.scd2_bulk(inp, spec["key"], spec["tracked"], F.col("__eff"),
-                          self.null_safe, keep_order_col=True)
+        v = scd.scd2_history(inp, spec["key"], spec["tracked"], F.col("__eff"), self.null_safe)
         out = v.withColumn("batch_key", F.coalesce("closed_by", F.lit(newest))) \
-               .drop("closed_by")
+               .drop("opened_by", "closed_by")
         if not self.buckets:
             overwrite_path(out, self.path(DIM2[entity]), ["batch_key", "is_current"],
                            dynamic=True, rebalance=True)
@@ -503,13 +533,110 @@ class Warehouse:
                        ["batch_key", "is_current"], dynamic=True, rebalance=True)
         self._drop_folder(stage)
 
+    def drop_old_states(self, keep: int) -> int:
+        """Remove the stored states (open versions, Type 1 rows) of all but the newest
+        ``keep`` committed batches that have one; returns how many went.
+
+        Closed versions and staged batches stay, and with them every batch's state.
+        A Type 1 folder is what makes a state count as stored, so it goes first:
+        a stop in between leaves folders that no reader follows, and the next
+        call removes them."""
+        done = self.committed()
+        type1 = self.path("silver_dim_customers_type1")
+        stored = [b for b in done if self._exists(f"{type1}/batch_key={b}")]
+        kept = set(stored[-keep:])
+        old = [b for b in done if b not in kept and any(
+            self._exists(p) for p in self._state_folders(b))]
+        for b in old:
+            for p in self._state_folders(b):
+                self._drop_folder(p)
+        return len(old)
+
+    def _state_folders(self, bk: str) -> list[str]:
+        return [f"{self.path('silver_dim_customers_type1')}/batch_key={bk}",
+                *[f"{self.path(t)}/batch_key={bk}/is_current=true" for t in DIM2.values()]]
+
+    # ------------------------------------------------------------- late ---
+    def late_rows(self) -> DataFrame:
+        """Rows that came for a committed batch: entity, batch_key, ingest_id,
+        source_file, n, at (when they were recorded)."""
+        return self._late.late_rows()
+
+    def record_late(self) -> list[tuple]:
+        """Record late files found since the last look: (entity, batch key, rows)."""
+        committed = self.control().select("batch_key").distinct()
+        new = self._late.late_parts(self._bronze_parts().join(committed, "batch_key", "left_semi"))
+        found = new.collect()  # a row per late partition
+        out = []
+        for e in DIM2:
+            mine = [r for r in found if r.entity == e]
+            if not mine:
+                continue
+            rows = self._late_bronze(e, mine).groupBy("batch_key", "ingest_id", "_source_file") \
+                       .agg(F.count(F.lit(1)).alias("n"))
+            self._late.record(rows.select(F.lit(e).alias("entity"), "batch_key",
+                                          F.col("ingest_id").cast("bigint").alias("ingest_id"),
+                                          F.col("_source_file").alias("source_file"), "n"))
+            out += [(e, b, sum(r.n for r in mine if r.batch_key == b)) for b in sorted({r.batch_key for r in mine})]
+        return out
+
+    def _late_bronze(self, entity: str, parts) -> DataFrame:
+        """Bronze rows of some (batch_key, ingest_id) partitions, with ``ingest_id``."""
+        name = f"bronze_raw_{entity}"
+        wanted = self.spark.createDataFrame(sorted({(r.batch_key, r.ingest_id) for r in parts}),
+                                            "batch_key string, ingest_id bigint")
+        rows = self.spark.read.schema(self._schema(name)).parquet(self.path(name)) \
+                   .withColumn("ingest_id", F.col("ingest_id").cast("bigint"))
+        here = F.col("ingest_id").isin(sorted({r.ingest_id for r in parts})) \
+            & F.col("batch_key").isin(sorted({r.batch_key for r in parts}))
+        return rows.where(here).join(F.broadcast(wanted), ["batch_key", "ingest_id"], "left_semi")
+
+    def replay_late(self) -> dict:
+        """Rebuild the histories of the keys that recorded late rows touch.
+
+        Only their staged rows are read with the late batches' own (cleansed again with
+        the late rows in); the result is a correction, committed by its log row, and
+        the late batches are staged anew.  Returns the keys corrected per feed."""
+        upto = self.last_committed()
+        keys = ["entity", "batch_key", "ingest_id"]
+        todo = self.late_rows().select(*keys).distinct().join(self._late.replayed(), keys, "left_anti")
+        parts = todo.collect()
+        if not parts:
+            return {}
+        seq, done, counts = self._late.last() + 1, self.committed(), {}
+        late_of = {}
+        for e in DIM2:
+            mine = [r for r in parts if r.entity == e]
+            if not mine:
+                continue
+            key = SCD2_SPECS[e]["key"]
+            clean = cleanse.clean_customers if e == "customers" else cleanse.clean_products
+            late_of[e] = bks = sorted({r.batch_key for r in mine})
+            touched = clean(self._late_bronze(e, mine).drop("ingest_id")).select(key).distinct()
+            stage = f"{self.root}/silver/_late_stage/{uuid.uuid4().hex[:12]}"
+            counts[e] = overwrite_path(touched, f"{stage}/keys")
+            touched = self.spark.read.parquet(f"{stage}/keys")
+            others = self._stg_of(e, [b for b in done if b not in bks])
+            staged = others.unionByName(clean(self.bronze(e, batch_keys=bks)).select(*others.columns))
+            overwrite_path(with_keys(staged, touched, key, "left_semi"), f"{stage}/rows")
+            staged = self.spark.read.schema(staged.schema).parquet(f"{stage}/rows")
+            eff = F.col("event_date") if e == "customers" else business_date("batch_key")
+            self._late.write(seq, e, rebuilt(e, staged, eff, self.null_safe))
+            if e == "customers":
+                self._late.write(seq, TYPE1, type1_history(staged))
+            self._drop_folder(stage)
+        self._late.commit(seq, upto, todo)
+        for e, bks in late_of.items():
+            self._write_stg(e, bks)
+        return counts
+
     def run_silver(self, mode: str = "auto") -> dict:
         """Apply pending batches in order, then bring the fact up to date.
 
         A batch older than the newest committed one is refused (recorded in
         ``refused_batches``, not applied); the others and the fact go on.
-        ``mode="bulk"`` is an error where the bulk pass would not equal the
-        fold (NULLs in tracked columns without ``null_safe``)."""
+        ``auto`` applies several pending batches in bulk and a single one by a fold;
+        the results are the same."""
         self.ensure_control()
         found = self.pending()
         last = self.last_committed()
@@ -519,15 +646,6 @@ class Warehouse:
         used = "none"
         if pend:
             use_bulk = mode == "bulk" or (mode == "auto" and len(pend) > 1)
-            if use_bulk and not self.null_safe:
-                # products may carry NULL categories / names: check the batches
-                raw = self.bronze("products", batch_keys=pend)
-                probe = cleanse.clean_products(raw)
-                use_bulk = self.bulk_exact("products", probe) and \
-                    self.bulk_exact("products", self._open_versions("products", last))
-                if not use_bulk and mode == "bulk":
-                    raise ValueError("bulk is not exact on these batches: a tracked column "
-                                     "holds NULL; use fold, auto or null_safe=True")
             if use_bulk:
                 self.apply_bulk(pend)
                 used = "bulk"
@@ -537,113 +655,88 @@ class Warehouse:
                     last = bk
                 used = "fold"
         self._advance_discovery(found)
+        late = self.record_late()
+        if self.late == "replay":
+            self.replay_late()
+        if pend and self.keep_states:
+            self.drop_old_states(self.keep_states)
         facts = self.build_fact()
         self._log_run([("pending", b, 1) for b in found] + [("applied", b, 1) for b in pend]
                       + [("refused", b, 1) for b in refused] + self._staged
+                      + [("late", f"{e}/{b}", n) for e, b, n in late]
                       + [("fact", "silver_fact_orders", facts), ("batches", "pending", len(found)),
                          ("batches", "applied", len(pend)), ("batches", "refused", len(refused))])
         self._staged = []
-        return {"applied": pend, "refused": refused, "mode": used, "fact_rows": facts}
-
-    def _fact_log(self) -> DataFrame:
-        p = f"{self.root}/silver/_fact_log"
-        schema = "phase string, upto_ts timestamp, at timestamp"
-        if not self._exists(p):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(p)
+        return {"applied": pend, "refused": refused, "mode": used, "fact_rows": facts,
+                "late": late}
 
-    def _log_fact(self, phase: str, upto) -> None:
-        row = self.spark.createDataFrame([(phase, upto)], "phase string, upto_ts timestamp")
-        append_path(row.withColumn("at", F.current_timestamp()), f"{self.root}/silver/_fact_log")
+    def _log_fact(self, phase: str, attempt: int, base: int, upto) -> None:
+        self._fact.note(phase, attempt, base, upto)
 
     def _fact_watermark(self):
-        """Ingestion time covered by the fact, or None when the fact must be
-        restated in full (never built, or the last rewrite did not finish)."""
-        rows = self._fact_log().orderBy(F.col("at").desc()).limit(1).collect()
-        if not rows or rows[0].phase != "done":
-            return None
-        return rows[0].upto_ts
+        """Ingestion time covered by the fact, or None when it was never built."""
+        last = self._fact.last_done()
+        return last.upto_ts if last else None
 
     def build_fact(self, full: bool = False) -> int:
         """Bring the order fact up to date with Bronze; returns rows written.
 
         First build (or ``full``): restate from all Bronze orders.  Later
-        builds read only Bronze rows ingested after the last build
-        (partition pruning on the ingestion date), merge them with the fact
-        rows of the same orders, and rewrite only the (year, month)
-        partitions those orders touch.  Keeping the first row by a total
-        order is associative, so this equals a full restatement.
+        builds read only Bronze rows ingested after the last build (their folders
+        alone), find the months that hold the same orders in the locator, merge, and
+        write anew only the (year, month) partitions those orders touch.  Keeping the
+        first row by a total order is associative, so this equals a full
+        restatement.  Rows go to a folder of this attempt; its "done" row commits them.
         """
-        mark = self._fact_watermark()
-        bronze = self.bronze("orders")
+        last = self._fact.last_done()
+        attempt = self._fact.next_attempt()
         obs = Observation()
-        if full or mark is None:
-            src = bronze.observe(obs, F.max("_ingestion_ts").alias("upto"))
-            self._log_fact("started", mark)
-            # the table is replaced as a whole: partitions left by an earlier,
-            # interrupted build go as well
-            n = overwrite_path(cleanse.clean_orders(src), self.path("silver_fact_orders"),
-                               ["year", "month"], rebalance=True)
-            self._log_fact("done", obs.get.get("upto"))
+        if full or last is None:
+            src = self.bronze("orders").observe(obs, F.max("_ingestion_ts").alias("upto"))
+            self._log_fact("started", attempt, attempt, None)
+            n = self._fact.write(cleanse.clean_orders(src), attempt, attempt)
+            self._log_fact("done", attempt, attempt, obs.get.get("upto"))
             return n
-        src = self.bronze("orders", since=mark).observe(obs, F.max("_ingestion_ts").alias("upto"),
-                              F.count(F.lit(1)).alias("n"))
+        src = self.bronze("orders", since=last.upto_ts) if last.upto_ts else self.bronze("orders")
+        src = src.observe(obs, F.max("_ingestion_ts").alias("upto"), F.count(F.lit(1)).alias("n"))
         stage = f"{self.root}/silver/_fact_stage/{uuid.uuid4().hex[:12]}"
-        overwrite_path(cleanse.clean_orders(src).drop("year", "month"), f"{stage}/new")
+        overwrite_path(cleanse.clean_orders(src), f"{stage}/new")
         if not obs.get.get("n"):
             self._drop_folder(stage)
             return 0
         cols = ["order_id", "customer_id", "product_id", "amount", "order_date"]
-        fact_schema = TABLES["silver_fact_orders"][0]
-        new = self.spark.read.parquet(f"{stage}/new").select(*cols)
+        new = self.spark.read.parquet(f"{stage}/new")
         keys = new.select("order_id")
         # broadcast the new order keys only when their written size fits the
-        # threshold; otherwise the semi / anti joins shuffle by order_id
+        # threshold; otherwise the joins shuffle by order_id
         if fits_broadcast(keys):
             keys = F.broadcast(keys)
-        fact = self.fact()
-        # the partitions that hold stored rows of these orders: a pass over the
-        # order_id column alone (year and month come from the folder names),
-        # giving a short list of (year, month)
-        held = [(r[0], r[1]) for r in fact.select("order_id", "year", "month")
-                .join(keys, "order_id", "left_semi").select("year", "month")
-                .distinct().collect()]
-        # those rows in full, read from those partitions only, and kept
-        overwrite_path(fact.where(_parts_filter(held)).join(keys, "order_id", "left_semi"),
-                       f"{stage}/old")
-        old = self.spark.read.schema(fact_schema).parquet(f"{stage}/old")
-        merged = dedup_first(old.select(*cols).unionByName(new), ["order_id"],
+        # the months that hold these orders (a short list), and those rows in full
+        held = [(r[0], r[1]) for r in self._fact.locate(keys).select("year", "month").distinct().collect()]
+        overwrite_path(self.fact(held).join(keys, "order_id", "left_semi"), f"{stage}/old")
+        old = self.spark.read.schema(TABLES["silver_fact_orders"][0]).parquet(f"{stage}/old")
+        merged = dedup_first(old.select(*cols).unionByName(new.select(*cols)), ["order_id"],
                              cleanse.ORDER_RULE)
         merged = merged.withColumns({"year": F.year("order_date").cast("int"),
                                      "month": F.month("order_date").cast("int")})
-        # the touched (year, month) partitions: where the orders were and where
-        # they go; used as partition filters so only they are read
-        parts = sorted(set(held) | {(r[0], r[1]) for r in merged.select("year", "month")
-                                    .distinct().collect()}, key=repr)
-        content = fact.where(_parts_filter(parts)).join(keys, "order_id", "left_anti") \
-                      .unionByName(merged)
-        # the new content of the touched partitions is staged first: the
-        # fact is not read and rewritten by the same job
-        overwrite_path(content, f"{stage}/parts", ["year", "month"], rebalance=True)
-        staged = self.spark.read.schema(TABLES["silver_fact_orders"][0]) \
-                     .parquet(f"{stage}/parts")
-        self._log_fact("started", mark)
-        n = overwrite_path(staged, self.path("silver_fact_orders"), ["year", "month"],
-                           dynamic=True)
-        # a touched partition left without rows is not replaced by a dynamic
-        # overwrite: remove it, or its moved orders would stay twice
-        written = {(r[0], r[1]) for r in staged.select("year", "month").distinct().collect()}
-        for y, m in set(parts) - written:
-            self._drop_folder(f"{self.path('silver_fact_orders')}/year={paths.part(y)}/month={paths.part(m)}")
-        self._log_fact("done", obs.get.get("upto"))
-        self._drop_folder(stage)
+        # touched: where the orders were and where they may go (a merged row is one of
+        # the old or the new ones); only these partitions are read and written
+        touched = sorted(set(held) | {(r[0], r[1]) for r in new.select("year", "month")
+                                      .distinct().collect()}, key=repr)
+        content = self.fact(touched).join(keys, "order_id", "left_anti").unionByName(merged)
+        self._log_fact("started", attempt, last.base, None)
+        n = self._fact.write(content, attempt, last.base, touched)
+        self._log_fact("done", attempt, last.base, obs.get.get("upto"))
+        for folder in (stage, *self._fact.replaced_before(attempt)):
+            self._drop_folder(folder)
         return n
 
     def _drop_folder(self, path: str) -> None:
         paths.delete(self.spark, path)
 
-    def fact(self) -> DataFrame:
-        return self._read("silver_fact_orders")
+    def fact(self, months=None) -> DataFrame:
+        """The fact as of the last finished build (``months``: only those partitions)."""
+        return self._fact.read(months)
 
     # ------------------------------------------------------------- gold ---
     def current_versions(self, entity: str) -> DataFrame:
@@ -663,7 +756,7 @@ class Warehouse:
         """What the marts depend on: their arguments, the newest committed
         batch, and the ingestion time that the fact covers."""
         return "|".join(map(str, (as_of or dt.date.today(), k, self.last_committed(),
-                                  self._fact_watermark())))
+                                  self._fact_watermark(), self._late.last())))
 
     def _log_gold(self, phase: str, state: str, counts: dict) -> None:
         row = self.spark.createDataFrame(
@@ -722,20 +815,22 @@ class Warehouse:
             return self.dim2("products")
         if name == "silver_batch_control":
             return self.control()
+        if name == "silver_fact_orders":
+            return self.fact()
         return self._read(name)
 
     def register_views(self) -> None:
         for name in TABLES:
             self.table(name).createOrReplaceTempView(name)
 
-    PLAIN = ("silver_fact_orders", "silver_batch_control", "gold_agg_sales_by_city",
+    PLAIN = ("silver_batch_control", "gold_agg_sales_by_city",
              "gold_agg_sales_by_category", "gold_ranking_customers")
 
     def register_catalog(self, db_prefix: str = "keelson") -> list[str]:
         """Declare every table that has been written in the session's catalog,
         for any session that shares it.
 
-        Fact, control and gold are Parquet tables over their folders.  Bronze is
+        Control and gold are Parquet tables over their folders.  Bronze and the fact are
         declared as ``<name>_files`` and the tables kept per batch as
         ``<name>_batches``; under their own name there is a stored view of
         their committed content.  Partitions are recovered here: call it
@@ -761,6 +856,19 @@ class Warehouse:
                 self.spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {', '.join(schema.fieldNames())} "
                                f"FROM {files} WHERE ingest_id <= {-1 if last is None else last}")
                 continue
+            if name == "silver_fact_orders":
+                from pyspark.sql import types as T
+                files = f"{full}_files"
+                stored = T.StructType([*schema.fields, T.StructField("attempt", T.LongType())])
+                ensure_table(self.spark, files, stored, ["attempt", *parts], self.path(name))
+                self.spark.sql(f"ALTER TABLE {files} RECOVER PARTITIONS")
+                self.spark.catalog.refreshTable(files)
+                held = " OR ".join(f"(attempt = {a} AND year <=> {'NULL' if y is None else y} "
+                                   f"AND month <=> {'NULL' if m is None else m})"
+                                   for (y, m), a in self._fact.current_parts().items()) or "FALSE"
+                self.spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT "
+                               f"{', '.join(schema.fieldNames())} FROM {files} WHERE {held}")
+                continue
             if name in self.PLAIN:
                 ensure_table(self.spark, full, schema, parts, self.path(name))
                 if parts:

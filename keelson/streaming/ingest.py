@@ -30,7 +30,6 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -64,7 +63,8 @@ def find_files(spark: SparkSession, source_path: str, ledger: str, per_file: int
         _table(spark, ledger, LEDGER).select("path"), "path", "left_anti")
     if new.isEmpty():
         return 0
-    return append_path(new.select("path", "modified", "length"), ledger,
+    # one writer, so that every ledger file (micro-batch) but the last is full
+    return append_path(new.select("path", "modified", "length").repartition(1), ledger,
                        options={"maxRecordsPerFile": per_file})
 
 
@@ -78,8 +78,8 @@ def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.Str
     try:
         schema = spark.read.option("mergeSchema", True).parquet(*files).schema
         return [(schema, list(files))]
-    except PySparkException as e:
-        if len(files) == 1 or "CANNOT_MERGE_SCHEMA" not in f"{e.getCondition()} {e}":
+    except Exception as e:  # raised in a task, so it comes as the gateway's own error
+        if len(files) == 1 or "CANNOT_MERGE_SCHEMA" not in str(e):
             raise
     middle = len(files) // 2
     out: list[tuple[T.StructType, list[str]]] = []

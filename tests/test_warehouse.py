@@ -114,21 +114,21 @@ def test_csv_binds_columns_by_header_name(spark, tmp_path):
         wh.ingest(land)
 
 
-def test_auto_mode_falls_back_to_fold_on_null_categories(spark, tmp_path):
+def test_auto_mode_is_exact_in_bulk_across_null_categories(spark, tmp_path):
     land = str(tmp_path / "landing")
     for m, cat in ((1, "X"), (2, None), (3, "Y")):
         write_customers(land, f"customers_2026-0{m}.json", [("1", "Ann", "Rome", f"2026-0{m}-02")])
         write_products(land, f"products_2026-0{m}.csv", [("P1", "Pen", cat, "1.5", "2025-06-01")])
-    wh = Warehouse(spark, str(tmp_path / "wh"))
-    wh.ingest(land)
-    rep = wh.run_silver(mode="auto")
-    assert rep["mode"] == "fold"
-    assert rows(wh.dim2("products"), "category", "valid_from") == [("X", D(2026, 1, 1)),
-                                                                    ("Y", D(2026, 3, 1))]
-    ns = Warehouse(spark, str(tmp_path / "wh_ns"), null_safe=True)
-    ns.ingest(land)
-    assert ns.run_silver(mode="auto")["mode"] == "bulk"
-    assert ns.dim2("products").count() == 3
+    for name, null_safe, versions in (("wh", False, 2), ("wh_ns", True, 3)):
+        wh, fold = (Warehouse(spark, str(tmp_path / f"{name}_{mode}"), null_safe=null_safe) for mode in ("auto", "fold"))
+        wh.ingest(land)
+        fold.ingest(land)
+        assert wh.run_silver(mode="auto")["mode"] == "bulk" and fold.run_silver(mode="fold")["mode"] == "fold"
+        cols = wh.dim2("products").columns
+        assert _text(wh.dim2("products"), cols) == _text(fold.dim2("products"), cols)
+        assert wh.dim2("products").count() == versions
+    assert rows(Warehouse(spark, str(tmp_path / "wh_auto")).dim2("products"), "category", "valid_from") == \
+        [("X", D(2026, 1, 1)), ("Y", D(2026, 3, 1))]
 
 
 def test_incremental_fact_equals_full_restatement(spark, tmp_path):
@@ -491,17 +491,18 @@ def test_run_log_holds_what_each_step_did(spark, tmp_path):
     assert rows(wh.run_log().where("item = 'applied'"), "name") == [("2026-01",)]
 
 
-def test_bulk_is_refused_where_it_differs_from_the_fold(spark, tmp_path):
+def test_bulk_equals_the_fold_where_an_accepted_null_comes_first(spark, tmp_path):
     land = str(tmp_path / "landing")
-    for m, cat in ((1, "X"), (2, None), (3, "Y")):
+    for m, cat in ((1, None), (2, "X"), (3, "Y"), (4, None), (5, "X"), (6, "Z")):
         write_customers(land, f"customers_2026-0{m}.json", [("1", "Ann", "Rome", f"2026-0{m}-02")])
-        write_products(land, f"products_2026-0{m}.csv", [("P1", "Pen", cat, "1.5", "2025-06-01")])
-    wh = Warehouse(spark, str(tmp_path / "wh"))
-    wh.ingest(land)
-    with pytest.raises(ValueError, match="bulk is not exact"):
-        wh.run_silver(mode="bulk")
-    assert wh.committed() == []
-    assert wh.run_silver(mode="fold")["applied"] == ["2026-01", "2026-02", "2026-03"]
+        write_products(land, f"products_2026-0{m}.csv", [("P1", "Pen", cat, "1.5" if m < 3 else "2.5", "2025-06-01")])
+    bulk, fold = Warehouse(spark, str(tmp_path / "bulk")), Warehouse(spark, str(tmp_path / "fold"))
+    for wh, mode in ((bulk, "bulk"), (fold, "fold")):
+        wh.ingest(land)
+        wh.run_silver(mode=mode)
+    for bk in ("2026-03", "2026-06"):
+        cols = bulk.dim2("products").columns
+        assert _text(bulk.dim2("products", bk), cols) == _text(fold.dim2("products", bk), cols)
 
 
 def test_bucket_count_may_change(spark, tmp_path):
