@@ -87,7 +87,10 @@ def room(a: np.ndarray, n: int) -> np.ndarray:
 
 
 class ChunkTable:
-    """Distinct chunks and their ids, flat, in the order of arrival."""
+    """Distinct chunks and their ids, flat, in the order of arrival.
+
+    A chunk of one mark and more is known by what follows the mark, any other by itself.
+    """
 
     def __init__(self, sp, limit: int = TABLE) -> None:
         self.sp, self.limit, self.segmented = sp, limit, 0
@@ -99,54 +102,54 @@ class ChunkTable:
         self.ids = np.zeros(1 << 12, np.int32)
         self.ends = np.zeros(1 << 12, np.int64)  # end of each chunk's ids, after a leading zero
 
-    def segment(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The chunks (in another order), how many ids each has, and all ids.
-
-        Chunks with one mark and more are given to the library as one text: of each, the
-        first piece alone begins with the mark.  The library puts a text's first mark itself.
-        """
-        self.segmented += len(chunks)
-        plain = [c for c in chunks if len(c) > 1 and c.rfind(MARK) == 0]
-        other = [c for c in chunks if len(c) == 1 or c.rfind(MARK) > 0]
-        ids = np.array(self.sp.encode("".join(plain)[1:], num_threads=1), np.int32)
-        starts = np.flatnonzero(self.begins[ids])
-        each = [self.sp.encode(c[1:], num_threads=1) if len(c) > 1 else [self.sp.piece_to_id(MARK)] for c in other]
+    def one(self, chunk: str) -> np.ndarray:
+        """Ids of a chunk of several marks or of a mark alone (the library puts the first itself)."""
+        return np.array(self.sp.encode(chunk[1:], num_threads=1) if len(chunk) > 1 else [self.sp.piece_to_id(MARK)], np.int32)
+
+    def add(self, new: list[str]) -> None:
+        """Segment new chunks.  Plain words go to the library as one text, as of each the first
+        piece, and no other, begins with the mark."""
+        self.segmented += len(new)
+        words, other = [c for c in new if c[0] != MARK], [c for c in new if c[0] == MARK]
+        ids = np.array(self.sp.encode(" ".join(words), num_threads=1), np.int32)
+        starts, each = np.flatnonzero(self.begins[ids]), [self.one(c) for c in other]
         lens = np.concatenate([np.diff(starts, append=len(ids)), np.array([len(x) for x in each], np.int64)])
-        return plain + other, lens, np.concatenate([ids, *(np.array(x, np.int32) for x in each)])
-
-    def add(self, chunks: list[str]) -> None:
-        made, lens, ids = self.segment(chunks)
         first = len(self.place)
-        last = first + len(made)
+        last = first + len(new)
         used = self.ends[first]
         ends = used + np.cumsum(lens)
         self.ids, self.ends = room(self.ids, ends[-1]), room(self.ends, last + 1)
-        self.ids[used : ends[-1]] = ids
+        self.ids[used : ends[-1]] = np.concatenate([ids, *each])
         self.ends[first + 1 : last + 1] = ends
-        self.place.update(zip(made, range(first, last), strict=True))
+        self.place.update(zip(words + other, range(first, last), strict=True))
 
     def look_up(self, chunks: list[str]) -> np.ndarray:
         """Ids of the chunks, one after the other."""
         if max(len(self.place), self.ends[len(self.place)]) > self.limit:
             self.clear()
-        new = [c for c in dict.fromkeys(chunks) if c not in self.place]
+        new = set(chunks).difference(self.place)
         if new:
-            self.add(new)
+            self.add(list(new))
         at = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
-        lens = self.ends[at + 1] - self.ends[at]
+        begin = self.ends[at]
+        lens = self.ends[at + 1] - begin
         to = np.cumsum(lens)
-        return self.ids[np.repeat(self.ends[at + 1] - to, lens) + np.arange(to[-1] if len(to) else 0)]
+        return self.ids[np.repeat(begin + lens - to, lens) + np.arange(to[-1] if len(to) else 0)]
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
         if not text:
             return np.zeros(0, np.int32)
+        if len(text) <= WINDOW and MARK not in text and "  " not in text and " " not in (text[0], text[-1]):
+            words = text.split(" ")  # every chunk is one mark and a word
+            if max(map(len, words)) < LONG:
+                return self.look_up(words)
         out = []
         for w in windows(MARK + text.replace(" ", MARK)):
-            chunks = CHUNK.findall(w)
+            chunks = [c[1:] if len(c) > 1 and c[1] != MARK else c for c in CHUNK.findall(w)]
             at = 0
-            for k in (k for k, c in enumerate(chunks) if len(c) > LONG) if len(w) > LONG else ():
-                out += [self.look_up(chunks[at:k]), self.segment([chunks[k]])[2]]
+            for k in (k for k, c in enumerate(chunks) if len(c) >= LONG) if len(w) > LONG else ():
+                out += [self.look_up(chunks[at:k]), self.one(chunks[k] if chunks[k][0] == MARK else MARK + chunks[k])]
                 at = k + 1
             out.append(self.look_up(chunks[at:]))
         return out[0] if len(out) == 1 else np.concatenate(out)
@@ -184,7 +187,8 @@ def decode(rows: DataFrame, model: bytes, key: str = "doc_id", ids: str = "ids")
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
-                texts = [sp.decode(x) if x else "" for x in (v.as_py() for v in part.column(1))]
+                at, flat = part.column(1).offsets.to_numpy(), part.column(1).values.to_numpy(zero_copy_only=False)
+                texts = [sp.decode(flat[x:y].tolist()) if y > x else "" for x, y in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [key, "ids", "text"])
 
     slim = rows.select(F.col(key), F.col(ids).cast("array<int>").alias("ids"))
