@@ -13,7 +13,7 @@ dropped, missing ones follow at the end, and a source's last slot takes just the
 part of its block that the target still needs.  So every source's words come
 to its target, rounded down to a word.
 
-Scale: nothing is collected.  Running sums (a document's place on its
+Scale: nothing is collected, and sources themselves may be many.  Running sums (a document's place on its
 source's line, a slot's rank in its source) go over buckets of a hash, the
 buckets' own sums over blocks of buckets, and then within a bucket, so a source with a
 third of all rows is spread over as many buckets as any part of the input of that
@@ -69,36 +69,37 @@ def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     )
 
 
-def targets(sources: DataFrame, mix: Mix) -> DataFrame:
-    """``sources (source, source_size)`` with ``weight`` and ``target``.
-
-    Targets are ``min(most * size, level * weight)`` at the level at which they
-    sum to the wanted share.  Sources are capped round by round, as their part of
-    the reshared excess passes their cap; a round is one aggregate over the
-    sources.  Ranks come from a range-partitioned sort.
-    """
-    ordered = store(sources.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()), "mix-sources")
+def numbered_in(rows: DataFrame, order: list[Column], purpose: str) -> DataFrame:
+    """``rows`` with ``rank``, their number from 0 in ``order``: a range-partitioned sort, the
+    partitions' own counts run over (a row each), then numbers within each."""
+    ordered = store(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), purpose)
     parts = ordered.groupBy("part").count()
     before = F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ahead = parts.select(F.col("part").alias("p"), before.alias("ahead"))
-    rank = F.col("ahead") + F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())) - 1
+    rank = F.col("ahead") + F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    return ordered.join(ahead, F.col("part") == F.col("p")).select(*rows.columns, rank.cast("long").alias("rank"))
+
+
+def targets(sources: DataFrame, mix: Mix) -> DataFrame:
+    """``sources (source, source_size)`` with ``rank``, ``weight`` and ``target``.
+
+    Targets are ``min(most * size, level * weight)`` at the level at which they sum to the
+    wanted share.  Put in the order of cap over weight, the sources capped at any level
+    come first, so each place of that order gives a level (the wanted share less the caps
+    before it, over the weights from it on), and the greatest is the one: one more sort
+    and two running sums over blocks, whatever the number of sources.
+    """
     cycle = F.array(*[F.lit(float(w)) for w in mix.weights])
-    ranked = ordered.join(ahead, F.col("part") == F.col("p")).select("source", "source_size", rank.alias("rank"))
-    weighed = ranked.select("source", "source_size", "rank", F.get(cycle, (F.col("rank") % len(mix.weights)).cast("int")).alias("weight"))
+    ranked = numbered_in(sources, [F.col("source").asc_nulls_last()], "mix-sources")
+    weighed = ranked.withColumn("weight", F.get(cycle, (F.col("rank") % len(mix.weights)).cast("int")))
     weighed = store(weighed.withColumn("cap", mix.most * F.col("source_size")), "mix-weights")
-    total = weighed.agg(F.sum("source_size")).first()[0] or 0
-    wanted, level, last = mix.share * total, 0.0, -1
-    while True:
-        full = F.col("cap") <= F.lit(level) * F.col("weight")
-        got = weighed.agg(
-            F.count(F.when(full, 1)).alias("n"),
-            F.coalesce(F.sum(F.when(full, F.col("cap"))), F.lit(0.0)).alias("fixed"),
-            F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0)).alias("open"),
-        ).first()
-        if got.n == last or not got.open:
-            break
-        last, level = got.n, (wanted - got.fixed) / got.open
-    return weighed.withColumn("target", F.least("cap", F.lit(level) * F.col("weight")))
+    all_of = weighed.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    wanted, weights = mix.share * (all_of["size"] or 0), all_of["weight"] or 0.0
+    steps = numbered_in(weighed.select("cap", "weight", (F.col("cap") / F.col("weight")).alias("ratio")), [F.col("ratio").asc()], "mix-ratios")
+    steps = running_sum(store(steps, "mix-steps"), [], "rank", "cap", "fixed")
+    steps = running_sum(store(steps, "mix-fixed"), [], "rank", "weight", "passed")
+    level = steps.agg(F.max((F.lit(wanted) - F.col("fixed")) / (F.lit(weights) - F.col("passed")))).first()[0]
+    return weighed.withColumn("target", F.least("cap", F.lit(level if level is not None else 0.0) * F.col("weight")))
 
 
 def places(rows: DataFrame, buckets: int) -> DataFrame:
@@ -123,10 +124,10 @@ def schedule(plan: DataFrame, mix: Mix) -> DataFrame:
     """
     spark = plan.sparkSession
     n_slots = plan.agg(F.sum("wanted")).first()[0] or 0
-    by_rank = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    stretch = plan.where("wanted > 0").select("source", "rank", "wanted", (F.coalesce(F.sum("wanted").over(by_rank), F.lit(0)) / F.lit(float(max(n_slots, 1)))).alias("low"))
-    stretch = stretch.withColumn("high", F.col("low") + F.col("wanted") / F.lit(float(max(n_slots, 1))))
-    cells = 1024
+    whole = F.lit(float(max(n_slots, 1)))
+    stretch = running_sum(plan.select("source", "rank", "wanted"), [], "rank", "wanted", "before").where("wanted > 0")
+    stretch = stretch.withColumn("low", F.col("before") / whole).withColumn("high", F.col("low") + F.col("wanted") / whole)
+    cells = 1 << max(10, plan.count().bit_length())  # so that few stretches share a cell
     cell = lambda x: F.least(F.floor(x * cells), F.lit(cells - 1)).cast("long")
     bands = stretch.select("source", "wanted", "low", "high", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))).alias("c"))
     points = spark.range(n_slots).select(F.col("id").alias("slot"), F.pmod(F.col("id") * F.lit(GOLDEN), F.lit(1.0)).alias("u"))

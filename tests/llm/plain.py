@@ -40,7 +40,8 @@ def targets(sizes: dict) -> dict:
     while True:
         free = [s for s in names if s not in capped]
         left = goal - sum(capped.values())
-        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        whole = sum(weight[x] for x in free)
+        share = {s: left * weight[s] / whole for s in free}
         over = [s for s in free if share[s] > 2 * sizes[s]]
         if not over:
             return capped | share

@@ -123,3 +123,26 @@ def test_running_sum_over_blocks(spark):
     for keys, part in ((["k"], df), ([], df.where("k = 'a'"))):
         for r in running_sum(part, keys, "i", "v", "s", block=8).collect():
             assert r.s == sum(v for k, i, v in rows if k == r.k and i < r.i)
+
+
+def test_a_source_for_every_document(spark):
+    """200,000 sources: every one comes to its target, which is the level or its cap."""
+    n = 200_000
+    df = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.array_join(F.array_repeat(F.lit("w"), (F.col("id") % 7).cast("int")), " ").alias("text"), F.format_string("s%06d", "id").alias("source"), F.lit(0).cast("long").alias("n_chars")
+    )
+    got, order = mixing.mix_sources(df)
+    each = got.select("doc_id", "size", "source_size", "target", "taken").collect()
+    assert len(each) == n
+    sizes = {f"s{i:06d}": i % 7 for i in range(n)}
+    want = plain.targets(sizes)
+    assert all(r.target == pytest.approx(want[f"s{r.doc_id:06d}"]) and r.taken == int(r.target) for r in each)
+    assert order.select("source").distinct().count() == sum(r.taken > 0 for r in each)
+
+
+def test_levels_with_ties_and_wordless_sources(spark):
+    for sizes in ({"a": 0, "b": 0}, {"a": 10, "b": 10, "c": 10}, {"a": 0, "b": 1, "c": 1000, None: 3}, {f"s{i}": 2**i for i in range(24)}):
+        df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size long")
+        got = {r.source: r.target for r in mixing.targets(df, mixing.Mix()).collect()}
+        want = plain.targets(sizes)
+        assert got == {s: pytest.approx(want[s]) for s in sizes}
