@@ -82,9 +82,10 @@ class FactTable:
     def _folder(self, part: Part, attempt: int) -> str:
         return f"{self.path}/attempt={attempt}/year={paths.part(part[0])}/month={paths.part(part[1])}"
 
-    def read(self, months=None) -> DataFrame:
-        """Committed rows, all or of some (year, month) pairs: only their folders are listed."""
-        parts = self.current_parts()
+    def read(self, months=None, parts: dict[Part, int] | None = None) -> DataFrame:
+        """Committed rows, all or of some (year, month) pairs: only their folders are listed.
+        ``parts``: the current partitions, when the caller knows them."""
+        parts = self.current_parts() if parts is None else parts
         if months is not None:
             parts = {p: a for p, a in parts.items() if p in set(months)}
         if not parts:
@@ -99,13 +100,13 @@ class FactTable:
         return df.withColumns({"bucket": F.bitmap_bucket_number("order_id"),
                                "bit": F.bitmap_bit_position("order_id")})
 
-    def locate(self, keys: DataFrame) -> DataFrame:
+    def locate(self, keys: DataFrame, parts: dict[Part, int] | None = None) -> DataFrame:
         """order_id, year, month of those of ``keys (order_id)`` that the fact holds."""
-        parts = self.current_parts()
-        if not parts or keys.isEmpty():
-            return self.spark.createDataFrame([], "order_id bigint, year int, month int")
+        parts = self.current_parts() if parts is None else parts
         want = self._bit(keys)
         low, high = want.agg(F.min("bucket"), F.max("bucket")).first()
+        if not parts or low is None:
+            return self.spark.createDataFrame([], "order_id bigint, year int, month int")
         current = self.spark.createDataFrame([(a, y, m) for (y, m), a in parts.items()],
                                              "a bigint, y int, m int")
         folders = [f"{self.path}/_ids/attempt={a}" for a in sorted(set(parts.values()))]
@@ -137,12 +138,12 @@ class FactTable:
         overwrite_path(noted.coalesce(1), f"{self.path}/_parts/{attempt}")
         return n
 
-    def replaced_before(self, attempt: int) -> list[str]:
-        """Folders that the done attempt before ``attempt`` replaced: none reads them any
-        more but readers older than two builds."""
+    def replaced_before(self, attempt: int, after: dict[Part, int]) -> list[str]:
+        """Folders that the done attempt before ``attempt`` replaced (``after``: the partitions
+        as of it): none reads them any more but readers older than two builds."""
         done = sorted(r[0] for r in self.log().where("phase = 'done'").select("attempt").collect())
         earlier = [a for a in done if a < attempt]
         if len(earlier) < 2:
             return []
-        before, after = self.current_parts(earlier[-2]), self.current_parts(earlier[-1])
+        before = self.current_parts(earlier[-2])
         return [self._folder(p, a) for p, a in before.items() if after.get(p) != a]

@@ -712,8 +712,9 @@ class Warehouse:
         if fits_broadcast(keys):
             keys = F.broadcast(keys)
         # the months that hold these orders (a short list), and those rows in full
-        held = [(r[0], r[1]) for r in self._fact.locate(keys).select("year", "month").distinct().collect()]
-        overwrite_path(self.fact(held).join(keys, "order_id", "left_semi"), f"{stage}/old")
+        parts = self._fact.current_parts()
+        held = [(r[0], r[1]) for r in self._fact.locate(keys, parts).select("year", "month").distinct().collect()]
+        overwrite_path(self._fact.read(held, parts).join(keys, "order_id", "left_semi"), f"{stage}/old")
         old = self.spark.read.schema(TABLES["silver_fact_orders"][0]).parquet(f"{stage}/old")
         merged = dedup_first(old.select(*cols).unionByName(new.select(*cols)), ["order_id"],
                              cleanse.ORDER_RULE)
@@ -723,11 +724,11 @@ class Warehouse:
         # the old or the new ones); only these partitions are read and written
         touched = sorted(set(held) | {(r[0], r[1]) for r in new.select("year", "month")
                                       .distinct().collect()}, key=repr)
-        content = self.fact(touched).join(keys, "order_id", "left_anti").unionByName(merged)
+        content = self._fact.read(touched, parts).join(keys, "order_id", "left_anti").unionByName(merged)
         self._log_fact("started", attempt, last.base, None)
         n = self._fact.write(content, attempt, last.base, touched)
         self._log_fact("done", attempt, last.base, obs.get.get("upto"))
-        for folder in (stage, *self._fact.replaced_before(attempt)):
+        for folder in (stage, *self._fact.replaced_before(attempt, parts)):
             self._drop_folder(folder)
         return n
 
