@@ -2,7 +2,7 @@
 
 Intermediates that are read more than once (or cut lineage) are written as
 Parquet under the cluster's shared folder, so a lost executor costs a re-read
-and not a recomputation.  The folders may be removed once a result is written.
+and not a recomputation.  ``stored_result`` writes a result and then removes them.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from keelson import paths
 from keelson.session import shared_dir
 
 #: A word is a run of anything but these six white-space characters.
@@ -27,16 +28,32 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: Folders that ``store`` has written, in order, until they are removed.
+STORED: list[str] = []
+
+
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back."""
     import uuid
 
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/keelson/llm/{purpose}-{uuid.uuid4().hex[:12]}"
+    STORED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_result(make, purpose: str) -> DataFrame:
+    """``make()`` stored, and whatever it stored on its way removed once that is written."""
+    before = len(STORED)
+    out = store(make(), purpose)
+    made = STORED[before:-1]
+    del STORED[before:-1]
+    for path in made:
+        paths.delete(out.sparkSession, path)
+    return out
+
+
 def shielded(docs: DataFrame, used: list[str]):
     """``docs`` with every column but ``used`` under a neutral name, and a function that gives a
     frame of such rows the names and order of ``docs`` back.  So no name that an

@@ -137,9 +137,13 @@ def quality_rules(docs: DataFrame, text: str = "text", threshold: float = 0.5) -
 
 
 def kept_rows(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, as they are, whatever their columns' names."""
+    """The rows of ``docs`` that the rules keep, as they are, whatever their columns' names.
+
+    Measuring a text costs far more than storing it: rows are written once with their
+    counts, from which the model is fitted and the verdict taken."""
     inside, back = shielded(docs, [text])
-    return back(quality_rules(inside, text, threshold).where("kept"))
+    measured = store(measure(inside, text), "quality-rows")
+    return back(judge(measured, fit(measured), threshold).where("kept"))
 
 
 def quality_report(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
