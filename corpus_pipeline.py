@@ -2,7 +2,7 @@
 
 ``run(spark, sf_dir)`` applies the stages to ``documents``.  Every stage but the
 last returns the columns of its input; each is written as Parquet under the shared
-folder and read back as the next one's input.  SQL cannot express the fitted stages
+folder and read back as the next one's input, and its intermediates are removed then.  SQL cannot express the fitted stages
 (``ORACLE_SQL`` is None); tests hold each against a brute-force version.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from keelson.llm import mixing, packing, pii, quality, simhash
-from keelson.llm.common import store, table
+from keelson.llm.common import stored_result, table
 from keelson.llm.queries import bpe_ranks
 
 ORACLE_SQL = None
@@ -55,7 +55,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stored_result(lambda: stage(spark, docs, sf_dir), f"pipeline-{name}")  # noqa: B023  called at once
     return docs
 
 
