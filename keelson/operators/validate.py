@@ -56,18 +56,18 @@ def orphan_orders(fact: DataFrame, dim_customers: DataFrame, dim_products: DataF
     """Orders without a current customer, and those without a current product:
     order_id, customer_id, missing ('customer' / 'product').
 
-    One pass over the fact: it meets the current keys of both dimensions in two left
-    joins, and every order gives a row for each key that was not met."""
-    cc = (dim_customers.where(F.col("is_current")).select("customer_id").distinct()
-          .withColumn("__has_customer", F.lit(True)))
-    cp = (dim_products.where(F.col("is_current")).select("product_id").distinct()
-          .withColumn("__has_product", F.lit(True)))
+    One pass over the fact: it meets the current versions of both dimensions in two left
+    joins (of plain shuffles, so AQE may split a hot key), and every order gives one row
+    for each key that was not met, also where a damaged dimension has several
+    current versions of the other."""
+    cc = dim_customers.where(F.col("is_current")).select("customer_id", F.lit(True).alias("__has_customer"))
+    cp = dim_products.where(F.col("is_current")).select("product_id", F.lit(True).alias("__has_product"))
     met = (fact.select("order_id", "customer_id", "product_id")
            .join(cc, "customer_id", "left").join(cp, "product_id", "left"))
     lost = met.where(F.col("__has_customer").isNull() | F.col("__has_product").isNull())
     labels = F.array_compact(F.array(F.when(F.col("__has_customer").isNull(), "customer"),
                                      F.when(F.col("__has_product").isNull(), "product")))
-    return lost.select("order_id", "customer_id", F.explode(labels).alias("missing"))
+    return lost.select("order_id", "customer_id", F.explode(labels).alias("missing")).distinct()
 
 
 def dim_as_of(dim: DataFrame, day) -> DataFrame:
