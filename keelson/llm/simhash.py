@@ -127,8 +127,10 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shin
     """
     found = simhash_components(docs, key, text, shingle, max_distance)
     least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "content")).alias("least"))
-    stays = least.select(F.col("least.doc_id").alias("stays_id"), F.col("least.content").alias("stays_content")).distinct()
+    # plain equality on three columns: the join's partitioning serves the last step as well
+    keys = ["nameless", "number", "content"]
+    stays = least.select("least.nameless", F.coalesce("least.doc_id", F.lit(0)).alias("number"), "least.content").distinct()
     inside, back = shielded(docs, [key, text])
-    named = inside.withColumn("content", content_of(text))
-    same = F.col(key).cast("long").eqNullSafe(F.col("stays_id")) & (F.col("content") == F.col("stays_content"))
-    return back(named.join(stays, same, "left_semi").dropDuplicates([key, "content"]))
+    number = F.col(key).cast("long")
+    named = inside.withColumns({"nameless": number.isNull(), "number": F.coalesce(number, F.lit(0)), "content": content_of(text)})
+    return back(named.join(stays, keys, "left_semi").dropDuplicates(keys))
