@@ -624,6 +624,18 @@ def q_analyst_products(spark, sf):
     return governance.analyst_view(stored.full_run(spark, sf)["wh"].dim2("products"))
 
 
+@register("q_analyst_products_rows", "SELECT * FROM scd2_products WHERE is_current")
+def q_analyst_products_rows(spark, sf):
+    """Products under the row filter alone: current versions with all their columns."""
+    return governance.analyst_view(stored.full_run(spark, sf)["wh"].dim2("products"), exclude=())
+
+
+@register("q_analyst_customers_columns", "SELECT customer_id, name, city FROM scd2_customers")
+def q_analyst_customers_columns(spark, sf):
+    """Customers under the column filter alone: every version without history columns."""
+    return governance.analyst_view(stored.full_run(spark, sf)["wh"].dim2("customers"), row_filter=None)
+
+
 @register("q_current_customers", """
 SELECT customer_id, name AS customer_name, city, valid_from AS since
 FROM scd2_customers WHERE is_current = true ORDER BY customer_id""")
