@@ -78,6 +78,8 @@ class Corrections:
         return self._read("log", LOG)
 
     def last(self) -> int:
+        if not paths.exists(self.spark, f"{self.path}/log"):
+            return 0
         return self.log().agg(F.max("seq")).first()[0] or 0
 
     def replayed(self) -> DataFrame:

@@ -56,13 +56,17 @@ class FactTable:
                                          "phase string, attempt bigint, base bigint, upto_ts timestamp")
         append_path(row.withColumn("at", F.current_timestamp()), f"{self.path}/_log")
 
-    def last_done(self):
-        """The newest done row of the log (attempt, base, upto_ts), or None."""
-        done = self.log().where("phase = 'done'").orderBy(F.col("attempt").desc()).limit(1).collect()
-        return done[0] if done else None
+    def last_done_and_next(self):
+        """The newest done row of the log (attempt, base, upto_ts) or None, and the next
+        attempt's number, in one look at the log."""
+        done = F.col("phase") == "done"
+        got = self.log().agg(F.max("attempt").alias("used"),
+                             F.max_by(F.when(done, F.struct("attempt", "base", "upto_ts")),
+                                      F.when(done, F.col("attempt"))).alias("done")).first()
+        return got.done, (got.used or 0) + 1
 
-    def next_attempt(self) -> int:
-        return (self.log().agg(F.max("attempt")).first()[0] or 0) + 1
+    def last_done(self):
+        return self.last_done_and_next()[0] if paths.exists(self.spark, f"{self.path}/_log") else None
 
     # -------------------------------------------------------------- parts ---
     def current_parts(self, upto: int | None = None) -> dict[Part, int]:

@@ -424,10 +424,13 @@ class Warehouse:
             for e in DIM2])
 
     def _commit(self, bks: list[str]) -> None:
-        mine = self._bronze_parts().where(F.col("batch_key").isin(bks))
-        marks = self.spark.createDataFrame([(e, b, -1) for e in DIM2 for b in bks],
-                                           "entity string, batch_key string, ingest_id bigint")
-        self._late.note_applied(mine.select(*marks.columns).unionByName(marks), bks[-1])
+        # a row per Bronze partition of these batches, and one to say that they are noted
+        held = {(e, r.batch_key, r.ingest_id) for e in DIM2
+                for r in bronze_parts(self.spark, self.path(f"bronze_raw_{e}"))
+                .where(F.col("batch_key").isin(bks)).select("batch_key", "ingest_id").collect()}
+        mine = self.spark.createDataFrame(sorted(held | {(e, b, -1) for e in DIM2 for b in bks}),
+                                          "entity string, batch_key string, ingest_id bigint")
+        self._late.note_applied(mine, bks[-1])
         rows = self.spark.createDataFrame([(b,) for b in bks], "batch_key string")
         append_path(rows.withColumn("processed_at", F.current_timestamp()),
                     self.path("silver_batch_control"))
@@ -688,8 +691,7 @@ class Warehouse:
         first row by a total order is associative, so this equals a full
         restatement.  Rows go to a folder of this attempt; its "done" row commits them.
         """
-        last = self._fact.last_done()
-        attempt = self._fact.next_attempt()
+        last, attempt = self._fact.last_done_and_next()
         obs = Observation()
         if full or last is None:
             src = self.bronze("orders").observe(obs, F.max("_ingestion_ts").alias("upto"))
