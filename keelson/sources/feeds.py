@@ -9,7 +9,9 @@ and amounts, and duplicate keys inside a batch.  All business columns are
 strings, as in a raw drop; ``_source_file`` names the file a row came from.
 
 The batch fan-out is a generator (``explode`` of a short fixed array), not
-a join, so each input row is read once and expanded in place.
+a join, so each input row is read once and expanded in place.  Rows that are
+fanned out are first dealt over as many tasks as a shuffle has: a dimension
+is a small file that few tasks read, and they would make all batches' rows.
 """
 
 from __future__ import annotations
@@ -29,6 +31,13 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    # a number of its own: AQE would put partitions of few bytes together again
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, key)
+
+
 def _batch_file(entity: str, ext: str, b: Column) -> Column:
     return F.concat(F.lit(f"raw/{entity}/{entity}_"), _s(F.lit(FIRST_YEAR) + b),
                     F.lit(f"-01.{ext}"))
@@ -41,8 +50,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     b = F.col("b")
     dup = F.col("dup")
-    rows = (cust
-            .where(k % 50 != 49)
+    rows = (_dealt(cust.where(k % 50 != 49), "c_custkey")
             # a key joins at batch (key % 5) and stays: b in [key % 5, 6]
             .withColumn("b", F.explode(F.sequence((k % 5).cast("int"), F.lit(N_BATCHES - 1))))
             .where((k * 7 + b) % 3 != 0)
@@ -74,8 +82,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      "p_retailprice")
     p = F.col("p_partkey")
     b = F.col("b")
-    rows = (part
-            .where(p % 40 != 39)
+    rows = (_dealt(part.where(p % 40 != 39), "p_partkey")
             .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(N_BATCHES - 1))))
             .where((p + b) % 4 != 0))
     return rows.select(

@@ -2,7 +2,9 @@
 
 Rows are grouped into one folder per source file name taken from
 ``_source_file`` (``src=customers_1995-01.json/part-*.json``), so each batch
-key appears in the path of the files that hold its rows.
+key appears in the path of the files that hold its rows.  Rows are dealt by
+source file before they are written (``REBALANCE``: large ones are split), so
+the number of files follows the bytes, not tasks times source files.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ def land(df: DataFrame, root: str, entity: str, fmt: str | None = None,
     fmt = fmt or EXT[entity]
     path = f"{root.rstrip('/')}/{entity}"
     out = (df.withColumn("src", F.regexp_extract("_source_file", r"([^/]+)$", 1))
-           .drop("_source_file"))
+           .drop("_source_file").hint("rebalance", "src"))
     w = out.write.mode(mode).partitionBy("src")
     if fmt == "csv":
         w = w.option("header", True).option("sep", ",")
