@@ -5,9 +5,9 @@ aggregation, combined on the map side) and only then joins the dimension.
 A customer or product holding a large share of all orders thus reaches the
 join as a single row: no skewed join partition, and the join input shrinks
 from |orders| to |keys|.  Sums and counts are decomposable, so the result
-equals joining first.  Join strategy is left to AQE, which broadcasts a side
-only when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``
-and sort-merges otherwise.
+equals joining first.  Both sides hold a row per key and are merged: left to
+choose, Spark broadcasts a stored dimension for the size of its files, of
+which the rows take a multiple in memory.
 """
 
 from __future__ import annotations
@@ -65,7 +65,7 @@ def sales_by_city(fact: DataFrame, dim_customers: DataFrame, as_of=None,
     ``fact``."""
     cur = current(dim_customers).select("customer_id", "city")
     per = totals if totals is not None else _per_key(fact, "customer_id")
-    return (per.join(cur, "customer_id", "inner")
+    return (per.join(cur.hint("merge"), "customer_id", "inner")
             .groupBy("city")
             .agg(F.sum("__n").cast("bigint").alias("total_orders"),
                  F.sum("__s").alias("total_amount"))
@@ -77,7 +77,7 @@ def sales_by_category(fact: DataFrame, dim_products: DataFrame, as_of=None,
     """category, total_orders, total_amount, unique_products, update_date."""
     cur = current(dim_products).select("product_id", "category")
     per = totals if totals is not None else _per_key(fact, "product_id")
-    return (per.join(cur, "product_id", "inner")
+    return (per.join(cur.hint("merge"), "product_id", "inner")
             .groupBy("category")
             .agg(F.sum("__n").cast("bigint").alias("total_orders"),
                  F.sum("__s").alias("total_amount"),
@@ -96,7 +96,7 @@ def customer_ranking(fact: DataFrame, dim_customers: DataFrame, k: int = 100,
     """
     cur = current(dim_customers).select("customer_id", "name", "city")
     per = totals if totals is not None else _per_key(fact, "customer_id")
-    by_customer = (per.join(cur, "customer_id", "inner")
+    by_customer = (per.join(cur.hint("merge"), "customer_id", "inner")
                    .groupBy("customer_id", "name", "city")
                    .agg(F.sum("__s").alias("total_amount")))
     order = [F.col("total_amount").desc(), F.col("customer_id").asc()]

@@ -51,12 +51,9 @@ def scd1_merge(dim: DataFrame, stg: DataFrame, key: str, attrs: Sequence[str],
     Output: key, attrs..., update_date.  The batch's keys are broadcast when
     their estimated size fits the threshold, so the dimension is not shuffled.
     """
-    from keelson.operators.sizing import fits_broadcast
+    from keelson.operators.sizing import join_by_size
     upd = stg.select(key, *attrs, F.col(date_col).alias("update_date"))
-    keys = upd.select(key)
-    if fits_broadcast(stg):
-        keys = F.broadcast(keys)
-    kept = dim.select(key, *attrs, "update_date").join(keys, key, "left_anti")
+    kept = join_by_size(dim.select(key, *attrs, "update_date"), upd.select(key), key, "left_anti")
     return kept.unionByName(upd)
 
 

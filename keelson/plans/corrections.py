@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keelson import paths
 from keelson.operators import scd
-from keelson.operators.sizing import fits_broadcast
+from keelson.operators.sizing import join_by_size
 from keelson.schemas import SCD2_SPECS
 from keelson.sinks.tables import append_path, overwrite_path
 
@@ -38,7 +38,7 @@ TYPE1 = "customers_type1"
 
 def with_keys(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
     """Semi or anti join on a key; the keys are broadcast when their size fits."""
-    return df.join(F.broadcast(keys) if fits_broadcast(keys) else keys, key, how)
+    return join_by_size(df, keys, key, how)
 
 
 class Corrections:
@@ -128,8 +128,7 @@ class Corrections:
         if h is None:
             return base.select(*columns)
         upto = h.groupBy(F.col(key).alias("k")).agg(F.max("upto").alias("upto"))
-        upto = F.broadcast(upto) if fits_broadcast(upto) else upto
-        kept = base.join(upto, F.col(key) == F.col("k"), "left")
+        kept = join_by_size(base, upto, F.col(key) == F.col("k"), "left")
         kept = kept.where(F.col("upto").isNull() | (F.col("batch_key") > F.col("upto")))
         was = scd.versions_as_of(h, bk).where("not is_current")
         return kept.select(*columns).unionByName(was.select(*columns))

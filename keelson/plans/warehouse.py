@@ -48,7 +48,7 @@ from keelson import paths
 from keelson.functions import business_date
 from keelson.operators import cleanse, marts, scd
 from keelson.operators.dedup import dedup_first
-from keelson.operators.sizing import fits_broadcast
+from keelson.operators.sizing import join_by_size
 from keelson.plans.corrections import TYPE1, Corrections, rebuilt, type1_history, with_keys
 from keelson.plans.fact import FactTable
 from keelson.schemas import SCD2_SPECS, TABLES
@@ -709,14 +709,12 @@ class Warehouse:
         cols = ["order_id", "customer_id", "product_id", "amount", "order_date"]
         new = self.spark.read.parquet(f"{stage}/new")
         keys = new.select("order_id")
-        # broadcast the new order keys only when their written size fits the
-        # threshold; otherwise the joins shuffle by order_id
-        if fits_broadcast(keys):
-            keys = F.broadcast(keys)
         # the months that hold these orders (a short list), and those rows in full
         parts = self._fact.current_parts()
         held = [(r[0], r[1]) for r in self._fact.locate(keys, parts).select("year", "month").distinct().collect()]
-        overwrite_path(self._fact.read(held, parts).join(keys, "order_id", "left_semi"), f"{stage}/old")
+        # the joins broadcast the new order keys only when they fit the threshold, and
+        # else shuffle by order_id
+        overwrite_path(join_by_size(self._fact.read(held, parts), keys, "order_id", "left_semi"), f"{stage}/old")
         old = self.spark.read.schema(TABLES["silver_fact_orders"][0]).parquet(f"{stage}/old")
         merged = dedup_first(old.select(*cols).unionByName(new.select(*cols)), ["order_id"],
                              cleanse.ORDER_RULE)
@@ -726,7 +724,8 @@ class Warehouse:
         # the old or the new ones); only these partitions are read and written
         touched = sorted(set(held) | {(r[0], r[1]) for r in new.select("year", "month")
                                       .distinct().collect()}, key=repr)
-        content = self._fact.read(touched, parts).join(keys, "order_id", "left_anti").unionByName(merged)
+        kept = join_by_size(self._fact.read(touched, parts), keys, "order_id", "left_anti")
+        content = kept.unionByName(merged)
         self._log_fact("started", attempt, last.base, None)
         n = self._fact.write(content, attempt, last.base, touched)
         self._log_fact("done", attempt, last.base, obs.get.get("upto"))
