@@ -15,7 +15,8 @@ done state.  A full build is a new ``base``: partitions of older bases are gone.
 **Locator.**  Ids of 32,768 consecutive numbers make a bucket; of each partition and bucket
 the ids present are one bitmap of 4 KB (``bitmap_construct_agg``), sorted by bucket.  Where
 orders of a new batch are stored is found by a join of their buckets with the bitmaps and a
-look at one bit: no id column of the fact is read, and of the bitmaps only the range of
+look at one bit (which months hold any of them: by bitmaps of the batch's own ids): no id
+column of the fact is read, and of the bitmaps only the range of
 buckets that the batch spans (row groups are skipped by their least and greatest bucket).
 
 **Old folders.**  A partition folder is deleted one build after the build that replaced it,
@@ -104,24 +105,48 @@ class FactTable:
         return df.withColumns({"bucket": F.bitmap_bucket_number("order_id"),
                                "bit": F.bitmap_bit_position("order_id")})
 
-    def locate(self, keys: DataFrame, parts: dict[Part, int] | None = None) -> DataFrame:
-        """order_id, year, month of those of ``keys (order_id)`` that the fact holds."""
-        parts = self.current_parts() if parts is None else parts
-        want = self._bit(keys)
+    def _bitmaps(self, want: DataFrame, parts: dict[Part, int]) -> DataFrame | None:
+        """year, month, bucket, bits of the current partitions over the buckets that
+        ``want`` spans; None where either is empty."""
         low, high = want.agg(F.min("bucket"), F.max("bucket")).first()
         if not parts or low is None:
-            return self.spark.createDataFrame([], "order_id bigint, year int, month int")
+            return None
         current = self.spark.createDataFrame([(a, y, m) for (y, m), a in parts.items()],
                                              "a bigint, y int, m int")
         folders = [f"{self.path}/_ids/attempt={a}" for a in sorted(set(parts.values()))]
         bits = (self.spark.read.schema(IDS).option("basePath", f"{self.path}/_ids").parquet(*folders)
                 .where(F.col("bucket").between(low, high)))
-        held = bits.join(F.broadcast(current), (F.col("attempt") == F.col("a"))
+        return bits.join(F.broadcast(current), (F.col("attempt") == F.col("a"))
                          & F.col("year").eqNullSafe(F.col("y")) & F.col("month").eqNullSafe(F.col("m")))
+
+    def locate(self, keys: DataFrame, parts: dict[Part, int] | None = None) -> DataFrame:
+        """order_id, year, month of those of ``keys (order_id)`` that the fact holds."""
+        want = self._bit(keys)
+        held = self._bitmaps(want, self.current_parts() if parts is None else parts)
+        if held is None:
+            return self.spark.createDataFrame([], "order_id bigint, year int, month int")
         byte = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("bigint")
         found = want.join(held, "bucket").where(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1)
         return found.select("order_id", "year", "month")
 
+    def months_of(self, keys: DataFrame, parts: dict[Part, int] | None = None) -> list[Part]:
+        """The (year, month) that hold any of ``keys (order_id)``.
+
+        The keys become bitmaps of their own, so a partition's bucket is compared once
+        and not with every key in it: they share an id where both have more bits set
+        than their union."""
+        want = self._bit(keys)
+        held = self._bitmaps(want, self.current_parts() if parts is None else parts)
+        if held is None:
+            return []
+        wanted = want.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("want"))
+        each = F.bitmap_count("bits") + F.bitmap_count("want")
+        met = (held.join(wanted, "bucket")
+               .select("year", "month", "bucket", each.alias("n"), F.explode(F.array("bits", "want")).alias("b"))
+               .groupBy("year", "month", "bucket", "n").agg(F.bitmap_or_agg("b").alias("either"))
+               .where(F.col("n") > F.bitmap_count("either")))
+        return [(r.year, r.month) for r in met.select("year", "month").distinct().collect()]
+
     # ------------------------------------------------------------- builds ---
     def write(self, rows: DataFrame, attempt: int, base: int, touched: list[Part] | None = None) -> int:
         """Write an attempt's rows, ids and partitions (``touched``: those that it replaces,

@@ -711,7 +711,7 @@ class Warehouse:
         keys = new.select("order_id")
         # the months that hold these orders (a short list), and those rows in full
         parts = self._fact.current_parts()
-        held = [(r[0], r[1]) for r in self._fact.locate(keys, parts).select("year", "month").distinct().collect()]
+        held = self._fact.months_of(keys, parts)
         # the joins broadcast the new order keys only when they fit the threshold, and
         # else shuffle by order_id
         overwrite_path(join_by_size(self._fact.read(held, parts), keys, "order_id", "left_semi"), f"{stage}/old")
