@@ -2,7 +2,7 @@
 
 PySpark has no Python file-system API, so these go through Hadoop's
 ``FileSystem`` for the path's scheme, as Spark itself does.  Only names
-and existence are looked at; no file is read here.
+and existence are looked at, folders removed or renamed; no file is read here.
 """
 
 from __future__ import annotations
@@ -37,6 +37,15 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; ``target`` must not exist yet, the folders above it are made."""
+    p, fs = _fs(spark, source)
+    to, _ = _fs(spark, target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(p, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def data_file_names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the data files directly in ``folder`` (no hidden or
     underscore files, no subfolders)."""

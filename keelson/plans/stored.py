@@ -29,10 +29,10 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession, functions as F
 
 from keelson.plans import flows
-from keelson.plans.warehouse import Warehouse
+from keelson.plans.warehouse import ENTITIES, Warehouse, concurrently
 from keelson.session import scratch_path
 from keelson.sources import feeds
-from keelson.sources.landing import land
+from keelson.sources.landing import arrive, land
 
 # Fixed value: the second arrival wave starts after this batch key.
 WAVE_SPLIT = "1999-01"
@@ -45,6 +45,27 @@ def _key(spark: SparkSession, sf_dir: str, variant: str) -> tuple:
     return (id(spark.sparkContext), sf_dir.rstrip("/"), variant)
 
 
+def in_waves(spark: SparkSession, sf_dir: str, root: str, wave, entities=ENTITIES):
+    """Write the feeds' files once, by the wave (``wave(entity)``, a column over the raw rows
+    and ``batch_key``) that brings them, outside ``root/landing``.  Returns a function that
+    lets a wave arrive there: a feed is derived once, not once a wave.  A row that names
+    no source file is in no wave."""
+    def put(e):
+        rows = flows.bronze(spark, sf_dir, e).where(F.col("_source_file").isNotNull())
+        land(rows.withColumn("arrival", wave(e)).drop("batch_key"), f"{root}/waiting", e, by=["arrival"])
+
+    concurrently(*[lambda e=e: put(e) for e in entities])
+
+    def come(n: int) -> None:
+        for e in entities:
+            arrive(spark, f"{root}/waiting", f"{root}/landing", e, f"arrival={n}")
+    return come
+
+
+def _second_wave(entity: str) -> Column:
+    return (F.col("batch_key") > F.lit(WAVE_SPLIT)).cast("int")
+
+
 def full_run(spark: SparkSession, sf_dir: str) -> dict:
     k = _key(spark, sf_dir, "full")
     if k in _RUNS:
@@ -69,14 +90,11 @@ def staged_run(spark: SparkSession, sf_dir: str) -> dict:
     # the folded batches store their versions bucketed by key (BUCKETS), so a
     # later batch's join reads them without a shuffle
     wh = Warehouse(spark, f"{root}/warehouse", buckets=BUCKETS)
-    raw = {e: flows.bronze(spark, sf_dir, e) for e in ("customers", "products", "orders")}
-    early = F.col("batch_key") <= F.lit(WAVE_SPLIT)
-    for e, df in raw.items():
-        land(df.where(early).drop("batch_key"), landing, e)
+    come = in_waves(spark, sf_dir, root, _second_wave)
+    come(0)
     wave1 = wh.ingest(landing)
     silver1 = wh.run_silver(mode="auto")
-    for e, df in raw.items():
-        land(df.where(~early).drop("batch_key"), landing, e)
+    come(1)
     wave2 = wh.ingest(landing)
     pending = wh.pending()
     silver2 = wh.run_silver(mode="fold")
@@ -100,6 +118,13 @@ def is_late(entity: str) -> Column:
     return F.lit(False)
 
 
+def late_wave(entity: str) -> Column:
+    """0: up to WAVE_SPLIT, 1: up to LATE_AFTER, 2: the late rows, 3: the rest."""
+    bk = F.col("batch_key")
+    in_time = (bk > F.lit(WAVE_SPLIT)).cast("int") + 2 * (bk > F.lit(LATE_AFTER)).cast("int")
+    return F.when(is_late(entity), F.lit(2)).otherwise(in_time)
+
+
 def late_run(spark: SparkSession, sf_dir: str) -> dict:
     k = _key(spark, sf_dir, "late")
     if k in _RUNS:
@@ -107,14 +132,10 @@ def late_run(spark: SparkSession, sf_dir: str) -> dict:
     root = scratch_path(spark, "wh-late")
     landing = f"{root}/landing"
     wh = Warehouse(spark, f"{root}/warehouse", late="replay")
-    raw = {e: flows.bronze(spark, sf_dir, e) for e in ("customers", "products", "orders")}
-    bk = F.col("batch_key")
-    waves = [(bk <= WAVE_SPLIT, False), ((bk > WAVE_SPLIT) & (bk <= LATE_AFTER), False),
-             (F.lit(True), True), (bk > LATE_AFTER, False)]
+    come = in_waves(spark, sf_dir, root, late_wave)
     reports = []
-    for part, late in waves:
-        for e, df in raw.items():
-            land(df.where(part & (is_late(e) if late else ~is_late(e))).drop("batch_key"), landing, e)
+    for wave in range(4):
+        come(wave)
         wh.ingest(landing)
         reports.append(wh.run_silver(mode="auto"))
     _RUNS[k] = {"wh": wh, "silver": reports}
@@ -196,11 +217,9 @@ def stopped_run(spark: SparkSession, sf_dir: str) -> dict:
         except _Stop:
             stops.append(step)
 
-    raw = {e: flows.bronze(spark, sf_dir, e) for e in ("customers", "products", "orders")}
-    early = F.col("batch_key") <= F.lit(WAVE_SPLIT)
-    for part, mode in ((early, "bulk"), (~early, "fold")):
-        for e, df in raw.items():
-            land(df.where(part).drop("batch_key"), landing, e)
+    come = in_waves(spark, sf_dir, root, _second_wave)
+    for wave, mode in ((0, "bulk"), (1, "fold")):
+        come(wave)
         wh.ingest(landing)
         attempt("commit", lambda: wh.run_silver(mode=mode))  # noqa: B023  run at once
         attempt("fact", lambda: wh.run_silver(mode=mode))  # noqa: B023
@@ -218,12 +237,11 @@ def rewriting_run(spark: SparkSession, sf_dir: str) -> dict:
     root = scratch_path(spark, "wh-rewriting")
     landing = f"{root}/landing"
     wh = _StoppingWarehouse(spark, f"{root}/warehouse")
-    raw = flows.bronze(spark, sf_dir, "orders")
-    early = F.col("batch_key") <= F.lit(WAVE_SPLIT)
-    for part in (early, ~early):
-        land(raw.where(part).drop("batch_key"), landing, "orders")
+    come = in_waves(spark, sf_dir, root, _second_wave, ["orders"])
+    for wave in (0, 1):
+        come(wave)
         wh.ingest(landing)
-        if part is early:
+        if wave == 0:
             wh.build_fact()
     wh.stop = "fact"
     try:

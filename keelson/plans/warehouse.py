@@ -60,7 +60,7 @@ ENTITIES = ("customers", "orders", "products")
 DIM2 = {"customers": "silver_dim_customers_type2", "products": "silver_dim_products_type2"}
 
 
-def _concurrently(*jobs):
+def concurrently(*jobs):
     """Run independent Spark actions from threads; Spark schedules their jobs
     side by side.  Returns their results in order; the first error is raised."""
     from concurrent.futures import ThreadPoolExecutor
@@ -134,7 +134,7 @@ class Warehouse:
                                          self.path(f"bronze_raw_{e}"),
                                          f"{self.root}/_streams/{e}", EXT[e], ingest_ts,
                                          self.max_files_per_trigger)
-        counts = dict(zip(ENTITIES, _concurrently(*[one(e) for e in ENTITIES])))
+        counts = dict(zip(ENTITIES, concurrently(*[one(e) for e in ENTITIES])))
         self._log_run([("ingested", f"bronze_raw_{e}", n) for e, n in counts.items()])
         return counts
 
@@ -454,7 +454,7 @@ class Warehouse:
             sp = self._write_stg("products", [bk]).drop("batch_key")
             self._fold_dim2("products", last, bk, sp, F.lit(f"{bk}-01").cast("date"))
 
-        _concurrently(customers, products)
+        concurrently(customers, products)
         self._commit([bk])
 
     def _fold_dim2(self, entity: str, last: str | None, bk: str, stg: DataFrame,
@@ -511,7 +511,7 @@ class Warehouse:
         def products():
             self._bulk_dim2("products", last, newest, self._write_stg("products", bks))
 
-        _concurrently(customers, products)
+        concurrently(customers, products)
         self._commit(bks)
 
     def _bulk_dim2(self, entity: str, last: str | None, newest: str, stg: DataFrame) -> None:
@@ -792,7 +792,7 @@ class Warehouse:
             "gold_ranking_customers": marts.customer_ranking(fact, dc, k, totals=pc),
         }
         names = list(outs)
-        counts = _concurrently(*[
+        counts = concurrently(*[
             (lambda n: lambda: overwrite_path(outs[n].select(*TABLES[n][0].fieldNames()),
                                               self.path(n)))(n) for n in names])
         built = dict(zip(names, counts))
