@@ -219,6 +219,15 @@ def versions_as_of(history: DataFrame, bk: str) -> DataFrame:
                           "closed_by": F.when(closed, F.col("closed_by"))}))
 
 
+def versions_after(history: DataFrame, bks: Sequence[str]) -> DataFrame:
+    """``versions_as_of`` each of ``bks`` at once, with ``as_of``, the batch."""
+    known = F.filter(F.array(*[F.lit(b) for b in bks]), lambda b: b >= F.col("opened_by"))
+    closed = F.col("closed_by").isNotNull() & (F.col("closed_by") <= F.col("as_of"))
+    return (history.withColumn("as_of", F.explode(known))
+            .withColumns({"valid_to": F.when(closed, F.col("valid_to")), "is_current": ~closed,
+                          "closed_by": F.when(closed, F.col("closed_by"))}))
+
+
 def tracked_nulls(stg: DataFrame, tracked: Sequence[str]) -> Column:
     """An aggregate counting rows with a NULL tracked column (bulk guard)."""
     return F.count_if(reduce(or_, [F.col(t).isNull() for t in tracked]))

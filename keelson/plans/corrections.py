@@ -134,6 +134,20 @@ class Corrections:
         return kept.select(*columns).unionByName(was.select(*columns))
 
 
+    def each(self, dim: str, key: str, base: DataFrame, bks: list[str], columns: list[str]) -> DataFrame:
+        """``state`` and ``closed`` after each of ``bks`` at once, with ``as_of``, the batch;
+        ``base`` is a history (``opened_by``, ``closed_by``)."""
+        h = self.history(dim, key)
+        if h is None:
+            return scd.versions_after(base, bks).select("as_of", *columns)
+        upto = h.groupBy(F.col(key).alias("k")).agg(F.max("upto").alias("upto"))
+        # met before the fan-out, so a version is shuffled once and not once a batch
+        both = scd.versions_after(join_by_size(base, upto, F.col(key) == F.col("k"), "left"), bks)
+        kept = both.where(F.col("upto").isNull() | (F.coalesce("closed_by", "as_of") > F.col("upto")))
+        own = scd.versions_after(h, bks).where(~F.col("is_current") | (F.col("upto") >= F.col("as_of")))
+        return kept.select("as_of", *columns).unionByName(own.select("as_of", *columns))
+
+
 def rebuilt(entity: str, staged: DataFrame, effective, null_safe: bool) -> DataFrame:
     """Type 2 history of the keys in ``staged`` (all their rows, one per batch)."""
     spec = SCD2_SPECS[entity]

@@ -350,20 +350,16 @@ def q_dim_after_each_batch(spark, sf):
 
 
 def _after_each_batch(wh) -> DataFrame:
-    from functools import reduce
-    parts = []
-    for bk in wh.committed():
-        at = F.lit(bk).alias("batch_key")
-        for e, key, attr in (("customers", "customer_id", "city"),
-                             ("products", "product_id", "category")):
-            parts.append(wh.dim2(e, bk).select(
-                F.lit(e).alias("dim"), at, F.col(key).cast("string").alias("id"),
-                F.col(attr).alias("attribute"), "valid_from", "valid_to", "is_current"))
-        parts.append(wh.dim1(bk).select(
-            F.lit("customers_type1").alias("dim"), at, F.col("customer_id").cast("string").alias("id"),
-            F.col("city").alias("attribute"), F.col("update_date").alias("valid_from"),
-            F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current")))
-    return reduce(DataFrame.unionByName, parts)
+    bks, at = wh.committed(), F.col("as_of").alias("batch_key")
+    two = [wh.dim2_each(e, bks).select(
+        F.lit(e).alias("dim"), at, F.col(key).cast("string").alias("id"),
+        F.col(attr).alias("attribute"), "valid_from", "valid_to", "is_current")
+        for e, key, attr in (("customers", "customer_id", "city"), ("products", "product_id", "category"))]
+    one = wh.dim1_each(bks).select(
+        F.lit("customers_type1").alias("dim"), at, F.col("customer_id").cast("string").alias("id"),
+        F.col("city").alias("attribute"), F.col("update_date").alias("valid_from"),
+        F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
+    return two[0].unionByName(two[1]).unionByName(one)
 
 
 @register("q_scd2_after_stops", """

@@ -273,11 +273,12 @@ class Warehouse:
         bk = bk or self.last_committed()
         return self._at(f"silver_stg_{entity}", bk).drop("batch_key")
 
-    def _base_of(self, bk: str) -> tuple[str | None, list[str]]:
+    def _base_of(self, bk: str, done: list[str] | None = None) -> tuple[str | None, list[str]]:
         """The newest committed batch up to ``bk`` that has a stored state, and
         the committed batches from there to ``bk``: empty where the batch's own state is
-        stored; else those applied with it in bulk, or whose states were dropped."""
-        done = self.committed()
+        stored; else those applied with it in bulk, or whose states were dropped.
+        ``done``: the committed batches, when the caller knows them."""
+        done = self.committed() if done is None else done
         if bk not in done:
             raise ValueError(f"batch {bk} is not committed")
         after: list[str] = []
@@ -396,6 +397,52 @@ class Warehouse:
         return self._late.closed(entity, spec["key"], self._closed_rows(entity, bk), bk, columns) \
                    .unionByName(self._open_versions(entity, bk).select(*columns))
 
+    def _by_base(self, bks: list[str]) -> tuple[list[str], list[tuple[str | None, list[str], list[str]]]]:
+        """Of ``bks`` those whose state is stored, and the others by the stored state that
+        they are computed from: (base, its batches, the staged batches to apply)."""
+        done, stored, groups = self.committed(), [], {}
+        for bk in sorted(bks):
+            base, after = self._base_of(bk, done)
+            if not after:
+                stored.append(bk)
+                continue
+            mine = groups.setdefault(base, ([], []))
+            mine[0].append(bk)
+            mine[1][:] = after  # of the newest one: it holds the others'
+        return stored, [(base, *g) for base, g in groups.items()]
+
+    def dim2_each(self, entity: str, bks: list[str]) -> DataFrame:
+        """``dim2`` after each of ``bks``, with ``as_of``, the batch.
+
+        Batches without a stored state are computed from one history of the staged
+        batches since the last stored one, not from one history each."""
+        spec = SCD2_SPECS[entity]
+        columns = self._schema(DIM2[entity]).fieldNames()
+        stored, groups = self._by_base(bks)
+        out = [self.dim2(entity, bk).select(F.lit(bk).alias("as_of"), *columns) for bk in stored]
+        for base, mine, after in groups:
+            inp = self._bulk_input(entity, base, self._stg_of(entity, after))
+            whole = scd.scd2_history(inp, spec["key"], spec["tracked"], F.col("__eff"), self.null_safe) \
+                       .select(*columns, "opened_by", "closed_by")
+            if base:
+                whole = whole.unionByName(self._closed_rows(entity, base).select(
+                    *columns, F.lit("").alias("opened_by"), F.col("batch_key").alias("closed_by")))
+            out.append(self._late.each(entity, spec["key"], whole, mine, columns))
+        return reduce(DataFrame.unionByName, out)
+
+    def dim1_each(self, bks: list[str]) -> DataFrame:
+        """``dim1`` after each of ``bks``, with ``as_of``, the batch."""
+        cols = ["customer_id", "name", "city", "update_date"]
+        stored, groups = self._by_base(bks)
+        out = [self.dim1(bk).select(F.lit(bk).alias("as_of"), *cols) for bk in stored]
+        for base, mine, after in groups:
+            prior = self._at("silver_dim_customers_type1", base).select(
+                "customer_id", "name", "city", F.col("update_date").alias("event_date"), F.lit(base or "").alias("batch_key"))
+            rows = type1_history(prior.unionByName(self._stg_of("customers", after).select(*prior.columns)))
+            out.append(self._late.each(TYPE1, "customer_id", rows, mine, [*cols, "is_current"])
+                       .where("is_current").drop("is_current"))
+        return reduce(DataFrame.unionByName, out)
+
     def _closed_rows(self, entity: str, bk: str | None) -> DataFrame:
         """Stored versions that batches up to ``bk`` closed (partition filters), with
         ``batch_key``, the batch that did."""
